@@ -1,0 +1,57 @@
+"""Latest change per key held in the state store."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class LatestChange(StatefulProcessor):
+    """Keeps the row with the highest sequence per key and emits it when it changes."""
+
+    def __init__(self, schema: StructType, key_width: int):
+        self.schema = schema
+        self.key_width = key_width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.latest = handle.getValueState("latest", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        columns = self.schema.names
+        best = self.latest.get() if self.latest.exists() else None
+        at = columns.index("sort_by")
+        changed = False
+        for frame in rows:
+            row = frame.loc[frame["sort_by"].idxmax(), columns]
+            if best is None or row["sort_by"] > best[at]:
+                best = tuple(v.item() if hasattr(v, "item") else v for v in row)
+                changed = True
+        if changed:
+            self.latest.update(best)
+            yield pd.DataFrame([best], columns=columns)
+
+    def close(self) -> None:
+        pass
+
+
+def latest_per_key(changes: DataFrame, keys: list[str], salts: int = 8) -> DataFrame:
+    """Stream of the newest change per key and salt.
+
+    The salt spreads a frequent key over several state rows; the reader takes the highest
+    sequence of at most `salts` rows per key.
+    """
+    schema = changes.schema
+    salted = changes.withColumn("salt", F.pmod(F.xxhash64("sort_by"), F.lit(salts)))
+    return salted.groupBy(*keys, "salt").transformWithStateInPandas(
+        statefulProcessor=LatestChange(schema, len(keys)),
+        outputStructType=schema,
+        outputMode="Update",
+        timeMode="None",
+    )
