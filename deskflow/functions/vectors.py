@@ -38,19 +38,30 @@ def vector_literal(v: Column) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def term_counts(text: Column, buckets: int = TERM_BUCKETS) -> Column:
     """How many words of the text hash to each bucket, as an array of doubles."""
     words = F.filter(F.split(F.lower(text), " "), lambda w: w != "")
     hashed = F.transform(
         words, lambda w: F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int") % buckets
     )
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(buckets - 1)),
-        lambda b: F.size(F.filter(hashed, lambda h: h == b)).cast("double"),
-    )
+
+    def count(all_words: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(buckets - 1)),
+            lambda b: (F.size(all_words) - F.size(F.array_remove(all_words, b))).cast("double"),
+        )
+
+    return let(hashed, count)
 
 
 def unit(v: Column) -> Column:
     """The vector at length one; a zero vector stays zero."""
-    length = norm(v)
-    return F.transform(v, lambda x: F.when(length > 0, x / length).otherwise(F.lit(0.0)))
+    return let(
+        norm(v),
+        lambda length: F.transform(v, lambda x: F.when(length > 0, x / length).otherwise(F.lit(0.0))),
+    )

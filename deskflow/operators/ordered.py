@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 RANGE_WIDTH = 1 << 20
 
@@ -89,7 +90,8 @@ def number_rows(df: DataFrame, order: list[str], name: str, staging: str, start:
         .write.mode("overwrite")
         .parquet(staging)
     )
-    staged = spark.read.schema(df.schema.add("__part", "int")).parquet(staging)
+    written = StructType([*df.schema.fields, StructField("__part", IntegerType())])
+    staged = spark.read.schema(written).parquet(staging)
     # one row per written partition
     sizes = staged.groupBy("__part").agg(F.count("*").alias("__n"))
     offsets = sizes.select(
