@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 # fixed values: the characters that count as white space, in code point order
 WHITESPACE = (
     r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -34,12 +41,17 @@ def chunks(text: Column, size: int = 700, overlap: int = 120) -> Column:
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than size")
     step = size - overlap
-    flat = collapse_whitespace(text)
-    last = F.greatest(F.ceil(F.length(flat) / F.lit(step)) - 1, F.lit(0)).cast("int")
-    pieces = F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.substring(flat, i * step + 1, F.lit(size))
-    )
-    return F.filter(pieces, lambda p: F.trim(p) != "")
+    steps_per_chunk = -(-size // step)
+
+    def windows(steps: Column) -> Column:
+        return F.transform(
+            steps,
+            lambda _, i: F.substring(F.array_join(F.slice(steps, i + 1, steps_per_chunk), ""), 1, size),
+        )
+
+    # one pass cuts the text into steps; a chunk is its step and the start of the next ones
+    steps = F.regexp_extract_all(collapse_whitespace(text), F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    return F.filter(let(steps, windows), lambda p: F.trim(p) != "")
 
 
 def wrap_line(line: Column, width: int = 95) -> Column:

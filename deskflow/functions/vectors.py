@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 TERM_BUCKETS = 64
 
 
@@ -38,11 +40,6 @@ def vector_literal(v: Column) -> Column:
     )
 
 
-def let(value: Column, body) -> Column:
-    """`body` of a value that is computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def term_counts(text: Column, buckets: int = TERM_BUCKETS) -> Column:
     """How many words of the text hash to each bucket, as an array of doubles."""
     words = F.filter(F.split(F.lower(text), " "), lambda w: w != "")

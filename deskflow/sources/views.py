@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, fx_rate
 from ..functions.text import chunks
-from .tables import read_table
+from .tables import read_table, spread
 
 # fixed values: agency ratings in order of quality, and one that is not rated
 RATINGS = ["AAA", "AA", "A", "A-", "BBB+", "BBB", "BBB-", "BB", "B", "CCC", "NR"]
@@ -192,7 +192,7 @@ class Desk:
     @cached_property
     def chunks(self) -> DataFrame:
         return (
-            self.table("documents")
+            spread(self.table("documents"), "doc_id")
             .select("doc_id", "source", F.posexplode(chunks(F.col("text"))).alias("chunk_idx", "content"))
         )
 
