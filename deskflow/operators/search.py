@@ -8,9 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from ..functions.vectors import round6
+from ..functions.vectors import unit
 
 MAX_SHARED_QUERIES = 2048
 BLOCK_ROWS = 20_000
@@ -120,48 +120,38 @@ def _blocked(stored, queries, keys, k, block_rows, schema) -> DataFrame:
 
 
 class CellIndex:
-    """Unit vectors grouped into cells around trained centres.
+    """Unit vectors grouped into cells around centres picked from the vectors themselves.
 
     Each cell knows the widest angle between its centre and a member. A search scores the
     cells nearest to the query first; every other cell that could still hold a closer row,
-    by that angle, is scored too, so the answer is the exact one.
+    by that angle, is scored too, so the answer is the exact one. The rows are written by
+    cell, so cells that are not wanted are not read, and nothing is shuffled to place them.
     """
 
-    def __init__(self, stored: DataFrame, keys: list[str], path: str, cells: int = 16, seed: int = 7):
-        from pyspark.ml.clustering import KMeans
-        from pyspark.ml.functions import array_to_vector
-
+    def __init__(self, stored: DataFrame, keys: list[str], path: str, cells: int = 16):
         self.keys = keys
-        self.path = path
         spark = stored.sparkSession
-        length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-        rows = stored.select(
-            *keys,
-            F.transform("embedding", lambda x: x.cast("double") / length).alias("embedding"),
-        ).where(length > 0)
-        vectors = rows.withColumn("features", array_to_vector("embedding"))
-        model = KMeans(k=cells, seed=seed, maxIter=10).fit(vectors)
-        self.centres = np.array(model.clusterCenters())
-        self.centres /= np.linalg.norm(self.centres, axis=1, keepdims=True)
-        placed = model.transform(vectors).select(*keys, "embedding", F.col("prediction").alias("cell"))
-        placed.write.mode("overwrite").partitionBy("cell").parquet(path)
-        self.rows = spark.read.schema(placed.schema).parquet(path)
-        self.angles = {row["cell"]: row["angle"] for row in self._widest().collect()}
-
-    def _widest(self) -> DataFrame:
-        """One row per cell: its widest angle to the centre."""
-        centres = self.centres
-        def angle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = stored.select(*keys, unit(F.col("embedding")).alias("embedding")).where(
+            F.exists("embedding", lambda x: x != 0)
+        )
+        # `cells` rows reach the driver; distinct, so that copies of one vector give one centre
+        picked = rows.select("embedding").distinct().orderBy(F.xxhash64("embedding")).limit(cells).collect()
+        self.centres = centres = np.array([row["embedding"] for row in picked], dtype=float)
+        schema = StructType(
+            [*rows.schema.fields, StructField("angle", DoubleType()), StructField("cell", IntegerType())]
+        )
+
+        def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 if len(frame):
-                    cosines = np.einsum(
-                        "ij,ij->i", _matrix(frame["embedding"]), centres[frame["cell"].to_numpy()]
-                    )
-                    frame = frame.assign(angle=np.arccos(np.clip(cosines, -1, 1)))
-                    yield frame.groupby("cell", as_index=False)["angle"].max()
+                    cosines = _matrix(frame["embedding"]) @ centres.T
+                    angle = np.arccos(np.clip(cosines.max(axis=1), -1, 1))
+                    yield frame.assign(angle=angle, cell=cosines.argmax(axis=1).astype("int32"))
 
-        per_batch = self.rows.select("cell", "embedding").mapInPandas(angle, "cell int, angle double")
-        return per_batch.groupBy("cell").agg(F.max("angle").alias("angle"))
+        rows.mapInPandas(place, schema).write.mode("overwrite").partitionBy("cell").parquet(path)
+        self.rows = spark.read.schema(schema).parquet(path)
+        widest = self.rows.groupBy("cell").agg(F.max("angle").alias("angle"))
+        self.angles = {row["cell"]: row["angle"] for row in widest.collect()}
 
     def _score(self, cells: list[int], query: np.ndarray, k: int) -> DataFrame:
         spark = self.rows.sparkSession
@@ -182,6 +172,3 @@ class CellIndex:
         worst = np.arccos(np.clip(min(scores) - 1e-6, -1, 1)) if len(scores) == k else np.pi
         wanted = near + [c for c in order[probes:] if to_centre[c] - self.angles[c] <= worst]
         return self._score(wanted, query, k)
-
-
-__all__ = ["CellIndex", "embed_with", "nearest", "round6"]

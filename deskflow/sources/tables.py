@@ -43,13 +43,13 @@ def stream_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Puts a table of few files on all cores before costly work per row.
 
     A table that already has a task per core is left as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def count_rows(tables: dict[str, DataFrame]) -> DataFrame:

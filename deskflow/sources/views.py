@@ -95,6 +95,7 @@ class Desk:
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
         )
+        lines = spread(lines, "l_orderkey", "l_linenumber", "l_partkey")
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         hours = F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
