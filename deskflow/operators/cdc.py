@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,35 +22,43 @@ def capture_changes(old: DataFrame | None, new: DataFrame, keys: list[str], vers
         return new.withColumn("change_type", F.lit("insert")).withColumn(
             "sort_by", F.lit(2 * version).cast("long")
         )
-    before = old.select(F.struct(*new.columns).alias("o"))
-    after = new.select(F.struct(*new.columns).alias("n"))
-    same_key = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys]
-    condition = same_key[0]
-    for other in same_key[1:]:
-        condition = condition & other
-
-    def change(row: str, kind: str, step: int) -> Column:
+    sides, here, there = _side_by_side(old, new, keys)
+
+    def change(prefix: str, kind: str, step: int) -> Column:
         return F.struct(
-            F.col(row).alias("row"),
+            *[F.col(prefix + c).alias(c) for c in new.columns],
             F.lit(kind).alias("change_type"),
             F.lit(2 * version + step).cast("long").alias("sort_by"),
         )
 
     events = (
-        F.when(F.col("o").isNull(), F.array(change("n", "insert", 0)))
-        .when(F.col("n").isNull(), F.array(change("o", "delete", 0)))
+        F.when(~here, F.array(change("n_", "insert", 0)))
+        .when(~there, F.array(change("o_", "delete", 0)))
         .otherwise(
-            F.array(change("o", "update_preimage", 0), change("n", "update_postimage", 1))
+            F.array(change("o_", "update_preimage", 0), change("n_", "update_postimage", 1))
         )
     )
+    changed = ~here | ~there | ~_same_row(new.columns)
+    return sides.where(changed).select(F.inline(events))
+
+
+def _side_by_side(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame, Column, Column]:
+    """Both tables joined on their key with prefixed columns, and which side each row is on.
+
+    Plain renamed columns keep a partitioning by the key that the tables already have.
+    """
+    left = old.select(*[F.col(c).alias(f"o_{c}") for c in new.columns], F.lit(True).alias("__old"))
+    right = new.select(*[F.col(c).alias(f"n_{c}") for c in new.columns], F.lit(True).alias("__new"))
+    same_key = reduce(and_, [F.col(f"o_{k}") == F.col(f"n_{k}") for k in keys])
     return (
-        before.join(after, condition, "full")
-        .where(~F.col("o").eqNullSafe(F.col("n")))
-        .select(F.explode(events).alias("c"))
-        .select("c.row.*", "c.change_type", "c.sort_by")
+        left.join(right, same_key, "full"), F.col("__old").isNotNull(), F.col("__new").isNotNull(),
     )
 
 
+def _same_row(columns: list[str]) -> Column:
+    return reduce(and_, [F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}")) for c in columns])
+
+
 def effective(changes: DataFrame) -> DataFrame:
     """Changes that carry a new state: no pre-images, no rows without a change type."""
     return changes.where(F.col("change_type") != "update_preimage")
@@ -117,18 +128,14 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFram
 
 def reconcile(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """One row: sizes of both sides and how their keys and rows differ."""
-    columns = source.columns
-    s = source.select(F.struct(*columns).alias("s"))
-    t = target.select(F.struct(*columns).alias("t"))
-    condition = F.col(f"s.{keys[0]}") == F.col(f"t.{keys[0]}")
-    for k in keys[1:]:
-        condition = condition & (F.col(f"s.{k}") == F.col(f"t.{k}"))
-    s_in, t_in = F.col("s").isNotNull(), F.col("t").isNotNull()
-    return s.join(t, condition, "full").agg(
-        F.count_if(s_in).alias("source_rows"),
-        F.count_if(t_in).alias("target_rows"),
-        F.count_if(s_in & ~t_in).alias("missing_in_target"),
-        F.count_if(~s_in & t_in).alias("extra_in_target"),
-        F.count_if(s_in & t_in & ~F.col("s").eqNullSafe(F.col("t"))).alias("different"),
-        F.count_if(F.col("s").eqNullSafe(F.col("t"))).alias("equal"),
+    sides, in_target, in_source = _side_by_side(target, source, keys)
+    both = in_source & in_target
+    same = _same_row(source.columns)
+    return sides.agg(
+        F.count_if(in_source).alias("source_rows"),
+        F.count_if(in_target).alias("target_rows"),
+        F.count_if(in_source & ~in_target).alias("missing_in_target"),
+        F.count_if(~in_source & in_target).alias("extra_in_target"),
+        F.count_if(both & ~same).alias("different"),
+        F.count_if(both & same).alias("equal"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import top_rows
+from .ordered import splittable, top_rows
 
 
 def latest_marks(marks: DataFrame) -> DataFrame:
@@ -13,12 +13,9 @@ def latest_marks(marks: DataFrame) -> DataFrame:
     return top_rows(marks, ["instrument_id"], [F.desc("price_date")])
 
 
-def enrich_trades(trades: DataFrame, clients: DataFrame, instruments: DataFrame) -> DataFrame:
-    return (
-        trades.join(instruments, "instrument_id")
-        .join(clients, "client_id")
-        .withColumn("trade_week", F.to_date(F.date_trunc("week", "trade_ts")))
-        .withColumn("trade_hour", F.hour("trade_ts"))
+def with_calendar(trades: DataFrame) -> DataFrame:
+    return trades.withColumn("trade_week", F.to_date(F.date_trunc("week", "trade_ts"))).withColumn(
+        "trade_hour", F.hour("trade_ts")
     )
 
 
@@ -29,7 +26,7 @@ def value_positions(positions: DataFrame, instruments: DataFrame, marks: DataFra
     )
     priced = instruments.drop("spot_price", "volatility").join(latest, "instrument_id")
     return (
-        positions.join(priced, "instrument_id")
+        positions.join(splittable(priced, "instrument_id"), "instrument_id")
         .withColumn("market_value", F.col("net_qty") * F.col("latest_price") * F.col("contract_size"))
         .withColumn("gross_exposure", F.abs("market_value"))
         .withColumn(
@@ -46,7 +43,9 @@ def enrich_positions(
 ) -> DataFrame:
     """Valued positions with their client and its one limit of the given type."""
     one_limit = limits.where(F.col("limit_type") == limit_type).select("client_id", "limit_cad")
-    return valued.join(clients, "client_id").join(one_limit, "client_id", "left")
+    # clients and limits meet first, so that positions are in one join only
+    client_side = clients.join(one_limit, "client_id", "left")
+    return valued.join(splittable(client_side, "client_id"), "client_id")
 
 
 def apply_filters(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import splittable
+
 
 def feature_lookup(requests: DataFrame, features: DataFrame, key: str = "client_id") -> DataFrame:
     """Each request with the features of its key, NULLs for an unknown key."""
-    return requests.join(features, key, "left")
+    return requests.join(splittable(features, key), key, "left")
 
 
 def resolve_entities(mentions: DataFrame, aliases: DataFrame, column: str = "mention") -> DataFrame:

@@ -112,6 +112,16 @@ def number_rows(df: DataFrame, order: list[str], name: str, staging: str, start:
     )
 
 
+def splittable(side: DataFrame, key: str) -> DataFrame:
+    """The small side of a join whose other side may hold one key very often.
+
+    A side that an earlier step left partitioned by the join key is joined in place, and
+    then Spark cannot split a frequent key of the other side at run time. Moving its rows
+    to another partitioning makes the join shuffle both sides, which Spark can split.
+    """
+    return side.repartition(F.xxhash64(key))
+
+
 def top_rows(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first `n` rows per key; Spark keeps at most `n` rows per key before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

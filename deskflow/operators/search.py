@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -128,15 +129,17 @@ class CellIndex:
     cell, so cells that are not wanted are not read, and nothing is shuffled to place them.
     """
 
-    def __init__(self, stored: DataFrame, keys: list[str], path: str, cells: int = 16):
+    def __init__(self, stored: DataFrame, keys: list[str], path: str, cells: int | None = None):
         self.keys = keys
+        cells = cells or min(256, max(1, isqrt(stored.count())))
         spark = stored.sparkSession
         rows = stored.select(*keys, unit(F.col("embedding")).alias("embedding")).where(
             F.exists("embedding", lambda x: x != 0)
         )
-        # `cells` rows reach the driver; distinct, so that copies of one vector give one centre
-        picked = rows.select("embedding").distinct().orderBy(F.xxhash64("embedding")).limit(cells).collect()
-        self.centres = centres = np.array([row["embedding"] for row in picked], dtype=float)
+        # a few rows per cell reach the driver, more than needed because copies give one centre
+        picked = rows.orderBy(F.xxhash64(*keys), *keys).limit(4 * cells).collect()
+        distinct = dict.fromkeys(tuple(row["embedding"]) for row in picked)
+        self.centres = centres = np.array(list(distinct)[:cells], dtype=float)
         schema = StructType(
             [*rows.schema.fields, StructField("angle", DoubleType()), StructField("cell", IntegerType())]
         )

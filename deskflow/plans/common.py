@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import fx_rate
+from ..functions.money import exact_sum, fx_rate
 from ..operators import enrich
 from ..operators.cdc import update_where
 from ..operators.features import TierRules, client_risk_features_from_fills
@@ -37,13 +37,34 @@ def book(d: Desk) -> DataFrame:
     return enrich.enrich_positions(valued(d), d.clients, d.limits)
 
 
-def flow(d: Desk) -> DataFrame:
-    """Trades in listed instruments with their client and notional in CAD."""
-    return enrich.enrich_trades(d.fills, d.clients, with_fx(d.instruments)).withColumn(
+def deals(d: Desk) -> DataFrame:
+    """Trades in listed instruments with the instrument's columns and notional in CAD."""
+    return enrich.with_calendar(d.fills.join(with_fx(d.instruments), "instrument_id")).withColumn(
         "notional_cad", F.col("notional") * F.col("fx_to_cad")
     )
 
 
+def flow(d: Desk) -> DataFrame:
+    """Deals with their client's columns."""
+    return deals(d).join(d.clients, "client_id")
+
+
+def flow_totals(d: Desk, client_columns: list[str], other_keys: list[str]) -> DataFrame:
+    """Notional per client attribute and other key.
+
+    Trades are reduced to one row per client and key before clients are joined, so a client
+    with many trades is a few rows in that join.
+    """
+    per_client = deals(d).groupBy("client_id", *other_keys).agg(
+        exact_sum(F.col("notional_cad")).alias("notional")
+    )
+    return (
+        per_client.join(d.clients.select(*dict.fromkeys(["client_id", *client_columns])), "client_id")
+        .groupBy(*client_columns, *other_keys)
+        .agg(exact_sum(F.col("notional")).alias("notional"))
+    )
+
+
 def book_at(d: Desk, before: str | None = None) -> DataFrame:
     """Open quantity per client and instrument, from the fills before a day."""
     fills = d.fills.where(F.col("trade_date") < F.lit(before).cast("date")) if before else d.fills

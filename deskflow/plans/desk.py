@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.money import exact_sum, format_money, fx_rate, ratio
 from ..operators import enrich, lookup
 from ..operators import features as feat
-from ..operators.ordered import running_totals, top_rows
+from ..operators.ordered import running_totals, splittable, top_rows
 from ..sources.views import ASSET_CLASSES, Desk
-from .common import aged_trades, book, features, flow, reference, valued, with_fx
+from .common import aged_trades, book, deals, features, flow, flow_totals, reference, valued, with_fx
 from .oracle_views import FX, RATING, money
 from .registry import query
 
@@ -264,7 +264,7 @@ def positions_with_officer(d: Desk):
 )
 def join_lateral_latest_price(d: Desk):
     latest = enrich.latest_marks(d.marks).select("instrument_id", F.col("spot_price").alias("latest_price"))
-    return d.positions.join(latest, "instrument_id").select(
+    return d.positions.join(splittable(latest, "instrument_id"), "instrument_id").select(
         "instrument_id", "client_id", "latest_price", (F.col("net_qty") * F.col("latest_price")).alias("value")
     )
 
@@ -476,7 +476,7 @@ def distinct_keys(d: Desk):
 def kpi_cards(d: Desk):
     """Six figures; clients are counted from one row per client, not from all trades."""
     notional = F.col("notional_cad")
-    per_client = flow(d).groupBy("client_id").agg(
+    per_client = deals(d).groupBy("client_id").agg(
         F.count("*").alias("n"),
         exact_sum(F.when(F.col("side") == "BUY", notional)).alias("buy"),
         exact_sum(F.when(F.col("side") == "SELL", notional)).alias("sell"),
@@ -497,7 +497,7 @@ def kpi_cards(d: Desk):
     f"SELECT trade_date, side, {money('notional_cad')} AS notional FROM v_flow GROUP BY trade_date, side",
 )
 def daily_flow(d: Desk):
-    return flow(d).groupBy("trade_date", "side").agg(exact_sum(F.col("notional_cad")).alias("notional"))
+    return deals(d).groupBy("trade_date", "side").agg(exact_sum(F.col("notional_cad")).alias("notional"))
 
 
 def with_share(df, column: str):
@@ -515,7 +515,7 @@ SELECT *, {name} / (SELECT {money(name)} FROM g) AS share FROM g"""
 @query("notional_by_asset_class", _share_sql("asset_class"))
 def notional_by_asset_class(d: Desk):
     return with_share(
-        flow(d).groupBy("asset_class").agg(exact_sum(F.col("notional_cad")).alias("notional")), "notional"
+        deals(d).groupBy("asset_class").agg(exact_sum(F.col("notional_cad")).alias("notional")), "notional"
     )
 
 
@@ -526,7 +526,7 @@ def notional_by_asset_class(d: Desk):
 )
 def top_traders(d: Desk):
     return (
-        flow(d).groupBy("trader")
+        deals(d).groupBy("trader")
         .agg(exact_sum(F.col("notional_cad")).alias("notional"), F.count("*").alias("n_trades"))
         .orderBy(F.desc("notional"), "trader")
         .limit(10)
@@ -540,7 +540,7 @@ def top_traders(d: Desk):
 )
 def sector_treemap(d: Desk):
     """Totals per leaf first, so the rollup expands categories and not trades."""
-    leaves = flow(d).groupBy("sector", "asset_class").agg(exact_sum(F.col("notional_cad")).alias("notional"))
+    leaves = flow_totals(d, ["sector"], ["asset_class"])
     return leaves.rollup("sector", "asset_class").agg(
         F.grouping_id().cast("long").alias("level"), exact_sum(F.col("notional")).alias("notional")
     )
@@ -562,7 +562,7 @@ def client_asset_heatmap(d: Desk):
     """One column per asset class; a class that is not listed counts as OTHER."""
     known = F.when(F.col("asset_class").isin(ASSET_CLASSES), F.col("asset_class")).otherwise("OTHER")
     return (
-        flow(d).withColumn("class", known).groupBy("client_id")
+        deals(d).withColumn("class", known).groupBy("client_id")
         .pivot("class", [*ASSET_CLASSES, "OTHER"])
         .agg(exact_sum(F.col("notional_cad")))
     )
@@ -575,7 +575,7 @@ def client_asset_heatmap(d: Desk):
 )
 def trades_by_hour(d: Desk):
     """All 24 hours, also those without trades."""
-    counts = flow(d).groupBy("trade_hour").agg(F.count("*").alias("n"))
+    counts = deals(d).groupBy("trade_hour").agg(F.count("*").alias("n"))
     hours = d.spark.range(24).select(F.col("id").cast("int").alias("trade_hour"))
     return hours.join(counts, "trade_hour", "left").select(
         "trade_hour", F.coalesce("n", F.lit(0)).alias("n_trades")
@@ -696,7 +696,7 @@ def vol_comparison(d: Desk):
 )
 def top_clients(d: Desk):
     return (
-        flow(d).groupBy("client_id", "legal_name").agg(exact_sum(F.col("notional_cad")).alias("notional"))
+        flow_totals(d, ["client_id", "legal_name"], [])
         .orderBy(F.desc("notional"), "client_id")
         .limit(15)
     )
@@ -713,7 +713,7 @@ def notional_by_rating(d: Desk):
 
     position = F.array_position(F.array(*map(F.lit, RATINGS)), F.col("credit_rating")).cast("int")
     return (
-        flow(d).groupBy("credit_rating").agg(exact_sum(F.col("notional_cad")).alias("notional"))
+        flow_totals(d, ["credit_rating"], [])
         .withColumn("rating_order", position)
         .orderBy("rating_order")
     )
@@ -779,9 +779,8 @@ def hero_exposure(d: Desk):
     ).cast("double")
     legs = valued(d).select("client_id", "instrument_id", whole.alias("gross"))
     return (
-        legs.rollup("client_id", "instrument_id")
+        legs.groupingSets([["client_id", "instrument_id"], ["client_id"]], "client_id", "instrument_id")
         .agg(F.grouping_id().cast("long").alias("level"), exact_sum(F.col("gross")).alias("gross_cad"))
-        .where("level < 3")
     )
 
 
@@ -792,7 +791,7 @@ def hero_exposure(d: Desk):
 )
 def trade_scatter(d: Desk):
     """Points of one year of trades."""
-    year = enrich.apply_filters(flow(d), {}, "trade_date", ("2000-01-01", "2000-12-31"))
+    year = enrich.apply_filters(deals(d), {}, "trade_date", ("2000-01-01", "2000-12-31"))
     return year.select(
         "order_id", "line_no", "quantity", "price", "asset_class", "notional_cad", "instrument_id", "trader", "side"
     )
@@ -819,7 +818,7 @@ def latest_mark(d: Desk):
 )
 def cumulative_flow(d: Desk):
     """Running total per side: one row per time first, then totals by day carried into the day."""
-    per_time = flow(d).groupBy("side", "trade_ts").agg(exact_sum(F.col("notional_cad")).alias("notional"))
+    per_time = deals(d).groupBy("side", "trade_ts").agg(exact_sum(F.col("notional_cad")).alias("notional"))
     whole = per_time.withColumn("units", F.floor(F.col("notional") * F.lit(1e6) + F.lit(0.5)).cast("decimal(19,0)"))
     totals = running_totals(whole, ["side"], ["trade_ts"], F.to_date("trade_ts"), {"cumulative": "units"})
     return totals.select(

@@ -16,18 +16,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.cdc import drop_deleted, effective, latest_change, scd1, scd2
+from ..operators.cdc import drop_deleted, effective, latest_change, scd2
 
 
 class ChangeTarget:
     """Keyed batches under one folder on shared storage."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str], keep_history: bool = False):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: StructType, keys: list[str],
+        keep_history: bool = False, compact_every: int = 100,
+    ):
         self.spark = spark
         self.path = path
         self.schema = schema
         self.keys = keys
         self.keep_history = keep_history
+        self.compact_every = compact_every
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Adds one micro-batch; running it again has no further effect."""
@@ -35,6 +39,8 @@ class ChangeTarget:
         if not self.keep_history:
             rows = latest_change(rows, self.keys)
         rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        if batch_id % self.compact_every == self.compact_every - 1:
+            self.compact()
 
     def _folders(self) -> list[str]:
         """Finished folders: the newest compacted one and the batches after it."""
@@ -72,8 +78,9 @@ class ChangeTarget:
 
     def compact(self) -> None:
         """Folds all finished batches into one folder, deletes kept."""
-        newest = max((int(f.split("=")[1]) for f in self._folders()), default=-1)
-        if newest >= 0:
+        folders = self._folders()
+        if len(folders) > 1:
+            newest = max(int(f.split("=")[1]) for f in folders)
             rows = self.rows() if self.keep_history else self.state()
             rows.write.mode("overwrite").parquet(f"{self.path}/upto={newest}")
 
@@ -132,9 +139,3 @@ def write_change_log(changes: DataFrame, path: str, bounds: list[int], reverse:
         if high is not None:
             part = part.where(F.col("sort_by") < high)
         part.write.mode("append").parquet(path)
-
-
-__all__ = [
-    "ChangeTarget", "drop_bookkeeping", "read_changes", "run_apply", "scd1", "start_apply",
-    "write_change_log",
-]
