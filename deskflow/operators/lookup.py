@@ -40,20 +40,17 @@ def first_result(body: Column, row_schema: str) -> Column:
     )
 
 
-def compare_pair(features: DataFrame, left, right, metrics: list[str]) -> DataFrame:
-    """One row per metric with both clients' values and their difference."""
-    pair = features.where(F.col("client_id").isin(left, right))
-
-    def of(client, metric: str) -> Column:
-        return F.max(F.when(F.col("client_id") == client, F.col(metric).cast("double")))
+def compare_largest(features: DataFrame, by: str, metrics: list[str]) -> DataFrame:
+    """One row per metric with the values of the two clients that are largest by `by`."""
+    pair = features.orderBy(F.desc(by), "client_id").limit(2)
 
     row = pair.agg(
         F.array(
             *[
                 F.struct(
                     F.lit(m).alias("metric"),
-                    of(left, m).alias("left_value"),
-                    of(right, m).alias("right_value"),
+                    F.max_by(F.col(m).cast("double"), by).alias("left_value"),
+                    F.min_by(F.col(m).cast("double"), by).alias("right_value"),
                 )
                 for m in metrics
             ]

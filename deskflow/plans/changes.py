@@ -65,10 +65,10 @@ def book_as_of(d: Desk):
     return cdc.as_of(d.changes, ["key"], half)
 
 
-@query("change_history", "SELECT key, value, k, change_type, sort_by FROM v_changes WHERE key = 1")
+@query("change_history", "SELECT key, value, k, change_type, sort_by FROM v_changes")
 def change_history(d: Desk):
-    """All changes of one key in order."""
-    return d.changes.where("key = 1").select("key", "value", "k", "change_type", "sort_by").orderBy("sort_by")
+    """All changes, each key's in order."""
+    return d.changes.select("key", "value", "k", "change_type", "sort_by").orderBy("key", "sort_by")
 
 
 # --- streams --------------------------------------------------------------

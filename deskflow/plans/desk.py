@@ -9,7 +9,8 @@ from ..functions.money import exact_sum, format_money, fx_rate, ratio
 from ..operators import enrich, lookup
 from ..operators import features as feat
 from ..operators.ordered import running_totals, splittable, top_rows
-from ..sources.views import ASSET_CLASSES, Desk
+from ..sources.generate import gen_orders, hash_sort_join
+from ..sources.views import ASSET_CLASSES, RATINGS, Desk, marks_of
 from .common import aged_trades, book, deals, features, flow, flow_totals, reference, valued, with_fx
 from .oracle_views import FX, RATING, money
 from .registry import query
@@ -98,10 +99,14 @@ def trades_30d(d: Desk):
     )
 
 
-@query("filter_client", "SELECT order_id, instrument_id, side, quantity, trade_ts FROM v_fills WHERE client_id = 7 AND side <> 'SELL'")
+@query(
+    "filter_client",
+    """SELECT client_id, sector, relationship_tier, credit_rating FROM v_clients
+       WHERE sector = 'BUILDING' AND credit_rating <> 'NR'""",
+)
 def filter_client(d: Desk):
-    return d.fills.where("client_id = 7 and side <> 'SELL'").select(
-        "order_id", "instrument_id", "side", "quantity", "trade_ts"
+    return d.clients.where("sector = 'BUILDING' and credit_rating <> 'NR'").select(
+        "client_id", "sector", "relationship_tier", "credit_rating"
     )
 
 
@@ -390,12 +395,14 @@ _METRICS = ["gross_notional_cad", "net_exposure_cad", "num_open_positions", "por
     " UNION ALL ".join(
         f"""SELECT '{m}' AS metric, l.{m}::DOUBLE AS left_value, r.{m}::DOUBLE AS right_value,
             l.{m}::DOUBLE - r.{m}::DOUBLE AS difference
-            FROM v_features l, v_features r WHERE l.client_id = 1 AND r.client_id = 2"""
+            FROM (SELECT * FROM v_features ORDER BY gross_notional_cad DESC LIMIT 1) l,
+                 (SELECT * FROM v_features ORDER BY gross_notional_cad DESC LIMIT 1 OFFSET 1) r"""
         for m in _METRICS
     ),
 )
 def compare_clients(d: Desk):
-    return lookup.compare_pair(features(d), 1, 2, _METRICS)
+    """The two clients with the largest gross exposure side by side."""
+    return lookup.compare_largest(features(d), "gross_notional_cad", _METRICS)
 
 
 @query(
@@ -709,8 +716,6 @@ def top_clients(d: Desk):
 )
 def notional_by_rating(d: Desk):
     """In order of quality, not of the alphabet."""
-    from ..sources.views import RATINGS
-
     position = F.array_position(F.array(*map(F.lit, RATINGS)), F.col("credit_rating")).cast("int")
     return (
         flow_totals(d, ["credit_rating"], [])
@@ -826,10 +831,22 @@ def cumulative_flow(d: Desk):
     )
 
 
-@query("price_line", "SELECT price_date, spot_price, volatility FROM v_marks WHERE instrument_id = 11")
+@query(
+    "price_line",
+    """SELECT asset_class, instrument_id, price_date, spot_price, volatility FROM v_marks
+       JOIN (SELECT asset_class, min(instrument_id) AS instrument_id FROM v_instruments GROUP BY asset_class)
+            USING (instrument_id)""",
+)
 def price_line(d: Desk):
-    """Price and volatility of one instrument; the filter reaches the scan."""
-    return d.marks.where("instrument_id = 11").select("price_date", "spot_price", "volatility").orderBy("price_date")
+    """Price and volatility by day of the instrument each asset class's chart starts with.
+
+    The few instruments are known before order lines are read, so only theirs are aggregated.
+    """
+    chosen = first_instrument(d).select("asset_class", "instrument_id")
+    lines = d.table("lineitem").join(chosen, F.col("l_partkey") == F.col("instrument_id"), "left_semi")
+    return marks_of(lines).join(chosen, "instrument_id").select(
+        "asset_class", "instrument_id", "price_date", "spot_price", "volatility"
+    ).orderBy("asset_class", "price_date")
 
 
 @query(
@@ -895,8 +912,6 @@ def sort_limit(d: Desk):
 )
 def hash_sort_join_count(d: Desk):
     """The load statement over as many numbers as order lines and as many orders as orders."""
-    from ..sources.generate import gen_orders, hash_sort_join
-
     n_orders = d.table("orders").count()
     rows = hash_sort_join(d.spark, gen_orders(d.spark, n_orders), d.table("lineitem").count(), n_orders)
     return rows.agg(

@@ -129,11 +129,14 @@ SELECT query_id, vec_id, floor(list_cosine_similarity(e.embedding::DOUBLE[], q.q
 FROM {source} e, q"""
 
 
-_ONE_QUERY = "q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id = 0)"
+_ONE_QUERY = """q AS (SELECT min(vec_id) AS query_id, arg_min(embedding, vec_id)::DOUBLE[] AS qv FROM embeddings)"""
 
 
 def one_query(d: Desk):
-    return d.table("embeddings").where("vec_id = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    """The first vector of the table."""
+    return d.table("embeddings").agg(
+        F.min("vec_id").alias("query_id"), F.min_by("embedding", "vec_id").alias("embedding")
+    )
 
 
 @query(

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import base_name
+
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -64,6 +66,13 @@ def count_rows(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Text files of a folder, one row per file with its name and whole text."""
+    return spark.read.text(path, wholetext=True).select(
+        base_name(F.col("_metadata.file_path")).alias("source"), F.col("value").alias("text")
+    )
+
+
 def slices(column: str, lower: int, upper: int, parts: int) -> list[str]:
     """Predicates that cut a key range into disjoint reads; NULL keys go with the first."""
     if parts < 2 or upper <= lower:

@@ -132,19 +132,7 @@ class Desk:
 
     @cached_property
     def marks(self) -> DataFrame:
-        """One price per instrument and day."""
-        day = F.to_date("l_shipdate")
-        return (
-            self.table("lineitem")
-            .groupBy(F.col("l_partkey").alias("instrument_id"), day.alias("price_date"))
-            .agg(
-                (exact_sum(F.col("l_extendedprice")) / F.sum("l_quantity")).alias("spot_price"),
-            )
-            .withColumn(
-                "volatility",
-                ((F.col("instrument_id") + F.dayofyear("price_date")) % 50 + 5) / F.lit(100.0),
-            )
-        )
+        return marks_of(self.table("lineitem"))
 
     @cached_property
     def positions(self) -> DataFrame:
@@ -198,6 +186,19 @@ class Desk:
         )
 
 
+def marks_of(lines: DataFrame) -> DataFrame:
+    """One price per instrument and day, from order lines."""
+    day = F.to_date("l_shipdate")
+    return (
+        lines.groupBy(F.col("l_partkey").alias("instrument_id"), day.alias("price_date"))
+        .agg((exact_sum(F.col("l_extendedprice")) / F.sum("l_quantity")).alias("spot_price"))
+        .withColumn(
+            "volatility",
+            ((F.col("instrument_id") + F.dayofyear("price_date")) % 50 + 5) / F.lit(100.0),
+        )
+    )
+
+
 def as_changes(events: DataFrame) -> DataFrame:
     """Events read as a change table; works on a batch and on a stream."""
     kind = (

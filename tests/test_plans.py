@@ -3,9 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from deskflow.plans import QUERIES
-from deskflow.session import work_dir
+from deskflow.operators.lookup import feature_lookup
+from deskflow.session import shared_root, work_dir
+from deskflow.sources.views import Desk
 
 # writes tables or runs streams while it is built
 EAGER = {
@@ -30,8 +33,10 @@ def test_no_cross_join_and_no_global_window(spark, base, name):
 
 
 def test_filters_reach_the_scan(spark, base):
-    assert "EqualTo(o_custkey,7)" in plan(QUERIES["filter_client"](spark, base))
-    assert "EqualTo(l_partkey,11)" in plan(QUERIES["price_line"](spark, base))
+    assert "EqualTo(c_mktsegment,BUILDING)" in plan(QUERIES["filter_client"](spark, base))
+    d = Desk(spark, base)
+    assert "EqualTo(o_custkey,7)" in plan(d.fills.where("client_id = 7"))
+    assert "EqualTo(l_partkey,11)" in plan(d.marks.where("instrument_id = 11"))
     assert "EqualTo(label,3)" in plan(QUERIES["vector_search_filtered"](spark, base))
 
 
@@ -55,3 +60,41 @@ def test_small_threshold_turns_broadcasts_into_shuffles(spark, base):
 
 def test_shared_folder_is_the_named_one(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_frequent_key_is_split_at_run_time(spark):
+    """A third of the requests ask for one key; their join must not put them into one task."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(0, 200_000, 1, 20)
+        asked = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000)
+        requests = ids.select("id", asked.alias("client_id"), F.md5(F.col("id").cast("string")).alias("body"))
+        features = ids.groupBy((F.col("id") % 5000).alias("client_id")).agg(F.max("id").alias("newest"))
+        joined = feature_lookup(requests, features)
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Named:
+        def __init__(self, master, folder):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
+
+    assert shared_root(Named("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_root(Named("local[2]", None)) == shared_root(Named("local[2]", None))
+    with pytest.raises(RuntimeError):
+        shared_root(Named("yarn", None))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from deskflow.functions import text as tx
 from deskflow.functions.vectors import cosine, term_counts, unit
+from deskflow.sources.tables import read_documents
 from deskflow.operators.search import CellIndex, embed_with, nearest
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -137,6 +138,13 @@ def test_cells_are_exact_and_probes_recall(spark, folder):
     assert recalled / 10 >= 0.9
 
 
+def test_files_are_read_whole(spark, tmp_path):
+    (tmp_path / "a b.txt").write_text("one\ntwo\n")
+    (tmp_path / "c.txt").write_text("three")
+    rows = {r["source"]: r["text"] for r in read_documents(spark, str(tmp_path)).collect()}
+    assert set(rows.values()) == {"one\ntwo\n", "three"} and "c.txt" in rows
+
+
 def test_embed_with_batches(spark):
     def model(texts):
         assert len(texts) <= 16
