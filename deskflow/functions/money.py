@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICRO = 1e6
+LOW_BITS = 20
 
 
 def micro(amount: Column) -> Column:
@@ -14,8 +15,19 @@ def micro(amount: Column) -> Column:
 
 
 def exact_sum(amount: Column) -> Column:
-    """Sum in whole millionths: associative, so any partial-sum order gives the same double."""
-    return F.sum(micro(amount).cast("decimal(19,0)")).cast("double") / F.lit(MICRO)
+    """Sum in whole millionths: associative, so any partial-sum order gives the same double.
+
+    High and low parts are summed as longs, which is cheaper per row than wide decimals;
+    they only meet once per group, as a decimal where a long could overflow.
+    """
+    units = micro(amount)
+    high = F.sum(F.shiftright(units, LOW_BITS))
+    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
+    wide = high.cast("decimal(20,0)") * F.lit(1 << LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(20,0)")
+    total = F.when(F.abs(high) < 1 << 42, (high * F.lit(1 << LOW_BITS) + low).cast("double")).otherwise(
+        wide.cast("double")
+    )
+    return total / F.lit(MICRO)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -43,17 +43,13 @@ def _best(ids: pd.DataFrame, vectors: np.ndarray, query_ids, queries: np.ndarray
     with np.errstate(divide="ignore", invalid="ignore"):
         scores = (vectors @ queries.T) / (lengths[:, None] * query_lengths[None, :])
     scores = np.floor(scores * 1e6 + 0.5) / 1e6
-    frames = []
-    for j, query_id in enumerate(query_ids):
-        column = scores[:, j]
-        known = ~np.isnan(column)
-        if known.sum() > k:
-            edge = np.partition(column[known], -k)[-k]
-            known &= column >= edge
-        part = ids[known].assign(query_id=query_id, score=column[known])
-        part = part.sort_values(["score", *ids.columns], ascending=[False] + [True] * ids.shape[1])
-        frames.append(part.head(k))
-    return pd.concat(frames, ignore_index=True)
+    scores[np.isnan(scores)] = -np.inf
+    at = max(0, len(scores) - k)
+    edges = np.partition(scores, at, axis=0)[at]
+    rows, columns = np.nonzero((scores >= edges) & (scores > -np.inf))
+    out = ids.iloc[rows].assign(query_id=np.asarray(query_ids)[columns], score=scores[rows, columns])
+    out = out.sort_values(["query_id", "score", *ids.columns], ascending=[True, False] + [True] * ids.shape[1])
+    return out.groupby("query_id").head(k)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:

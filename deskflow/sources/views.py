@@ -132,7 +132,8 @@ class Desk:
 
     @cached_property
     def marks(self) -> DataFrame:
-        return marks_of(self.table("lineitem"))
+        lines = self.table("lineitem").select("l_partkey", "l_shipdate", "l_extendedprice", "l_quantity")
+        return marks_of(spread(lines, "l_partkey", "l_shipdate"))
 
     @cached_property
     def positions(self) -> DataFrame:

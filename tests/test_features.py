@@ -77,6 +77,14 @@ def test_totals_do_not_depend_on_partitions(spark):
     assert totals == {sum(round(i * 1e5 - 37e6) for i in range(10_000)) / 1e6}
 
 
+def test_totals_beyond_a_long(spark):
+    df = spark.range(40).select((F.lit(9e12) - F.col("id") * 1e6).alias("x"), (F.lit(-9e12) + F.col("id")).alias("y"))
+    x, y, none = df.agg(exact_sum(F.col("x")), exact_sum(F.col("y")), exact_sum(F.lit(None).cast("double"))).first()
+    assert x == float(sum(9 * 10**12 - i * 10**6 for i in range(40)))
+    assert y == float(sum(-9 * 10**12 + i for i in range(40)))
+    assert none is None
+
+
 def test_format_money(spark):
     values = [1.25e9, 3.44e6, -5600.0, 789.0, 0.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
