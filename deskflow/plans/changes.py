@@ -9,7 +9,7 @@ from ..operators import cdc
 from ..session import work_dir
 from ..sources.tables import stream_table
 from ..sources.views import Desk, as_changes
-from ..streaming.changes import ChangeTarget, drop_bookkeeping, read_changes, run_apply, write_change_log
+from ..streaming.changes import ChangeTarget, arrive_and_apply, drop_bookkeeping, ranges_of, run_apply
 from ..streaming.stateful import STATE_STORE, latest_per_key
 from .common import book_at, features, reference, updated_reference
 from .registry import query
@@ -121,12 +121,12 @@ def scd1_stream(d: Desk):
 
 
 def replay(d: Desk, name: str, keep_history: bool = False, reverse: bool = False) -> ChangeTarget:
-    """The changes in four appends, applied one file set at a time."""
-    changes = d.changes
-    log = work_dir(d.spark, f"{name}-log")
-    write_change_log(changes, log, quarters(d), reverse)
-    target, checkpoint = change_target(d, name, changes.schema, keep_history=keep_history)
-    run_apply(read_changes(d.spark, log, changes.schema, 1), target.apply, checkpoint)
+    """The changes in four arrivals, each applied before the next; the stream restarts each time."""
+    arrivals = ranges_of(d.changes, quarters(d))
+    target, checkpoint = change_target(d, name, d.changes.schema, keep_history=keep_history)
+    arrive_and_apply(
+        arrivals[::-1] if reverse else arrivals, work_dir(d.spark, f"{name}-log"), target, checkpoint
+    )
     return target
 
 
@@ -180,13 +180,9 @@ def scd1_multi_entity(d: Desk):
 @query("stream_resume", "SELECT * FROM v_current")
 def stream_resume(d: Desk):
     """A stopped stream restarted from its checkpoint reads only what was added since."""
-    changes = d.changes
-    cuts = quarters(d)
-    log = work_dir(d.spark, "resume-log")
-    target, checkpoint = change_target(d, "resume", changes.schema)
-    for part in (changes.where(F.col("sort_by") < cuts[1]), changes.where(F.col("sort_by") >= cuts[1])):
-        part.write.mode("append").parquet(log)
-        run_apply(read_changes(d.spark, log, changes.schema), target.apply, checkpoint)
+    halves = ranges_of(d.changes, quarters(d)[1:2])
+    target, checkpoint = change_target(d, "resume", d.changes.schema)
+    arrive_and_apply(halves, work_dir(d.spark, "resume-log"), target, checkpoint)
     return target.current()
 
 
@@ -221,13 +217,11 @@ def sync_snapshot(d: Desk):
 
 def sync_reference(d: Desk, name: str, interval: str | None) -> ChangeTarget:
     """First all rows, then only the changed ones, through one change folder."""
-    feed = work_dir(d.spark, f"{name}-feed")
     old, new = reference(d), updated_reference(d)
     first = cdc.capture_changes(None, old, ["client_id"], 1)
     target, checkpoint = change_target(d, name, first.schema, ["client_id"])
-    for changes in (first, cdc.capture_changes(old, new, ["client_id"], 2)):
-        changes.write.mode("append").parquet(feed)
-        run_apply(read_changes(d.spark, feed, first.schema), target.apply, checkpoint, interval)
+    arrivals = [first, cdc.capture_changes(old, new, ["client_id"], 2)]
+    arrive_and_apply(arrivals, work_dir(d.spark, f"{name}-feed"), target, checkpoint, interval)
     return target
 
 

@@ -42,22 +42,32 @@ class ChangeTarget:
         if batch_id % self.compact_every == self.compact_every - 1:
             self.compact()
 
-    def _folders(self) -> list[str]:
-        """Finished folders: the newest compacted one and the batches after it."""
+    def _listing(self):
+        """The file system and the numbered folders as (kind, number, path)."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         root = hadoop.Path(self.path)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(root):
-            return []
+            return fs, []
         found = []
         for status in fs.listStatus(root):
-            path = status.getPath()
-            if "=" in path.getName() and fs.exists(hadoop.Path(path, "_SUCCESS")):
-                kind, number = path.getName().split("=")
-                found.append((kind, int(number)))
-        base = max((n for kind, n in found if kind == "upto"), default=-1)
+            kind, _, number = status.getPath().getName().partition("=")
+            if number:
+                found.append((kind, int(number), status.getPath()))
+        return fs, sorted(found, key=lambda f: f[:2])
+
+    def _finished(self, fs, path) -> bool:
+        return fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+
+    def _folders(self) -> list[str]:
+        """Finished folders: the newest compacted one and the batches after it."""
+        fs, found = self._listing()
+        folded = [(n, path) for kind, n, path in reversed(found) if kind == "upto"]
+        base = next((n for n, path in folded if self._finished(fs, path)), -1)
         folders = [f"upto={base}"] if base >= 0 else []
-        return folders + [f"batch={n}" for kind, n in sorted(found) if kind == "batch" and n > base]
+        return folders + [
+            f"batch={n}" for kind, n, path in found if kind == "batch" and n > base and self._finished(fs, path)
+        ]
 
     def rows(self) -> DataFrame:
         paths = [f"{self.path}/{folder}" for folder in self._folders()]
@@ -84,6 +94,16 @@ class ChangeTarget:
             rows = self.rows() if self.keep_history else self.state()
             rows.write.mode("overwrite").parquet(f"{self.path}/upto={newest}")
 
+    def prune(self) -> None:
+        """Deletes the folders that the newest compacted one replaces; no reader may be on them."""
+        fs, found = self._listing()
+        kept = self._folders()
+        if kept and kept[0].startswith("upto="):
+            base = int(kept[0].split("=")[1])
+            for kind, n, path in found:
+                if n < base or (kind == "batch" and n == base):
+                    fs.delete(path, True)
+
 
 def drop_bookkeeping(changes: DataFrame, columns: list[str]) -> DataFrame:
     """Stream or batch without bookkeeping columns and pre-images."""
@@ -119,23 +139,28 @@ def run_apply(
         query.stop()
 
 
-def read_changes(
-    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
-) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+def read_changes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(path)
 
 
-def write_change_log(changes: DataFrame, path: str, bounds: list[int], reverse: bool = False) -> None:
-    """Appends the changes to a change folder, one write per range of the sequence."""
+def ranges_of(changes: DataFrame, bounds: list[int]) -> list[DataFrame]:
+    """The changes cut at the bounds of their sequence, in order."""
     edges = [None, *bounds, None]
-    ranges = list(zip(edges, edges[1:]))
-    for low, high in reversed(ranges) if reverse else ranges:
+    parts = []
+    for low, high in zip(edges, edges[1:]):
         part = changes
         if low is not None:
             part = part.where(F.col("sort_by") >= low)
         if high is not None:
             part = part.where(F.col("sort_by") < high)
-        part.write.mode("append").parquet(path)
+        parts.append(part)
+    return parts
+
+
+def arrive_and_apply(
+    arrivals: list[DataFrame], log: str, target: ChangeTarget, checkpoint: str, interval: str | None = None
+) -> None:
+    """Appends each part to the change folder and applies what is new in it."""
+    for part in arrivals:
+        part.write.mode("append").parquet(log)
+        run_apply(read_changes(target.spark, log, target.schema), target.apply, checkpoint, interval)

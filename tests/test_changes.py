@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -90,6 +91,9 @@ def test_any_arrival_order(spark, tmp_path_factory, seed):
     assert sorted(map(tuple, current.current().collect())) == brute_current(rows)
     current.compact()
     current.apply(spark.createDataFrame(shuffled[:5], SCHEMA), 3)
+    assert current._folders() == ["upto=2", "batch=3"]
+    current.prune()
+    assert sorted(p.name for p in Path(path, "one").iterdir()) == ["batch=3", "upto=2"]
     assert sorted(map(tuple, current.current().collect())) == brute_current(rows)
     found = versions.versions().select("key", "value", "valid_from", "valid_to", "is_current")
     assert sorted(map(tuple, found.collect()), key=str) == brute_versions(rows)
@@ -123,6 +127,16 @@ def test_delete_then_late_update_then_insert(spark, folder):
     assert [tuple(r) for r in target.current().collect()] == [(1, 3.0)]
 
 
+def test_folders_are_folded_as_batches_arrive(spark, folder):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    target = ChangeTarget(spark, folder + "/t", schema, ["key"], compact_every=2)
+    for i in range(5):
+        target.apply(spark.createDataFrame([(i % 2, float(i), "insert", i)], SCHEMA), i)
+    assert target._folders() == ["upto=3", "batch=4"]
+    target.apply(spark.createDataFrame([(1, 3.0, "insert", 3)], SCHEMA), 3)
+    assert sorted(map(tuple, target.current().collect())) == [(0, 4.0), (1, 3.0)]
+
+
 def test_unfinished_batch_is_not_read(spark, folder):
     schema = spark.createDataFrame([], SCHEMA).schema
     target = ChangeTarget(spark, folder + "/t", schema, ["key"])
