@@ -5,6 +5,7 @@ from deskflow.functions.money import exact_sum, format_money
 from deskflow.operators.enrich import apply_filters
 from deskflow.operators.features import TierRules, client_risk_features, client_risk_features_from_fills
 from deskflow.operators.lookup import first_result, resolve_entities
+from deskflow.plans import QUERIES
 from deskflow.plans.common import RULES, aged_trades, with_fx
 from deskflow.sources.views import Desk
 
@@ -116,3 +117,16 @@ def test_empty_selection_keeps_all(spark):
     df = spark.range(5).withColumn("kind", F.col("id") % 2)
     assert apply_filters(df, {"kind": []}).count() == 5
     assert apply_filters(df, {"kind": [1], "id": [1, 2]}).count() == 1
+
+
+def test_latest_price_equals_lateral_sql(spark, base):
+    d = Desk(spark, base)
+    d.positions.createOrReplaceTempView("p")
+    d.marks.createOrReplaceTempView("m")
+    lateral = spark.sql(
+        """SELECT p.instrument_id, p.client_id, mp.spot_price AS latest_price, p.net_qty * mp.spot_price AS value
+           FROM p JOIN LATERAL (SELECT spot_price FROM m WHERE m.instrument_id = p.instrument_id
+                                ORDER BY price_date DESC LIMIT 1) mp ON true"""
+    )
+    window = QUERIES["join_lateral_latest_price"](spark, base)
+    assert sorted(map(tuple, lateral.collect())) == sorted(map(tuple, window.collect()))
