@@ -37,12 +37,13 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """The same table as a stream of its files."""
-    return (
-        spark.readStream.schema(SCHEMAS[name])
-        .option("pathGlobFilter", f"{name}*.parquet")
-        .parquet(base)
-    )
+    """The same table as a stream of its files; the table is one file or a folder of files."""
+    reader = spark.readStream.schema(SCHEMAS[name])
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(path).isDirectory():
+        return reader.parquet(f"{base}/{name}.parquet")
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(base)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -6,6 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from deskflow.operators.cdc import as_of, capture_changes, reconcile, scd1, scd2, update_where, upsert
+from deskflow.plans import QUERIES
+from deskflow.sources.tables import read_table, stream_table
 from deskflow.streaming.changes import ChangeTarget, read_changes, run_apply
 from pyspark.sql import functions as F
 
@@ -180,3 +182,13 @@ def test_update_where(spark, condition, expected):
     df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, None)], "id long, v double")
     rows = update_where(df, F.expr(condition), {"v": F.lit(0.0)}).orderBy("id").collect()
     assert [r["v"] for r in rows] == expected
+
+
+def test_a_table_of_many_files_streams_whole(spark, base, folder):
+    events = read_table(spark, base, "events")
+    events.repartition(5, "event_id").write.parquet(folder + "/events.parquet")
+    seen = []
+    run_apply(stream_table(spark, folder, "events"), lambda batch, i: seen.append(batch.count()), folder + "/c")
+    assert sum(seen) == events.count()
+    current = QUERIES["scd1_stream"](spark, folder).collect()
+    assert sorted(map(tuple, current)) == sorted(map(tuple, QUERIES["scd1_stream"](spark, base).collect()))
