@@ -14,7 +14,7 @@ from ..sources import generate
 from ..sources.tables import count_rows, slices
 from ..sources.views import Desk
 from .common import book_at, features, reference, updated_reference
-from .oracle_views import SPACE, money
+from .oracle_views import SPACE, fx, money
 from .registry import query
 
 TABLES = [
@@ -135,7 +135,39 @@ def gen_price_walk(d: Desk):
     return generate.price_walk(d.instruments, d.trade_date_max.scalar())
 
 
-@query("gen_positions")
+def _draw(parts: str, low: int, high: int | str) -> str:
+    return f"({low} + CAST('0x' || substr(md5('1867:' || {parts}), 1, 12) AS BIGINT) % ({high} - {low} + 1))"
+
+
+def _uniform(parts: str) -> str:
+    return f"({_draw(parts, 0, 999_999)} / 1e6::DOUBLE)"
+
+
+def _pick(values: list[str], parts: str) -> str:
+    return f"({values!r})[{_draw(parts, 1, len(values))}]"
+
+
+_LEG = "client_id || ':' || leg"
+
+
+@query(
+    "gen_positions",
+    f"""WITH c AS (SELECT 'CL-' || client_id AS client_id, ticker FROM v_clients WHERE client_id <> 0),
+             i AS (SELECT p_partkey AS no, 'T' || p_partkey AS instrument_id, p_retailprice AS spot FROM part),
+             l AS (SELECT client_id, unnest(range(1, {_draw("'legs:' || client_id", 6, 11)} + 1)) AS leg FROM c),
+             r AS (SELECT client_id, leg, {_draw("'instr:' || " + _LEG, 0, "(SELECT count(*) FROM part) - 1")} AS no,
+                          {_pick(generate.BOOKS, "'book:' || " + _LEG)} AS book,
+                          (2 * {_draw("'sign:' || " + _LEG, 0, 1)} - 1) * {_draw("'qty:' || " + _LEG, 5, 400)} AS net_qty FROM l),
+             b AS (SELECT client_id, instrument_id, book, net_qty, leg, spot FROM r JOIN i USING (no)
+                   UNION ALL
+                   SELECT client_id, instrument_id, 'EQUITY', {_draw("'own:' || client_id", 2000, 25000)}, 0, spot
+                   FROM c JOIN i ON ticker = instrument_id
+                   UNION ALL
+                   SELECT 'CL-0', instrument_id, 'ENERGY', no * 100 + 250, -1, spot FROM (SELECT * FROM i ORDER BY no LIMIT 4))
+        SELECT client_id, instrument_id, book, net_qty, leg,
+               CAST(floor(spot * (1 + ({_uniform("'entry:' || client_id || ':' || instrument_id || ':' || leg")} * 0.16::DOUBLE - 0.08::DOUBLE))
+                    * 10000 + 0.5) AS BIGINT)::DOUBLE / 10000.0::DOUBLE AS avg_entry_price FROM b""",
+)
 def gen_positions(d: Desk):
     """A generated book for every client over the whole instrument table."""
     parts = d.table("part")
@@ -151,7 +183,23 @@ def gen_positions(d: Desk):
     return generate.gen_positions(clients, instruments, parts.count(), "CL-0", hero)
 
 
-@query("gen_trades")
+@query(
+    "gen_trades",
+    f"""WITH t AS (
+          SELECT g AS trade_id, {_draw("'client:' || g", 0, "(SELECT count(*) FROM customer) - 1")} AS client_id,
+                 {_draw("'instrument:' || g", 0, "(SELECT count(*) FROM part) - 1")} AS instrument_id,
+                 {_pick(["BUY", "SELL"], "'side:' || g")} AS side, {_draw("'quantity:' || g", 1, 500)} AS quantity,
+                 {_uniform("'price:' || g")} * 0.24::DOUBLE - 0.12::DOUBLE AS off,
+                 CAST((SELECT as_of FROM v_asof) AS TIMESTAMP) - to_days(CAST({_draw("'days:' || g", 0, 89)} AS INTEGER))
+                   - to_hours({_draw("'hours:' || g", 0, 8)}) - to_minutes({_draw("'minutes:' || g", 0, 59)}) AS trade_ts,
+                 {_pick(generate.TRADERS, "'trader:' || g")} AS trader
+          FROM (SELECT unnest(range(1, (SELECT count(*) + 1 FROM lineitem))) AS g))
+        SELECT trade_id, client_id, instrument_id, side, quantity, price, trade_ts, trader,
+               floor(quantity * price * contract_size * ({fx('currency')}) * 100 + 0.5) / 100.0::DOUBLE AS notional_cad
+        FROM (SELECT t.*, contract_size, currency,
+                     floor(spot_price * (1 + off) * 10000 + 0.5) / 10000.0::DOUBLE AS price
+              FROM t JOIN v_parts USING (instrument_id))""",
+)
 def gen_trades(d: Desk):
     """As many generated trades as there are order lines."""
     instruments = d.all_instruments.withColumn("instrument_no", F.col("instrument_id"))
@@ -164,7 +212,17 @@ def gen_trades(d: Desk):
     )
 
 
-@query("gen_trades_profile")
+@query(
+    "gen_trades_profile",
+    f"""WITH p AS (SELECT o_custkey AS client_id, count(*) AS n, ({money('o_totalprice')}) / count(*) AS base
+                   FROM orders GROUP BY o_custkey),
+             r AS (SELECT client_id, base, unnest(range(1, n + 1)) AS trade_no FROM p),
+             v AS (SELECT *, floor(base * ({_uniform("'pn:' || client_id || ':' || trade_no")} * 1.2::DOUBLE + 0.4::DOUBLE) * 100 + 0.5)
+                             / 100.0::DOUBLE AS notional_cad FROM r)
+        SELECT client_id, trade_no, notional_cad, {_draw("'pd:' || client_id || ':' || trade_no", 0, 90)} AS days_ago,
+               floor(notional_cad * ({_uniform("'pp:' || client_id || ':' || trade_no")} * 0.07::DOUBLE - 0.03::DOUBLE) * 100 + 0.5)
+                 / 100.0::DOUBLE AS realized_pnl_cad FROM v""",
+)
 def gen_trades_profile(d: Desk):
     """Generated trades per client: as many as its orders, around its mean order value."""
     profile = d.table("orders").groupBy(F.col("o_custkey").alias("client_id")).agg(

@@ -12,7 +12,7 @@ from ..session import work_dir
 from ..sources.tables import stream_table
 from ..sources.views import Desk
 from ..streaming.changes import run_apply
-from .oracle_views import squash, terms
+from .oracle_views import SPACE, squash, terms
 from .registry import query
 
 
@@ -44,7 +44,24 @@ def chunk_documents(d: Desk):
     return d.chunks.withColumn("chunk_idx", F.col("chunk_idx").cast("int"))
 
 
-@query("word_wrap")
+_WRAP_WORDS = f"""list_filter(string_split(regexp_replace(line, '{SPACE}', ' ', 'g'), ' '), lambda w: w <> '')"""
+
+
+@query(
+    "word_wrap",
+    f"""WITH l AS (SELECT thread_id, version, unnest(string_split("text", chr(10))) AS line,
+                          unnest(range(0, len(string_split("text", chr(10))))) AS line_no FROM v_turns),
+             f AS (SELECT *, list_reduce(list_transform({_WRAP_WORDS}, lambda w: {{'done': [w], 'open': w}}),
+                     lambda s, x: CASE WHEN length(s.open) + length(x.open) + 1 > 95
+                                       THEN {{'done': list_append(s.done, s.open), 'open': x.open}}
+                                       WHEN s.open = '' THEN {{'done': s.done, 'open': x.open}}
+                                       ELSE {{'done': s.done, 'open': s.open || ' ' || x.open}} END,
+                     {{'done': []::VARCHAR[], 'open': ''}}) AS s FROM l),
+             w AS (SELECT thread_id, version, line_no, CASE WHEN line = '' THEN [''] WHEN s.open = '' THEN s.done
+                          ELSE list_append(s.done, s.open) END AS parts FROM f)
+        SELECT thread_id, version, CAST(line_no AS INTEGER) AS line_no, CAST(unnest(range(0, len(parts))) AS INTEGER) AS part_no,
+               unnest(parts) AS wrapped FROM w""",
+)
 def word_wrap(d: Desk):
     """Every line of every conversation turn, wrapped at 95 characters."""
     lines = d.turns.select("thread_id", "version", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))

@@ -147,10 +147,10 @@ def gen_trades(
     Clients carry `client_no` and instruments `instrument_no`, both from 0.
     """
     g = F.col("id")
-    seconds = (
-        draw(F.lit("days"), g, low=0, high=89) * 86400
-        + draw(F.lit("hours"), g, low=0, high=8) * 3600
-        + draw(F.lit("minutes"), g, low=0, high=59) * 60
+    ago = F.make_dt_interval(
+        draw(F.lit("days"), g, low=0, high=89).cast("int"),
+        draw(F.lit("hours"), g, low=0, high=8).cast("int"),
+        draw(F.lit("minutes"), g, low=0, high=59).cast("int"),
     )
     drawn = spark.range(1, n + 1).select(
         g.alias("trade_id"),
@@ -159,7 +159,7 @@ def gen_trades(
         pick(["BUY", "SELL"], F.lit("side"), g).alias("side"),
         draw(F.lit("quantity"), g, low=1, high=500).alias("quantity"),
         (uniform(F.lit("price"), g) * 0.24 - 0.12).alias("off"),
-        F.timestamp_seconds(F.unix_timestamp(today.cast("timestamp")) - seconds).alias("trade_ts"),
+        (today.cast("timestamp_ntz") - ago).alias("trade_ts"),
         pick(TRADERS, F.lit("trader"), g).alias("trader"),
     )
     price = F.floor(F.col("spot_price") * (1 + F.col("off")) * 10000 + F.lit(0.5)) / F.lit(10000.0)
