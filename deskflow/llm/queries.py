@@ -6,11 +6,45 @@ from pyspark.sql import functions as F
 
 from .factors import remove_earlier_passages
 from .registry import ORACLES, QUERIES, query, table
+from .signatures import shingle_components
 
 __all__ = ["ORACLES", "QUERIES"]
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op1_signatures",
+    rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1) + 1))) AS i FROM d)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+),
+r AS (
+  SELECT a AS doc_id, a AS z FROM (SELECT DISTINCT a FROM e)
+  UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.z
+),
+m AS (SELECT doc_id, min(z) AS low FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.low, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+""",
+)
+def signatures(spark, base):
+    """Documents linked by the Jaccard similarity of their 4-word shingles, as components."""
+    return shingle_components(table(spark, base, "documents"), 4, 85, 100)
+
 
 @query(
     "op9_factors",
