@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .factors import remove_earlier_passages
 from .registry import ORACLES, QUERIES, query, table
 from .signatures import shingle_components
+from .subspaces import near_vectors
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -71,3 +72,33 @@ def factors(spark, base):
     """Words of each document that are left after passages of earlier documents are removed."""
     out = remove_earlier_passages(table(spark, base, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+@query(
+    "op10_subspaces",
+    """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+),
+ok AS (
+  SELECT vec_id, label, x FROM v WHERE label IS NOT NULL AND len(x) > 0
+    AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0
+),
+e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98 OR a.x = b.x
+),
+r AS (
+  SELECT a AS vec_id, a AS z FROM (SELECT DISTINCT a FROM e)
+  UNION SELECT r.vec_id, e.b FROM r JOIN e ON e.a = r.z
+),
+m AS (SELECT vec_id, min(z) AS low FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(m.low, v.vec_id) AS component_id,
+  coalesce(m.low, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN n USING (vec_id) LEFT JOIN m USING (vec_id)
+""",
+)
+def subspaces(spark, base):
+    """Near copies among all embeddings of one label."""
+    return near_vectors(table(spark, base, "embeddings"))
