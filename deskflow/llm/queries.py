@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .chat import format_conversations, linear_tree, read_back
 from .factors import remove_earlier_passages
 from .registry import ORACLES, QUERIES, query, table
 from .signatures import shingle_components
@@ -102,3 +103,43 @@ FROM v LEFT JOIN n USING (vec_id) LEFT JOIN m USING (vec_id)
 def subspaces(spark, base):
     """Near copies among all embeddings of one label."""
     return near_vectors(table(spark, base, "embeddings"))
+
+
+@query(
+    "op6_chat",
+    r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+l AS (
+  SELECT *, len(replace(replace(replace(text, '\', '\\'), '<', '\l'), '#', '\h'))
+    + CASE WHEN role IN ('system', 'user', 'assistant') THEN len(role)
+      ELSE 1 + len(replace(replace(replace(replace(role, '\', '\\'), '<', '\l'), '#', '\h'), ':', '\c')) END + 14 AS size
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM l GROUP BY conv_id
+""",
+)
+def chat(spark, base):
+    """All conversations formatted, and what is read back from the formatted text."""
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"),
+    )
+    said = table(spark, base, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    out = read_back(format_conversations(linear_tree(said)))
+    line = F.lit("\n")
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line)), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
