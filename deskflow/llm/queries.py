@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_conversations, linear_tree, read_back
 from .factors import remove_earlier_passages
+from .mixing import mix_sources
 from .registry import ORACLES, QUERIES, query, table
 from .signatures import shingle_components
 from .subspaces import near_vectors
@@ -48,6 +49,12 @@ def signatures(spark, base):
     return shingle_components(table(spark, base, "documents"), 4, 85, 100)
 
 
+@query("op2_mixing")
+def mixing(spark, base):
+    """What a mix of all sources to target weights takes of each document."""
+    return mix_sources(table(spark, base, "documents"))
+
+
 @query(
     "op9_factors",
     rf"""
