@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import language, quality
 from .chat import format_conversations, linear_tree, read_back
 from .factors import remove_earlier_passages
 from .mixing import mix_sources
@@ -55,6 +56,26 @@ def mixing(spark, base):
     return mix_sources(table(spark, base, "documents"))
 
 
+@query("op3_language")
+def languages(spark, base):
+    """The language of every document, learned from four fifths of the labelled ones."""
+    docs = table(spark, base, "documents")
+    held_out = F.coalesce(language.fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = language.fit(docs.where(language.fold(F.col("doc_id"), 5) != 0))
+    out = language.predict(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op8_quality")
+def qualities(spark, base):
+    """The quality of every document, learned from two thirds of the labels."""
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    labels = table(spark, base, "labels").select("doc_id", "quality").where("quality is not null")
+    learn = docs.join(labels.where(language.fold(F.col("doc_id"), 3) != 1), "doc_id")
+    held_out = F.coalesce(language.fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    return quality.scored(docs, quality.fit(learn)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query(
     "op9_factors",
     rf"""
