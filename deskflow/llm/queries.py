@@ -11,6 +11,7 @@ from .mixing import mix_sources
 from .registry import ORACLES, QUERIES, query, table
 from .signatures import shingle_components
 from .subspaces import near_vectors
+from .suffixes import remove_repeated_strings
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -66,6 +67,12 @@ def languages(spark, base):
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("op7_suffixes")
+def suffixes(spark, base):
+    """Bytes of each document that are left after strings of 400 bytes that occur twice are removed."""
+    return remove_repeated_strings(table(spark, base, "documents")).drop("spans")
+
+
 @query("op8_quality")
 def qualities(spark, base):
     """The quality of every document, learned from two thirds of the labels."""
