@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from . import language, quality
 from .chat import format_conversations, linear_tree, read_back
 from .factors import remove_earlier_passages
+from .identifiers import KINDS, count_of, find_identifiers, written
 from .mixing import mix_sources
 from .registry import ORACLES, QUERIES, query, table
 from .signatures import shingle_components
@@ -67,6 +68,16 @@ def languages(spark, base):
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("op4_identifiers")
+def identifiers(spark, base):
+    """Personal data in every document, by form and by learned patterns."""
+    found = find_identifiers(table(spark, base, "documents"))
+    return found.select(
+        "doc_id", *[count_of("known", k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(written("known"), 256).alias("base_sha256"), written("spans").alias("spans"),
+    )
+
+
 @query("op7_suffixes")
 def suffixes(spark, base):
     """Bytes of each document that are left after strings of 400 bytes that occur twice are removed."""
