@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import language, quality
 from .chat import format_conversations, linear_tree, read_back
+from .decontaminate import find_items
 from .factors import remove_earlier_passages
 from .identifiers import KINDS, count_of, find_identifiers, written
 from .mixing import mix_sources
@@ -78,6 +79,12 @@ def identifiers(spark, base):
     )
 
 
+@query("op5_decontaminate")
+def decontaminate(spark, base):
+    """Benchmark items that stand in documents, exactly or with a few edits."""
+    return find_items(table(spark, base, "documents"), table(spark, base, "benchmark"))
+
+
 @query("op7_suffixes")
 def suffixes(spark, base):
     """Bytes of each document that are left after strings of 400 bytes that occur twice are removed."""
