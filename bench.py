@@ -11,7 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from deskflow.plans import QUERIES  # noqa: E402
 from deskflow.session import build_session  # noqa: E402
-from deskflow.sources.generate import gen_orders, hash_sort_join  # noqa: E402
 
 HEADLINE = [
     "client_risk_features",
@@ -45,17 +44,10 @@ HEADLINE = [
 ]
 
 
-def load_statement(spark, base):
-    """The published load statement at its own size: 150,000 hashed and sorted numbers, 20,000 orders."""
-    return hash_sort_join(spark, gen_orders(spark, 20_000), 150_000, 20_000)
-
-
 def main() -> None:
     base = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = {name: QUERIES[name] for name in sys.argv[1:] or HEADLINE}
-    if not sys.argv[1:]:
-        runs["load_statement"] = load_statement
     spark = build_session(
         "deskflow-bench",
         f"local[{cpus}]",

@@ -7,26 +7,26 @@ from pyspark.sql import functions as F
 
 MICRO = 1e6
 LOW_BITS = 20
-
-
-def micro(amount: Column) -> Column:
-    """An amount in whole millionths, as a long."""
-    return F.floor(amount * F.lit(MICRO) + F.lit(0.5))
+SMALL = float(1 << 45)  # millionths; parts of smaller amounts can be summed over 2**38 rows as longs
 
 
 def exact_sum(amount: Column) -> Column:
     """Sum in whole millionths: associative, so any partial-sum order gives the same double.
 
-    High and low parts are summed as longs, which is cheaper per row than wide decimals;
-    they only meet once per group, as a decimal where a long could overflow.
+    High and low parts of ordinary amounts are summed as longs, which is cheaper per row than
+    wide decimals. Amounts above some 35 million, such as totals that are summed again, are
+    summed as decimals; where even those do not suffice, the sum is an error and never a clamp.
     """
-    units = micro(amount)
+    scaled = amount * F.lit(MICRO) + F.lit(0.5)
+    small = F.abs(scaled) < SMALL
+    units = F.floor(F.when(small, scaled))
     high = F.sum(F.shiftright(units, LOW_BITS))
     low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
-    wide = high.cast("decimal(20,0)") * F.lit(1 << LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(20,0)")
-    total = F.when(F.abs(high) < 1 << 42, (high * F.lit(1 << LOW_BITS) + low).cast("double")).otherwise(
-        wide.cast("double")
-    )
+    large = F.sum(F.floor(F.when(~small, scaled).cast("decimal(38,4)")).cast("decimal(38,0)"))
+    ordinary = high.cast("decimal(20,0)") * F.lit(1 << LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(20,0)")
+    whole = (F.coalesce(ordinary, F.lit(0)) + F.coalesce(large, F.lit(0))).cast("double")
+    quick = (high * F.lit(1 << LOW_BITS) + low).cast("double")
+    total = F.when(large.isNull() & (F.abs(high) < 1 << 42), quick).when(F.count(amount) > 0, whole)
     return total / F.lit(MICRO)
 
 

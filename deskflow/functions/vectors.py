@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,19 +45,28 @@ def vector_literal(v: Column) -> Column:
 
 
 def term_counts(text: Column, buckets: int = TERM_BUCKETS) -> Column:
-    """How many words of the text hash to each bucket, as an array of doubles."""
-    words = F.filter(F.split(F.lower(text), " "), lambda w: w != "")
-    hashed = F.transform(
-        words, lambda w: F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int") % buckets
-    )
+    """How many words of the text hash to each bucket, as an array of doubles; NULL for a NULL text.
+
+    One pass over the words of a batch; a word is hashed once however often the batch has it.
+    """
+
+    @F.pandas_udf("array<double>")
+    def count(texts: pd.Series) -> pd.Series:
+        slots: dict[str, int] = {}
+
+        def slot(word: str) -> int:
+            if word not in slots:
+                slots[word] = int(hashlib.md5(word.encode()).hexdigest()[:6], 16) % buckets
+            return slots[word]
+
+        def row(t):
+            if t is None:
+                return None
+            return np.bincount([slot(w) for w in t.split(" ") if w], minlength=buckets).astype(float)
 
-    def count(all_words: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(buckets - 1)),
-            lambda b: (F.size(all_words) - F.size(F.array_remove(all_words, b))).cast("double"),
-        )
+        return pd.Series([row(t) for t in texts], dtype=object)
 
-    return let(hashed, count)
+    return count(F.lower(text))
 
 
 def unit(v: Column) -> Column:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import exact_sum, ratio
 from .ordered import splittable, top_rows
 
 
@@ -48,16 +51,118 @@ def enrich_positions(
     return valued.join(splittable(client_side, "client_id"), "client_id")
 
 
-def apply_filters(
-    df: DataFrame,
-    selections: dict[str, list],
-    date_column: str | None = None,
-    date_range: tuple[str, str] | None = None,
+@dataclass(frozen=True)
+class Selections:
+    """A filter bar: chosen values per column, and a range of days, both ends included.
+
+    A column without chosen values, and a missing end, keep everything.
+    """
+
+    chosen: dict[str, list] = field(default_factory=dict)
+    first_day: str | Column | None = None
+    last_day: str | Column | None = None
+
+    def apply(self, df: DataFrame, date_column: str | None = None) -> DataFrame:
+        """Keeps the rows that meet every selection on a column that the table has."""
+        for column, values in self.chosen.items():
+            if values and column in df.columns:
+                df = df.where(F.col(column).isin(values))
+        if date_column:
+            for end, keeps in ((self.first_day, "ge"), (self.last_day, "le")):
+                if end is not None:
+                    bound = F.lit(end).cast("date") if isinstance(end, str) else end
+                    day = F.col(date_column)
+                    df = df.where(day >= bound if keeps == "ge" else day <= bound)
+        return df
+
+
+def totals_by(
+    deals: DataFrame, clients: DataFrame, client_columns: list[str], other_keys: list[str],
+    selections: Selections | None = None,
 ) -> DataFrame:
-    """Keeps the rows that meet every selection; an empty selection means all."""
-    for column, values in selections.items():
-        if values:
-            df = df.where(F.col(column).isin(values))
-    if date_column and date_range:
-        df = df.where(F.col(date_column).between(*map(F.lit, date_range)))
-    return df
+    """`notional` and `n_trades` of the deals of known clients, by client columns and deal columns.
+
+    Selections on deals apply before the reduction to one row per client, those on clients to
+    the clients; only then do both meet.
+    """
+    selections = selections or Selections()
+    kept = selections.apply(deals, "trade_date")
+    per_client = kept.groupBy("client_id", *other_keys).agg(
+        exact_sum(F.col("notional_cad")).alias("notional"), F.count("*").alias("n_trades")
+    )
+    keys = selections.apply(clients).select(*dict.fromkeys(["client_id", *client_columns]))
+    return (
+        per_client.join(keys, "client_id")
+        .groupBy(*client_columns, *other_keys)
+        .agg(exact_sum(F.col("notional")).alias("notional"), F.sum("n_trades").alias("n_trades"))
+    )
+
+
+def kpis(deals: DataFrame, valued: DataFrame, clients: DataFrame, selections: Selections | None = None) -> DataFrame:
+    """One row: notional, trades, active clients, buy and sell flow, and gross exposure of the open positions.
+
+    Clients are counted from one row per client and side, not from all trades. Positions have no
+    trade date, so the range of days does not apply to them.
+    """
+    selections = selections or Selections()
+    sides = totals_by(deals, clients, ["client_id"], ["side"], selections)
+    keys = selections.apply(clients).select("client_id")
+    gross = selections.apply(valued).groupBy("client_id").agg(exact_sum(F.col("gross_exposure")).alias("gross"))
+    gross = gross.join(keys, "client_id", "left_semi").agg(exact_sum(F.col("gross")).alias("gross_exposure"))
+    per_client = sides.groupBy("client_id").agg(
+        F.sum("n_trades").alias("n"), exact_sum(F.col("notional")).alias("total"),
+        exact_sum(F.when(F.col("side") == "BUY", F.col("notional"))).alias("buy"),
+        exact_sum(F.when(F.col("side") == "SELL", F.col("notional"))).alias("sell"),
+    )
+    return per_client.agg(
+        exact_sum(F.col("total")).alias("total_notional"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_trades"),
+        F.count("*").alias("active_clients"), exact_sum(F.col("buy")).alias("buy_flow"),
+        exact_sum(F.col("sell")).alias("sell_flow"),
+    ).withColumn("gross_exposure", gross.scalar())
+
+
+def exposure_by(
+    valued: DataFrame, clients: DataFrame, client_columns: list[str], other_keys: list[str],
+    selections: Selections | None = None,
+) -> DataFrame:
+    """`gross`, `pnl` and `n_positions` of the positions of known clients, by client and position columns."""
+    selections = selections or Selections()
+    per_client = selections.apply(valued).groupBy("client_id", *other_keys).agg(
+        exact_sum(F.col("gross_exposure")).alias("gross"), exact_sum(F.col("pnl_cad")).alias("pnl"),
+        F.count("*").alias("n_positions"),
+    )
+    keys = selections.apply(clients).select(*dict.fromkeys(["client_id", *client_columns]))
+    return per_client.join(keys, "client_id").groupBy(*client_columns, *other_keys).agg(
+        exact_sum(F.col("gross")).alias("gross"), exact_sum(F.col("pnl")).alias("pnl"),
+        F.sum("n_positions").alias("n_positions"),
+    )
+
+
+def with_share(df: DataFrame, column: str) -> DataFrame:
+    """Adds each row's part of the column's total; for one row per category."""
+    total = df.agg(exact_sum(F.col(column))).scalar()
+    return df.withColumn("share", ratio(F.col(column), total))
+
+
+def asset_pivot(deals: DataFrame, clients: DataFrame, classes: list[str], selections: Selections | None = None) -> DataFrame:
+    """One row per known client and one column per asset class; a class that is not listed counts as OTHER."""
+    totals = totals_by(deals, clients, ["client_id"], ["asset_class"], selections)
+    known = F.when(F.col("asset_class").isin(classes), F.col("asset_class")).otherwise("OTHER")
+    return (
+        totals.withColumn("class", known).groupBy("client_id").pivot("class", [*classes, "OTHER"])
+        .agg(exact_sum(F.col("notional")))
+    )
+
+
+def by_hour(deals: DataFrame, clients: DataFrame, selections: Selections | None = None) -> DataFrame:
+    """Trades in each of the 24 hours, also those without."""
+    counts = totals_by(deals, clients, [], ["trade_hour"], selections).select("trade_hour", F.col("n_trades").alias("n"))
+    hours = deals.sparkSession.range(24).select(F.col("id").cast("int").alias("trade_hour"))
+    return hours.join(counts, "trade_hour", "left").select("trade_hour", F.coalesce("n", F.lit(0)).alias("n_trades"))
+
+
+def trade_points(deals: DataFrame, clients: DataFrame, columns: list[str], selections: Selections | None = None) -> DataFrame:
+    """Every selected trade of a known client, for a scatter chart."""
+    selections = selections or Selections()
+    keys = selections.apply(clients).select("client_id")
+    return selections.apply(deals, "trade_date").join(keys, "client_id", "left_semi").select(*columns)

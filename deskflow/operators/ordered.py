@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 RANGE_WIDTH = 1 << 20
 
@@ -79,36 +79,30 @@ def running_totals(
 def number_rows(df: DataFrame, order: list[str], name: str, staging: str, start: int = 1) -> DataFrame:
     """Adds gap-free numbers from `start` along a total order, without one global window.
 
-    Rows are range-partitioned, written once with their partition number, and numbered
-    inside each partition from the count of all partitions before it. The written table
-    fixes the partitions, so a lost task is redone against the same cut.
+    Rows are range-partitioned, sorted in their partition and written once with the partition's
+    number and their place in it; what the partitions before it hold is added to the place. The
+    rows are shuffled once, and the written table fixes the partitions, so a lost task is redone
+    against the same cut.
     """
     spark = df.sparkSession
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     (
         df.repartitionByRange(*order)
-        .withColumn("__part", F.spark_partition_id())
+        .sortWithinPartitions(*order)
+        .withColumns({"__part": F.spark_partition_id(), "__place": place})
         .write.mode("overwrite")
         .parquet(staging)
     )
-    written = StructType([*df.schema.fields, StructField("__part", IntegerType())])
-    staged = spark.read.schema(written).parquet(staging)
+    fields = [StructField("__part", IntegerType()), StructField("__place", LongType())]
+    staged = spark.read.schema(StructType([*df.schema.fields, *fields])).parquet(staging)
     # one row per written partition
-    sizes = staged.groupBy("__part").agg(F.count("*").alias("__n"))
-    offsets = sizes.select(
-        "__part",
-        F.coalesce(
-            F.sum("__n").over(
-                Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("__offset"),
-    )
-    inner = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    sizes = staged.groupBy("__part").agg((F.max("__place") + 1).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     return (
-        staged.withColumn("__row", inner)
-        .join(offsets, "__part")
-        .withColumn(name, F.col("__offset") + F.col("__row") + F.lit(start - 1))
-        .drop("__part", "__row", "__offset")
+        staged.join(offsets, "__part")
+        .withColumn(name, F.col("__offset") + F.col("__place") + F.lit(start))
+        .drop("__part", "__place", "__offset")
     )
 
 

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from math import isqrt
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from ..functions.vectors import unit
+from ..functions.vectors import dot, round6, unit
 
-MAX_SHARED_QUERIES = 2048
-BLOCK_ROWS = 20_000
+QUERY_BLOCK = 2048  # queries that go to the tasks together
+SCORE_DECIMALS = 12  # beyond these, scores differ by the order of sums only
 
 
 def embed_with(
@@ -37,19 +39,20 @@ def embed_with(
 
 
 def _best(ids: pd.DataFrame, vectors: np.ndarray, query_ids, queries: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best rows of one block for each query, ties by the row's key columns."""
+    """The k best rows of one block for each query; of equal scores the first by the row's key columns."""
+    order = ids.reset_index(drop=True).sort_values(list(ids.columns)).index.to_numpy()
+    ids, vectors = ids.iloc[order], vectors[order]
     lengths = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
     query_lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
     with np.errstate(divide="ignore", invalid="ignore"):
-        scores = (vectors @ queries.T) / (lengths[:, None] * query_lengths[None, :])
-    scores = np.floor(scores * 1e6 + 0.5) / 1e6
+        scores = np.round((vectors @ queries.T) / (lengths[:, None] * query_lengths[None, :]), SCORE_DECIMALS)
     scores[np.isnan(scores)] = -np.inf
     at = max(0, len(scores) - k)
     edges = np.partition(scores, at, axis=0)[at]
-    rows, columns = np.nonzero((scores >= edges) & (scores > -np.inf))
-    out = ids.iloc[rows].assign(query_id=np.asarray(query_ids)[columns], score=scores[rows, columns])
-    out = out.sort_values(["query_id", "score", *ids.columns], ascending=[True, False] + [True] * ids.shape[1])
-    return out.groupby("query_id").head(k)
+    above, tied = scores > edges, scores == edges
+    kept = above | (tied & (np.cumsum(tied, axis=0) <= k - above.sum(axis=0)))
+    rows, columns = np.nonzero(kept & (scores > -np.inf))
+    return ids.iloc[rows].assign(query_id=np.asarray(query_ids)[columns], score=scores[rows, columns])
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -57,117 +60,86 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def _final(candidates: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The k best of all blocks by their whole score, which is rounded to six decimals only then."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), *keys)
-    return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.withColumn("score", round6(F.col("score")))
 
 
 def nearest(
-    stored: DataFrame, queries: DataFrame, keys: list[str], k: int = 4,
-    max_shared: int = MAX_SHARED_QUERIES, block_rows: int = BLOCK_ROWS,
+    stored: DataFrame, queries: DataFrame, keys: list[str], k: int = 4, block: int = QUERY_BLOCK
 ) -> DataFrame:
     """The k stored rows nearest to each query, exact: (query_id, keys, score, rank).
 
-    `stored` has key columns and `embedding`; `queries` has `query_id` and `embedding`.
-    Up to `max_shared` queries go to every task, which scores its rows in one matrix product
-    and keeps k rows per query. More queries than that are cut into blocks and met with
-    blocks of stored rows, again keeping k rows per query and block.
+    `stored` has key columns and `embedding`; `queries`, a stated set, has `query_id` and
+    `embedding`. The queries go to the tasks in blocks of bounded size; each block is one pass
+    over the stored rows, which keeps k rows per query and task. For query sets of the size of
+    the table there is `nearest_approx`.
     """
     stored = stored.select(*keys, "embedding")
     fields = [stored.schema[c] for c in keys]
     schema = StructType([*fields, queries.schema["query_id"], StructField("score", DoubleType())])
-    head = queries.select("query_id", "embedding").limit(max_shared + 1).collect()
-    if not head:
-        return _final(stored.sparkSession.createDataFrame([], schema), keys, k)
-    if len(head) <= max_shared:
-        query_ids = [row["query_id"] for row in head]
-        shared = stored.sparkSession.sparkContext.broadcast(
-            np.array([row["embedding"] for row in head], dtype=float)
-        )
-
-        def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                if len(frame):
-                    yield _best(frame[keys], _matrix(frame["embedding"]), query_ids, shared.value, k)
-
-        return _final(stored.mapInPandas(score, schema), keys, k)
-    return _final(_blocked(stored, queries, keys, k, block_rows, schema), keys, k)
-
-
-def _blocked(stored, queries, keys, k, block_rows, schema) -> DataFrame:
-    """Every block of queries meets every block of stored rows in one bounded group."""
-    stored_blocks = max(1, -(-stored.count() // block_rows))
-    query_blocks = max(1, -(-queries.count() // block_rows))
-    left = stored.withColumn("sb", F.pmod(F.xxhash64(*keys), F.lit(stored_blocks))).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long")))
-    )
-    right = (
-        queries.select("query_id", "embedding")
-        .withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)))
-        .withColumn("sb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(stored_blocks - 1).cast("long"))))
-    )
+    found = stored.sparkSession.createDataFrame([], schema)
+    asked = queries.select("query_id", "embedding").where("embedding is not null").toLocalIterator()
+    while rows := list(islice(asked, block)):
+        found = found.unionByName(_scored(stored, keys, rows, k, schema))
+    return _final(found, keys, k)
+
 
-    def score(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if block.empty or asked.empty:
-            return pd.DataFrame(columns=schema.names)
-        return _best(
-            block[keys], _matrix(block["embedding"]), asked["query_id"].tolist(), _matrix(asked["embedding"]), k
-        )
+def _scored(stored: DataFrame, keys: list[str], rows: list, k: int, schema: StructType) -> DataFrame:
+    query_ids = [row["query_id"] for row in rows]
+    shared = stored.sparkSession.sparkContext.broadcast(np.array([row["embedding"] for row in rows], dtype=float))
 
-    return left.groupBy("sb", "qb").cogroup(right.groupBy("sb", "qb")).applyInPandas(score, schema)
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield _best(frame[keys], _matrix(frame["embedding"]), query_ids, shared.value, k)
+
+    return stored.mapInPandas(score, schema)
 
 
-class CellIndex:
-    """Unit vectors grouped into cells around centres picked from the vectors themselves.
+def nearest_approx(
+    stored: DataFrame, queries: DataFrame, keys: list[str], k: int = 4,
+    tables: int = 40, projections: int = 5, width: float = 0.6, seed: int = 11,
+) -> DataFrame:
+    """About the k nearest rows of each query: those that share a bucket with it in one of the tables.
 
-    Each cell knows the widest angle between its centre and a member. A search scores the
-    cells nearest to the query first; every other cell that could still hold a closer row,
-    by that angle, is scored too, so the answer is the exact one. The rows are written by
-    cell, so cells that are not wanted are not read, and nothing is shuffled to place them.
+    Unit vectors are hashed by Spark's bucketed random projections; a table's bucket joins several
+    of them. Queries and rows meet by an equi-join on table and bucket, so both sides may be large.
+    Vectors without length are in no bucket.
     """
 
-    def __init__(self, stored: DataFrame, keys: list[str], path: str, cells: int | None = None):
-        self.keys = keys
-        cells = cells or min(256, max(1, isqrt(stored.count())))
-        spark = stored.sparkSession
-        rows = stored.select(*keys, unit(F.col("embedding")).alias("embedding")).where(
-            F.exists("embedding", lambda x: x != 0)
-        )
-        # a few rows per cell reach the driver, more than needed because copies give one centre
-        picked = rows.orderBy(F.xxhash64(*keys), *keys).limit(4 * cells).collect()
-        distinct = dict.fromkeys(tuple(row["embedding"]) for row in picked)
-        self.centres = centres = np.array(list(distinct)[:cells], dtype=float)
-        schema = StructType(
-            [*rows.schema.fields, StructField("angle", DoubleType()), StructField("cell", IntegerType())]
-        )
-
-        def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                if len(frame):
-                    cosines = _matrix(frame["embedding"]) @ centres.T
-                    angle = np.arccos(np.clip(cosines.max(axis=1), -1, 1))
-                    yield frame.assign(angle=angle, cell=cosines.argmax(axis=1).astype("int32"))
-
-        rows.mapInPandas(place, schema).write.mode("overwrite").partitionBy("cell").parquet(path)
-        self.rows = spark.read.schema(schema).parquet(path)
-        widest = self.rows.groupBy("cell").agg(F.max("angle").alias("angle"))
-        self.angles = {row["cell"]: row["angle"] for row in widest.collect()}
-
-    def _score(self, cells: list[int], query: np.ndarray, k: int) -> DataFrame:
-        spark = self.rows.sparkSession
-        asked = spark.createDataFrame([(0, query.tolist())], "query_id long, embedding array<double>")
-        return nearest(self.rows.where(F.col("cell").isin(cells)), asked, self.keys, k)
-
-    def search(self, vector: list[float], k: int = 4, probes: int = 4, exact: bool = True) -> DataFrame:
-        query = np.array(vector, dtype=float)
-        query /= np.linalg.norm(query)
-        to_centre = np.arccos(np.clip(self.centres @ query, -1, 1))
-        order = [int(c) for c in np.argsort(to_centre) if int(c) in self.angles]
-        near = order[:probes]
-        first = self._score(near, query, k)
-        if not exact:
-            return first
-        # at most k scores reach the driver
-        scores = [row["score"] for row in first.select("score").collect()]
-        worst = np.arccos(np.clip(min(scores) - 1e-6, -1, 1)) if len(scores) == k else np.pi
-        wanted = near + [c for c in order[probes:] if to_centre[c] - self.angles[c] <= worst]
-        return self._score(wanted, query, k)
+    def hashed(df: DataFrame, columns: list[str]) -> DataFrame:
+        long = df.where(F.exists("embedding", lambda x: x != 0))
+        return long.select(*columns, unit(F.transform("embedding", lambda x: x.cast("double"))).alias("u"))
+
+    rows, asked = hashed(stored, keys), hashed(queries, ["query_id"])
+    lsh = BucketedRandomProjectionLSH(
+        inputCol="v", outputCol="h", bucketLength=width, numHashTables=tables * projections, seed=seed
+    )
+
+    def as_vector(df: DataFrame) -> DataFrame:
+        return df.withColumn("v", array_to_vector("u"))
+
+    model = lsh.fit(as_vector(rows))
+
+    def buckets(df: DataFrame) -> DataFrame:
+        values = F.transform("h", lambda h: F.get(vector_to_array(h), 0))
+        out = model.transform(as_vector(df)).withColumn("values", values)
+        tables_of = [
+            F.xxhash64(F.lit(t), F.slice("values", t * projections + 1, projections)) for t in range(tables)
+        ]
+        return out.withColumn("bucket", F.explode(F.array(*tables_of))).drop("v", "h", "values", "u")
+
+    pairs = buckets(rows).select(*keys, "bucket").join(buckets(asked).select("query_id", "bucket"), "bucket")
+    pairs = pairs.select("query_id", *keys).distinct()
+    scored = pairs.join(rows, keys).join(asked.withColumnRenamed("u", "q"), "query_id")
+    score = F.round(dot(F.col("u"), F.col("q")), SCORE_DECIMALS).alias("score")
+    return _final(scored.select(*keys, "query_id", score), keys, k)
+
+
+def recall(exact: DataFrame, approx: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: hits of the exact answer, and how many of them the approximate one has."""
+    found = approx.select("query_id", *keys, F.lit(1).alias("found"))
+    met = exact.select("query_id", *keys).join(found, ["query_id", *keys], "left")
+    return met.agg(F.count("*").alias("n_exact"), F.count("found").alias("n_found"))

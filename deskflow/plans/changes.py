@@ -9,9 +9,10 @@ from ..operators import cdc
 from ..session import work_dir
 from ..sources.tables import stream_table
 from ..sources.views import Desk, as_changes
-from ..streaming.changes import ChangeTarget, arrive_and_apply, drop_bookkeeping, ranges_of, run_apply
-from ..streaming.stateful import STATE_STORE, latest_per_key
-from .common import book_at, features, reference, updated_reference
+from ..streaming.changes import (
+    KeyedTable, apply_history, apply_latest, arrive_and_apply, drop_bookkeeping, newest_per_key, ranges_of, run_apply,
+)
+from .common import book_at, features, last_year, reference, updated_reference
 from .registry import query
 
 _CHANGES_SQL = """
@@ -31,14 +32,14 @@ FROM v_bookold o JOIN v_booknew n USING (client_id, instrument_id) WHERE n.net_q
 @query("change_capture_initial", "SELECT *, 'insert' AS change_type, CAST(2 AS BIGINT) AS sort_by FROM v_bookold")
 def change_capture_initial(d: Desk):
     """The first snapshot of the book, back-filled as inserts."""
-    return cdc.capture_changes(None, book_at(d, "2001-01-01"), ["client_id", "instrument_id"], 1)
+    return cdc.capture_changes(None, book_at(d, last_year(d)), ["client_id", "instrument_id"], 1)
 
 
 @query("change_capture", _CHANGES_SQL)
 def change_capture(d: Desk):
     """What changed between the book at the start of the last year and the book now."""
     return cdc.capture_changes(
-        book_at(d, "2001-01-01"), book_at(d), ["client_id", "instrument_id"], 2
+        book_at(d, last_year(d)), book_at(d), ["client_id", "instrument_id"], 2
     )
 
 
@@ -65,10 +66,18 @@ def book_as_of(d: Desk):
     return cdc.as_of(d.changes, ["key"], half)
 
 
-@query("change_history", "SELECT key, value, k, change_type, sort_by FROM v_changes")
+@query(
+    "change_history",
+    """SELECT key, value, k, change_type, sort_by FROM v_changes
+       WHERE key IN (SELECT DISTINCT key FROM v_changes ORDER BY key DESC LIMIT 3)""",
+)
 def change_history(d: Desk):
-    """All changes, each key's in order."""
-    return d.changes.select("key", "value", "k", "change_type", "sort_by").orderBy("key", "sort_by")
+    """The changes of given keys, here the three highest, in order; only the parts that hold them are read."""
+    changes = d.changes.drop("changed_at")
+    table = KeyedTable(d.spark, f"{work_dir(d.spark, 'history')}/table", changes.schema, ["key"])
+    table.write(changes, 0)
+    wanted = changes.select("key").distinct().orderBy(F.desc("key")).limit(3)
+    return table.rows(wanted).select("key", "value", "k", "change_type", "sort_by").orderBy("key", "sort_by")
 
 
 # --- streams --------------------------------------------------------------
@@ -88,17 +97,18 @@ def drained(d: Desk, name: str, stream: DataFrame) -> DataFrame:
     """Everything a stateless stream emits, read back from where it was written."""
     path = work_dir(d.spark, name)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int | str) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
 
     schema = stream.schema
+    write(d.spark.createDataFrame([], schema), "none")
     run_apply(stream, write, f"{path}/checkpoint")
     return d.spark.read.schema(schema).parquet(f"{path}/rows").select(*schema.names)
 
 
-def change_target(d: Desk, name: str, schema, keys=("key",), keep_history: bool = False) -> tuple[ChangeTarget, str]:
+def keyed_table(d: Desk, name: str, schema, keys=("key",)) -> tuple[KeyedTable, str]:
     path = work_dir(d.spark, name)
-    return ChangeTarget(d.spark, f"{path}/target", schema, list(keys), keep_history), f"{path}/checkpoint"
+    return KeyedTable(d.spark, f"{path}/table", schema, list(keys)), f"{path}/checkpoint"
 
 
 @query("stream_change_scan", "SELECT * FROM v_changes")
@@ -115,19 +125,19 @@ def stream_filter(d: Desk):
 def scd1_stream(d: Desk):
     """A change stream applied as a current-state table."""
     stream = drop_bookkeeping(change_stream(d), ["changed_at"])
-    target, checkpoint = change_target(d, "scd1", stream.schema)
-    run_apply(stream, target.apply, checkpoint)
-    return target.current()
+    table, checkpoint = keyed_table(d, "scd1", stream.schema)
+    apply_latest(stream, table, checkpoint)
+    return table.current()
 
 
-def replay(d: Desk, name: str, keep_history: bool = False, reverse: bool = False) -> ChangeTarget:
+def replay(d: Desk, name: str, apply=apply_latest, reverse: bool = False) -> KeyedTable:
     """The changes in four arrivals, each applied before the next; the stream restarts each time."""
     arrivals = ranges_of(d.changes, quarters(d))
-    target, checkpoint = change_target(d, name, d.changes.schema, keep_history=keep_history)
+    table, checkpoint = keyed_table(d, name, d.changes.schema)
     arrive_and_apply(
-        arrivals[::-1] if reverse else arrivals, work_dir(d.spark, f"{name}-log"), target, checkpoint
+        arrivals[::-1] if reverse else arrivals, work_dir(d.spark, f"{name}-log"), table, checkpoint, apply=apply
     )
-    return target
+    return table
 
 
 @query("scd1_out_of_order", "SELECT * FROM v_current")
@@ -142,16 +152,15 @@ def scd1_out_of_order(d: Desk):
        QUALIFY row_number() OVER (PARTITION BY key ORDER BY sort_by DESC) = 1""",
 )
 def scd1_deletes(d: Desk):
-    """The latest sequence of every key, and whether it is a delete, after compaction."""
-    target = replay(d, "deletes")
-    target.compact()
-    return target.state().select("key", "sort_by", (F.col("change_type") == "delete").alias("deleted"))
+    """The latest sequence of every key, and whether it is a delete."""
+    state = replay(d, "deletes").state()
+    return state.select("key", "sort_by", (F.col("change_type") == "delete").alias("deleted"))
 
 
 @query("scd2_stream", "SELECT * FROM v_versions")
 def scd2_stream(d: Desk):
     """Versions from a stream whose batches arrive in reverse."""
-    return replay(d, "scd2", keep_history=True, reverse=True).versions()
+    return replay(d, "scd2", apply_history, reverse=True).versions()
 
 
 @query(
@@ -171,9 +180,9 @@ def scd1_multi_entity(d: Desk):
         stream = change_stream(d).select(
             F.col(key).cast("long").alias("id"), "value", "change_type", "sort_by"
         )
-        target, checkpoint = change_target(d, f"entity-{entity}", stream.schema, ["id"])
-        run_apply(stream, target.apply, checkpoint)
-        tables.append(target.current().select(F.lit(entity).alias("entity"), F.col("id").alias("key"), "value"))
+        table, checkpoint = keyed_table(d, f"entity-{entity}", stream.schema, ["id"])
+        apply_latest(stream, table, checkpoint)
+        tables.append(table.current().select(F.lit(entity).alias("entity"), F.col("id").alias("key"), "value"))
     return tables[0].unionByName(tables[1])
 
 
@@ -181,26 +190,23 @@ def scd1_multi_entity(d: Desk):
 def stream_resume(d: Desk):
     """A stopped stream restarted from its checkpoint reads only what was added since."""
     halves = ranges_of(d.changes, quarters(d)[1:2])
-    target, checkpoint = change_target(d, "resume", d.changes.schema)
-    arrive_and_apply(halves, work_dir(d.spark, "resume-log"), target, checkpoint)
-    return target.current()
+    table, checkpoint = keyed_table(d, "resume", d.changes.schema)
+    arrive_and_apply(halves, work_dir(d.spark, "resume-log"), table, checkpoint)
+    return table.current()
 
 
 @query("scd1_state_store", "SELECT * EXCLUDE (changed_at) FROM v_current")
 def scd1_state_store(d: Desk):
-    """The same current state with the latest change per key in the state store."""
-    conf = "spark.sql.streaming.stateStore.providerClass"
-    before = d.spark.conf.get(conf)
-    d.spark.conf.set(conf, STATE_STORE)
-    try:
-        stream = drop_bookkeeping(change_stream(d), ["changed_at"])
-        target, checkpoint = change_target(d, "state", stream.schema)
-        writer = latest_per_key(stream, ["key"]).writeStream.outputMode("update").foreachBatch(target.apply)
-        run = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        run.awaitTermination()
-    finally:
-        d.spark.conf.set(conf, before)
-    return target.current()
+    """The state store's content: in complete mode each batch is the newest change of all keys so far."""
+    stream = newest_per_key(drop_bookkeeping(change_stream(d), ["changed_at"]), ["key"])
+    path = work_dir(d.spark, "state")
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/table")
+
+    replace(d.spark.createDataFrame([], stream.schema), -1)
+    run_apply(stream, replace, f"{path}/checkpoint", mode="complete")
+    return cdc.drop_deleted(d.spark.read.schema(stream.schema).parquet(f"{path}/table"))
 
 
 # --- copies ---------------------------------------------------------------
@@ -215,14 +221,14 @@ def sync_snapshot(d: Desk):
     return d.spark.read.schema(source.schema).parquet(path)
 
 
-def sync_reference(d: Desk, name: str, interval: str | None) -> ChangeTarget:
+def sync_reference(d: Desk, name: str, interval: str | None) -> KeyedTable:
     """First all rows, then only the changed ones, through one change folder."""
     old, new = reference(d), updated_reference(d)
     first = cdc.capture_changes(None, old, ["client_id"], 1)
-    target, checkpoint = change_target(d, name, first.schema, ["client_id"])
+    table, checkpoint = keyed_table(d, name, first.schema, ["client_id"])
     arrivals = [first, cdc.capture_changes(old, new, ["client_id"], 2)]
-    arrive_and_apply(arrivals, work_dir(d.spark, f"{name}-feed"), target, checkpoint, interval)
-    return target
+    arrive_and_apply(arrivals, work_dir(d.spark, f"{name}-feed"), table, checkpoint, interval)
+    return table
 
 
 @query("sync_triggered", "SELECT * FROM v_updated")
@@ -239,7 +245,20 @@ def sync_continuous(d: Desk):
 def publish_online(d: Desk):
     """Features published twice into a keyed copy; the second time changes nothing."""
     rows = cdc.capture_changes(None, features(d), ["client_id"], 1)
-    target, _ = change_target(d, "online", rows.schema, ["client_id"])
+    table, _ = keyed_table(d, "online", rows.schema, ["client_id"])
     for _ in range(2):
-        target.apply(rows, 0)
-    return target.current()
+        table.write(rows, 0)
+    return table.current()
+
+
+@query(
+    "online_lookup",
+    "SELECT * FROM v_features WHERE client_id IN (SELECT client_id FROM v_features ORDER BY gross_notional_cad DESC, client_id LIMIT 5)",
+)
+def online_lookup(d: Desk):
+    """The published features of a few clients; only the parts that hold them are read."""
+    rows = cdc.capture_changes(None, features(d), ["client_id"], 1)
+    table, _ = keyed_table(d, "lookup", rows.schema, ["client_id"])
+    table.write(rows, 0)
+    asked = features(d).orderBy(F.desc("gross_notional_cad"), "client_id").limit(5).select("client_id")
+    return table.current(asked)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, fx_rate
@@ -38,7 +38,10 @@ def book(d: Desk) -> DataFrame:
 
 
 def deals(d: Desk) -> DataFrame:
-    """Trades in listed instruments with the instrument's columns and notional in CAD."""
+    """Trades in listed instruments with the instrument's columns and notional in CAD.
+
+    Their clients may be unknown; what sums them by client joins the clients after that.
+    """
     return enrich.with_calendar(d.fills.join(with_fx(d.instruments), "instrument_id")).withColumn(
         "notional_cad", F.col("notional") * F.col("fx_to_cad")
     )
@@ -49,25 +52,25 @@ def flow(d: Desk) -> DataFrame:
     return deals(d).join(d.clients, "client_id")
 
 
-def flow_totals(d: Desk, client_columns: list[str], other_keys: list[str]) -> DataFrame:
-    """Notional per client attribute and other key.
+def flow_totals(
+    d: Desk, client_columns: list[str], other_keys: list[str], selections: enrich.Selections | None = None
+) -> DataFrame:
+    """Notional and number of trades per client attribute and other key, under a filter bar.
 
     Trades are reduced to one row per client and key before clients are joined, so a client
-    with many trades is a few rows in that join.
+    with many trades is a few rows in that join, and trades of unknown clients go.
     """
-    per_client = deals(d).groupBy("client_id", *other_keys).agg(
-        exact_sum(F.col("notional_cad")).alias("notional")
-    )
-    return (
-        per_client.join(d.clients.select(*dict.fromkeys(["client_id", *client_columns])), "client_id")
-        .groupBy(*client_columns, *other_keys)
-        .agg(exact_sum(F.col("notional")).alias("notional"))
-    )
+    return enrich.totals_by(deals(d), d.clients, client_columns, other_keys, selections)
+
+
+def last_year(d: Desk) -> Column:
+    """The first day of the year of the last trade."""
+    return F.trunc(d.trade_date_max.scalar(), "year")
 
 
-def book_at(d: Desk, before: str | None = None) -> DataFrame:
+def book_at(d: Desk, before: Column | None = None) -> DataFrame:
     """Open quantity per client and instrument, from the fills before a day."""
-    fills = d.fills.where(F.col("trade_date") < F.lit(before).cast("date")) if before else d.fills
+    fills = d.fills if before is None else d.fills.where(F.col("trade_date") < before)
     signed = F.when(F.col("side") == "BUY", F.col("quantity")).otherwise(-F.col("quantity"))
     return (
         fills.groupBy("client_id", "instrument_id")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.money import exact_sum, format_money, fx_rate, ratio
 from ..operators import enrich, lookup
 from ..operators import features as feat
-from ..operators.ordered import running_totals, splittable, top_rows
-from ..sources.generate import gen_orders, hash_sort_join
+from ..operators.ordered import number_rows, running_totals, splittable, top_rows
+from ..session import work_dir
 from ..sources.views import ASSET_CLASSES, RATINGS, Desk, marks_of
 from .common import aged_trades, book, deals, features, flow, flow_totals, reference, valued, with_fx
 from .oracle_views import FX, RATING, money
@@ -126,23 +126,27 @@ def filter_not_in(d: Desk):
     ).select("client_id", "credit_rating", "ticker")
 
 
+# the filter bar of the dashboard: no client and no book is chosen, so all of them are kept
+BAR = enrich.Selections(
+    {
+        "client_id": [], "book": [], "sector": ["BUILDING", "MACHINERY"], "asset_class": ["PROMO", "SMALL"],
+        "relationship_tier": ["Gold", "Platinum"],
+    },
+    "1996-01-01", "1998-12-31",
+)
+_BAR_CLIENT = "sector IN ('BUILDING', 'MACHINERY') AND relationship_tier IN ('Gold', 'Platinum')"
+_BAR_FLOW = f"""(SELECT * FROM v_flow WHERE {_BAR_CLIENT} AND asset_class IN ('PROMO', 'SMALL')
+         AND trade_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31')"""
+_BAR_BOOK = f"(SELECT * FROM v_book WHERE {_BAR_CLIENT} AND asset_class IN ('PROMO', 'SMALL'))"
+
+
 @query(
     "dashboard_filter",
-    """SELECT order_id, line_no, client_id, sector, asset_class, relationship_tier, book, trade_date, notional_cad
-       FROM v_flow WHERE sector IN ('BUILDING', 'MACHINERY') AND asset_class IN ('PROMO', 'SMALL')
-         AND relationship_tier IN ('Gold', 'Platinum')
-         AND trade_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""",
+    f"""SELECT order_id, line_no, client_id, sector, asset_class, relationship_tier, book, trade_date, notional_cad
+       FROM {_BAR_FLOW}""",
 )
 def dashboard_filter(d: Desk):
-    """No client and no book is chosen, so all of them are kept."""
-    selections = {
-        "client_id": [],
-        "sector": ["BUILDING", "MACHINERY"],
-        "asset_class": ["PROMO", "SMALL"],
-        "relationship_tier": ["Gold", "Platinum"],
-        "book": [],
-    }
-    return enrich.apply_filters(flow(d), selections, "trade_date", ("1996-01-01", "1998-12-31")).select(
+    return BAR.apply(flow(d), "trade_date").select(
         "order_id", "line_no", "client_id", "sector", "asset_class", "relationship_tier", "book",
         "trade_date", "notional_cad",
     )
@@ -368,23 +372,23 @@ def entity_resolve(d: Desk):
 
 @query(
     "risk_lookup_json",
-    f"""SELECT o_orderkey, CAST(to_json({{'client_id': entity_id, 'gross': CAST(floor(gross_notional_cad) AS BIGINT),
-               'trades': num_trades_30d, 'days': days_since_last_trade, 'tier': risk_tier}}) AS VARCHAR) AS body
+    f"""SELECT o_orderkey, entity_id, gross_notional_cad, net_exposure_cad, num_open_positions, num_trades_30d,
+               avg_trade_notional_cad, largest_position_pct, realized_pnl_30d_cad, portfolio_volatility,
+               days_since_last_trade, credit_rating_score, risk_tier
         FROM ({_MENTIONS_SQL}) m LEFT JOIN v_features f ON 'CL-' || f.client_id = m.entity_id""",
 )
 def risk_lookup_json(d: Desk):
-    """Free text to client to features as one JSON object per request."""
-    found = features(d).select(
-        F.concat(F.lit("CL-"), F.col("client_id")).alias("entity_id"),
-        F.floor("gross_notional_cad").alias("gross"),
-        F.col("num_trades_30d").alias("trades"),
-        F.col("days_since_last_trade").alias("days"),
-        F.col("risk_tier").alias("tier"),
-    )
+    """Free text to client to all of its features as one JSON object per request, read back from the text.
+
+    How a double is written differs between engines, so the answer is compared by what the object holds.
+    """
+    found = features(d).withColumn("entity_id", F.concat(F.lit("CL-"), F.col("client_id"))).drop("client_id")
     asked = lookup.resolve_entities(mentions(d), aliases(d))
     joined = lookup.feature_lookup(asked, found, "entity_id")
-    body = F.struct(F.col("entity_id").alias("client_id"), "gross", "trades", "days", "tier")
-    return joined.select("o_orderkey", F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
+    names = ["entity_id", *feat.FEATURE_COLUMNS[1:]]
+    body = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    held = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.select(*names).schema)
+    return joined.select("o_orderkey", F.from_json(body, held).alias("b")).select("o_orderkey", "b.*")
 
 
 _METRICS = ["gross_notional_cad", "net_exposure_cad", "num_open_positions", "portfolio_volatility", "credit_rating_score"]
@@ -441,7 +445,8 @@ def agg_trades_30d(d: Desk):
 
 @query("days_since_last_trade", "SELECT * FROM v_recency")
 def days_since_last_trade(d: Desk):
-    return feat.recency(d.fills.withColumn("days_ago", F.datediff(d.trade_date_max.scalar(), "trade_date")))
+    """Trades in unknown instruments do not count, as in the features."""
+    return feat.recency(aged_trades(d))
 
 
 @query("client_risk_features", "SELECT * FROM v_features")
@@ -456,12 +461,8 @@ def client_risk_features(d: Desk):
 )
 def clients_by_officer(d: Desk):
     """Each officer's clients; an officer has at most 250."""
-    d.clients.createOrReplaceTempView("desk_clients")
-    return d.spark.sql(
-        """SELECT coverage_officer, count(*) AS clients,
-                  string_agg(ticker, ', ') WITHIN GROUP (ORDER BY ticker) AS book
-           FROM desk_clients GROUP BY coverage_officer"""
-    )
+    tickers = F.array_join(F.array_sort(F.collect_list("ticker")), ", ")
+    return d.clients.groupBy("coverage_officer").agg(F.count("*").alias("clients"), tickers.alias("book"))
 
 
 @query("distinct_keys", "SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT props) AS n_props FROM events")
@@ -471,32 +472,48 @@ def distinct_keys(d: Desk):
     )
 
 
+SKETCH_ERROR = 0.02  # relative standard deviation of the sketch
+
+
 @query(
-    "kpi_cards",
-    f"""SELECT {money('notional_cad')} AS total_notional, count(*) AS n_trades,
-               count(DISTINCT client_id) AS active_clients,
-               {money("CASE WHEN side = 'BUY' THEN notional_cad END")} AS buy_flow,
-               {money("CASE WHEN side = 'SELL' THEN notional_cad END")} AS sell_flow,
-               (SELECT {money('gross_exposure')} FROM v_valued) AS gross_exposure
-        FROM v_flow""",
+    "distinct_keys_sketch",
+    "SELECT true AS users_near, true AS props_near, count(DISTINCT user_id) > 0 AS any_user FROM events",
 )
-def kpi_cards(d: Desk):
-    """Six figures; clients are counted from one row per client, not from all trades."""
-    notional = F.col("notional_cad")
-    per_client = deals(d).groupBy("client_id").agg(
-        F.count("*").alias("n"),
-        exact_sum(F.when(F.col("side") == "BUY", notional)).alias("buy"),
-        exact_sum(F.when(F.col("side") == "SELL", notional)).alias("sell"),
-        exact_sum(notional).alias("total"),
+def distinct_keys_sketch(d: Desk):
+    """The counts by a sketch of fixed size, against the exact ones: within three standard deviations."""
+    exact, sketch = F.countDistinct, lambda c: F.approx_count_distinct(c, SKETCH_ERROR)
+    near = {
+        f"{name}_near": F.abs(sketch(c) - exact(c)) <= F.ceil(3 * SKETCH_ERROR * exact(c))
+        for name, c in (("users", "user_id"), ("props", "props"))
+    }
+    return d.table("events").agg(
+        *[near_c.alias(name) for name, near_c in near.items()], (sketch("user_id") > 0).alias("any_user")
     )
-    gross = valued(d).agg(exact_sum(F.col("gross_exposure"))).scalar()
-    return per_client.agg(
-        exact_sum(F.col("total")).alias("total_notional"),
-        F.sum("n").alias("n_trades"),
-        F.count("*").alias("active_clients"),
-        exact_sum(F.col("buy")).alias("buy_flow"),
-        exact_sum(F.col("sell")).alias("sell_flow"),
-    ).withColumn("gross_exposure", gross)
+
+
+_KPI_SQL = """SELECT {total} AS total_notional, count(*) AS n_trades,
+               count(DISTINCT client_id) AS active_clients, {buy} AS buy_flow, {sell} AS sell_flow,
+               (SELECT {gross} FROM {book}) AS gross_exposure
+        FROM {flow}"""
+
+
+def _kpi_sql(flow_source: str, book_source: str) -> str:
+    return _KPI_SQL.format(
+        total=money("notional_cad"), buy=money("CASE WHEN side = 'BUY' THEN notional_cad END"),
+        sell=money("CASE WHEN side = 'SELL' THEN notional_cad END"), gross=money("gross_exposure"),
+        flow=flow_source, book=book_source,
+    )
+
+
+@query("kpi_cards", _kpi_sql("v_flow", "v_book"))
+def kpi_cards(d: Desk):
+    return enrich.kpis(deals(d), valued(d), d.clients)
+
+
+@query("kpi_cards_filtered", _kpi_sql(_BAR_FLOW, _BAR_BOOK))
+def kpi_cards_filtered(d: Desk):
+    """The same cards under the filter bar."""
+    return enrich.kpis(deals(d), valued(d), d.clients, BAR)
 
 
 @query(
@@ -504,13 +521,15 @@ def kpi_cards(d: Desk):
     f"SELECT trade_date, side, {money('notional_cad')} AS notional FROM v_flow GROUP BY trade_date, side",
 )
 def daily_flow(d: Desk):
-    return deals(d).groupBy("trade_date", "side").agg(exact_sum(F.col("notional_cad")).alias("notional"))
+    return flow_totals(d, [], ["trade_date", "side"]).drop("n_trades")
 
 
-def with_share(df, column: str):
-    """Adds each row's part of the column's total; for one row per category."""
-    total = df.agg(exact_sum(F.col(column))).scalar()
-    return df.withColumn("share", ratio(F.col(column), total))
+@query(
+    "daily_flow_filtered",
+    f"SELECT trade_date, side, {money('notional_cad')} AS notional FROM {_BAR_FLOW} GROUP BY trade_date, side",
+)
+def daily_flow_filtered(d: Desk):
+    return flow_totals(d, [], ["trade_date", "side"], BAR).drop("n_trades")
 
 
 def _share_sql(key: str, source: str = "v_flow", value: str = "notional_cad", name: str = "notional") -> str:
@@ -521,9 +540,7 @@ SELECT *, {name} / (SELECT {money(name)} FROM g) AS share FROM g"""
 
 @query("notional_by_asset_class", _share_sql("asset_class"))
 def notional_by_asset_class(d: Desk):
-    return with_share(
-        deals(d).groupBy("asset_class").agg(exact_sum(F.col("notional_cad")).alias("notional")), "notional"
-    )
+    return enrich.with_share(flow_totals(d, [], ["asset_class"]).drop("n_trades"), "notional")
 
 
 @query(
@@ -532,12 +549,7 @@ def notional_by_asset_class(d: Desk):
         ORDER BY notional DESC, trader LIMIT 10""",
 )
 def top_traders(d: Desk):
-    return (
-        deals(d).groupBy("trader")
-        .agg(exact_sum(F.col("notional_cad")).alias("notional"), F.count("*").alias("n_trades"))
-        .orderBy(F.desc("notional"), "trader")
-        .limit(10)
-    )
+    return flow_totals(d, [], ["trader"]).orderBy(F.desc("notional"), "trader").limit(10)
 
 
 @query(
@@ -566,13 +578,17 @@ _KNOWN = ", ".join(f"'{c}'" for c in ASSET_CLASSES)
         FROM v_flow GROUP BY client_id""",
 )
 def client_asset_heatmap(d: Desk):
-    """One column per asset class; a class that is not listed counts as OTHER."""
-    known = F.when(F.col("asset_class").isin(ASSET_CLASSES), F.col("asset_class")).otherwise("OTHER")
-    return (
-        deals(d).withColumn("class", known).groupBy("client_id")
-        .pivot("class", [*ASSET_CLASSES, "OTHER"])
-        .agg(exact_sum(F.col("notional_cad")))
-    )
+    return enrich.asset_pivot(deals(d), d.clients, ASSET_CLASSES)
+
+
+@query(
+    "client_asset_heatmap_filtered",
+    f"""SELECT client_id, {_PIVOT},
+               {money(f"CASE WHEN asset_class NOT IN ({_KNOWN}) THEN notional_cad END")} AS "OTHER"
+        FROM {_BAR_FLOW} GROUP BY client_id""",
+)
+def client_asset_heatmap_filtered(d: Desk):
+    return enrich.asset_pivot(deals(d), d.clients, ASSET_CLASSES, BAR)
 
 
 @query(
@@ -581,12 +597,7 @@ def client_asset_heatmap(d: Desk):
        FROM (SELECT unnest(range(0, 24)) AS h) LEFT JOIN v_flow ON trade_hour = h GROUP BY h""",
 )
 def trades_by_hour(d: Desk):
-    """All 24 hours, also those without trades."""
-    counts = deals(d).groupBy("trade_hour").agg(F.count("*").alias("n"))
-    hours = d.spark.range(24).select(F.col("id").cast("int").alias("trade_hour"))
-    return hours.join(counts, "trade_hour", "left").select(
-        "trade_hour", F.coalesce("n", F.lit(0)).alias("n_trades")
-    )
+    return enrich.by_hour(deals(d), d.clients)
 
 
 @query(
@@ -613,6 +624,15 @@ def pnl_by_desk(d: Desk):
     return valued(d).groupBy("book").agg(exact_sum(F.col("pnl_cad")).alias("pnl")).select("*", _sign("pnl"))
 
 
+@query(
+    "pnl_by_desk_filtered",
+    f"""SELECT book, pnl, CASE WHEN pnl >= 0 THEN 'gain' ELSE 'loss' END AS sign
+        FROM (SELECT book, {money('pnl_cad')} AS pnl FROM {_BAR_BOOK} GROUP BY book)""",
+)
+def pnl_by_desk_filtered(d: Desk):
+    return enrich.exposure_by(valued(d), d.clients, [], ["book"], BAR).select("book", "pnl", _sign("pnl"))
+
+
 @query(
     "exposure_sunburst",
     f"""SELECT book, legal_name, instrument_id, CAST(grouping_id(book, legal_name, instrument_id) AS BIGINT) AS level,
@@ -703,7 +723,7 @@ def vol_comparison(d: Desk):
 )
 def top_clients(d: Desk):
     return (
-        flow_totals(d, ["client_id", "legal_name"], [])
+        flow_totals(d, ["client_id", "legal_name"], []).drop("n_trades")
         .orderBy(F.desc("notional"), "client_id")
         .limit(15)
     )
@@ -718,7 +738,7 @@ def notional_by_rating(d: Desk):
     """In order of quality, not of the alphabet."""
     position = F.array_position(F.array(*map(F.lit, RATINGS)), F.col("credit_rating")).cast("int")
     return (
-        flow_totals(d, ["credit_rating"], [])
+        flow_totals(d, ["credit_rating"], []).drop("n_trades")
         .withColumn("rating_order", position)
         .orderBy("rating_order")
     )
@@ -762,12 +782,13 @@ def limit_utilisation(d: Desk):
 
 @query("sector_concentration", _share_sql("sector", "v_book", "gross_exposure", "gross"))
 def sector_concentration(d: Desk):
-    per_client = valued(d).groupBy("client_id").agg(exact_sum(F.col("gross_exposure")).alias("g"))
-    sectors = (
-        per_client.join(d.clients.select("client_id", "sector"), "client_id")
-        .groupBy("sector").agg(exact_sum(F.col("g")).alias("gross"))
-    )
-    return with_share(sectors, "gross")
+    return enrich.with_share(enrich.exposure_by(valued(d), d.clients, ["sector"], []).select("sector", "gross"), "gross")
+
+
+@query("sector_concentration_filtered", _share_sql("sector", _BAR_BOOK, "gross_exposure", "gross"))
+def sector_concentration_filtered(d: Desk):
+    kept = enrich.exposure_by(valued(d), d.clients, ["sector"], [], BAR)
+    return enrich.with_share(kept.select("sector", "gross"), "gross")
 
 
 @query(
@@ -789,17 +810,18 @@ def hero_exposure(d: Desk):
     )
 
 
-@query(
-    "trade_scatter",
-    """SELECT order_id, line_no, quantity, price, asset_class, notional_cad, instrument_id, trader, side FROM v_flow
-       WHERE trade_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'""",
-)
+_POINT = ["order_id", "line_no", "quantity", "price", "asset_class", "notional_cad", "instrument_id", "trader", "side"]
+
+
+@query("trade_scatter", f"SELECT {', '.join(_POINT)} FROM v_flow")
 def trade_scatter(d: Desk):
-    """Points of one year of trades."""
-    year = enrich.apply_filters(deals(d), {}, "trade_date", ("2000-01-01", "2000-12-31"))
-    return year.select(
-        "order_id", "line_no", "quantity", "price", "asset_class", "notional_cad", "instrument_id", "trader", "side"
-    )
+    """A point for every trade."""
+    return enrich.trade_points(deals(d), d.clients, _POINT)
+
+
+@query("trade_scatter_filtered", f"SELECT {', '.join(_POINT)} FROM {_BAR_FLOW}")
+def trade_scatter_filtered(d: Desk):
+    return enrich.trade_points(deals(d), d.clients, _POINT, BAR)
 
 
 # --- windows, sorts -------------------------------------------------------
@@ -818,13 +840,14 @@ def latest_mark(d: Desk):
     "cumulative_flow",
     f"""WITH g AS (SELECT side, trade_ts, {money('notional_cad')} AS notional FROM v_flow GROUP BY side, trade_ts)
         SELECT side, trade_ts, notional,
-               CAST(sum(CAST(floor(notional * 1e6 + 0.5) AS BIGINT)) OVER (PARTITION BY side ORDER BY trade_ts) AS DOUBLE) / 1e6
+               CAST(sum(CAST(floor(notional * 1e6 + 0.5) AS HUGEINT)) OVER (PARTITION BY side ORDER BY trade_ts) AS DOUBLE) / 1e6
                AS cumulative FROM g""",
 )
 def cumulative_flow(d: Desk):
     """Running total per side: one row per time first, then totals by day carried into the day."""
-    per_time = deals(d).groupBy("side", "trade_ts").agg(exact_sum(F.col("notional_cad")).alias("notional"))
-    whole = per_time.withColumn("units", F.floor(F.col("notional") * F.lit(1e6) + F.lit(0.5)).cast("decimal(19,0)"))
+    per_time = flow_totals(d, [], ["side", "trade_ts"]).drop("n_trades")
+    units = F.floor((F.col("notional") * F.lit(1e6) + F.lit(0.5)).cast("decimal(38,4)")).cast("decimal(28,0)")
+    whole = per_time.withColumn("units", units)
     totals = running_totals(whole, ["side"], ["trade_ts"], F.to_date("trade_ts"), {"cumulative": "units"})
     return totals.select(
         "side", "trade_ts", "notional", (F.col("cumulative").cast("double") / F.lit(1e6)).alias("cumulative")
@@ -905,18 +928,23 @@ def sort_limit(d: Desk):
 
 @query(
     "hash_sort_join_count",
-    """SELECT count(*) AS n, count(instrument) AS n_matched, min(h) AS first_hash, max(h) AS last_hash
-       FROM (SELECT md5(g::VARCHAR) AS h, instrument
-             FROM (SELECT unnest(range(1, (SELECT count(*) + 1 FROM lineitem))) AS g)
-             LEFT JOIN v_orders ON order_id = g % (SELECT count(*) FROM orders) + 1)""",
+    """WITH h AS (SELECT md5(l_orderkey || ':' || l_linenumber) AS h, o_orderpriority AS priority
+                  FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey % (SELECT max(o_orderkey) FROM orders) + 1)
+       SELECT priority, count(*) AS n, min(h) AS first_hash, max(h) AS last_hash,
+              max(CASE WHEN place % 1000 = 0 THEN place END) AS last_mark
+       FROM (SELECT *, row_number() OVER (ORDER BY h, priority) AS place FROM h) GROUP BY priority""",
 )
 def hash_sort_join_count(d: Desk):
-    """The load statement over as many numbers as order lines and as many orders as orders."""
-    n_orders = d.table("orders").count()
-    rows = hash_sort_join(d.spark, gen_orders(d.spark, n_orders), d.table("lineitem").count(), n_orders)
-    return rows.agg(
-        F.count("*").alias("n"), F.count("instrument").alias("n_matched"),
-        F.min("h").alias("first_hash"), F.max("h").alias("last_hash"),
+    """The load statement over rows of the tables: hash, left join, sort; the places in the order are used."""
+    last = d.table("orders").agg(F.max("o_orderkey")).scalar()
+    lines = d.table("lineitem").select(
+        F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber")).alias("h"),
+        (F.col("l_orderkey") % last + 1).alias("o_orderkey"),
+    )
+    orders = d.table("orders").select("o_orderkey", F.col("o_orderpriority").alias("priority"))
+    met = lines.join(orders, "o_orderkey", "left").select("h", "priority")
+    ranked = number_rows(met, ["h", "priority"], "place", work_dir(d.spark, "hash-sorted"))
+    return ranked.groupBy("priority").agg(
+        F.count("*").alias("n"), F.min("h").alias("first_hash"), F.max("h").alias("last_hash"),
+        F.max(F.when(F.col("place") % 1000 == 0, F.col("place"))).alias("last_mark"),
     )
-
-

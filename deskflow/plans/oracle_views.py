@@ -3,7 +3,7 @@
 
 def money(expr: str) -> str:
     """Sum in whole millionths."""
-    return f"CAST(sum(CAST(floor(({expr}) * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6"
+    return f"CAST(sum(CAST(floor(({expr}) * 1e6 + 0.5) AS HUGEINT)) AS DOUBLE) / 1e6"
 
 
 def fx(column: str) -> str:
@@ -91,8 +91,8 @@ UNION ALL
 SELECT c_custkey * 2 + 1, c_custkey, 'NET', (5000000.0::DOUBLE + c_acctbal * 400) / 2 FROM customer""",
     "v_economics": f"""
 SELECT p.*, i.* EXCLUDE (instrument_id), {FX} AS fx_to_cad,
-       abs(net_qty) * spot_price * contract_size * ({FX}) AS gross_cad,
-       net_qty * spot_price * contract_size * ({FX}) AS net_cad
+       abs(net_qty * (spot_price * contract_size * ({FX}))) AS gross_cad,
+       net_qty * (spot_price * contract_size * ({FX})) AS net_cad
 FROM v_positions p JOIN v_instruments i USING (instrument_id)""",
     "v_postotals": f"""
 SELECT client_id, {money("gross_cad")} AS gross_notional_cad, {money("net_cad")} AS net_exposure_cad,
@@ -151,7 +151,7 @@ SELECT key, value, k, sort_by AS valid_from, changed_at, valid_to, valid_to IS N
 WHERE change_type <> 'delete'""",
     "v_bookold": """
 SELECT client_id, instrument_id, CAST(sum(CASE WHEN side = 'BUY' THEN quantity ELSE -quantity END) AS BIGINT) AS net_qty
-FROM v_fills WHERE trade_date < DATE '2001-01-01' GROUP BY client_id, instrument_id HAVING net_qty <> 0""",
+FROM v_fills WHERE trade_date < (SELECT date_trunc('year', as_of) FROM v_asof) GROUP BY client_id, instrument_id HAVING net_qty <> 0""",
     "v_booknew": """
 SELECT client_id, instrument_id, CAST(sum(CASE WHEN side = 'BUY' THEN quantity ELSE -quantity END) AS BIGINT) AS net_qty
 FROM v_fills GROUP BY client_id, instrument_id HAVING net_qty <> 0""",
@@ -169,6 +169,8 @@ FROM v_reference""",
     "v_chunks": """
 SELECT doc_id, source, CAST(i AS INTEGER) AS chunk_idx, substr(flat, CAST(i * 580 + 1 AS BIGINT), 700) AS content
 FROM (SELECT *, unnest(range(0, CAST(ceil(length(flat) / 580.0) AS BIGINT))) AS i FROM v_flat)""",
+    "v_cited": """
+SELECT c.doc_id, c.chunk_idx, c.content, d.source, d.lang FROM v_chunks c JOIN documents d ON c.doc_id = d.doc_id""",
     "v_chunkterms": f"SELECT doc_id, source, chunk_idx, content, {terms('content')} AS embedding FROM v_chunks",
     "v_orders": """
 SELECT g AS order_id, 'CL-' || (['AC','SU','BCE','MFC','ABX'])[1 + g % 5] AS client_id,

@@ -13,7 +13,7 @@ from ..session import work_dir
 from ..sources import generate
 from ..sources.tables import count_rows, slices
 from ..sources.views import Desk
-from .common import book_at, features, reference, updated_reference
+from .common import book_at, features, last_year, reference, updated_reference
 from .oracle_views import SPACE, fx, money
 from .registry import query
 
@@ -41,12 +41,10 @@ def scan_typed(d: Desk):
     )
 
 
-@query("scan_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+@query("scan_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def scan_table(d: Desk):
-    d.table("orders").createOrReplaceTempView("desk_orders")
-    return d.spark.table("desk_orders").where("o_orderstatus = 'F'").select(
-        "o_orderkey", "o_custkey", "o_totalprice"
-    )
+    """A whole table by name; the name is the statement's own and no other session or base sees it."""
+    return d.spark.sql("SELECT o_orderkey, o_custkey, o_totalprice FROM {orders}", orders=d.table("orders"))
 
 
 def _jdbc_slices_sql() -> str:
@@ -153,7 +151,8 @@ _LEG = "client_id || ':' || leg"
 @query(
     "gen_positions",
     f"""WITH c AS (SELECT 'CL-' || client_id AS client_id, ticker FROM v_clients WHERE client_id <> 0),
-             i AS (SELECT p_partkey AS no, 'T' || p_partkey AS instrument_id, p_retailprice AS spot FROM part),
+             i AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS no, 'T' || p_partkey AS instrument_id,
+                          p_retailprice AS spot FROM part),
              l AS (SELECT client_id, unnest(range(1, {_draw("'legs:' || client_id", 6, 11)} + 1)) AS leg FROM c),
              r AS (SELECT client_id, leg, {_draw("'instr:' || " + _LEG, 0, "(SELECT count(*) FROM part) - 1")} AS no,
                           {_pick(generate.BOOKS, "'book:' || " + _LEG)} AS book,
@@ -170,24 +169,21 @@ _LEG = "client_id || ':' || leg"
 )
 def gen_positions(d: Desk):
     """A generated book for every client over the whole instrument table."""
-    parts = d.table("part")
-    instruments = parts.select(
-        F.col("p_partkey").alias("instrument_no"),
-        F.concat(F.lit("T"), F.col("p_partkey")).alias("instrument_id"),
-        F.col("p_retailprice").alias("spot_price"),
+    instruments = d.numbered_instruments.select(
+        "instrument_no", F.concat(F.lit("T"), F.col("instrument_id")).alias("instrument_id"), "spot_price"
     )
     clients = d.clients.select(F.concat(F.lit("CL-"), F.col("client_id")).alias("client_id"), "ticker")
-    hero = instruments.orderBy("instrument_no").limit(4).select(
+    hero = instruments.where("instrument_no < 4").select(
         "instrument_id", F.lit("ENERGY").alias("book"), (F.col("instrument_no") * 100 + 250).alias("net_qty")
     )
-    return generate.gen_positions(clients, instruments, parts.count(), "CL-0", hero)
+    return generate.gen_positions(clients, instruments, d.table("part").count(), "CL-0", hero)
 
 
 @query(
     "gen_trades",
     f"""WITH t AS (
-          SELECT g AS trade_id, {_draw("'client:' || g", 0, "(SELECT count(*) FROM customer) - 1")} AS client_id,
-                 {_draw("'instrument:' || g", 0, "(SELECT count(*) FROM part) - 1")} AS instrument_id,
+          SELECT g AS trade_id, {_draw("'client:' || g", 0, "(SELECT count(*) FROM customer) - 1")} AS client_no,
+                 {_draw("'instrument:' || g", 0, "(SELECT count(*) FROM part) - 1")} AS instrument_no,
                  {_pick(["BUY", "SELL"], "'side:' || g")} AS side, {_draw("'quantity:' || g", 1, 500)} AS quantity,
                  {_uniform("'price:' || g")} * 0.24::DOUBLE - 0.12::DOUBLE AS off,
                  CAST((SELECT as_of FROM v_asof) AS TIMESTAMP) - to_days(CAST({_draw("'days:' || g", 0, 89)} AS INTEGER))
@@ -196,16 +192,15 @@ def gen_positions(d: Desk):
           FROM (SELECT unnest(range(1, (SELECT count(*) + 1 FROM lineitem))) AS g))
         SELECT trade_id, client_id, instrument_id, side, quantity, price, trade_ts, trader,
                floor(quantity * price * contract_size * ({fx('currency')}) * 100 + 0.5) / 100.0::DOUBLE AS notional_cad
-        FROM (SELECT t.*, contract_size, currency,
+        FROM (SELECT t.*, client_id, instrument_id, contract_size, currency,
                      floor(spot_price * (1 + off) * 10000 + 0.5) / 10000.0::DOUBLE AS price
-              FROM t JOIN v_parts USING (instrument_id))""",
+              FROM t JOIN (SELECT *, row_number() OVER (ORDER BY instrument_id) - 1 AS instrument_no FROM v_parts) USING (instrument_no)
+                     JOIN (SELECT c_custkey AS client_id, row_number() OVER (ORDER BY c_custkey) - 1 AS client_no FROM customer)
+                          USING (client_no))""",
 )
 def gen_trades(d: Desk):
     """As many generated trades as there are order lines."""
-    instruments = d.all_instruments.withColumn("instrument_no", F.col("instrument_id"))
-    clients = d.table("customer").select(
-        F.col("c_custkey").alias("client_no"), F.col("c_custkey").alias("client_id")
-    )
+    instruments, clients = d.numbered_instruments, d.numbered_clients
     return generate.gen_trades(
         d.spark, d.table("lineitem").count(), clients, instruments, clients.count(),
         instruments.count(), d.trade_date_max.scalar(),
@@ -307,11 +302,11 @@ def upsert_on_conflict(d: Desk):
     return cdc.upsert(d.limits, lowered.unionByName(added), ["limit_id"])
 
 
-@query("seed_if_empty", "SELECT * FROM v_orders")
+@query("seed_if_empty", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def seed_if_empty(d: Desk):
     """Two seedings of one table; the second finds rows and adds none."""
     path = work_dir(d.spark, "seed")
-    rows = gen_orders(d)
+    rows = d.table("orders").select("o_orderkey", "o_custkey", "o_totalprice")
     rows.limit(0).write.mode("overwrite").parquet(path)
     for _ in range(2):
         if d.spark.read.schema(rows.schema).parquet(path).isEmpty():
@@ -331,7 +326,7 @@ def seed_if_empty(d: Desk):
 )
 def reconcile(d: Desk):
     """The book now against the book of the start of the last year."""
-    return cdc.reconcile(book_at(d), book_at(d, "2001-01-01"), ["client_id", "instrument_id"])
+    return cdc.reconcile(book_at(d), book_at(d, last_year(d)), ["client_id", "instrument_id"])
 
 
 _E6 = (
@@ -342,17 +337,18 @@ _E6 = (
 
 @query("vector_store", f"SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dim, {_E6} AS vec FROM embeddings")
 def vector_store(d: Desk):
-    """Vectors stored to six decimals; every vector must have the size of the widest."""
+    """Vectors stored as arrays that a search can read; every vector must have the size of the widest.
+
+    The answer is compared by the components in whole millionths, read back from the table.
+    """
     path = work_dir(d.spark, "vectors")
-    rows = d.table("embeddings").select(
-        "vec_id", "label", F.size("embedding").alias("dim"), vector_literal(F.col("embedding")).alias("vec")
-    )
+    rows = d.table("embeddings").select("vec_id", "label", F.size("embedding").alias("dim"), "embedding")
     rows.write.mode("overwrite").parquet(path)
     table = d.spark.read.schema(rows.schema).parquet(path)
     low, high = table.agg(F.min("dim"), F.max("dim")).first()
     if low != high:
         raise ValueError(f"vectors of {low} and of {high} components in one table")
-    return table
+    return table.select("vec_id", "label", "dim", vector_literal(F.col("embedding")).alias("vec"))
 
 
 # --- constraints ----------------------------------------------------------

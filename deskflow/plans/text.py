@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.vectors import term_counts, unit, vector_literal
 from ..operators import lookup, memory
-from ..operators.search import CellIndex, nearest
+from ..operators.search import embed_with, nearest, nearest_approx, recall
 from ..session import work_dir
 from ..sources.tables import stream_table
 from ..sources.views import Desk
@@ -41,7 +41,7 @@ def str_split_clean(d: Desk):
 
 @query("chunk_documents", "SELECT doc_id, source, chunk_idx, content FROM v_chunks")
 def chunk_documents(d: Desk):
-    return d.chunks.withColumn("chunk_idx", F.col("chunk_idx").cast("int"))
+    return d.chunks.select("doc_id", "source", F.col("chunk_idx").cast("int").alias("chunk_idx"), "content")
 
 
 _WRAP_WORDS = f"""list_filter(string_split(regexp_replace(line, '{SPACE}', ' ', 'g'), ' '), lambda w: w <> '')"""
@@ -120,29 +120,64 @@ def chunk_vectors(d: Desk):
     )
 
 
-_RANKED = "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, {keys})"
+_RANK = """SELECT * EXCLUDE ("full"), floor("full" * 1e6 + 0.5) / 1e6 AS score,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY "full" DESC, {keys}) AS INTEGER) AS rank
+FROM {source} QUALIFY rank <= 4"""
+
+
+@query(
+    "embed_batches",
+    """SELECT doc_id, chunk_idx, CAST(length(content) AS BIGINT) AS n_chars,
+              CAST(length(content) - length(replace(content, ' ', '')) AS BIGINT) AS n_blanks FROM v_chunks""",
+)
+def embed_batches(d: Desk):
+    """Every chunk embedded by a model that takes sixteen texts per call; the model here counts characters."""
+
+    def model(texts: list[str]) -> list[list[float]]:
+        if not 0 < len(texts) <= 16:
+            raise ValueError(f"{len(texts)} texts in one call")
+        return [[float(len(t)), float(t.count(" "))] for t in texts]
+
+    rows = d.chunks.select("doc_id", F.col("chunk_idx").cast("int").alias("chunk_idx"), "content")
+    return embed_with(rows, "content", model).select(
+        "doc_id", "chunk_idx", F.get("embedding", 0).cast("long").alias("n_chars"),
+        F.get("embedding", 1).cast("long").alias("n_blanks"),
+    )
+
+
+_CITATION = "'[' || source || ' · ' || lang || '] ' || content"
 
 
 @query(
     "semantic_search",
     f"""WITH q AS (SELECT item_id AS query_id, {terms(squash('"text"'))} AS qv FROM benchmark),
              c AS (SELECT doc_id, chunk_idx, embedding AS cv, sqrt(list_dot_product(embedding, embedding)) AS cl FROM v_chunkterms),
-             s AS (SELECT query_id, doc_id, chunk_idx, floor(list_dot_product(qv, cv)
-                          / (cl * sqrt(list_dot_product(qv, qv))) * 1e6 + 0.5) / 1e6 AS score FROM q, c
-                   WHERE cl > 0 AND list_dot_product(qv, qv) > 0)
-        SELECT *, CAST({_RANKED.format(keys='doc_id, chunk_idx')} AS INTEGER) AS rank FROM s QUALIFY rank <= 4""",
+             s AS (SELECT query_id, doc_id, chunk_idx, round(list_dot_product(qv, cv)
+                          / (cl * sqrt(list_dot_product(qv, qv))), 12) AS "full" FROM q, c
+                   WHERE cl > 0 AND list_dot_product(qv, qv) > 0),
+             r AS ({_RANK.format(keys='doc_id, chunk_idx', source='s')})
+        SELECT r.*, {_CITATION} AS citation FROM r JOIN v_cited USING (doc_id, chunk_idx)""",
 )
 def semantic_search(d: Desk):
-    """Every benchmark text as a query over the chunks of all documents."""
+    """Every benchmark text as a query over the chunks of all documents; hits cite their whole passage."""
     queries = d.table("benchmark").select(
         F.col("item_id").alias("query_id"), term_counts(tx.collapse_whitespace(F.col("text"))).alias("embedding")
     )
-    return nearest(chunk_vectors(d), queries, ["doc_id", "chunk_idx"])
+    return cited(d, nearest(chunk_vectors(d), queries, ["doc_id", "chunk_idx"]))
+
+
+def cited(d: Desk, hits):
+    """Hits on chunks with the source and language of the chunk's own document and its whole text."""
+    passages = d.chunks.withColumn("chunk_idx", F.col("chunk_idx").cast("int"))
+    label = F.concat(F.lit("["), F.concat_ws(" · ", "source", "lang"), F.lit("]"))
+    return hits.join(passages, ["doc_id", "chunk_idx"]).select(
+        *hits.columns, F.concat_ws(" ", label, "content").alias("citation")
+    )
 
 
 def _cosine_sql(source: str) -> str:
     return f"""
-SELECT query_id, vec_id, floor(list_cosine_similarity(e.embedding::DOUBLE[], q.qv) * 1e6 + 0.5) / 1e6 AS score
+SELECT query_id, vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.qv), 12) AS "full"
 FROM {source} e, q"""
 
 
@@ -158,8 +193,7 @@ def one_query(d: Desk):
 
 @query(
     "vector_search",
-    f"""WITH {_ONE_QUERY}, s AS ({_cosine_sql('embeddings')})
-        SELECT *, CAST({_RANKED.format(keys='vec_id')} AS INTEGER) AS rank FROM s QUALIFY rank <= 4""",
+    f"""WITH {_ONE_QUERY}, s AS ({_cosine_sql('embeddings')}) {_RANK.format(keys='vec_id', source='s')}""",
 )
 def vector_search(d: Desk):
     return nearest(d.table("embeddings"), one_query(d), ["vec_id"])
@@ -167,45 +201,49 @@ def vector_search(d: Desk):
 
 @query(
     "vector_search_filtered",
-    f"""WITH {_ONE_QUERY}, s AS ({_cosine_sql('(SELECT * FROM embeddings WHERE label = 3)')}),
-             r AS (SELECT *, CAST({_RANKED.format(keys='vec_id')} AS INTEGER) AS rank FROM s QUALIFY rank <= 4)
-        SELECT r.*, '[' || d.source || ' · ' || d.lang || '] ' || substr(d."text", 1, 40) AS citation
-        FROM r JOIN documents d ON doc_id = vec_id""",
+    f"""WITH q AS (SELECT item_id AS query_id, {terms(squash('"text"'))} AS qv FROM benchmark ORDER BY item_id LIMIT 1),
+             c AS (SELECT doc_id, chunk_idx, embedding AS cv, sqrt(list_dot_product(embedding, embedding)) AS cl
+                   FROM v_chunkterms WHERE source = 'src3'),
+             s AS (SELECT query_id, doc_id, chunk_idx, round(list_dot_product(qv, cv)
+                          / (cl * sqrt(list_dot_product(qv, qv))), 12) AS "full" FROM q, c WHERE cl > 0),
+             r AS ({_RANK.format(keys='doc_id, chunk_idx', source='s')})
+        SELECT r.*, {_CITATION} AS citation FROM r JOIN v_cited USING (doc_id, chunk_idx)""",
 )
 def vector_search_filtered(d: Desk):
-    """Only one label is scored; the hits carry a citation of their document."""
-    hits = nearest(d.table("embeddings").where("label = 3"), one_query(d), ["vec_id"])
-    docs = d.table("documents").select(F.col("doc_id").alias("vec_id"), "source", "lang", "text")
-    label = F.concat(F.lit("["), F.concat_ws(" · ", "source", "lang"), F.lit("]"))
-    return hits.join(docs, "vec_id").select(
-        *hits.columns, F.concat_ws(" ", label, F.substring("text", 1, 40)).alias("citation")
+    """Only the chunks of one source are scored for the first benchmark text; hits cite their whole passage."""
+    first = d.table("benchmark").orderBy("item_id").limit(1)
+    queries = first.select(
+        F.col("item_id").alias("query_id"), term_counts(tx.collapse_whitespace(F.col("text"))).alias("embedding")
     )
+    chosen = chunk_vectors(d).where("source = 'src3'")
+    return cited(d, nearest(chosen, queries, ["doc_id", "chunk_idx"]))
 
 
 @query(
     "vector_search_batch",
     f"""WITH q AS (SELECT label AS query_id, arg_min(embedding, vec_id)::DOUBLE[] AS qv FROM embeddings GROUP BY label),
-             s AS ({_cosine_sql('embeddings')})
-        SELECT *, CAST({_RANKED.format(keys='vec_id')} AS INTEGER) AS rank FROM s QUALIFY rank <= 4""",
+             s AS ({_cosine_sql('embeddings')}) {_RANK.format(keys='vec_id', source='s')}""",
 )
 def vector_search_batch(d: Desk):
     """One query per label, its first vector, against all vectors."""
-    queries = d.table("embeddings").groupBy(F.col("label").alias("query_id")).agg(
+    return nearest(d.table("embeddings"), label_queries(d), ["vec_id"])
+
+
+def label_queries(d: Desk):
+    return d.table("embeddings").groupBy(F.col("label").alias("query_id")).agg(
         F.min_by("embedding", "vec_id").alias("embedding")
     )
-    return nearest(d.table("embeddings"), queries, ["vec_id"])
 
 
 @query(
     "vector_search_approx",
-    f"""WITH {_ONE_QUERY}, s AS ({_cosine_sql('embeddings')})
-        SELECT *, CAST({_RANKED.format(keys='vec_id')} AS INTEGER) AS rank FROM s QUALIFY rank <= 4""",
+    """SELECT 4 * count(DISTINCT label) AS n_exact, true AS recalled FROM embeddings""",
 )
 def vector_search_approx(d: Desk):
-    """Nearest cells first, then every cell that could still hold a closer vector."""
-    index = CellIndex(d.table("embeddings"), ["vec_id"], work_dir(d.spark, "cells"))
-    vector = one_query(d).first()["embedding"]
-    return index.search(vector)
+    """Recall of the search by hash buckets against the exact one: nine of ten hits or more."""
+    stored, asked = d.table("embeddings"), label_queries(d)
+    met = recall(nearest(stored, asked, ["vec_id"]), nearest_approx(stored, asked, ["vec_id"]), ["vec_id"])
+    return met.select("n_exact", (F.col("n_found") >= 0.9 * F.col("n_exact")).alias("recalled"))
 
 
 # --- conversations --------------------------------------------------------
@@ -266,9 +304,10 @@ def thread_state_stream(d: Desk):
         F.col("conv_id").alias("thread_id"), F.col("turn").alias("version"), "role", "text"
     )
 
-    def append(batch, batch_id: int) -> None:
+    def append(batch, batch_id: int | str) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/turns/batch={batch_id}")
 
+    append(d.spark.createDataFrame([], stream.schema), "none")
     run_apply(stream, append, f"{path}/checkpoint")
     stored = d.spark.read.schema(stream.schema).parquet(f"{path}/turns").select(*stream.columns)
     return memory.thread_latest(stored.dropDuplicates(["thread_id", "version"]))

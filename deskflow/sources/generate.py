@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.money import fx_rate
 
 SEED = 1867
+BLOCK = 1024  # generated rows of one client that are made together
 
 # fixed values: the picks of the order generator
 ORDER_CLIENTS = ["AC", "SU", "BCE", "MFC", "ABX"]
@@ -60,21 +61,6 @@ def gen_orders(spark: SparkSession, n: int) -> DataFrame:
     )
 
 
-def hash_sort_join(spark: SparkSession, orders: DataFrame, n: int, n_orders: int) -> DataFrame:
-    """Numbers 1 to n with their hash and the order they fall on, sorted by the hash."""
-    return (
-        spark.range(1, n + 1)
-        .select(
-            F.col("id").alias("g"),
-            F.md5(F.col("id").cast("string")).alias("h"),
-            (F.col("id") % n_orders + 1).alias("order_id"),
-        )
-        .join(orders.select("order_id", "instrument"), "order_id", "left")
-        .select("g", "h", "instrument")
-        .orderBy("h")
-    )
-
-
 def price_walk(instruments: DataFrame, last_day: Column, steps: int = 30) -> DataFrame:
     """A daily price per instrument: each step moves by its volatility, never below 0.01."""
     step_vol = F.col("volatility") / F.sqrt(F.lit(252.0))
@@ -189,11 +175,14 @@ def gen_trades_by_profile(profile: DataFrame) -> DataFrame:
     """Trades per client from its profile: how many, and around which notional."""
     cid, i = F.col("client_id"), F.col("i")
     notional = F.col("base_notional") * (uniform(F.lit("pn"), cid, i) * 1.2 + 0.4)
-    rows = profile.where(F.col("n_trades") > 0).select(
-        cid,
-        F.col("base_notional"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_trades"))).alias("i"),
-    )
+    # blocks of numbers first, dealt to all tasks, so a client with most of the trades is many blocks
+    blocks = profile.where(F.col("n_trades") > 0).select(
+        cid, "base_notional", "n_trades",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_trades") - 1) / BLOCK))).alias("block"),
+    ).repartition("client_id", "block")
+    first = F.col("block") * BLOCK + 1
+    numbers = F.sequence(first, F.least(first + BLOCK - 1, F.col("n_trades")))
+    rows = blocks.select(cid, "base_notional", F.explode(numbers).alias("i"))
     return (
         rows.withColumn("notional_cad", F.floor(notional * 100 + F.lit(0.5)) / F.lit(100.0))
         .withColumn("days_ago", draw(F.lit("pd"), cid, i, low=0, high=90))

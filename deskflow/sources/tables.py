@@ -46,15 +46,6 @@ def stream_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(base)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Puts a table of few files on all cores before costly work per row.
-
-    A table that already has a task per core is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def count_rows(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: its name and its row count."""
     counts = [
@@ -100,8 +91,12 @@ def read_jdbc(
     return spark.read.jdbc(url, table, properties=properties)
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], parts: int = 8) -> None:
-    """Snapshot into a row store: rows replaced, table definition kept, few connections."""
-    df.coalesce(parts).write.option("truncate", "true").jdbc(
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int) -> None:
+    """Snapshot into a row store: rows replaced, table definition kept.
+
+    Spark opens no more than `connections` at a time; rows are dealt to them by a shuffle, so what
+    makes the rows keeps all its tasks.
+    """
+    df.repartition(connections).write.option("truncate", "true").jdbc(
         url, table, mode="overwrite", properties=properties
     )

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, fx_rate
 from ..functions.text import chunks
-from .tables import read_table, spread
+from ..operators.ordered import number_rows
+from ..session import work_dir
+from .tables import read_table
 
 # fixed values: agency ratings in order of quality, and one that is not rated
 RATINGS = ["AAA", "AA", "A", "A-", "BBB+", "BBB", "BBB-", "BB", "B", "CCC", "NR"]
@@ -95,7 +97,6 @@ class Desk:
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
         )
-        lines = spread(lines, "l_orderkey", "l_linenumber", "l_partkey")
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         hours = F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -125,6 +126,20 @@ class Desk:
             .drop("notional", "fx")
         )
 
+    @cached_property
+    def numbered_instruments(self) -> DataFrame:
+        """All instruments with `instrument_no` from 0, without gaps however the keys run."""
+        return self._numbered(self.all_instruments, "instrument_id", "instrument_no")
+
+    @cached_property
+    def numbered_clients(self) -> DataFrame:
+        """The keys of the client table with `client_no` from 0, without gaps."""
+        keys = self.table("customer").select(F.col("c_custkey").alias("client_id"))
+        return self._numbered(keys, "client_id", "client_no")
+
+    def _numbered(self, df: DataFrame, key: str, name: str) -> DataFrame:
+        return number_rows(df, [key], name, work_dir(self.spark, name), 0)
+
     @cached_property
     def trade_date_max(self) -> DataFrame:
         """The valuation date: the last order date in the data, never the clock."""
@@ -133,7 +148,7 @@ class Desk:
     @cached_property
     def marks(self) -> DataFrame:
         lines = self.table("lineitem").select("l_partkey", "l_shipdate", "l_extendedprice", "l_quantity")
-        return marks_of(spread(lines, "l_partkey", "l_shipdate"))
+        return marks_of(lines)
 
     @cached_property
     def positions(self) -> DataFrame:
@@ -181,10 +196,8 @@ class Desk:
 
     @cached_property
     def chunks(self) -> DataFrame:
-        return (
-            spread(self.table("documents"), "doc_id")
-            .select("doc_id", "source", F.posexplode(chunks(F.col("text"))).alias("chunk_idx", "content"))
-        )
+        cut = F.posexplode(chunks(F.col("text"))).alias("chunk_idx", "content")
+        return self.table("documents").select("doc_id", "source", "lang", cut)
 
 
 def marks_of(lines: DataFrame) -> DataFrame:

@@ -1,109 +1,75 @@
 """Change streams applied to keyed tables.
 
-A target is a folder of small keyed batches. Each micro-batch adds one folder named by
-its batch number, so a repeated batch replaces itself, and no batch rewrites the table.
-Readers take the row with the highest sequence per key over all folders; deletes stay
-as rows, so a late change with a lower sequence still loses against them.
-`compact` folds the folders into one when there are many.
+The newest change per key is held in Spark's own state store by a streaming aggregation; what it
+emits is written below one folder, by batch and by a hash of the key. A repeated batch replaces
+itself. A reader takes the row with the highest sequence per key, so the order of arrival and
+restarts do not matter, deletes stay as rows, and a reader of given keys reads their parts only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..operators.cdc import drop_deleted, effective, latest_change, scd2
 
+PARTS = 16
 
-class ChangeTarget:
-    """Keyed batches under one folder on shared storage."""
-
-    def __init__(
-        self, spark: SparkSession, path: str, schema: StructType, keys: list[str],
-        keep_history: bool = False, compact_every: int = 100,
-    ):
-        self.spark = spark
-        self.path = path
-        self.schema = schema
-        self.keys = keys
-        self.keep_history = keep_history
-        self.compact_every = compact_every
-
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Adds one micro-batch; running it again has no further effect."""
-        rows = effective(batch).select(*self.schema.names)
-        if not self.keep_history:
-            rows = latest_change(rows, self.keys)
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-        if batch_id % self.compact_every == self.compact_every - 1:
-            self.compact()
-
-    def _listing(self):
-        """The file system and the numbered folders as (kind, number, path)."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return fs, []
-        found = []
-        for status in fs.listStatus(root):
-            kind, _, number = status.getPath().getName().partition("=")
-            if number:
-                found.append((kind, int(number), status.getPath()))
-        return fs, sorted(found, key=lambda f: f[:2])
-
-    def _finished(self, fs, path) -> bool:
-        return fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
-
-    def _folders(self) -> list[str]:
-        """Finished folders: the newest compacted one and the batches after it."""
-        fs, found = self._listing()
-        folded = [(n, path) for kind, n, path in reversed(found) if kind == "upto"]
-        base = next((n for n, path in folded if self._finished(fs, path)), -1)
-        folders = [f"upto={base}"] if base >= 0 else []
-        return folders + [
-            f"batch={n}" for kind, n, path in found if kind == "batch" and n > base and self._finished(fs, path)
-        ]
-
-    def rows(self) -> DataFrame:
-        paths = [f"{self.path}/{folder}" for folder in self._folders()]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def state(self) -> DataFrame:
+
+def newest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """A stream of the newest change of each key so far, emitted when a batch has changes of it.
+
+    The state keeps one row per key, and each task of a batch one row per key before the shuffle,
+    so a frequent key needs no more room than any other.
+    """
+    return latest_change(effective(changes), keys)
+
+
+def part_of(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")
+
+
+class KeyedTable:
+    """Change rows below one folder on shared storage, in parts by a hash of the key."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str]):
+        self.spark, self.path, self.schema, self.keys = spark, path, schema, keys
+        # there is a table to read before the first batch is written
+        self._write(spark.createDataFrame([], schema), "none")
+
+    def _write(self, rows: DataFrame, batch: str) -> None:
+        parts = rows.select(*self.schema.names, part_of(self.keys).alias("part"))
+        parts.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/batch={batch}")
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch; writing it again has no further effect."""
+        self._write(batch, str(batch_id))
+
+    def rows(self, wanted: DataFrame | None = None) -> DataFrame:
+        """All change rows, or those of the keys in `wanted`, whose parts alone are read."""
+        schema = StructType([*self.schema.fields, StructField("batch", StringType()), StructField("part", IntegerType())])
+        rows = self.spark.read.schema(schema).parquet(self.path)
+        if wanted is not None:
+            # at most as many numbers as there are parts
+            parts = [r[0] for r in wanted.select(part_of(self.keys)).distinct().collect()]
+            rows = rows.where(F.col("part").isin(parts)).join(wanted.select(*self.keys).distinct(), self.keys, "left_semi")
+        return rows.select(*self.schema.names)
+
+    def state(self, wanted: DataFrame | None = None) -> DataFrame:
         """Latest change per key with its sequence, deletes included."""
-        return latest_change(self.rows(), self.keys)
+        return latest_change(effective(self.rows(wanted)), self.keys)
 
-    def current(self) -> DataFrame:
-        return drop_deleted(self.state())
+    def current(self, wanted: DataFrame | None = None) -> DataFrame:
+        return drop_deleted(self.state(wanted))
 
     def versions(self) -> DataFrame:
         """All versions with their validity; a change that arrived twice counts once."""
         return scd2(self.rows().dropDuplicates([*self.keys, "sort_by"]), self.keys)
 
-    def compact(self) -> None:
-        """Folds all finished batches into one folder, deletes kept."""
-        folders = self._folders()
-        if len(folders) > 1:
-            newest = max(int(f.split("=")[1]) for f in folders)
-            rows = self.rows() if self.keep_history else self.state()
-            rows.write.mode("overwrite").parquet(f"{self.path}/upto={newest}")
-
-    def prune(self) -> None:
-        """Deletes the folders that the newest compacted one replaces; no reader may be on them."""
-        fs, found = self._listing()
-        kept = self._folders()
-        if kept and kept[0].startswith("upto="):
-            base = int(kept[0].split("=")[1])
-            for kind, n, path in found:
-                if n < base or (kind == "batch" and n == base):
-                    fs.delete(path, True)
-
 
 def drop_bookkeeping(changes: DataFrame, columns: list[str]) -> DataFrame:
     """Stream or batch without bookkeeping columns and pre-images."""
@@ -115,9 +81,10 @@ def start_apply(
     apply: Callable[[DataFrame, int], None],
     checkpoint: str,
     interval: str | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Runs until what is there now is done, or continuously at an interval."""
-    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).outputMode(mode)
     if interval:
         return writer.trigger(processingTime=interval).start()
     return writer.trigger(availableNow=True).start()
@@ -128,8 +95,9 @@ def run_apply(
     apply: Callable[[DataFrame, int], None],
     checkpoint: str,
     interval: str | None = None,
+    mode: str = "append",
 ) -> None:
-    query = start_apply(stream, apply, checkpoint, interval)
+    query = start_apply(stream, apply, checkpoint, interval, mode)
     try:
         if interval:
             query.processAllAvailable()
@@ -139,6 +107,16 @@ def run_apply(
         query.stop()
 
 
+def apply_latest(stream: DataFrame, table: KeyedTable, checkpoint: str, interval: str | None = None) -> None:
+    """Keeps `table` at the newest change of every key of the stream."""
+    run_apply(newest_per_key(stream, table.keys), table.write, checkpoint, interval, "update")
+
+
+def apply_history(stream: DataFrame, table: KeyedTable, checkpoint: str, interval: str | None = None) -> None:
+    """Keeps every change of the stream in `table`."""
+    run_apply(effective(stream), table.write, checkpoint, interval)
+
+
 def read_changes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
@@ -158,9 +136,9 @@ def ranges_of(changes: DataFrame, bounds: list[int]) -> list[DataFrame]:
 
 
 def arrive_and_apply(
-    arrivals: list[DataFrame], log: str, target: ChangeTarget, checkpoint: str, interval: str | None = None
+    arrivals: list[DataFrame], log: str, table: KeyedTable, checkpoint: str, interval: str | None = None, apply=apply_latest
 ) -> None:
     """Appends each part to the change folder and applies what is new in it."""
     for part in arrivals:
         part.write.mode("append").parquet(log)
-        run_apply(read_changes(target.spark, log, target.schema), target.apply, checkpoint, interval)
+        apply(read_changes(table.spark, log, table.schema), table, checkpoint, interval)

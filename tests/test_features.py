@@ -1,25 +1,41 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from deskflow.functions.money import exact_sum, format_money
-from deskflow.operators.enrich import apply_filters
-from deskflow.operators.features import TierRules, client_risk_features, client_risk_features_from_fills
+from deskflow.operators.enrich import Selections
+from deskflow.operators.features import TierRules, client_risk_features_from_fills
 from deskflow.operators.lookup import first_result, resolve_entities
+from deskflow.operators import enrich
 from deskflow.plans import QUERIES
-from deskflow.plans.common import RULES, aged_trades, with_fx
+from deskflow.plans.common import deals, valued
 from deskflow.sources.views import Desk
 
 from . import golden as g
 
 
+TODAY = "2026-09-11"
+
+
 def build(spark, clients=(), positions=(), trades=(), rules=TierRules()):
-    rows = client_risk_features(
+    """Features from fills: a position is one old fill, a trade a fill in an instrument that is not listed."""
+    day = datetime.date.fromisoformat(TODAY)
+    old = day - datetime.timedelta(days=900)
+    fills = [
+        (c, i, "BUY" if q >= 0 else "SELL", float(abs(q)), old, 0.0, 0.0) for c, i, q in [*g.POSITIONS, *positions]
+    ] + [(c, "CASH", "BUY", 0.0, day - datetime.timedelta(days=ago), amount, pnl) for c, amount, ago, pnl in trades]
+    instruments = [(*row, True) for row in g.INSTRUMENTS] + [("CASH", "cash", "CAD", 1.0, 1.0, 0.0, 1.0, False)]
+    rows = client_risk_features_from_fills(
         spark.createDataFrame([*g.CLIENTS, *clients], g.CLIENT_COLUMNS),
-        spark.createDataFrame([*g.POSITIONS, *positions], g.POSITION_COLUMNS),
-        spark.createDataFrame(g.INSTRUMENTS, g.INSTRUMENT_COLUMNS),
-        spark.createDataFrame(list(trades), g.TRADE_COLUMNS),
+        spark.createDataFrame(
+            fills, "client_id string, instrument_id string, side string, quantity double, trade_date date, "
+            "notional double, realized_pnl_cad double",
+        ),
+        spark.createDataFrame(instruments, g.INSTRUMENT_COLUMNS + ", listed boolean"),
+        F.lit(TODAY).cast("date"),
         rules,
-    ).collect()
+    ).collect()
     return {r["client_id"]: r for r in rows}
 
 
@@ -49,7 +65,7 @@ def test_edges(spark):
     assert new["gross_notional_cad"] == new["avg_trade_notional_cad"] == new["portfolio_volatility"] == 0.0
     odd = rows["ODD"]
     assert (odd["num_open_positions"], odd["num_trades_30d"], odd["avg_trade_notional_cad"]) == (0, 1, 100.0)
-    assert odd["days_since_last_trade"] == 30
+    assert odd["days_since_last_trade"] == 30 and odd["credit_rating_score"] == 10
     assert (rows["EDGE"]["num_trades_30d"], rows["EDGE"]["days_since_last_trade"]) == (0, 45)
     # a position of quantity zero is open, has no gross value and no volatility
     flat = rows["FLAT"]
@@ -63,15 +79,6 @@ def test_thresholds_are_strict(spark):
     assert rows["CL-CNR"]["risk_tier"] == "LOW"
 
 
-def test_one_pass_equals_four_tables(spark, base):
-    d = Desk(spark, base)
-    one = client_risk_features_from_fills(
-        d.clients, d.fills, with_fx(d.all_instruments), d.trade_date_max.scalar(), RULES
-    )
-    four = client_risk_features(d.clients, d.positions, with_fx(d.instruments), aged_trades(d), RULES)
-    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, four.collect()))
-
-
 def test_totals_do_not_depend_on_partitions(spark):
     df = spark.range(10_000).select((F.col("id") * 0.1 - 37).alias("x"))
     totals = {df.repartition(n, "x").agg(exact_sum(F.col("x"))).first()[0] for n in (1, 3, 17)}
@@ -86,6 +93,20 @@ def test_totals_beyond_a_long(spark):
     assert none is None
 
 
+@pytest.mark.parametrize("amounts", [[2e13] * 3, [9.3e12, 1.0], [3e7, 4e7, -5e13], [1e20, 1.0], [-2e13, 0.25]])
+def test_totals_are_not_clamped(spark, amounts):
+    df = spark.createDataFrame([(x,) for x in amounts], "x double")
+    once = df.agg(exact_sum(F.col("x")).alias("x"))
+    assert once.first()[0] == sum(amounts)
+    again = once.crossJoin(spark.range(3)).agg(exact_sum(F.col("x")))
+    assert again.first()[0] == float(3 * sum(amounts))
+
+
+def test_too_large_totals_are_errors(spark):
+    with pytest.raises(Exception, match="(?i)overflow|out of range|cannot be represented|NUMERIC_VALUE"):
+        spark.createDataFrame([(1e33,)], "x double").agg(exact_sum(F.col("x"))).collect()
+
+
 def test_format_money(spark):
     values = [1.25e9, 3.44e6, -5600.0, 789.0, 0.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
@@ -114,9 +135,21 @@ def test_first_result(spark):
 
 
 def test_empty_selection_keeps_all(spark):
-    df = spark.range(5).withColumn("kind", F.col("id") % 2)
-    assert apply_filters(df, {"kind": []}).count() == 5
-    assert apply_filters(df, {"kind": [1], "id": [1, 2]}).count() == 1
+    df = spark.range(5).withColumn("kind", F.col("id") % 2).withColumn("day", F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")))
+    assert Selections({"kind": [], "other": [1]}).apply(df, "day").count() == 5
+    assert Selections({"kind": [1], "id": [1, 2]}).apply(df).count() == 1
+    assert Selections({}, "2026-01-02").apply(df, "day").count() == 4
+    assert Selections({}, None, "2026-01-02").apply(df, "day").count() == 2
+    assert Selections({}, "2026-01-02", "2026-01-03").apply(df, "day").count() == 2
+
+
+def test_empty_bar_equals_no_bar(spark, base):
+    d = Desk(spark, base)
+    empty = Selections({"client_id": [], "sector": [], "book": []})
+    assert enrich.kpis(deals(d), valued(d), d.clients, empty).collect() == QUERIES["kpi_cards"](spark, base).collect()
+    for columns, keys in ((["sector"], ["asset_class"]), ([], ["trade_date", "side"])):
+        a = enrich.totals_by(deals(d), d.clients, columns, keys, empty)
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, enrich.totals_by(deals(d), d.clients, columns, keys).collect()), key=str)
 
 
 def test_latest_price_equals_lateral_sql(spark, base):

@@ -29,6 +29,14 @@ def test_rows_do_not_depend_on_partitions(spark):
     assert all(400 <= r["notional_cad"] <= 1600 and 0 <= r["days_ago"] <= 90 for r in a)
 
 
+def test_a_client_of_many_blocks(spark, monkeypatch):
+    profile = spark.createDataFrame([("A", 25, 10.0), ("B", 0, 10.0), ("C", 10, 10.0)], "client_id string, n_trades long, base_notional double")
+    whole = sorted(map(tuple, generate.gen_trades_by_profile(profile).collect()))
+    monkeypatch.setattr(generate, "BLOCK", 10)
+    assert sorted(map(tuple, generate.gen_trades_by_profile(profile).collect())) == whole
+    assert sorted(r[:2] for r in whole) == [("A", i) for i in range(1, 26)] + [("C", i) for i in range(1, 11)]
+
+
 def test_price_walk(spark):
     instruments = spark.createDataFrame(
         [("A", 100.0, 0.3), ("B", 0.01, 5.0)], "instrument_id string, spot_price double, volatility double"

@@ -12,10 +12,11 @@ from deskflow.sources.views import Desk
 
 # writes tables or runs streams while it is built
 EAGER = {
-    "append_surrogate_key", "feature_table_build", "publish_online", "scd1_deletes", "scd1_multi_entity",
+    "append_surrogate_key", "change_history", "feature_table_build", "gen_positions", "gen_trades", "hash_sort_join_count",
+    "online_lookup", "publish_online", "scd1_deletes", "scd1_multi_entity",
     "scd1_out_of_order", "scd1_state_store", "scd1_stream", "scd2_stream", "seed_if_empty", "stream_change_scan",
     "stream_filter", "stream_resume", "sync_continuous", "sync_snapshot", "sync_triggered", "thread_state_stream",
-    "vector_search_approx", "vector_store", "write_overwrite_roundtrip",
+    "vector_store", "write_overwrite_roundtrip",
 }
 
 
@@ -37,12 +38,12 @@ def test_filters_reach_the_scan(spark, base):
     d = Desk(spark, base)
     assert "EqualTo(o_custkey,7)" in plan(d.fills.where("client_id = 7"))
     assert "EqualTo(l_partkey,11)" in plan(d.marks.where("instrument_id = 11"))
-    assert "EqualTo(label,3)" in plan(QUERIES["vector_search_filtered"](spark, base))
+    assert "EqualTo(source,src3)" in plan(QUERIES["vector_search_filtered"](spark, base))
 
 
 def test_only_needed_columns_are_read(spark, base):
     text = plan(QUERIES["days_since_last_trade"](spark, base))
-    assert "l_extendedprice" not in text and "l_discount" not in text
+    assert "l_extendedprice" not in text and "l_discount" not in text and "p_retailprice" not in text
     assert "part.parquet" not in plan(QUERIES["trade_calendar"](spark, base))
 
 
@@ -98,3 +99,16 @@ def test_a_cluster_must_name_its_shared_folder():
     assert shared_root(Named("local[2]", None)) == shared_root(Named("local[2]", None))
     with pytest.raises(RuntimeError):
         shared_root(Named("yarn", None))
+
+
+def test_facts_are_not_dealt_out_before_their_joins(spark, base):
+    for name in ("enrich_trades", "daily_flow", "client_risk_features", "chunk_documents", "latest_mark"):
+        assert "REPARTITION_BY_NUM" not in plan(QUERIES[name](spark, base))
+
+
+def test_numbered_rows_are_shuffled_once(spark, folder):
+    from deskflow.operators.ordered import number_rows
+
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
+    text = plan(number_rows(df, ["k"], "n", folder + "/n"))
+    assert "rangepartitioning" not in text and "k#" not in "".join(x for x in text.splitlines() if "Exchange" in x)
