@@ -46,6 +46,17 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root()
 
 
+@cache
+def _run_folder(spark: SparkSession, root: str) -> str:
+    """One folder for what this session writes; it goes when the session's file system is closed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/deskflow/{uuid.uuid4().hex}")
+    fs = folder.getFileSystem(conf)
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return folder.toString()
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A folder of its own for one run of one job, under the shared root."""
-    return f"{shared_root(spark)}/deskflow/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder(spark, shared_root(spark))}/{name}-{uuid.uuid4().hex}"
