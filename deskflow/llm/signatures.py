@@ -5,7 +5,9 @@ a shingle among the first few of their sets, in any order that is common to all
 last). Each such shingle is the root of a signature tree over its classes. A node holds the OR of its token
 bitmaps, its range of set sizes, the most tokens that collide in one of its bitmaps, and its component, if it
 has but one. Two nodes are traversed together, and a pair is given up when its greatest possible overlap is
-too small for the sizes, or when all its members are linked already. What is left is checked on the sets.
+too small for the sizes, or when all its members are linked already. A pair that is left comes out of every tree
+that holds both; as these are all the shingles that the first few of both sets share, their number bounds the
+whole overlap. What can still be similar then is checked on the sets.
 
 So that a group of near copies is not written out as all its pairs, each class is first compared with one
 class of each of its trees; what that links needs no further comparison, and the trees look for links between
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, gram_hashes, join_few, lists, mix, moved, pieces, shuffle_partitions, stored, text_bytes, word_hashes
+from .common import components, gram_hashes, join_few, lists, mix, moved, pieces, row_key, shuffle_partitions, stored, text_bytes, word_hashes
 
 SIGNATURE_WORDS = 16  # longs of 64 bits in a bitmap
 LEAF, FANOUT = 16, 8
@@ -52,12 +54,13 @@ def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
         kept, n = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
             data, at = text_bytes(batch.column("text"))
-            found = [np.unique(shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], size)[0], return_counts=True) for i, j in pieces(at, 1 << 22)]
-            h, which = np.unique(np.concatenate([kept, *(x[0] for x in found)]), return_inverse=True)
-            n = np.bincount(which, np.concatenate([n, *(x[1] for x in found)])).astype(np.int64)
-            most = np.flatnonzero(n > 1)
-            most = most[np.argsort(-n[most], kind="stable")[:FREQUENT]]
-            kept, n = h[most], n[most]
+            for i, j in pieces(at):
+                more, m = np.unique(shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], size)[0], return_counts=True)
+                h, which = np.unique(np.concatenate([kept, more]), return_inverse=True)
+                n = np.bincount(which, np.concatenate([n, m])).astype(np.int64)
+                most = np.flatnonzero(n > 1)
+                most = most[np.argsort(-n[most], kind="stable")[:FREQUENT]]
+                kept, n = h[most], n[most]
         yield pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64)), pa.array(n)], ["h", "n"])
 
     rows = (
@@ -68,7 +71,7 @@ def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def class_rows(docs: DataFrame, size: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n (set size), cls (hash of the set), prefix (the shingles that a similar set must share one of), signature."""
+    """key, doc_id, n (set size), cls (hash of the set), prefix (the shingles that a similar set must share one of), signature."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def rows(batches):
@@ -95,20 +98,21 @@ def class_rows(docs: DataFrame, size: int, num: int, den: int, frequent: np.ndar
                 cls = mix(sums ^ (n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch.column("key")[i:j],
                         batch.column("doc_id")[i:j],
                         pa.array(n.astype(np.int64)),
                         pa.array(cls.view(np.int64)),
                         lists(head.view(np.int64), need, pa.int64()),
                         lists(bits.ravel().view(np.int64), np.full(j - i, SIGNATURE_WORDS), pa.int64()),
                     ],
-                    ["doc_id", "n", "cls", "prefix", "signature"],
+                    ["key", "doc_id", "n", "cls", "prefix", "signature"],
                 )
 
-    return docs.mapInArrow(rows, "doc_id long, n long, cls long, prefix array<long>, signature array<long>")
+    return docs.mapInArrow(rows, "key long, doc_id long, n long, cls long, prefix array<long>, signature array<long>")
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(cls, tokens) of the classes in `wanted` (doc_id, cls)."""
+    """(cls, tokens) of the classes in `wanted` (key, cls)."""
 
     def rows(batches):
         for batch in batches:
@@ -124,7 +128,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     [pa.array(cls[i:j][same]), lists(h[same[text]].view(np.int64), n[same], pa.int64())], ["cls", "tokens"]
                 )
 
-    found = join_few(docs, wanted, "doc_id").where("cls is not null").select("text", "cls")
+    found = join_few(docs.select("key", "text"), wanted, "key").where("cls is not null").select("text", "cls")
     return found.mapInArrow(rows, "cls long, tokens array<long>").dropDuplicates(["cls"])
 
 
@@ -133,18 +137,22 @@ def enough(shared: str, na: str, nb: str, num: int, den: int) -> str:
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of classes that are similar, first by size and bitmap, then by their sets."""
-    side = classes.select("cls", "n", "signature")
+    """The pairs (a, b, trees) of classes that are similar: by the number of trees that hold both, then by their sets.
+
+    Both sets being in one order, all that they share up to the end of one of the prefixes is in both prefixes; the
+    rest of that set is all they can share beyond.
+    """
+    rest = f"ceil({num} * n / {den}) - 1"
+    side = classes.select("cls", "n", F.expr(rest).alias("rest"))
     near = (
-        pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
+        pairs.join(side.toDF("a", "na", "ra"), "a").join(side.toDF("b", "nb", "rb"), "b")
         .where(f"{den} * least(na, nb) >= {num} * greatest(na, nb)")
-        .withColumn("most", F.expr("na - aggregate(zip_with(sa, sb, (x, y) -> bit_count(x & ~y)), 0L, (s, x) -> s + x)"))
-        .where(enough("most", "na", "nb", num, den))
+        .where(enough("least(trees + greatest(ra, rb), na, nb)", "na", "nb", num, den))
         .select("a", "b")
     )
     near = stored(near, "pairs")
     ids = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = stored(classes.select("cls", "doc_id").join(ids, "cls").select("doc_id", "cls"), "wanted")
+    wanted = stored(classes.select("cls", "key").join(ids, "cls").select("key", "cls"), "wanted")
     sets = stored(token_sets(docs, wanted, size), "sets")
     both = near.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
     both = both.select("a", "b", F.size("ta").alias("na"), F.size("tb").alias("nb"), F.size(F.array_intersect("ta", "tb")).alias("shared"))
@@ -194,9 +202,13 @@ class Tree:
 
 
 def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFrame:
-    """Pairs (a, b) from the trees: rows have token, part, cls, n, component, signature."""
+    """Pairs (a, b) and the number of trees that they come from.
+
+    Rows have token, part, cls, n, component, signature, and say where they stand: band, upper, mine, low, high. Of
+    the groups of one tree that hold a pair, the one of its larger band and its two blocks gives it.
+    """
 
-    def small(batch_n, begin, count, n, signature, component, cls):
+    def small(begin, count, n, signature, component):
         """All pairs inside groups of one leaf, over many groups at once."""
         for size in range(2, LEAF + 1):
             mine = begin[count == size]
@@ -208,25 +220,29 @@ def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFram
             a, b = a[ok], b[ok]
             most = n[a] - np.bitwise_count(signature[a] & ~signature[b]).sum(1).astype(np.int64)
             ok = (num + den) * most >= num * (n[a] + n[b])
-            yield cls[a[ok]], cls[b[ok]]
+            yield a[ok], b[ok]
 
     def work(table):
         n = table.column("n").to_numpy()
         order = np.lexsort((n, table.column("part").to_numpy(), table.column("token").to_numpy()))
         token, part, cls, n, component = (table.column(c).to_numpy()[order] for c in ("token", "part", "cls", "n", "component"))
+        band, upper, mine, low, high = (table.column(c).to_numpy()[order] for c in ("band", "upper", "mine", "low", "high"))
         signature = table.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, SIGNATURE_WORDS).view(np.uint64)[order]
         component = np.unique(component, return_inverse=True)[1].astype(np.int64)
         begin = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (part[1:] != part[:-1])]))
         count = np.diff(begin, append=len(token))
-        found = list(small(len(token), begin, count, n, signature, component, cls))
+        found = list(small(begin, count, n, signature, component))
         for b, c in zip(begin[count > LEAF].tolist(), count[count > LEAF].tolist()):
             one = slice(b, b + c)
             i, j = Tree(n[one], signature[one], component[one]).pairs(num, den)
-            found.append((cls[one][i], cls[one][j]))
+            found.append((i + b, j + b))
         if found:
             a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            ok = np.maximum(band[a], band[b]) == upper[a]
+            ok &= (np.minimum(mine[a], mine[b]) == low[a]) & (np.maximum(mine[a], mine[b]) == high[a])
+            a, b = cls[a[ok]], cls[b[ok]]
+            pairs, trees = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(trees)], ["a", "b", "trees"])
 
     def traverse(batches):
         """Whole groups at a time; the rows come sorted by group."""
@@ -244,26 +260,26 @@ def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFram
 
     return (
         rows.repartition(partitions, "token", "part").sortWithinPartitions("token", "part")
-        .mapInArrow(traverse, "a long, b long").distinct()
+        .mapInArrow(traverse, "a long, b long, trees long").groupBy("a", "b").agg(F.sum("trees").alias("trees"))
     )
 
 
 def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row of `docs` (doc_id, text).
+    """key (see row_key), doc_id, n_shingles and component_id of each row of `docs` (doc_id, text).
 
     Two rows are linked when den * |A and B| >= num * |A or B| for their sets of `size`-word shingles, words being
     runs of other bytes than blanks, A-Z in lower case; component_id is the smallest doc_id that links lead to.
     Null texts and texts without words have empty sets and are linked with nothing; equal non-empty sets are
     always linked. Rows that repeat a doc_id are rows of their own; a null doc_id is left out when the smallest
-    is sought. No rows give no rows; other columns are ignored.
+    is sought, and is the result where there is no other. No rows give no rows; other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(row_key().alias("key"), "doc_id", "text")
     partitions = shuffle_partitions(docs.sparkSession)
     frequent = frequent_shingles(docs, size)
     base = stored(class_rows(docs, size, num, den, frequent), "classes")
     classes = stored(
         base.where("n > 0").groupBy("cls", "n").agg(
-            F.min("doc_id").alias("doc_id"), F.any_value("prefix").alias("prefix"), F.any_value("signature").alias("signature")
+            F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.any_value("prefix").alias("prefix"), F.any_value("signature").alias("signature")
         ),
         "representatives",
     )
@@ -272,7 +288,8 @@ def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
         tokens.groupBy("token").agg(F.count("*").alias("members"), F.min("cls").alias("center")).where("members > 1"), "trees"
     )
     members = stored(join_few(tokens, trees, "token").where("members is not null"), "members")
-    stars = members.where("cls <> center").select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b")).distinct()
+    stars = members.where("cls <> center").select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b"))
+    stars = stars.groupBy("a", "b").agg(F.count("*").alias("trees"))
     edges = stored(verified(stars, classes, docs, size, num, den), "links")
     known = stored(components(edges), "known")
 
@@ -289,8 +306,8 @@ def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("upper", F.explode(F.array("band", F.col("band") + 1)))
-    part = F.xxhash64("upper", F.least("mine", "other"), F.greatest("mine", "other"))
-    rows = rows.select("token", part.alias("part"), "cls", "n", "component", "signature")
+    rows = rows.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
+    rows = rows.drop("other", "members", "blocks").withColumn("part", F.xxhash64("upper", "low", "high"))
     more = verified(tree_pairs(rows, num, den, partitions), classes, docs, size, num, den)
     final = components(edges.unionByName(more))
 
@@ -299,5 +316,5 @@ def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     lowest = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = joined.join(moved(lowest), "component").select("cls", "component_id")
     return base.join(moved(named), "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "key", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
