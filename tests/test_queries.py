@@ -3,12 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from deskflow.plans import ORACLES, QUERIES
 
 from .compare import compare, connect
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(base):
@@ -30,7 +28,8 @@ def test_returns_rows(spark, base, name):
 
 
 def test_oracles_belong_to_queries():
-    assert set(ORACLES) <= set(QUERIES)
+    queries, oracles = entry_points.queries(), entry_points.oracle_sql()
+    assert set(QUERIES) <= set(queries) and set(ORACLES) <= set(oracles) <= set(queries)
 
 
 def test_entry(spark):
