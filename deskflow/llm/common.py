@@ -5,12 +5,12 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
 
-PIECE_BYTES = 1 << 20  # texts are worked on in runs of about so many bytes
+PIECE_BYTES = 1 << 19  # texts are worked on in runs of about so many bytes
 
 # fixed values: the bytes that end a word, [\x20\x09-\x0D]
 _BLANK = np.zeros(256, bool)
@@ -29,12 +29,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> Column:
+    """What tells rows of documents apart where doc_id may be null or repeated: only equal rows share it."""
+    return F.xxhash64("doc_id", "text")
+
+
 def moved(df: DataFrame) -> DataFrame:
     """Takes a side off its key's partitions, so that a join on that key shuffles both sides anew
     and adaptive execution may split a frequent key."""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import PACKED, matched, pack
-from .common import join_few, moved, pieces, rolling, shuffle_partitions, stored, text_bytes
+from .common import join_few, moved, pieces, rolling, row_key, shuffle_partitions, stored, text_bytes
 
 LENGTH = 400
 
@@ -118,7 +118,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     a character. Null texts are empty. Equal rows are copies of one another, so they lose all their bytes if they
     are long enough. No rows give no rows; other columns are ignored.
     """
-    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    docs = docs.select("doc_id", "text", row_key().alias("key"))
     blocks = shuffle_partitions(docs.sparkSession)
     long = docs.where(F.octet_length("text") >= length)
     runs = stored(anchored_runs(long.select("key", "text"), length), "runs")
