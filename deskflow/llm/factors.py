@@ -15,97 +15,36 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import gram_hashes, join_few, lists, pieces, shuffle_partitions, stored, text_bytes, word_hashes
+from .blocks import PACKED, matched, pack
+from .common import gram_hashes, join_few, pieces, shuffle_partitions, stored, text_bytes, word_hashes
 
-PACKED = "block int, docs binary, counts binary, hashes binary, steps binary, wide boolean"
+RUN_BYTES = 1 << 22  # of text whose seeds are packed together
 
 
 def seed_rows(docs: DataFrame, size: int, blocks: int) -> DataFrame:
-    def pack(batches):
-        names = ["block", "docs", "counts", "hashes", "steps", "wide"]
+    def seeds(data, at):
+        hashes, counts = [], np.zeros(len(at) - 1, np.int32)
+        for i, j in pieces(at):
+            words, first = word_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i])
+            hashes.append(gram_hashes(words, first, size)[0])
+            counts[i:j] = np.maximum(np.diff(first) - size + 1, 0)
+        return np.concatenate(hashes), counts
+
+    def rows(batches):
         for batch in batches:
             data, at = text_bytes(batch.column("text"))
-            hashes, counts = [], np.zeros(batch.num_rows, np.int32)
-            for i, j in pieces(at):
-                words, first = word_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i])
-                h, _ = gram_hashes(words, first, size)
-                hashes.append(h)
-                counts[i:j] = np.maximum(np.diff(first) - size + 1, 0)
-            h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-            used = np.flatnonzero(counts)
-            if not len(used):
-                continue
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[used].tobytes()
-            each = counts[used].tobytes()
-            block = ((h >> np.uint64(32)) % np.uint64(blocks)).astype(np.uint16 if blocks < 1 << 16 else np.uint32)
-            order = np.argsort(block, kind="stable")
-            ends = np.cumsum(np.bincount(block, minlength=blocks))
-            first = 0
-            for b, end in enumerate(ends.tolist()):
-                if end > first:
-                    mine = order[first:end]
-                    steps = np.diff(mine, prepend=0)
-                    wide = bool(steps.max() > 0xFFFF)
-                    row = [b, ids, each, h[mine].tobytes(), steps.astype(np.uint32 if wide else np.uint16).tobytes(), wide]
-                    types = [pa.int32(), *[pa.binary()] * 4, pa.bool_()]
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
-                first = end
-
-    return docs.mapInArrow(pack, PACKED)
-
-
-def repeated_seeds(packed: DataFrame, blocks: int, partitions: int) -> DataFrame:
-    """(doc_id, starts) of seeds that also start in a document with a smaller id; several rows for a document."""
-
-    def look_up(rows):
-        ids, starts, hashes = [], [], []
-        for docs, counts, h, steps, wide in rows:
-            docs, counts = np.frombuffer(docs, np.int64), np.frombuffer(counts, np.int32)
-            place = np.cumsum(np.frombuffer(steps, np.uint32 if wide else np.uint16), dtype=np.int64)
-            begin = np.cumsum(counts, dtype=np.int64) - counts
-            text = np.searchsorted(begin, place, side="right") - 1
-            ids.append(docs[text])
-            starts.append((place - begin[text]).astype(np.int32))
-            hashes.append(np.frombuffer(h, np.uint64))
-        h = np.concatenate(hashes)
-        order = np.argsort(h)
-        h = h[order]
-        new = np.empty(len(h), bool)
-        new[0] = True
-        np.not_equal(h[1:], h[:-1], out=new[1:])
-        begin = np.flatnonzero(new)
-        doc = np.concatenate(ids)[order]
-        smallest = np.repeat(np.minimum.reduceat(doc, begin), np.diff(begin, append=len(h)))
-        hit = np.flatnonzero(doc > smallest)
-        if not len(hit):
-            return
-        doc, start = doc[hit], np.concatenate(starts)[order[hit]]
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
-        begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[begin]), lists(start, np.diff(begin, append=len(doc)), pa.int32())], ["doc_id", "starts"]
-        )
-
-    def by_block(batches):
-        held, rows = None, []
-        for batch in batches:
-            for b, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if b != held and rows:
-                    yield from look_up(rows)
-                    rows = []
-                held = b
-                rows.append(row)
-        if rows:
-            yield from look_up(rows)
-
-    return (
-        packed.repartitionById(partitions, F.col("block") % partitions)
-        .sortWithinPartitions("block")
-        .mapInArrow(by_block, "doc_id long, starts array<int>")
-    )
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            for i, j in pieces(at, RUN_BYTES):
+                h, counts = seeds(data[at[i] : at[j]], at[i : j + 1] - at[i])
+                yield from pack(ids[i:j], counts, h, blocks)
+
+    return docs.mapInArrow(rows, PACKED)
+
+
+def after_first(doc: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Places whose hash also stands in a text with a smaller id."""
+    return doc > np.repeat(np.minimum.reduceat(doc, begin), np.diff(begin, append=len(doc)))
 
 
 def remove_earlier_passages(docs: DataFrame, size: int = 13) -> DataFrame:
@@ -116,11 +55,9 @@ def remove_earlier_passages(docs: DataFrame, size: int = 13) -> DataFrame:
     in one is applied at the same words of the other. No rows give no rows; other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    partitions = shuffle_partitions(docs.sparkSession)
-    blocks = 2 * partitions
+    blocks = shuffle_partitions(docs.sparkSession)
     packed = seed_rows(docs.where("doc_id is not null and text is not null"), size, blocks)
-    hits = repeated_seeds(packed, blocks, partitions).groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    hits = stored(hits, "factors")
+    hits = stored(matched(packed, blocks, after_first).toDF("doc_id", "starts"), "factors")
 
     def cut(batches):
         for batch in batches:
