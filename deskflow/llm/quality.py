@@ -8,15 +8,16 @@ the maximum over all chunks go into one probability.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces, text_bytes
+from .common import pieces, stored, text_bytes
 
 WIDTH, STEP, HALF, FILTERS = 8, 4, 256, 16
 SAMPLE_ROWS, SAMPLE_BYTES = 1500, 6 << 20  # of each label, about, that the network is trained on
-EPOCHS, BATCH, RATE = 6, 16, 0.01
+STEPS, BATCH, RATE = 1000, 16, 0.01
 
 
 def laid_out(data: np.ndarray, at: np.ndarray):
@@ -77,9 +78,9 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> dict:
         "out": rng.normal(0, 0.3, 2 * FILTERS).astype(np.float32),
         "base": np.zeros(1, np.float32),
     }
-    one, two, steps = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2)), None, 0
-    one, two = one
-    for _ in range(EPOCHS):
+    one, two = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    steps = 0
+    while steps < STEPS:
         order = rng.permutation(len(texts))
         for b in range(0, len(order), BATCH):
             mine = order[b : b + BATCH]
@@ -120,23 +121,35 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> dict:
     return p
 
 
-def fit(labelled: DataFrame) -> dict:
-    """Learns from `labelled` (text, quality 0 or 1); rows with another quality are left out, null texts are empty.
+def fit(docs: DataFrame, labels: DataFrame) -> dict:
+    """Learns from the texts of `docs` (doc_id, text) that `labels` (doc_id, quality 0 or 1) say something of.
 
-    The sample is bounded by rows and by bytes of text for each label and chosen by a hash of the text; its texts
-    are whole. Without rows of both labels every text is as likely one as the other.
+    Labels with another quality or no doc_id are left out; null texts are empty. About SAMPLE_ROWS labels of each
+    kind are drawn by a hash of doc_id before texts are read, and thinned again if their texts, which stay whole,
+    have more than SAMPLE_BYTES. Without texts of both labels every text is as likely one as the other.
     """
-    rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
-    sizes = rows.groupBy("quality").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()
-    share = F.lit(0.0)
-    for q, n, b in sizes:
-        share = F.when(F.col("quality") == q, F.lit(min(1.0, SAMPLE_ROWS / n, SAMPLE_BYTES / max(b, 1)))).otherwise(share)
-    chance = F.shiftrightunsigned(F.xxhash64("text", F.lit(5)), 11) / float(1 << 53)
-    sample = rows.where(chance < share).toPandas().sort_values(["quality", "text"], ignore_index=True)
-    labels = sample["quality"].to_numpy(np.float32)
-    if len(set(labels.tolist())) < 2:
-        return {"filters": np.zeros((WIDTH, 256, FILTERS), np.float32), "bias": np.zeros(FILTERS, np.float32), "out": np.zeros(2 * FILTERS, np.float32), "base": np.zeros(1, np.float32)}
-    return train([t.encode() for t in sample["text"]], labels)
+
+    def chance(seed: int):
+        return F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / float(1 << 53)
+
+    def thinned(rows: DataFrame, shares: dict, seed: int) -> DataFrame:
+        share = F.lit(0.0)
+        for q, part in shares.items():
+            share = F.when(F.col("quality") == q, F.lit(min(1.0, part))).otherwise(share)
+        return rows.where(chance(seed) < share)
+
+    labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1) and doc_id is not null")
+    counts = labels.groupBy("quality").agg(F.count("*").alias("n")).collect()
+    drawn = stored(thinned(labels, {q: SAMPLE_ROWS / n for q, n in counts}, 5), "labels")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(drawn, "doc_id")
+    sizes = texts.groupBy("quality").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    sample = thinned(texts, {q: SAMPLE_BYTES / max(n, 1) for q, n in sizes}, 6).toPandas()
+    sample = sample.sort_values(["quality", "doc_id", "text"], ignore_index=True)
+    truth = sample["quality"].to_numpy(np.float32)
+    if len(set(truth.tolist())) < 2:
+        shapes = {"filters": (WIDTH, 256, FILTERS), "bias": FILTERS, "out": 2 * FILTERS, "base": 1}
+        return {k: np.zeros(v, np.float32) for k, v in shapes.items()}
+    return train([t.encode() for t in sample["text"]], truth)
 
 
 def scored(docs: DataFrame, model: dict) -> DataFrame:
@@ -155,3 +168,18 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out), pa.array((out >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double, predicted int")
+
+
+def score_of(spark: SparkSession, model: dict):
+    """The score as a function of a text column, for filters that keep a row's other columns."""
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        data, at = text_bytes(pa.array(text, pa.large_string(), from_pandas=True))
+        out = np.zeros(len(text))
+        for i, j in pieces(at, 1 << 19):
+            out[i:j] = probability(sent.value, data[at[i] : at[j]], at[i : j + 1] - at[i])
+        return pd.Series(out)
+
+    return score

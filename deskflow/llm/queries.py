@@ -50,7 +50,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 )
 def signatures(spark, base):
     """Documents linked by the Jaccard similarity of their 4-word shingles, as components."""
-    return shingle_components(table(spark, base, "documents"), 4, 85, 100)
+    return shingle_components(table(spark, base, "documents"), 4, 85, 100).drop("key")
 
 
 @query("op2_mixing")
@@ -82,7 +82,7 @@ def identifiers(spark, base):
 @query("op5_decontaminate")
 def decontaminate(spark, base):
     """Benchmark items that stand in documents, exactly or with a few edits."""
-    return find_items(table(spark, base, "documents"), table(spark, base, "benchmark"))
+    return find_items(table(spark, base, "documents"), table(spark, base, "benchmark")).drop("key")
 
 
 @query("op7_suffixes")
@@ -96,9 +96,9 @@ def qualities(spark, base):
     """The quality of every document, learned from two thirds of the labels."""
     docs = table(spark, base, "documents").select("doc_id", "text")
     labels = table(spark, base, "labels").select("doc_id", "quality").where("quality is not null")
-    learn = docs.join(labels.where(language.fold(F.col("doc_id"), 3) != 1), "doc_id")
+    model = quality.fit(docs, labels.where(language.fold(F.col("doc_id"), 3) != 1))
     held_out = F.coalesce(language.fold(F.col("doc_id"), 3) == 1, F.lit(False))
-    return quality.scored(docs, quality.fit(learn)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return quality.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 @query(
