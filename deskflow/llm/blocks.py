@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import lists, mix
 
@@ -100,3 +101,39 @@ def matched(packed: DataFrame, blocks: int, wanted) -> DataFrame:
     found = packed.repartitionById(blocks, "block").sortWithinPartitions("block").mapInArrow(by_group(look_up), "owner int, docs binary, places binary")
     found = found.repartitionById(blocks, "owner").sortWithinPartitions("owner")
     return found.mapInArrow(by_group(gather), "id long, places array<int>")
+
+
+def frequent_bits(rows: DataFrame, hashes, least: int, bits: int, blocks: int) -> np.ndarray:
+    """A bit map, at hash modulo `bits`, of the hashes that occur `least` times or more.
+
+    `hashes` gets an Arrow batch and yields arrays of hashes; all are counted. The map has a fixed size: once it is
+    full it says yes too often.
+    """
+
+    def send(batches):
+        for batch in batches:
+            for h in hashes(batch):
+                for block, mine in dealt(((h >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64), blocks):
+                    yield packed_row([block, h[mine].tobytes()], ["block", "hashes"])
+
+    def count(rows):
+        h, n = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for (x,) in rows]), return_counts=True)
+        slot = h[n >= least] & np.uint64(bits - 1)
+        if len(slot):
+            slot = np.unique(slot)
+            word, mask = (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63))
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word[first]), pa.array(np.bitwise_or.reduceat(mask, first).view(np.int64))], ["word", "mask"]
+            )
+
+    packed = rows.mapInArrow(send, "block int, hashes binary").repartitionById(blocks, "block").sortWithinPartitions("block")
+    found = packed.mapInArrow(by_group(count), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    out = np.zeros(bits // 64, np.int64)
+    out[found["word"].to_numpy()] = found["mask"].to_numpy()
+    return out.view(np.uint64)
+
+
+def has_bit(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    slot = h & np.uint64(len(bits) * 64 - 1)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

@@ -1,7 +1,7 @@
 """N-gram Jaccard join with signature trees.
 
 Documents with one set of shingles form a class; one of them stands for it. Classes that can be similar share
-a shingle among the first few of their sets, in any order that is common to all (here: the frequent ones
+a shingle among the first few of their sets, in any order that is common to all (here: those that many texts share
 last). Each such shingle is the root of a signature tree over its classes. A node holds the OR of its token
 bitmaps, its range of set sizes, the most tokens that collide in one of its bitmaps, and its component, if it
 has but one. Two nodes are traversed together, and a pair is given up when its greatest possible overlap is
@@ -21,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import frequent_bits, has_bit
 from .common import components, gram_hashes, join_few, lists, mix, moved, pieces, row_key, shuffle_partitions, stored, text_bytes, word_hashes
 
-SIGNATURE_WORDS = 16  # longs of 64 bits in a bitmap
+SIGNATURE_WORDS = 32  # longs of 64 bits in a bitmap
 LEAF, FANOUT = 16, 8
 BLOCK = 512  # classes of one tree in a task; a larger tree is cut into blocks of so many, and tasks take two blocks
-FREQUENT = 20_000  # shingles known as frequent; they only set the order of shingles
+SHARED = 8  # texts that a shingle leads in before it is ordered last
+MAP_BITS = 1 << 26
+RUN_BYTES = 1 << 22  # of text whose shingles are packed together
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int):
@@ -47,50 +50,44 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, size: int):
     return h[keep], text[keep]
 
 
-def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
-    """The most frequent shingles, frequent ones last. Counted over all texts, each task keeping its largest counts."""
+def prefixes(h: np.ndarray, text: np.ndarray, n: np.ndarray, late: np.ndarray, num: int, den: int):
+    """The leading shingles of each set, shared ones last, and how many each set has: a similar set has one of them."""
+    order = np.lexsort((h, has_bit(late, h), text))
+    need = n - (num * n + den - 1) // den + (n > 0)
+    nth = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+    return h[order][nth < np.repeat(need, n)], need
 
-    def count(batches):
-        kept, n = np.empty(0, np.uint64), np.empty(0, np.int64)
-        for batch in batches:
-            data, at = text_bytes(batch.column("text"))
-            for i, j in pieces(at):
-                more, m = np.unique(shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], size)[0], return_counts=True)
-                h, which = np.unique(np.concatenate([kept, more]), return_inverse=True)
-                n = np.bincount(which, np.concatenate([n, m])).astype(np.int64)
-                most = np.flatnonzero(n > 1)
-                most = most[np.argsort(-n[most], kind="stable")[:FREQUENT]]
-                kept, n = h[most], n[most]
-        yield pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64)), pa.array(n)], ["h", "n"])
-
-    rows = (
-        docs.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-        .where("n > 3").orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()
-    )
-    return rows["h"].to_numpy(np.int64).view(np.uint64)[::-1]
+
+def shared_shingles(docs: DataFrame, size: int, num: int, den: int, blocks: int) -> np.ndarray:
+    """A bit map of the shingles that lead in many texts while they are ordered by their hash alone.
+
+    Ordered last, shingles of common passages lead in few sets, so trees hold few classes that are not similar. The
+    order never changes what is found.
+    """
+
+    def leading(batch):
+        data, at = text_bytes(batch.column("text"))
+        for i, j in pieces(at, RUN_BYTES):
+            found = []
+            for a, b in pieces(at[i : j + 1] - at[i]):
+                h, text = shingle_sets(data[at[i + a] : at[i + b]], at[i + a : i + b + 1] - at[i + a], size)
+                found.append(prefixes(h, text, np.bincount(text, minlength=b - a), np.zeros(1, np.uint64), num, den)[0])
+            yield np.concatenate(found)
+
+    return frequent_bits(docs.select("text"), leading, SHARED, MAP_BITS, blocks)
 
 
-def class_rows(docs: DataFrame, size: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
+def class_rows(docs: DataFrame, size: int, num: int, den: int, late: np.ndarray) -> DataFrame:
     """key, doc_id, n (set size), cls (hash of the set), prefix (the shingles that a similar set must share one of), signature."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+    sent = docs.sparkSession.sparkContext.broadcast(late)
 
     def rows(batches):
-        known = np.sort(sent.value)
-        rank = np.argsort(sent.value).astype(np.int32) + 1
         for batch in batches:
             data, at = text_bytes(batch.column("text"))
             for i, j in pieces(at):
                 h, text = shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], size)
                 n = np.bincount(text, minlength=j - i)
-                late = np.zeros(len(h), np.int32)
-                if len(known):
-                    spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    late = np.where(known[spot] == h, rank[spot], 0)
-                order = np.lexsort((h, late, text))
-                need = n - (num * n + den - 1) // den + (n > 0)
-                begin = np.cumsum(n) - n
-                nth = np.arange(len(h)) - np.repeat(begin, n)
-                head = h[order][nth < np.repeat(need, n)]
+                head, need = prefixes(h, text, n, sent.value, num, den)
                 bits = np.zeros((j - i, SIGNATURE_WORDS), np.uint64)
                 np.bitwise_or.at(bits, (text, (h >> np.uint64(6)).astype(np.int64) % SIGNATURE_WORDS), np.uint64(1) << (h & np.uint64(63)))
                 sums = np.zeros(j - i, np.uint64)
@@ -111,6 +108,26 @@ def class_rows(docs: DataFrame, size: int, num: int, den: int, frequent: np.ndar
     return docs.mapInArrow(rows, "key long, doc_id long, n long, cls long, prefix array<long>, signature array<long>")
 
 
+def shared_tokens(classes: DataFrame, blocks: int) -> DataFrame:
+    """(cls, token) of the prefixes, without most tokens that only one class has."""
+
+    def lists_of(batch):
+        yield batch.column("prefix").flatten().to_numpy().view(np.uint64)
+
+    known = frequent_bits(classes.select("prefix"), lists_of, 2, MAP_BITS, blocks)
+    sent = classes.sparkSession.sparkContext.broadcast(known)
+
+    def rows(batches):
+        for batch in batches:
+            prefix = batch.column("prefix")
+            h = prefix.flatten().to_numpy()
+            owner = np.repeat(batch.column("cls").to_numpy(), np.diff(prefix.offsets.to_numpy()))
+            keep = has_bit(sent.value, h.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(owner[keep]), pa.array(h[keep])], ["cls", "token"])
+
+    return classes.select("cls", "prefix").mapInArrow(rows, "cls long, token long")
+
+
 def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(cls, tokens) of the classes in `wanted` (key, cls)."""
 
@@ -128,8 +145,9 @@ def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     [pa.array(cls[i:j][same]), lists(h[same[text]].view(np.int64), n[same], pa.int64())], ["cls", "tokens"]
                 )
 
-    found = join_few(docs.select("key", "text"), wanted, "key").where("cls is not null").select("text", "cls")
-    return found.mapInArrow(rows, "cls long, tokens array<long>").dropDuplicates(["cls"])
+    # the join leaves rows of one key together, so equal rows go without a shuffle
+    found = join_few(docs.select("key", "text"), wanted, "key").where("cls is not null").dropDuplicates(["key"])
+    return found.select("text", "cls").mapInArrow(rows, "cls long, tokens array<long>")
 
 
 def enough(shared: str, na: str, nb: str, num: int, den: int) -> str:
@@ -275,15 +293,15 @@ def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     """
     docs = docs.select(row_key().alias("key"), "doc_id", "text")
     partitions = shuffle_partitions(docs.sparkSession)
-    frequent = frequent_shingles(docs, size)
-    base = stored(class_rows(docs, size, num, den, frequent), "classes")
+    late = shared_shingles(docs, size, num, den, partitions)
+    base = stored(class_rows(docs, size, num, den, late), "classes")
     classes = stored(
         base.where("n > 0").groupBy("cls", "n").agg(
             F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.any_value("prefix").alias("prefix"), F.any_value("signature").alias("signature")
         ),
         "representatives",
     )
-    tokens = classes.select("cls", F.explode("prefix").alias("token"))
+    tokens = stored(shared_tokens(classes, partitions), "tokens")
     trees = stored(
         tokens.groupBy("token").agg(F.count("*").alias("members"), F.min("cls").alias("center")).where("members > 1"), "trees"
     )
