@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import moved, stored
+from .common import moved, row_key, stored
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 4
@@ -156,7 +156,7 @@ MENTION = "struct<kind:string,value:string,start:int,end:int,seed:boolean,patter
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """row, doc_id, known (kind, start, end) and mentions of each row of `docs` (doc_id, text)."""
+    """row, key, doc_id, known (kind, start, end) and mentions of each row of `docs` (doc_id, text)."""
 
     def rows(batches):
         for batch in batches:
@@ -173,12 +173,13 @@ def scanned(docs: DataFrame) -> DataFrame:
                 ("seed", pa.bool_()), ("patterns", pa.list_(pa.string())),
             ])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(known, pa.list_(span)), pa.array(mentions, pa.list_(mention))], ["doc_id", "known", "mentions"]
+                [batch.column("key"), batch.column("doc_id"), pa.array(known, pa.list_(span)), pa.array(mentions, pa.list_(mention))],
+                ["key", "doc_id", "known", "mentions"],
             )
 
     # only texts with a digit or an at sign, however written, are handed over
     text = F.when(F.col("text").rlike(r"[0-9@]|\(at\)|\[at\]"), F.col("text"))
-    out = docs.select("doc_id", text.alias("text")).mapInArrow(rows, f"doc_id long, known array<struct<kind:string,start:int,end:int>>, mentions array<{MENTION}>")
+    out = docs.select(row_key().alias("key"), "doc_id", text.alias("text")).mapInArrow(rows, f"key long, doc_id long, known array<struct<kind:string,start:int,end:int>>, mentions array<{MENTION}>")
     return stored(out.withColumn("row", F.monotonically_increasing_id()), "mentions")
 
 
@@ -207,7 +208,7 @@ def believed(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def find_identifiers(docs: DataFrame) -> DataFrame:
-    """doc_id, known and spans for each row of `docs` (doc_id, text): arrays of kind, start and end in code points.
+    """key (see row_key), doc_id, known and spans for each row of `docs` (doc_id, text): arrays of kind, start and end in code points.
 
     known has what is found by form, by kind and start; spans has all of it and what patterns and known values add,
     which never overlaps the former. Null texts are empty. Equal rows are rows of their own. No rows give no rows;
@@ -222,9 +223,9 @@ def find_identifiers(docs: DataFrame) -> DataFrame:
     added = told.unionByName(same).groupBy("row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("added"))
     place = "array_position(array('email', 'ip', 'card', 'phone'), {0}.kind) * 4294967296L + {0}.start"
     ordered = F.expr(f"array_sort(spans, (x, y) -> cast(sign({place.format('x')} - ({place.format('y')})) as int))")
-    out = rows.select("row", "doc_id", "known").join(moved(added), "row", "left")
+    out = rows.select("row", "key", "doc_id", "known").join(moved(added), "row", "left")
     out = out.withColumn("spans", F.when(F.col("added").isNull(), F.col("known")).otherwise(F.concat("known", "added")))
-    return out.select("doc_id", "known", ordered.alias("spans"))
+    return out.select("key", "doc_id", "known", ordered.alias("spans"))
 
 
 def written(spans: str):
