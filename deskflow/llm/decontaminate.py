@@ -2,8 +2,9 @@
 
 A random walk through a string writes, at each step, the character it stands on, and then moves on or stays as a
 random bit for that step and character says. Two strings that are a few edits apart fall into step again after each
-edit, so their edit distance becomes a Hamming distance of what is written. Each table samples a few steps of the
-walk; windows that agree at all steps of one table are candidates.
+edit, so their edit distance becomes a Hamming distance of what is written. Each table samples a few steps of one
+stretch of the walk, the stretches of all tables covering it; windows that agree at all steps of one table are
+candidates, so long windows may hold many edits as long as one stretch has none.
 
 Windows are as long as the items: an item of n bytes is covered by windows of W bytes, W the power of two with
 1.5 W <= n < 3 W. Documents give windows at every W / 2 bytes, items give theirs at every byte, so wherever an item
@@ -11,7 +12,7 @@ stands in a document one of the document's windows lies inside it at some byte o
 window without edits or several chances with them; exact copies are always found.
 
 A bit map of fixed size says which samples occur in the items at all; only those windows are sent to the join. Each
-candidate is then aligned with the whole item, and counts if the edit distance to the closest part of the document
+candidate with enough runs of four bytes in common is then aligned with the whole item, and counts if the edit distance to the closest part of the document
 is at most a given share of the item's length. Case and runs of blanks do not count as edits.
 """
 
@@ -22,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BLANK, _LOWER, _seeded, join_few, mix, moved, pieces, stored, text_bytes
+from .common import _BLANK, _LOWER, _seeded, join_few, mix, moved, pieces, row_key, stored, text_bytes
 
-TABLES, SAMPLED = 4, 10
+TABLES, SAMPLED = 8, 10
+STRETCH = 64  # steps of the walk that one table's samples lie in
 MAP_BITS = 1 << 26
 EDITS = 0.1  # of an item's length
 
@@ -59,7 +61,9 @@ class Walk:
         self.width, self.steps = width, 2 * width
         rng = np.random.default_rng(1000 + width)
         self.moves = rng.integers(0, 2, (self.steps, 256), dtype=np.int64)
-        sampled = np.stack([rng.choice(self.steps, min(SAMPLED, self.steps), replace=False) for _ in range(TABLES)])
+        stretch = min(STRETCH, self.steps)
+        begin = np.linspace(0, self.steps - stretch, TABLES).astype(int)
+        sampled = begin[:, None] + np.stack([rng.choice(stretch, min(SAMPLED, stretch), replace=False) for _ in range(TABLES)])
         self.at_step: dict[int, list[int]] = {}
         for t in range(TABLES):
             for s in sampled[t].tolist():
@@ -178,16 +182,28 @@ def nearest(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def grams(x: np.ndarray) -> np.ndarray:
+    """The runs of four bytes, as numbers."""
+    x = x.astype(np.uint32)
+    return x[:-3] | x[1:-2] << 8 | x[2:-1] << 16 | x[3:] << 24
+
+
+def can_be_near(pattern: np.ndarray, text: np.ndarray, edits: int) -> bool:
+    """Whether enough runs of four bytes of the pattern are in the text; each edit breaks at most four."""
+    least = len(pattern) - 3 - 4 * edits
+    return least <= 0 or len(text) >= 4 and int(np.isin(grams(pattern), grams(text)).sum()) >= least
+
+
 def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataFrame:
-    """(doc_id, item_id, distance, size) for each item of `items` (item_id, text) that stands in a row of `docs` (doc_id, text).
+    """(key, doc_id, item_id, distance, size) for each item of `items` (item_id, text) that stands in a row of `docs` (doc_id, text).
 
     An item stands in a text when the edit distance of the whole item to some part of the text is at most `edits` of
     the item's length, both in plain form: A-Z in lower case, runs of blanks as one. Distance 0 is always found;
     others are found by sampling. Null, empty and blank texts hold nothing and null or blank items stand nowhere.
-    Rows that repeat a doc_id give one answer for each item that stands in any of them, and rows that repeat an
+    Equal rows give one answer for each item that stands in them (key: see row_key), and rows that repeat an
     item_id are one item with several texts. No rows give no rows; other columns are ignored.
     """
-    docs = docs.where("text is not null").select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    docs = docs.where("text is not null").select("doc_id", "text", row_key().alias("key"))
     items = items.where("text is not null and item_id is not null").select("item_id", "text").distinct()
     samples = stored(item_samples(items), "item-samples")
     slot = F.pmod(F.col("sample"), F.lit(MAP_BITS))
@@ -213,10 +229,10 @@ def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataF
                     part.append(x[max(0, s["start"] - slack) : s["start"] + s["size"] + slack].tobytes())
                 n = len(item)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("doc_id")[i].as_py()] * n, pa.int64()), pa.array(item, pa.int64()), pa.array(part, pa.binary())], ["doc_id", "item_id", "part"]
+                    [pa.array([batch.column("key")[i].as_py()] * n, pa.int64()), pa.array([batch.column("doc_id")[i].as_py()] * n, pa.int64()), pa.array(item, pa.int64()), pa.array(part, pa.binary())], ["key", "doc_id", "item_id", "part"]
                 )
 
-    found = join_few(docs, spots, "key").where("spots is not null").select("doc_id", "text", "spots").mapInArrow(parts, "doc_id long, item_id long, part binary")
+    found = join_few(docs, spots, "key").where("spots is not null").select("key", "doc_id", "text", "spots").mapInArrow(parts, "key long, doc_id long, item_id long, part binary")
 
     def align(batches):
         for batch in batches:
@@ -224,13 +240,14 @@ def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataF
             data, at = plain_bytes(*ids)
             distance, size = [], []
             for i, part in enumerate(texts):
-                pattern = data[at[i] : at[i + 1]].tobytes()
-                distance.append(nearest(pattern, part.as_buffer().to_pybytes())[0])
+                pattern, text = data[at[i] : at[i + 1]], np.frombuffer(part.as_buffer(), np.uint8)
+                near = can_be_near(pattern, text, int(len(pattern) * edits))
+                distance.append(nearest(pattern.tobytes(), text.tobytes())[0] if near else len(pattern))
                 size.append(len(pattern))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("item_id"), pa.array(distance, pa.int64()), pa.array(size, pa.int64())], ["doc_id", "item_id", "distance", "size"]
+                [batch.column("key"), batch.column("doc_id"), batch.column("item_id"), pa.array(distance, pa.int64()), pa.array(size, pa.int64())], ["key", "doc_id", "item_id", "distance", "size"]
             )
 
-    checked = found.join(moved(items), "item_id").select("doc_id", "item_id", "part", "text").mapInArrow(align, "doc_id long, item_id long, distance long, size long")
+    checked = found.join(moved(items), "item_id").select("key", "doc_id", "item_id", "part", "text").mapInArrow(align, "key long, doc_id long, item_id long, distance long, size long")
     near = checked.where((F.col("size") > 0) & (F.col("distance") <= F.floor(F.col("size") * edits)))
-    return near.groupBy("doc_id", "item_id").agg(F.min(F.struct("distance", "size")).alias("best")).select("doc_id", "item_id", "best.distance", "best.size")
+    return near.groupBy("key", "doc_id", "item_id").agg(F.min(F.struct("distance", "size")).alias("best")).select("key", "doc_id", "item_id", "best.distance", "best.size")
