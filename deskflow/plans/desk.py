@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, format_money, fx_rate, ratio
-from ..operators import enrich, lookup
+from ..operators import enrich, lookup, prices
 from ..operators import features as feat
 from ..operators.ordered import number_rows, running_totals, splittable, top_rows
 from ..session import work_dir
@@ -666,18 +665,9 @@ SELECT instrument_id, price_date, spot_price,
 FROM v_marks"""
 
 
-def returns(d: Desk):
-    """Change of each price against the one before, in percent; a window holds one price per day."""
-    previous = F.lag("spot_price").over(Window.partitionBy("instrument_id").orderBy("price_date"))
-    return d.marks.select(
-        "instrument_id", "price_date", "spot_price",
-        ((F.col("spot_price") / previous - 1) * 100).alias("daily_return"),
-    )
-
-
 @query("daily_returns", _RETURNS_SQL)
 def daily_returns(d: Desk):
-    return returns(d)
+    return prices.daily_returns(d.marks)
 
 
 @query(
@@ -688,17 +678,7 @@ def daily_returns(d: Desk):
                count(*) AS n FROM r JOIN b USING (instrument_id) GROUP BY ALL""",
 )
 def returns_histogram(d: Desk):
-    """25 equal bins between the lowest and the highest return of each instrument."""
-    whole = Window.partitionBy("instrument_id")
-    x, low, high = F.col("daily_return"), F.col("low"), F.col("high")
-    ranged = (
-        returns(d).where(x.isNotNull())
-        .withColumn("low", F.min(x).over(whole))
-        .withColumn("high", F.max(x).over(whole))
-    )
-    place = F.when(high > low, F.floor((x - low) / (high - low) * 25)).otherwise(F.lit(0))
-    bin_no = F.greatest(F.lit(0), F.least(F.lit(24), place)).cast("int")
-    return ranged.groupBy("instrument_id", bin_no.alias("bin")).agg(F.count("*").alias("n"))
+    return prices.returns_histogram(prices.daily_returns(d.marks))
 
 
 @query(
@@ -880,19 +860,7 @@ def price_line(d: Desk):
         WHERE daily_return IS NOT NULL ORDER BY abs(daily_return) DESC, instrument_id LIMIT 20""",
 )
 def largest_movers(d: Desk):
-    """The last two prices per instrument decide, found by an aggregate over the marks."""
-    last_two = top_rows(d.marks, ["instrument_id"], [F.desc("price_date")], 2)
-    newest = F.max_by("spot_price", "price_date")
-    oldest = F.min_by("spot_price", "price_date")
-    moves = last_two.groupBy("instrument_id").agg(
-        F.max("price_date").alias("price_date"),
-        F.when(F.count("*") == 2, (newest / oldest - 1) * 100).alias("daily_return"),
-    )
-    return (
-        moves.where(F.col("daily_return").isNotNull())
-        .orderBy(F.desc(F.abs("daily_return")), "instrument_id")
-        .limit(20)
-    )
+    return prices.largest_movers(d.marks)
 
 
 @query(
