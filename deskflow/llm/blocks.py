@@ -10,7 +10,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import lists, mix
 
@@ -110,28 +109,33 @@ def frequent_bits(rows: DataFrame, hashes, least: int, bits: int, blocks: int) -
     full it says yes too often.
     """
 
+    words = bits // 64
+
+    def word_of(h):
+        return ((h & np.uint64(bits - 1)) >> np.uint64(6)).astype(np.int64)
+
     def send(batches):
         for batch in batches:
             for h in hashes(batch):
-                for block, mine in dealt(((h >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64), blocks):
+                for block, mine in dealt(word_of(h) * blocks // words, blocks):
                     yield packed_row([block, h[mine].tobytes()], ["block", "hashes"])
 
     def count(rows):
         h, n = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for (x,) in rows]), return_counts=True)
-        slot = h[n >= least] & np.uint64(bits - 1)
-        if len(slot):
-            slot = np.unique(slot)
-            word, mask = (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63))
-            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word[first]), pa.array(np.bitwise_or.reduceat(mask, first).view(np.int64))], ["word", "mask"]
-            )
-
+        block = int(word_of(h[:1])[0]) * blocks // words
+        first, end = -(-block * words // blocks), -(-(block + 1) * words // blocks)
+        h = h[n >= least]
+        part = np.zeros(end - first, np.uint64)
+        np.bitwise_or.at(part, word_of(h) - first, np.uint64(1) << (h & np.uint64(63)))
+        yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([part.tobytes()], pa.binary())], ["first", "part"])
+
+    # a block owns a stretch of the map and sends it whole, so the driver gets the map's bytes and no more
     packed = rows.mapInArrow(send, "block int, hashes binary").repartitionById(blocks, "block").sortWithinPartitions("block")
-    found = packed.mapInArrow(by_group(count), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
-    out = np.zeros(bits // 64, np.int64)
-    out[found["word"].to_numpy()] = found["mask"].to_numpy()
-    return out.view(np.uint64)
+    out = np.zeros(words, np.uint64)
+    for first, part in packed.mapInArrow(by_group(count), "first long, part binary").collect():
+        part = np.frombuffer(part, np.uint64)
+        out[first : first + len(part)] = part
+    return out
 
 
 def has_bit(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
