@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import work_dir
 
-PIECE_BYTES = 1 << 19  # texts are worked on in runs of about so many bytes
+PIECE_BYTES = 1 << 18  # texts are worked on in runs of about so many bytes
 
 # fixed values: the bytes that end a word, [\x20\x09-\x0D]
 _BLANK = np.zeros(256, bool)
