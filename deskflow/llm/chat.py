@@ -69,28 +69,30 @@ def best_paths(nodes: DataFrame) -> DataFrame:
     has_reply = reach.where("up is not null").select(F.col("conv_id").alias("c"), F.col("up").alias("p")).distinct()
     leaf = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("node_id") == F.col("p"))
 
-    levels, rounds = [reach], max(1, reach.count()).bit_length()
-    while len(levels) <= rounds and levels[-1].where("up is not null").limit(1).count():
-        near = levels[-1]
-        far = near.select(*[F.col(c).alias(f"far_{c}") for c in near.columns])
-        met = near.join(far, F.col("conv_id").eqNullSafe(F.col("far_conv_id")) & (F.col("up") == F.col("far_node_id")), "left")
-        levels.append(
-            stored(
-                met.select(
-                    "conv_id", "node_id", F.col("far_up").alias("up"),
-                    (F.col("total") + F.coalesce("far_total", F.lit(0.0))).alias("total"),
-                    (F.col("steps") + F.coalesce("far_steps", F.lit(0))).alias("steps"),
-                ),
-                "reach",
-            )
+    # nodes that know their root are done and only looked up; the others go on
+    done, going, levels = reach.where("up is null"), reach.where("up is not null"), [reach]
+    rounds = max(1, reach.count()).bit_length()
+    while len(levels) <= rounds and going.limit(1).count():
+        known = done.unionByName(going)
+        far = known.select(*[F.col(c).alias(f"far_{c}") for c in known.columns])
+        met = going.join(far, F.col("conv_id").eqNullSafe(F.col("far_conv_id")) & (F.col("up") == F.col("far_node_id")))
+        level = stored(
+            met.select(
+                "conv_id", "node_id", F.col("far_up").alias("up"),
+                (F.col("total") + F.col("far_total")).alias("total"), (F.col("steps") + F.col("far_steps")).alias("steps"),
+            ),
+            "reach",
         )
-    whole = levels[-1].where("up is null").join(has_reply, leaf, "left_anti")
+        done, going = done.unionByName(level.where("up is null")), level.where("up is not null")
+        levels.append(level)
+    whole = done.join(has_reply, leaf, "left_anti")
     best = whole.groupBy("conv_id").agg(F.max_by(F.struct("node_id", "steps"), F.struct("total", -F.col("node_id"))).alias("best"))
     path = best.select("conv_id", F.col("best.node_id").alias("node_id"), F.col("best.steps").alias("depth"))
-    for k, level in enumerate(levels[:-1]):
+    for k, level in enumerate(levels):
         up = level.where("up is not null").select(F.col("conv_id").alias("c"), F.col("node_id").alias("n"), "up")
-        more = path.join(up, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("node_id") == F.col("n")))
-        path = stored(path.unionByName(more.select("conv_id", F.col("up").alias("node_id"), (F.col("depth") - (1 << k)).alias("depth"))), "path")
+        far = path.join(up, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("node_id") == F.col("n")))
+        more = stored(far.select("conv_id", F.col("up").alias("node_id"), (F.col("depth") - (1 << k)).alias("depth")), "path")
+        path = path.unionByName(more)
     return path
 
 
