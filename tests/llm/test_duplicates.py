@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from deskflow.llm.blocks import frequent_bits, has_bit
 from deskflow.llm.factors import remove_earlier_passages
 from deskflow.llm.signatures import Tree, shingle_components
 from deskflow.llm.subspaces import near_vectors
@@ -191,3 +192,16 @@ def test_vectors_of_odd_rows(spark):
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").withColumn("rep", F.lit("clash")).repartition(3)
     got = near_vectors(df).collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_map_of_frequent_hashes(spark):
+    def hashes(batch):
+        yield batch.column("x").flatten().to_numpy().view(np.uint64)
+
+    df = spark.range(1000).selectExpr("array(xxhash64(id % 300), xxhash64(id + 100000)) as x").repartition(5)
+    values = lambda e, n: spark.range(n).selectExpr(e).toPandas().iloc[:, 0].to_numpy(np.int64).view(np.uint64)
+    for blocks in (1, 7):
+        bits = frequent_bits(df, hashes, 3, 1 << 20, blocks)
+        assert has_bit(bits, values("xxhash64(id)", 300)).all()
+        assert has_bit(bits, values("xxhash64(id + 100000)", 1000)).sum() < 20
+        assert not frequent_bits(df.limit(0), hashes, 3, 1 << 20, blocks).any()
