@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import _BLANK, _LOWER, _seeded, join_few, mix, moved, pieces, row_key, stored, text_bytes
 
-TABLES, SAMPLED = 8, 10
+TABLES, SAMPLED = 8, 14
 STRETCH = 64  # steps of the walk that one table's samples lie in
 MAP_BITS = 1 << 26
 EDITS = 0.1  # of an item's length
