@@ -43,6 +43,9 @@ _LOOSE = {
 }
 _TOKEN = re.compile(r"\S+")
 _SIGN = re.compile(r"[0-9@]")
+_AT = re.compile(r" ?(?:@|\(at\)|\[at\])")
+_LOOSE_LOCAL = re.compile(r"[\w.%+-]")
+REACH = 70  # characters around a digit in which a looser form that has it must lie; the longest, a card, has 37
 
 
 def luhn(digits: str) -> bool:
@@ -120,6 +123,43 @@ def is_free(spans: list[tuple[int, int]], start: int, end: int) -> bool:
     return i == 0 or spans[i - 1][1] <= start
 
 
+def windows_of(text: str) -> list[tuple[int, int]]:
+    """What lies around digits and at signs, whole words; windows that touch or overlap are one."""
+    out: list[tuple[int, int]] = []
+    for m in _SIGN.finditer(text):
+        s = m.start()
+        if out and s + REACH <= out[-1][1]:
+            continue
+        a, b = text.rfind(" ", 0, max(0, s - REACH)) + 1, text.find(" ", s + REACH)
+        b = b if b >= 0 else len(text)
+        if out and a <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
+
+
+def loose_spans(text: str, windows: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the looser forms: what a search of the whole text for each of them finds.
+
+    E-mails have no greatest length, so they are matched from each at sign, however written: one begins where the
+    characters before its sign do, and whether it matches depends on what follows the sign only.
+    """
+    out, last = [], 0
+    for at in _AT.finditer(text):
+        start = at.start()
+        least = max(last, start - 64)
+        while start > least and _LOOSE_LOCAL.match(text, start - 1):
+            start -= 1
+        found = _LOOSE["email"].match(text, start) if start < at.start() else None
+        if found:
+            out.append(("email", start, found.end()))
+            last = found.end()
+    for kind in ("ip", "card", "phone"):
+        out += [(kind, m.start(), m.end()) for a, b in windows for m in _LOOSE[kind].finditer(text, a, b)]
+    return out
+
+
 def mentions_of(text: str, known: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int, bool, list[str]]]:
     """(kind, plain value, start, end, seed, patterns) of seeds, looser forms, and other tokens (kind empty)."""
     out, taken = [], []
@@ -129,21 +169,10 @@ def mentions_of(text: str, known: list[tuple[int, int, int]]) -> list[tuple[str,
 
     taken = joined(taken)
 
-    spots = [m.start() for m in _SIGN.finditer(text)]
-    windows, last = [], -1
-    for s in spots:  # what lies around digits and at signs, whole words
-        if s < last:
-            continue
-        a, b = text.rfind(" ", 0, max(0, s - 70)) + 1, text.find(" ", s + 70)
-        windows.append((max(a, last), b if b >= 0 else len(text)))
-        last = windows[-1][1]
-    if "(at)" in text or "[at]" in text:
-        windows = [(0, len(text))]
-    for kind, form in _LOOSE.items():
-        for a, b in windows:
-            for m in form.finditer(text, a, b):
-                if is_free(taken, m.start(), m.end()):
-                    out.append((kind, plain(kind, m[0]), m.start(), m.end(), False, patterns_around(text, m.start(), m.end())))
+    windows = windows_of(text)
+    for kind, start, end in loose_spans(text, windows):
+        if is_free(taken, start, end):
+            out.append((kind, plain(kind, text[start:end]), start, end, False, patterns_around(text, start, end)))
     seen = joined([(m[2], m[3]) for m in out])
     for a, b in windows:
         for m in _TOKEN.finditer(text, a, b):

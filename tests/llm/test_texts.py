@@ -11,7 +11,7 @@ from deskflow.llm import language, quality
 from deskflow.llm.chat import best_paths, format_conversations, linear_tree, read_back
 from deskflow.llm.common import text_bytes
 from deskflow.llm.decontaminate import find_items, nearest
-from deskflow.llm.identifiers import find_identifiers, known_spans, luhn, masked
+from deskflow.llm.identifiers import _LOOSE, find_identifiers, known_spans, loose_spans, luhn, masked, mentions_of, windows_of
 from deskflow.llm.mixing import mix_sources, schedule, source_targets
 from deskflow.llm.queries import QUERIES
 from deskflow.llm.registry import table
@@ -151,6 +151,25 @@ def test_identifiers_learn_patterns(spark):
     assert find_identifiers(empty(spark)).count() == 0
 
 
+def test_looser_forms_are_those_of_the_whole_text():
+    found = lambda text: loose_spans(text, windows_of(text))
+    whole = lambda text: [(k, m.start(), m.end()) for k, form in _LOOSE.items() for m in form.finditer(text)]
+    filler = "ab cde fghi jklm nop " * 12
+    for form in ("030 123 456 78", "4111 1111 1111 1112", "10 . 20 . 30 . 40", "me (at) x (dot) org", "me @ some-name . x . org", f"me@{'a' * 60}.{'b' * 60} . org"):
+        for n in range(200):
+            text = "7 " + filler[:n] + " phone " + form + " " + filler[:n] + "8"
+            at = text.index(form)
+            got = [(a, b) for _, a, b, seed, _ in (m[1:] for m in mentions_of(text, [])) if not seed]
+            assert (at, at + len(form)) in got, text
+            assert found(text) == whole(text), text
+    rng = random.Random(3)
+    parts = ["12", "345", " ", " ", ".", "-", "(", ")", "@", "(at)", "[at]", "x", "yz", " word " * 8, " word " * 15, "w" * 70, "\n", "é", " . "]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randrange(1, 30)))
+        assert found(text) == whole(text), text
+    found("a" * 200000 + "@" + "1" * 200000)
+
+
 def test_masked():
     spans = [{"kind": "email", "start": 3, "end": 11}, {"kind": "phone", "start": 8, "end": 14}]
     assert masked("to me@x.org12345 end", spans) == "to [email]45 end" and masked(None, spans) is None and masked("a", []) == "a"
