@@ -6,10 +6,11 @@ edit, so their edit distance becomes a Hamming distance of what is written. Each
 stretch of the walk, the stretches of all tables covering it; windows that agree at all steps of one table are
 candidates, so long windows may hold many edits as long as one stretch has none.
 
-Windows are as long as the items: an item of n bytes is covered by windows of W bytes, W the power of two with
-1.5 W <= n < 3 W. Documents give windows at every W / 2 bytes, items give theirs at every byte, so wherever an item
-stands in a document one of the document's windows lies inside it at some byte of the item. Each occurrence has one
-window without edits or several chances with them; exact copies are always found.
+Documents give windows of W bytes at every W / 4 bytes, items give theirs at every byte, so wherever an item stands in
+a document several of the document's windows lie inside it, each at some byte of the item. W is small beside the item:
+short windows hold few edits, and a long item has many of them. It is bounded below by windows that meet by chance and
+above by the target, a RECALL of 0.95 for items at the limit of edits: WIDTHS has for each W the least item length at
+which TABLES tables of SAMPLED steps reach it, found by random edits of random items. Exact copies are always found.
 
 A bit map of fixed size says which samples occur in the items at all; only those windows are sent to the join. Each
 candidate with enough runs of four bytes in common is then aligned with the whole item, and counts if the edit distance to the closest part of the document
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 
 from .common import _BLANK, _LOWER, _seeded, join_few, mix, moved, pieces, row_key, stored, text_bytes
 
-TABLES, SAMPLED = 8, 14
+TABLES, SAMPLED = 12, 14
+WIDTHS = {1: 0, 2: 3, 4: 6, 8: 16, 16: 40, 32: 80}  # width of windows: bytes of the shortest item that has it
+RECALL = 0.95  # least share of items found at the limit of edits, at any length
 STRETCH = 64  # steps of the walk that one table's samples lie in
 MAP_BITS = 1 << 26
 EDITS = 0.1  # of an item's length
@@ -58,7 +61,7 @@ class Walk:
     """Walks of windows of one length, and the steps that each table samples."""
 
     def __init__(self, width: int):
-        self.width, self.steps = width, 2 * width
+        self.width, self.steps, self.stride = width, 2 * width, max(1, width // 4)
         rng = np.random.default_rng(1000 + width)
         self.moves = rng.integers(0, 2, (self.steps, 256), dtype=np.int64)
         stretch = min(STRETCH, self.steps)
@@ -73,7 +76,7 @@ class Walk:
 
     def samples(self, data: np.ndarray, start: np.ndarray) -> np.ndarray:
         """(windows, tables): a hash of what the walk through each window writes at the sampled steps."""
-        out = np.zeros((len(start), TABLES), np.uint64)
+        out = np.zeros((TABLES, len(start)), np.uint64)
         place, end = start.copy(), start + self.width
         data = np.append(data, np.uint8(0))
         for step in range(self.last):
@@ -82,9 +85,9 @@ class Walk:
             if step in self.at_step:
                 seen = self.salt[step].take(np.where(place < end, char, np.int64(256)))
                 for t in self.at_step[step]:
-                    out[:, t] += seen
+                    out[t] += seen
             place += self.moves[step].take(char)
-        return mix(out + (np.arange(TABLES, dtype=np.uint64) + np.uint64(self.width << 8)))
+        return np.ascontiguousarray(mix(out + (np.arange(TABLES, dtype=np.uint64) + np.uint64(self.width << 8))[:, None]).T)
 
 
 _WALKS: dict[int, Walk] = {}
@@ -97,8 +100,8 @@ def walk(width: int) -> Walk:
 
 
 def window_width(n: np.ndarray) -> np.ndarray:
-    """The power of two W with 1.5 W <= n < 3 W, at least 1."""
-    return np.int64(1) << np.log2(np.maximum(n * 2 / 3, 1)).astype(np.int64)
+    """The width of WIDTHS for items of n bytes."""
+    return np.array(list(WIDTHS))[np.searchsorted(list(WIDTHS.values()), n, side="right") - 1]
 
 
 def item_samples(items: DataFrame) -> DataFrame:
@@ -136,7 +139,7 @@ def document_samples(docs: DataFrame, widths: list[int], known: np.ndarray) -> D
             for i, j in pieces(at, 1 << 19):
                 x, begin = plain_bytes(data[at[i] : at[j]], at[i : j + 1] - at[i])
                 for width in widths:
-                    step = max(1, width // 2)
+                    step = walk(width).stride
                     count = np.maximum((np.diff(begin) - width) // step + 1, 0)
                     text = np.repeat(np.arange(j - i), count)
                     start = (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * step
@@ -199,7 +202,7 @@ def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataF
 
     An item stands in a text when the edit distance of the whole item to some part of the text is at most `edits` of
     the item's length, both in plain form: A-Z in lower case, runs of blanks as one. Distance 0 is always found;
-    others are found by sampling. Null, empty and blank texts hold nothing and null or blank items stand nowhere.
+    others are found by sampling, with a chance of RECALL at least if `edits` is EDITS or less. Null, empty and blank texts hold nothing and null or blank items stand nowhere.
     Equal rows give one answer for each item that stands in them (key: see row_key), and rows that repeat an
     item_id are one item with several texts. No rows give no rows; other columns are ignored.
     """

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from deskflow.llm import language, quality
 from deskflow.llm.chat import best_paths, format_conversations, linear_tree, read_back
 from deskflow.llm.common import text_bytes
-from deskflow.llm.decontaminate import find_items, nearest
+from deskflow.llm.decontaminate import RECALL, find_items, nearest
 from deskflow.llm.identifiers import _LOOSE, find_identifiers, known_spans, loose_spans, luhn, masked, mentions_of, windows_of
 from deskflow.llm.mixing import mix_sources, schedule, source_targets
 from deskflow.llm.queries import QUERIES
@@ -220,6 +220,37 @@ def test_items_are_found(spark):
     assert find_items(empty(spark), benchmark).count() == 0 and find_items(docs(spark), benchmark.limit(0)).count() == 0
 
 
+def edited(text, k, rng):
+    """The text after k random substitutions, insertions and deletions of a character."""
+    chars = list(text)
+    for _ in range(k):
+        at, c = rng.randrange(len(chars)), rng.choice("abcdefghijklmnopqrstuvwxyz0123456789")
+        chars[at : at + rng.randrange(2)] = [c] * rng.randrange(2)
+    return "".join(chars)
+
+
+def recall_of(spark, lengths, share, trials):
+    """Share of items found by length: each stands in one document with the given share of its length in edits."""
+    rng, items, data = random.Random(11), [], []
+    for n in lengths:
+        for _ in range(trials):
+            i = len(items)
+            item = prose(10000 + i, n)[:n].strip()
+            items.append((i, item.ljust(n, "x")))
+            data.append((i, prose(30000 + i, rng.randrange(5, 15)) + " " + edited(items[i][1], int(n * share), rng) + " " + prose(50000 + i, 10)))
+    real = {i for (i, x), (_, t) in zip(items, data) if nearest(x.encode(), t.encode())[0] <= len(x) // 10}
+    got = find_items(docs(spark, data), spark.createDataFrame(items, "item_id long, text string")).where("doc_id = item_id").collect()
+    got = {r["item_id"] for r in got}
+    assert got <= real
+    parts = {n: {i for i in real if len(items[i][1]) == n} for n in lengths}
+    return {n: len(part & got) / len(part) for n, part in parts.items()}
+
+
+def test_items_at_the_limit_of_edits(spark):
+    found = recall_of(spark, [16, 30, 40, 60, 80, 110, 200, 300], 0.1, 100)
+    assert min(found.values()) >= RECALL, found
+
+
 # ---- mixing ----
 
 
