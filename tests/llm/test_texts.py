@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from deskflow.llm import language, quality
+from deskflow.llm import language, mixing, quality
 from deskflow.llm.chat import best_paths, format_conversations, linear_tree, read_back
 from deskflow.llm.common import text_bytes
 from deskflow.llm.decontaminate import RECALL, find_items, nearest
@@ -289,6 +289,14 @@ def test_mixing(spark):
     assert {r["taken"] for r in mix_sources(spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")).collect()} == {0}
 
 
+def test_small_sources_of_a_large_corpus(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCKS", 64)  # as if the corpus were so much larger
+    data = [(i, prose(i, 100), "large") for i in range(200)] + [(1000 + 3 * s + i, prose(s, 5 + s % 7), f"s{s}") for s in range(30) for i in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = mix_sources(df).join(df.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(got) == 31 and all(abs(r["taken"] - r["target"]) <= max(4, 0.02 * r["target"]) for r in got), got
+
+
 def test_schedule_mixes_every_stretch(spark):
     targets = spark.createDataFrame([(0, 1000, 1500.0), (1, 3000, 3000.0), (2, 500, 500.0)], "sid long, source_size long, target double")
     slots = schedule(targets, 1).orderBy("slot").collect()
