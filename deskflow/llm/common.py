@@ -129,10 +129,10 @@ def rolling(seed: int = 0) -> Rolling:
     return _ROLLING[seed]
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words in the bytes, and for each text the number of its first word."""
+def word_bounds(data: np.ndarray, at: np.ndarray, between: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words in the bytes, and for each text the number of its first word; `between` marks bytes of no word."""
     n = len(data)
-    solid = ~_BLANK[data]
+    solid = ~between[data]
     opens = solid.copy()
     opens[1:] &= ~solid[:-1]
     closes = np.zeros(n + 1, bool)

@@ -9,11 +9,14 @@ from .chat import format_conversations, linear_tree, read_back
 from .decontaminate import find_items
 from .factors import remove_earlier_passages
 from .identifiers import KINDS, count_of, find_identifiers, written
+from .importance import importance_sample
 from .mixing import mix_sources
+from .packing import packed
 from .registry import ORACLES, QUERIES, query, table
 from .signatures import shingle_components
 from .subspaces import near_vectors
 from .suffixes import remove_repeated_strings
+from .trie import rebuilt_trie
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -196,3 +199,113 @@ def chat(spark, base):
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text's bytes, given the table `t` of _CRC_TABLE."""
+    bytes_ = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    return f"xor(list_reduce({bytes_}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+_CRC_TABLE = """(SELECT list_transform(range(256), lambda i: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t)"""
+
+
+@query(
+    "op11_importance",
+    rf"""
+WITH w AS (
+  SELECT doc_id, 0 AS side, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT NULL, 1, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+),
+f AS (
+  SELECT doc_id, side, g, count(*) AS n FROM (
+    SELECT doc_id, side, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+      list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS g FROM w
+  ) GROUP BY doc_id, side, g
+),
+b AS (SELECT g, {crc32_sql("g")} % 10000 AS b FROM (SELECT DISTINCT g FROM f), {_CRC_TABLE}),
+c AS (
+  SELECT b, CAST(coalesce(sum(n) FILTER (side = 0), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (side = 1), 0) AS DOUBLE) AS t
+  FROM f JOIN b USING (g) GROUP BY b
+),
+gain AS (
+  SELECT b, CAST(floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM c) + 10000) / ((s + 1) * ((SELECT sum(t) FROM c) + 10000)))) AS BIGINT) AS gain FROM c
+),
+weight AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM f JOIN b USING (g) JOIN gain USING (b) WHERE side = 0 GROUP BY doc_id
+),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM w LEFT JOIN weight USING (doc_id) WHERE side = 0
+),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_words >= 20
+  QUALIFY rank <= 5 * count(*) OVER () // 100
+)
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN drawn USING (doc_id)
+""",
+)
+def importance(spark, base):
+    """The documents most like the benchmark, drawn by weight."""
+    return importance_sample(table(spark, base, "documents"), table(spark, base, "benchmark"))
+
+
+@query(
+    "op12_trie",
+    rf"""
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+c AS (
+  SELECT conv_id AS c, conv_id - conv_id % 20 AS base, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM o), {_CRC_TABLE}
+),
+r AS (
+  SELECT c, role, text, 0 AS own, k FROM c JOIN o ON o.conv_id = base AND k <= h
+  UNION ALL SELECT c, role, text, 1, k FROM c JOIN o ON o.conv_id = c AND k > h
+),
+p AS (
+  SELECT c, row_number() OVER w AS d, text, list(role || chr(1) || sha256(text)) OVER w AS path FROM r WINDOW w AS (PARTITION BY c ORDER BY own, k)
+),
+size AS (SELECT c.c, count(p.c) AS size FROM c LEFT JOIN p ON p.c = c.c GROUP BY c.c),
+a AS (
+  SELECT c, d, text, min(c) OVER (PARTITION BY path) AS label, count(*) OVER (PARTITION BY path) AS n FROM p
+  UNION ALL SELECT c, 0, '', (SELECT min(c) FROM c), (SELECT count(*) FROM c) FROM c
+),
+node AS (SELECT DISTINCT d, label, n, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM a),
+up AS (SELECT x.d, x.label, y.label AS parent FROM a x JOIN a y ON x.c = y.c AND y.d = x.d - 1 AND x.c = x.label),
+kids AS (SELECT d - 1 AS d, parent AS label, count(*) AS n_children FROM up GROUP BY ALL),
+own AS (
+  SELECT d, label, n, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, (n - 1) * words AS saved
+  FROM node LEFT JOIN kids USING (d, label)
+),
+below AS (
+  SELECT a.d, a.label, CAST(sum(leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM own JOIN a ON a.c = own.label AND a.d <= own.d GROUP BY a.d, a.label
+),
+ends AS (SELECT a.d, a.label, sha256(string_agg(CAST(a.c AS VARCHAR), ',' ORDER BY a.c)) AS ends FROM a JOIN size ON size.c = a.c AND size = d GROUP BY a.d, a.label)
+SELECT label AS conv_id, d AS depth, parent AS parent_conv_id, n AS n_convs, n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM own LEFT JOIN up USING (d, label) JOIN below USING (d, label) LEFT JOIN ends USING (d, label)
+""",
+)
+def trie(spark, base):
+    """All conversations, rebuilt with shared heads, as one trie of prefixes."""
+    return rebuilt_trie(table(spark, base, "conversations"))
+
+
+@query("op13_packing")
+def packing(spark, base):
+    """All documents as tokens, packed into sequences of 2048."""
+    return packed(table(spark, base, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the installed vocabularies are; only this query asks for one."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
