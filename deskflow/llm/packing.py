@@ -25,9 +25,10 @@ from ..session import work_dir
 from .common import row_key, stored
 
 CAPACITY = 2048
-KNOWN = 1 << 18  # words whose ids a Python worker keeps
-BATCH_BYTES = 1 << 18  # of new words that are encoded together
-TEXT_BYTES = 1 << 20  # of a text that is split into words at once
+KNOWN = 1 << 18  # words whose ids a Python worker keeps, twice
+TOGETHER = 64  # new words that are encoded as one text
+TEXT_BYTES = 1 << 20  # of texts that are split into words at once
+ROWS = 1 << 9  # texts whose ids a Python worker holds
 END = 0  # the id that closes a document
 _BREAK = "\x01"  # a sign of its own id, put between words that are encoded together
 
@@ -37,9 +38,10 @@ _WORKER: dict[str, object] = {}
 
 
 def word_ids(model: str, words: set[bytes]) -> dict[bytes, bytes]:
-    """The ids of each word, as little-endian 32-bit numbers; `model` is the tokenizer's file as text.
+    """Of each word and others the ids, as little-endian 32-bit numbers; `model` is the tokenizer's file as text.
 
-    The tokenizer drops white space and merges nothing across it, so a text's ids are those of its words in order.
+    The tokenizer drops white space and merges nothing across it, so a text's ids are those of its words in order. A
+    worker keeps two generations of words: what is asked for again moves to the younger one, and the older one goes.
     """
     if _WORKER.get("model") != model:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,41 +50,57 @@ def word_ids(model: str, words: set[bytes]) -> dict[bytes, bytes]:
         tokenizer = Tokenizer.from_str(model)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         apart = tokenizer.encode(_BREAK, add_special_tokens=False).ids
-        _WORKER.update(model=model, tokenizer=tokenizer, apart=apart[0] if len(apart) == 1 else None, known={})
+        _WORKER.update(model=model, tokenizer=tokenizer, apart=apart[0] if len(apart) == 1 else None, known={}, older={})
     if len(_WORKER["known"]) > KNOWN:
-        _WORKER["known"] = {}
-    known, encode, apart = _WORKER["known"], _WORKER["tokenizer"].encode, _WORKER["apart"]
-    fresh, size = [], 0
-
-    def learn():
-        text = f" {_BREAK} ".join(w.decode() for w in fresh)
-        ids = np.array(encode(text, add_special_tokens=False).ids, "<u4")
-        ends = np.append(np.flatnonzero(ids == apart), len(ids))
-        known.update((w, ids[b + 1 : e].tobytes()) for w, b, e in zip(fresh, [-1, *ends[:-1]], ends))
-
-    for word in words - known.keys():
-        if apart is None or _BREAK.encode() in word:
-            known[word] = np.array(encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-            continue
-        fresh.append(word)
-        size += len(word)
-        if size > BATCH_BYTES:
-            learn()
-            fresh, size = [], 0
-    if fresh:
-        learn()
-    return {w: known[w] for w in words}
-
-
-def text_ids(model: str, text: bytes):
-    """The ids of a text, a stretch of about a megabyte at a time."""
-    begin = 0
-    while begin < len(text):
-        blank = _BLANK.search(text, begin + TEXT_BYTES)
-        end = blank.start() if blank else len(text)
-        words = text[begin:end].split()  # at [\x20\x09-\x0D]
-        yield b"".join(map(word_ids(model, set(words)).__getitem__, words))
-        begin = end
+        _WORKER.update(known={}, older=_WORKER["known"])
+    known, older, encode, apart = (_WORKER[k] for k in ("known", "older", "tokenizer", "apart"))
+    encode = encode.encode_batch_fast
+    alone, joined = [], []
+    for word in [w for w in words if w not in known]:
+        ids = older.get(word)
+        if ids is not None:
+            known[word] = ids
+        elif apart is None or _BREAK.encode() in word:
+            alone.append(word)
+        else:
+            joined.append(word)
+    for word, found in zip(alone, encode([w.decode() for w in alone], add_special_tokens=False)):
+        known[word] = np.array(found.ids, "<u4").tobytes()
+    runs = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
+    texts = [b" \x01 ".join(run).decode() for run in runs]
+    for run, found in zip(runs, encode(texts, add_special_tokens=False)):
+        ids = np.array(found.ids, "<u4")
+        data, ends = ids.tobytes(), (4 * np.append(np.flatnonzero(ids == apart), len(ids))).tolist()
+        known.update((w, data[b:e]) for w, b, e in zip(run, [0, *[e + 4 for e in ends]], ends))
+    return known
+
+
+def text_ids(model: str, texts: list[bytes]) -> list[bytes]:
+    """The ids of each text; about a megabyte is in work at a time, of many texts or of one."""
+    parts: list[list[bytes]] = [[] for _ in texts]
+    held: list[tuple[int, list[bytes]]] = []
+    size = 0
+
+    def read():
+        known = word_ids(model, set().union(*[words for _, words in held]))
+        for i, words in held:
+            parts[i].append(b"".join(map(known.__getitem__, words)))
+        held.clear()
+
+    for i, text in enumerate(texts):
+        begin = 0
+        while begin < len(text):
+            blank = _BLANK.search(text, begin + TEXT_BYTES)
+            end = blank.start() if blank else len(text)
+            # A-Z only are lowered here, which the tokenizer does too; words are cut at [\x20\x09-\x0D]
+            held.append((i, text[begin:end].lower().split()))
+            size += end - begin
+            begin = end
+            if size >= TEXT_BYTES:
+                read()
+                size = 0
+    read()
+    return [b"".join(p) for p in parts]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -92,18 +110,16 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
 
     def cut(batches):
         for batch in batches:
-            rows, held = [], 0
-            for at, text in enumerate(batch.column("text").to_pylist()):
-                ids = b"".join(text_ids(sent.value, (text or "").encode())) + np.array([END], "<u4").tobytes()
-                for piece, begin in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[begin : begin + 4 * capacity]
-                    rows.append((at, piece, begin // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
-                held += len(ids)
-                if held > 1 << 22:
-                    yield made(batch, rows)
-                    rows, held = [], 0
-            if rows:
-                yield made(batch, rows)
+            for b in range(0, batch.num_rows, ROWS):
+                part, rows = batch.slice(b, ROWS), []
+                texts = [(text or "").encode() for text in part.column("text").to_pylist()]
+                for at, ids in enumerate(text_ids(sent.value, texts)):
+                    ids += np.array([END], "<u4").tobytes()
+                    for piece, begin in enumerate(range(0, len(ids), 4 * capacity)):
+                        some = ids[begin : begin + 4 * capacity]
+                        rows.append((at, piece, begin // 4, len(some) // 4, zlib.crc32(some), some if keep_ids else None))
+                if rows:
+                    yield made(part, rows)
 
     def made(batch, rows):
         at, piece, start, length, crc, ids = zip(*rows)

@@ -113,6 +113,6 @@ def test_long_texts_are_read_in_stretches(spark, monkeypatch):
     model = open(PATH, encoding="utf-8").read()
     monkeypatch.setattr(packing, "TEXT_BYTES", 1000)
     monkeypatch.setattr(packing, "KNOWN", 50)
-    ids = np.frombuffer(b"".join(packing.text_ids(model, text.encode())), "<u4").tolist()
-    assert ids + [0] == ids_of(text)
-    assert token_pieces(cases.docs(spark, [(1, text)]), PATH).count() == -(-(len(ids) + 1) // 2048)
+    ids = [np.frombuffer(x, "<u4").tolist() for x in packing.text_ids(model, [b"a b", text.encode(), b""])]
+    assert [x + [0] for x in ids] == [ids_of("a b"), ids_of(text), [0]]
+    assert token_pieces(cases.docs(spark, [(1, text)]), PATH).count() == -(-(len(ids[1]) + 1) // 2048)
