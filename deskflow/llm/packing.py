@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -25,7 +26,7 @@ from ..session import work_dir
 from .common import row_key, stored
 
 CAPACITY = 2048
-KNOWN = 1 << 18  # words whose ids a Python worker keeps, twice
+KNOWN = 1 << 19  # words whose ids a Python worker keeps, twice
 TOGETHER = 64  # new words that are encoded as one text
 TEXT_BYTES = 1 << 20  # of texts that are split into words at once
 ROWS = 1 << 9  # texts whose ids a Python worker holds
@@ -50,16 +51,20 @@ def word_ids(model: str, words: set[bytes]) -> dict[bytes, bytes]:
         tokenizer = Tokenizer.from_str(model)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         apart = tokenizer.encode(_BREAK, add_special_tokens=False).ids
-        _WORKER.update(model=model, tokenizer=tokenizer, apart=apart[0] if len(apart) == 1 else None, known={}, older={})
+        plain = tokenizer.encode("tokens", add_special_tokens=False).ids == [t.id for t in tokenizer.model.tokenize("tokens")]
+        _WORKER.update(model=model, tokenizer=tokenizer, plain=plain, apart=apart[0] if len(apart) == 1 else None, known={}, older={})
     if len(_WORKER["known"]) > KNOWN:
         _WORKER.update(known={}, older=_WORKER["known"])
     known, older, encode, apart = (_WORKER[k] for k in ("known", "older", "tokenizer", "apart"))
-    encode = encode.encode_batch_fast
+    encode, merge, plain = encode.encode_batch_fast, encode.model.tokenize, _WORKER["plain"]
     alone, joined = [], []
     for word in [w for w in words if w not in known]:
         ids = older.get(word)
         if ids is not None:
             known[word] = ids
+        elif plain and word.isalpha():  # a-z: one run of letters that nothing is done to before the merges
+            ids = [t.id for t in merge(word.decode())]
+            known[word] = struct.pack(f"<{len(ids)}I", *ids)
         elif apart is None or _BREAK.encode() in word:
             alone.append(word)
         else:
