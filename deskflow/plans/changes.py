@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cdc
+from ..operators.asof import join_as_of
 from ..session import work_dir
 from ..sources.tables import stream_table
 from ..sources.views import Desk, as_changes
 from ..streaming.changes import (
-    KeyedTable, apply_history, apply_latest, arrive_and_apply, drop_bookkeeping, newest_per_key, ranges_of, run_apply,
+    KeyedTable, VersionTable, apply_history, apply_latest, apply_versions, arrive_and_apply, drop_bookkeeping, keep_newest,
+    newest_from_state, ranges_of, read_changes, run_apply,
 )
 from .common import book_at, features, last_year, reference, updated_reference
 from .registry import query
 
+AS_OF_WIDTH = 1 << 16  # of the sequence, in one range of a key
+
 _CHANGES_SQL = """
 SELECT client_id, instrument_id, n.net_qty, 'insert' AS change_type, CAST(4 AS BIGINT) AS sort_by
 FROM v_booknew n LEFT JOIN v_bookold o USING (client_id, instrument_id) WHERE o.net_qty IS NULL
@@ -197,16 +201,87 @@ def stream_resume(d: Desk):
 
 @query("scd1_state_store", "SELECT * EXCLUDE (changed_at) FROM v_current")
 def scd1_state_store(d: Desk):
-    """The state store's content: in complete mode each batch is the newest change of all keys so far."""
-    stream = newest_per_key(drop_bookkeeping(change_stream(d), ["changed_at"]), ["key"])
-    path = work_dir(d.spark, "state")
+    """The state store's content, read from the stream's checkpoint; no batch writes rows anywhere."""
+    stream = drop_bookkeeping(change_stream(d), ["changed_at"])
+    checkpoint = f"{work_dir(d.spark, 'state')}/checkpoint"
+    keep_newest(stream, ["key"], checkpoint)
+    return cdc.drop_deleted(newest_from_state(d.spark, checkpoint, stream.schema, ["key"]))
+
+
+@query(
+    "state_after_half",
+    """WITH half AS (SELECT min(event_id) + (max(event_id) - min(event_id) + 1) // 2 AS h FROM events)
+       SELECT key, sort_by, change_type = 'delete' AS deleted FROM v_effective, half WHERE sort_by < h
+       QUALIFY row_number() OVER (PARTITION BY key ORDER BY sort_by DESC) = 1""",
+)
+def state_after_half(d: Desk):
+    """The state as it was after the first of two arrivals, read back from the store when both are in."""
+    log, checkpoint = work_dir(d.spark, "state-log"), f"{work_dir(d.spark, 'state')}/checkpoint"
+    changes = d.changes.drop("changed_at")
+    for part in ranges_of(changes, quarters(d)[1:2]):
+        part.coalesce(1).write.mode("append").parquet(log)
+        keep_newest(read_changes(d.spark, log, changes.schema), ["key"], checkpoint)
+    state = newest_from_state(d.spark, checkpoint, changes.schema, ["key"], 0)
+    return state.select("key", "sort_by", (F.col("change_type") == "delete").alias("deleted"))
+
+
+@query("scd2_incremental", "SELECT * FROM v_versions")
+def scd2_incremental(d: Desk):
+    """Versions kept up batch by batch; arrivals come in reverse and one of them twice, so nearly every row is late."""
+    path, schema = work_dir(d.spark, "versions"), d.changes.schema
+    table = VersionTable(d.spark, f"{path}/table", schema, ["key"])
+    arrivals = ranges_of(d.changes, quarters(d))[::-1]
+    for part in [*arrivals, arrivals[1]]:
+        part.write.mode("append").parquet(f"{path}/log")
+        apply_versions(read_changes(d.spark, f"{path}/log", schema), table, f"{path}/checkpoint")
+    return table.versions()
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/table")
 
-    replace(d.spark.createDataFrame([], stream.schema), -1)
-    run_apply(stream, replace, f"{path}/checkpoint", mode="complete")
-    return cdc.drop_deleted(d.spark.read.schema(stream.schema).parquet(f"{path}/table"))
+@query(
+    "version_lookup",
+    """SELECT * FROM v_versions WHERE key IN (SELECT DISTINCT key FROM v_effective ORDER BY key DESC LIMIT 3)""",
+)
+def version_lookup(d: Desk):
+    """The versions of a few keys; only the parts that hold them are read."""
+    table = VersionTable(d.spark, f"{work_dir(d.spark, 'versions')}/table", d.changes.schema, ["key"])
+    table.write(d.changes, 0)
+    wanted = cdc.effective(d.changes).select("key").distinct().orderBy(F.desc("key")).limit(3)
+    return table.versions(wanted)
+
+
+@query(
+    "features_as_of",
+    """SELECT r.event_id, r.key, v.sort_by AS valid_from, CASE WHEN v.change_type <> 'delete' THEN v.value END AS value,
+              CASE WHEN v.change_type <> 'delete' THEN v.k END AS k
+       FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN (SELECT min(user_id) FROM events) ELSE user_id + 1 END AS key FROM events) r
+       ASOF LEFT JOIN v_effective v ON r.key = v.key AND r.event_id >= v.sort_by""",
+)
+def features_as_of(d: Desk):
+    """Every event asks for the features of one user as they were then; a third of all ask for one user.
+
+    The features of a deleted user are null, though it is known since when.
+    """
+    events = d.table("events")
+    hot = events.agg(F.min("user_id").alias("hot")).scalar()
+    asked = F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("user_id") + 1)
+    versions = cdc.effective(d.changes).select("key", F.col("sort_by").alias("valid_from"), "value", "k", "change_type")
+    found = join_as_of(events.select("event_id", asked.alias("key")), versions, ["key"], "event_id", "valid_from", F.floor(F.col("t") / AS_OF_WIDTH))
+    there = F.col("change_type") != "delete"
+    return found.select("event_id", "key", "valid_from", F.when(there, F.col("value")).alias("value"), F.when(there, F.col("k")).alias("k"))
+
+
+@query(
+    "trade_marks_as_of",
+    """SELECT f.order_id, f.line_no, f.instrument_id, f.trade_date, CASE WHEN f.trade_date - m.price_date <= 90 THEN m.price_date END AS price_date,
+              CASE WHEN f.trade_date - m.price_date <= 90 THEN m.spot_price END AS spot_price
+       FROM v_fills f ASOF LEFT JOIN v_marks m ON f.instrument_id = m.instrument_id AND f.trade_date >= m.price_date""",
+)
+def trade_marks_as_of(d: Desk):
+    """Every trade with the last mark of its instrument on or before the trade's day, unless that is over 90 days old."""
+    trades = d.fills.select("order_id", "line_no", "instrument_id", "trade_date")
+    marks = d.marks.select("instrument_id", "price_date", "spot_price")
+    old = F.expr("interval '90' day")
+    return join_as_of(trades, marks, ["instrument_id"], "trade_date", "price_date", F.year("t"), most=old)
 
 
 # --- copies ---------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cdc, quality
+from ..operators.keys import NumberedTable
 from ..operators.ordered import number_rows
 from ..functions.money import exact_sum
 from ..functions.text import visible_text
@@ -260,6 +261,24 @@ def feature_table_build(d: Desk):
     return table
 
 
+FILL_ORDER = ["trade_ts", "client_id", "order_id", "line_no", "instrument_id", "trader", "quantity", "price", "side"]
+
+
+@query(
+    "append_in_batches",
+    """SELECT row_number() OVER (ORDER BY order_id % 3, trade_ts, client_id, order_id, line_no, instrument_id, trader, quantity, price, side)
+              AS trade_id, trade_ts, client_id, order_id, line_no, instrument_id, trader, quantity, price, side
+       FROM v_fills""",
+)
+def append_in_batches(d: Desk):
+    """Fills appended in three batches whose keys go on; the second batch comes again after the third and keeps its keys."""
+    fills = d.fills.select(*FILL_ORDER)
+    table = NumberedTable(d.spark, work_dir(d.spark, "appended"), fills.schema, FILL_ORDER, "trade_id")
+    for batch in (0, 1, 2, 1):
+        table.append(fills.where(F.col("order_id") % 3 == batch), batch)
+    return table.rows()
+
+
 @query(
     "append_surrogate_key",
     """SELECT row_number() OVER (ORDER BY trade_ts, client_id, order_id, line_no, instrument_id, trader, quantity, price, side)

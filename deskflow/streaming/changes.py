@@ -13,9 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..operators.cdc import drop_deleted, effective, latest_change, scd2
+from ..operators.ordered import next_in_key
 
 PARTS = 16
 
@@ -142,3 +143,107 @@ def arrive_and_apply(
     for part in arrivals:
         part.write.mode("append").parquet(log)
         apply(read_changes(table.spark, log, table.schema), table, checkpoint, interval)
+
+
+class VersionTable:
+    """Every version of every key with its validity, kept up as changes arrive in any order.
+
+    Rows lie in parts by a hash of the key, and a part has one folder that is read. A batch reads the parts that its
+    keys fall into, recomputes the validity of those keys alone, and writes these parts anew below its own number; a
+    small table says which batch wrote each part last. Other parts are neither read nor written, so a batch costs what
+    its parts hold, however long the history is. A repeated batch starts from the table of the batch before it and
+    replaces itself. Deletes stay as rows, since a late change may come before one. Changes with a null key are left out.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str], parts: int = PARTS):
+        self.spark, self.path, self.keys, self.parts = spark, path, keys, parts
+        self.schema = schema
+        self.stored = StructType([*schema.fields, StructField("valid_to", LongType()), StructField("part", IntegerType())])
+        self._write_owners(-1, {})
+
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int")
+
+    def _write_owners(self, batch_id: int, owners: dict[int, int]) -> None:
+        rows = self.spark.createDataFrame(sorted(owners.items()), "part int, owner long")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/owners/batch={batch_id}")
+
+    def owners(self, before: int | None = None) -> dict[int, int]:
+        """The batch that wrote each part last; at most as many rows as there are parts."""
+        rows = self.spark.read.schema("part int, owner long, batch long").parquet(f"{self.path}/owners")
+        if before is not None:
+            rows = rows.where(F.col("batch") < before)
+        last = rows.agg(F.max("batch")).first()[0]
+        return {r["part"]: r["owner"] for r in rows.where(F.col("batch") == F.lit(last)).collect()}
+
+    def _read(self, owners: dict[int, int]) -> DataFrame:
+        if not owners:
+            return self.spark.createDataFrame([], self.stored)
+        paths = [f"{self.path}/rows/batch={batch}/part={part}" for part, batch in sorted(owners.items())]
+        return self.spark.read.schema(self.stored).option("basePath", f"{self.path}/rows").parquet(*paths).select(*self.stored.names)
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch of changes."""
+        new = effective(batch).dropna(subset=self.keys).select(*self.schema.names, self._part().alias("part"))
+        touched = [r[0] for r in new.select("part").distinct().collect()]  # at most all parts
+        owners = self.owners(batch_id)
+        old = self._read({p: owners[p] for p in touched if p in owners})
+        hit = new.select(*self.keys).distinct().withColumn("__hit", F.lit(True))
+        marked = old.join(hit, self.keys, "left")
+        redo = marked.where("__hit").select(*self.schema.names, "part").unionByName(new).dropDuplicates([*self.keys, "sort_by"])
+        redone = next_in_key(redo, self.keys, "sort_by", "valid_to")
+        out = marked.where("__hit is null").select(*self.stored.names).unionByName(redone.select(*self.stored.names))
+        # a part is cut by key, so that it is written by several tasks
+        out.repartition("part", F.pmod(F.xxhash64("sort_by"), F.lit(4))).write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/rows/batch={batch_id}")
+        self._write_owners(batch_id, owners | {p: batch_id for p in touched})
+
+    def rows(self, wanted: DataFrame | None = None) -> DataFrame:
+        """Change rows with valid_to, deletes included: all, or those of the keys in `wanted`, whose parts alone are read."""
+        owners = self.owners()
+        if wanted is None:
+            return self._read(owners).drop("part")
+        parts = {r[0] for r in wanted.select(self._part()).distinct().collect()}
+        found = self._read({p: b for p, b in owners.items() if p in parts})
+        return found.join(wanted.select(*self.keys).distinct(), self.keys, "left_semi").select(*self.stored.names).drop("part")
+
+    def versions(self, wanted: DataFrame | None = None) -> DataFrame:
+        """All versions with their validity, as scd2 gives them."""
+        kept = self.rows(wanted).where("change_type <> 'delete'").withColumnRenamed("sort_by", "valid_from")
+        return kept.withColumn("is_current", F.col("valid_to").isNull()).drop("change_type")
+
+
+def apply_versions(stream: DataFrame, table: VersionTable, checkpoint: str, interval: str | None = None) -> None:
+    """Keeps `table` at all versions of the stream's keys."""
+    run_apply(stream, table.write, checkpoint, interval)
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_newest(stream: DataFrame, keys: list[str], checkpoint: str) -> None:
+    """Holds the newest change of each key in RocksDB below `checkpoint` and writes nothing else."""
+    spark, name = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKS)
+    try:
+        query = (
+            newest_per_key(stream, keys).writeStream.format("noop").outputMode("update")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def newest_from_state(spark: SparkSession, checkpoint: str, schema: StructType, keys: list[str], batch_id: int | None = None) -> DataFrame:
+    """The newest change of each key as the state store below `checkpoint` holds it, deletes included; now or after a batch."""
+    reader = spark.read.format("statestore").option("path", checkpoint)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    state = reader.load()
+    # the aggregate's buffer: the row, and the sequence it has
+    row = F.col("value")[state.schema["value"].dataType.names[0]]
+    return state.select("key.*", row.alias("row")).toDF(*keys, "row").select(*keys, "row.*").select(*schema.names)
