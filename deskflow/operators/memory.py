@@ -57,6 +57,23 @@ def thread_latest(turns: DataFrame) -> DataFrame:
     )
 
 
+def thread_states(turns: DataFrame, delay: str) -> DataFrame:
+    """A stream of thread states as change rows, one for each thread that a batch adds to.
+
+    `turns` (thread_id, version, role, text, said_at) is a stream. A turn that comes again while its time is no older
+    than the newest by more than `delay` is dropped. Per thread the state store holds the newest message, the count
+    and the size, whatever the thread's length; the count is the change's sequence, so the newest state wins however
+    batches are read.
+    """
+    once = turns.withWatermark("said_at", delay).dropDuplicatesWithinWatermark(["thread_id", "version"])
+    last = F.max_by(F.struct("version", "role", "text"), "version")
+    states = once.groupBy("thread_id").agg(
+        last.alias("l"), F.count("*").alias("n_messages"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("state_chars")
+    )
+    kind = F.lit("update_postimage").alias("change_type")
+    return states.select("thread_id", "l.*", F.col("n_messages").alias("n"), "state_chars", kind, F.col("n_messages").alias("sort_by"))
+
+
 def thread_prompts(turns: DataFrame, instruction: str) -> DataFrame:
     """Each thread's messages at positions from 1, after one system message at 0."""
     first = (

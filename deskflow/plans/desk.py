@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, format_money, fx_rate, ratio
-from ..operators import enrich, lookup, prices
+from ..operators import enrich, lookup, prices, sketches
 from ..operators import features as feat
 from ..operators.ordered import number_rows, running_totals, splittable, top_rows
 from ..session import work_dir
@@ -490,6 +490,23 @@ def distinct_keys_sketch(d: Desk):
     )
 
 
+@query(
+    "distinct_clients_by_range",
+    """SELECT CAST(year(trade_date) AS INTEGER) AS trade_year, book, count(*) AS n_trades, true AS clients_near
+       FROM v_fills JOIN v_instruments USING (instrument_id) GROUP BY ALL""",
+)
+def distinct_clients_by_range(d: Desk):
+    """Active clients per year and book from one stored sketch per day and book, against exact counts."""
+    path = work_dir(d.spark, "sketches")
+    done = d.fills.join(d.instruments.select("instrument_id", "book"), "instrument_id").select("trade_date", "book", "client_id")
+    sketches.sketch_cells(done, ["trade_date", "book"], "client_id").write.parquet(path)
+    cells = d.spark.read.schema("trade_date date, book string, n_rows long, sketch binary").parquet(path)
+    by = [F.year("trade_date").alias("trade_year"), "book"]
+    exact = done.groupBy(*by).agg(F.countDistinct("client_id").alias("exact"))
+    met = sketches.merged(cells, by).join(exact, ["trade_year", "book"])
+    return met.select("trade_year", "book", F.col("n_rows").alias("n_trades"), sketches.near(F.col("n_distinct"), F.col("exact")).alias("clients_near"))
+
+
 _KPI_SQL = """SELECT {total} AS total_notional, count(*) AS n_trades,
                count(DISTINCT client_id) AS active_clients, {buy} AS buy_flow, {sell} AS sell_flow,
                (SELECT {gross} FROM {book}) AS gross_exposure

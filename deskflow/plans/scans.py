@@ -12,7 +12,7 @@ from ..functions.text import visible_text
 from ..functions.vectors import vector_literal
 from ..session import work_dir
 from ..sources import generate
-from ..sources.tables import count_rows, slices
+from ..sources.tables import count_rows, read_document_files, slices, write_document_files
 from ..sources.views import Desk
 from .common import book_at, features, last_year, reference, updated_reference
 from .oracle_views import SPACE, fx, money
@@ -94,6 +94,18 @@ def document_scan(d: Desk):
     )
 
 
+@query(
+    "document_files",
+    """SELECT doc_id, source, lang, length("text") AS n_chars, sha256("text") AS digest FROM documents WHERE lang = 'de'""",
+)
+def document_files(d: Desk):
+    """Documents read from files, those of one language only: folders of other languages are not opened."""
+    path = work_dir(d.spark, "files")
+    write_document_files(d.table("documents").select("doc_id", "text", "lang", "source"), path, ["lang"])
+    found = read_document_files(d.spark, path, "doc_id long, text string, source string", "lang string").where("lang = 'de'")
+    return found.select("doc_id", "source", "lang", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+
+
 @query(
     "page_text_extract",
     f"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html,

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.vectors import term_counts, unit, vector_literal
 from ..operators import lookup, memory
+from ..operators.names import find_names
+from ..operators.postings import Postings
 from ..operators.search import embed_with, nearest, nearest_approx, recall
 from ..session import work_dir
 from ..sources.tables import stream_table
 from ..sources.views import Desk
-from ..streaming.changes import run_apply
+from ..streaming.changes import KeyedTable, run_apply
 from .oracle_views import SPACE, squash, terms
 from .registry import query
 
@@ -320,3 +322,83 @@ def thread_state_stream(d: Desk):
 )
 def thread_prompt(d: Desk):
     return memory.thread_prompts(d.turns, "Answer from the desk's data.")
+
+
+# --- conversations kept up as they go on ------------------------------------
+
+
+SAID_FROM = 1_704_067_200  # the time of a thread's first turn, and a minute more for each turn after it
+
+
+@query("thread_state_incremental", _LATEST_SQL)
+def thread_state_incremental(d: Desk):
+    """Turns arrive out of order and one arrival comes twice; the stream itself holds each thread's state."""
+    path = work_dir(d.spark, "thread-states")
+    turns = d.turns.withColumn("said_at", F.timestamp_seconds(F.col("version") * 60 + SAID_FROM))
+    arrivals = [turns.where(F.col("version") % 3 == k) for k in (2, 0, 1, 0)]
+    table = None
+    for part in arrivals:
+        part.write.mode("append").parquet(f"{path}/turns")
+        stream = memory.thread_states(d.spark.readStream.schema(turns.schema).parquet(f"{path}/turns"), "3650 days")
+        table = table or KeyedTable(d.spark, f"{path}/states", stream.schema, ["thread_id"])
+        run_apply(stream, table.write, f"{path}/checkpoint", mode="update")
+    return table.current().withColumnRenamed("n", "n_messages")
+
+
+@query(
+    "memory_phrase_search",
+    r"""SELECT thread_id, count(*) AS n_messages, CAST(sum(n_times) AS BIGINT) AS n_times, max(version) AS last_hit FROM (
+         SELECT thread_id, version, len(list_filter(range(1, len(t)), lambda i: t[i] = 'de' AND t[i + 1] = 'la')) AS n_times
+         FROM (SELECT thread_id, version, regexp_extract_all(lower("text"), '[^\x09-\x0D\x20.,;:!?]+') AS t FROM v_turns))
+       WHERE n_times > 0 GROUP BY thread_id""",
+)
+def memory_phrase_search(d: Desk):
+    """Threads in which two words stand one after the other, from the postings of these words alone."""
+    index = Postings(d.spark, work_dir(d.spark, "postings"))
+    index.write(d.turns)
+    return index.phrase("De la").groupBy("thread_id").agg(
+        F.count("*").alias("n_messages"), F.sum("n_times").alias("n_times"), F.max("version").alias("last_hit")
+    )
+
+
+_SENTENCES_SQL = """
+SELECT conv_id * 100000 + turn AS turn_id, "text" || CASE conv_id % 4 WHEN 0 THEN ' (show ' || upper(legal_name) || ' ' || sector || '), please'
+       WHEN 1 THEN ' what of ' || legal_name || '?' WHEN 2 THEN ' compare ' || lower(ticker) || ', ' || legal_name || ' .' ELSE '' END AS sentence
+FROM conversations JOIN v_clients ON client_id = 1 + (conv_id * 8 + turn) % 100"""
+
+
+def sentences(d: Desk):
+    """What is said in every turn, and in most of them the name of a client."""
+    asked = d.table("conversations").withColumn("client_id", 1 + (F.col("conv_id") * 8 + F.col("turn")) % 100)
+    met = asked.join(d.clients.select("client_id", "legal_name", "ticker", "sector"), "client_id")
+    kind = F.col("conv_id") % 4
+    more = (
+        F.when(kind == 0, F.concat(F.lit(" (show "), F.upper("legal_name"), F.lit(" "), "sector", F.lit("), please")))
+        .when(kind == 1, F.concat(F.lit(" what of "), "legal_name", F.lit("?")))
+        .when(kind == 2, F.concat(F.lit(" compare "), F.lower("ticker"), F.lit(", "), "legal_name", F.lit(" .")))
+        .otherwise("")
+    )
+    return met.select((F.col("conv_id") * 100000 + F.col("turn")).alias("turn_id"), F.concat("text", more).alias("sentence"))
+
+
+@query(
+    "names_in_text",
+    rf"""WITH alias AS (
+         SELECT lower(legal_name) AS gram, 'CL-' || client_id AS alias_id FROM v_clients
+         UNION ALL SELECT lower(ticker), 'CL-' || client_id FROM v_clients
+         UNION ALL SELECT lower(legal_name || ' ' || sector), 'CL-' || client_id || '/' || sector FROM v_clients),
+       tok AS (SELECT turn_id, regexp_extract_all(lower(sentence), '[^	-
+ .,;:!?()"]+') AS t FROM ({_SENTENCES_SQL})),
+       g AS (SELECT turn_id, i, n, array_to_string(t[i:i + n - 1], ' ') AS gram
+             FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM tok), (VALUES (1), (2)) l(n) WHERE i + n - 1 <= len(t))
+       SELECT turn_id, CAST(i - 1 AS INTEGER) AS position, CAST(n AS INTEGER) AS n_tokens, alias_id FROM g JOIN alias USING (gram)
+       QUALIFY row_number() OVER (PARTITION BY turn_id, i ORDER BY n DESC) = 1""",
+)
+def names_in_text(d: Desk):
+    """Every client that a turn names, by name, ticker or name with sector, wherever in the sentence it stands."""
+    cid = F.concat(F.lit("CL-"), F.col("client_id"))
+    longer = F.struct(F.concat_ws(" ", "legal_name", "sector").alias("alias"), F.concat_ws("/", cid, "sector").alias("alias_id"))
+    known = d.clients.select(F.explode(F.array(
+        F.struct(F.col("legal_name").alias("alias"), cid.alias("alias_id")), F.struct(F.col("ticker").alias("alias"), cid.alias("alias_id")), longer,
+    )).alias("a")).select("a.*")
+    return find_names(sentences(d), known, "turn_id", "sentence")

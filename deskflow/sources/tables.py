@@ -65,6 +65,27 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_document_files(docs: DataFrame, path: str, by: list[str], per_file: int = 1000) -> None:
+    """Documents as files of at most `per_file` JSON lines below folders named by the columns `by`."""
+    body = F.to_json(F.struct(*[c for c in docs.columns if c not in by]))
+    writer = docs.select(body.alias("value"), *by).write.option("maxRecordsPerFile", per_file).option("lineSep", "\n")
+    writer.mode("overwrite").partitionBy(*by).text(path)
+
+
+def read_document_files(spark: SparkSession, path: str, schema: str, folders: str, names: str = "*.txt") -> DataFrame:
+    """Documents of the files below `path`, with the folder columns and the file each came from.
+
+    Files come through Spark's binaryFile source: a name filter and conditions on folder columns choose files before
+    any is opened, and a file's bytes are decoded where it is read.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", names)
+    files = reader.schema(f"path string, modificationTime timestamp, length long, content binary, {folders}").load(path)
+    line = F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")
+    kept = [c.split(" ")[0] for c in folders.split(", ")]
+    rows = files.select(*kept, base_name(F.col("path")).alias("file"), line).where("line <> ''")
+    return rows.select(F.from_json("line", schema).alias("d"), *kept, "file").select("d.*", *kept, "file")
+
+
 def slices(column: str, lower: int, upper: int, parts: int) -> list[str]:
     """Predicates that cut a key range into disjoint reads; NULL keys go with the first."""
     if parts < 2 or upper <= lower:
