@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import lists, mix
+from .common import lists, mix, trimmed
 
 PACKED = "block int, docs binary, counts binary, hashes binary, steps binary, wide boolean"
 
@@ -58,7 +58,7 @@ def by_group(work):
         if rows:
             yield from work(rows)
 
-    return run
+    return trimmed(run)
 
 
 def matched(packed: DataFrame, blocks: int, wanted) -> DataFrame:
@@ -130,7 +130,7 @@ def frequent_bits(rows: DataFrame, hashes, least: int, bits: int, blocks: int) -
         yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([part.tobytes()], pa.binary())], ["first", "part"])
 
     # a block owns a stretch of the map and sends it whole, so the driver gets the map's bytes and no more
-    packed = rows.mapInArrow(send, "block int, hashes binary").repartitionById(blocks, "block").sortWithinPartitions("block")
+    packed = rows.mapInArrow(trimmed(send), "block int, hashes binary").repartitionById(blocks, "block").sortWithinPartitions("block")
     out = np.zeros(words, np.uint64)
     for first, part in packed.mapInArrow(by_group(count), "first long, part binary").collect():
         part = np.frombuffer(part, np.uint64)

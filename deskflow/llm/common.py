@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -43,6 +45,23 @@ def moved(df: DataFrame) -> DataFrame:
     return df.repartition(F.xxhash64(*df.columns, F.lit(1)))
 
 
+def trimmed(work):
+    """`work` over Arrow batches, after which the worker's unused memory goes back to the machine.
+
+    A Python worker serves one stage after the other, and would keep the most that any of them took.
+    """
+
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return run
+
+
 # ---- texts as bytes ----
 
 

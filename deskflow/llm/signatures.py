@@ -9,9 +9,14 @@ too small for the sizes, or when all its members are linked already. A pair that
 that holds both; as these are all the shingles that the first few of both sets share, their number bounds the
 whole overlap. What can still be similar then is checked on the sets.
 
+Trees of one and the same classes are walked once and counted as often as there are of them.
+
 So that a group of near copies is not written out as all its pairs, each class is first compared with one
-class of each of its trees; what that links needs no further comparison, and the trees look for links between
-components only. The links found give the same components as all links.
+class of each of its trees, the one whose shingles most other classes have too, as the text that others were copied
+from has; then those not linked to it with the next such class, and so on for some rounds. What that links needs no
+further comparison, and the trees look for links between components only. The links found give the same components as
+all links. Trees that have one such class in common go to one task, which adds up what they say of a pair before it
+sends the pair on.
 """
 
 from __future__ import annotations
@@ -22,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import frequent_bits, has_bit
-from .common import components, gram_hashes, join_few, lists, mix, moved, pieces, row_key, shuffle_partitions, stored, text_bytes, word_hashes
+from .common import components, gram_hashes, join_few, lists, mix, moved, pieces, row_key, shuffle_partitions, stored, text_bytes, trimmed, word_hashes
 
 SIGNATURE_WORDS = 32  # longs of 64 bits in a bitmap
 LEAF, FANOUT = 16, 8
 BLOCK = 512  # classes of one tree in a task; a larger tree is cut into blocks of so many, and tasks take two blocks
 SHARED = 8  # texts that a shingle leads in before it is ordered last
+STARS = 2  # rounds of comparison with one class of each tree
+HELD_PAIRS = 1 << 20  # that a task adds up
 MAP_BITS = 1 << 26
 RUN_BYTES = 1 << 22  # of text whose shingles are packed together
 
@@ -105,7 +112,7 @@ def class_rows(docs: DataFrame, size: int, num: int, den: int, late: np.ndarray)
                     ["key", "doc_id", "n", "cls", "prefix", "signature"],
                 )
 
-    return docs.mapInArrow(rows, "key long, doc_id long, n long, cls long, prefix array<long>, signature array<long>")
+    return docs.mapInArrow(trimmed(rows), "key long, doc_id long, n long, cls long, prefix array<long>, signature array<long>")
 
 
 def shared_tokens(classes: DataFrame, blocks: int) -> DataFrame:
@@ -125,7 +132,7 @@ def shared_tokens(classes: DataFrame, blocks: int) -> DataFrame:
             keep = has_bit(sent.value, h.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(owner[keep]), pa.array(h[keep])], ["cls", "token"])
 
-    return classes.select("cls", "prefix").mapInArrow(rows, "cls long, token long")
+    return classes.select("cls", "prefix").mapInArrow(trimmed(rows), "cls long, token long")
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -147,7 +154,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     # the join leaves rows of one key together, so equal rows go without a shuffle
     found = join_few(docs.select("key", "text"), wanted, "key").where("cls is not null").dropDuplicates(["key"])
-    return found.select("text", "cls").mapInArrow(rows, "cls long, tokens array<long>")
+    return found.select("text", "cls").mapInArrow(trimmed(rows), "cls long, tokens array<long>")
 
 
 def enough(shared: str, na: str, nb: str, num: int, den: int) -> str:
@@ -222,10 +229,22 @@ class Tree:
 def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFrame:
     """Pairs (a, b) and the number of trees that they come from.
 
-    Rows have token, part, cls, n, component, signature, and say where they stand: band, upper, mine, low, high. Of
-    the groups of one tree that hold a pair, the one of its larger band and its two blocks gives it.
+    Rows have token, weight (how many trees it stands for), center, part, cls, n, component, signature, and say where
+    they stand: band, upper, mine, low, high. Of the groups of one tree that hold a pair, the one of its larger band
+    and its two blocks gives it.
     """
 
+    def added_up(pairs):
+        a, b, trees = (np.concatenate([x[k] for x in pairs]) for k in range(3))
+        order = np.lexsort((b, a))
+        a, b, trees = a[order], b[order], trees[order]
+        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
+        return a[new], b[new], np.add.reduceat(trees, new) if len(new) else trees
+
+    def sent(pairs):
+        for i in range(0, len(pairs[0]), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in pairs], ["a", "b", "trees"])
+
     def small(begin, count, n, signature, component):
         """All pairs inside groups of one leaf, over many groups at once."""
         for size in range(2, LEAF + 1):
@@ -244,7 +263,7 @@ def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFram
         n = table.column("n").to_numpy()
         order = np.lexsort((n, table.column("part").to_numpy(), table.column("token").to_numpy()))
         token, part, cls, n, component = (table.column(c).to_numpy()[order] for c in ("token", "part", "cls", "n", "component"))
-        band, upper, mine, low, high = (table.column(c).to_numpy()[order] for c in ("band", "upper", "mine", "low", "high"))
+        band, upper, mine, low, high, weight = (table.column(c).to_numpy()[order] for c in ("band", "upper", "mine", "low", "high", "weight"))
         signature = table.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, SIGNATURE_WORDS).view(np.uint64)[order]
         component = np.unique(component, return_inverse=True)[1].astype(np.int64)
         begin = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (part[1:] != part[:-1])]))
@@ -258,12 +277,11 @@ def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFram
             a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
             ok = np.maximum(band[a], band[b]) == upper[a]
             ok &= (np.minimum(mine[a], mine[b]) == low[a]) & (np.maximum(mine[a], mine[b]) == high[a])
-            a, b = cls[a[ok]], cls[b[ok]]
-            pairs, trees = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(trees)], ["a", "b", "trees"])
+            trees, a, b = weight[a[ok]], cls[a[ok]], cls[b[ok]]
+            yield np.minimum(a, b), np.maximum(a, b), trees
 
-    def traverse(batches):
-        """Whole groups at a time; the rows come sorted by group."""
+    def whole_trees(batches):
+        """The rows come sorted by group; whole groups at a time."""
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
@@ -271,17 +289,69 @@ def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFram
             last = np.flatnonzero((token != token[-1]) | (part != part[-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
-                yield from work(table.slice(0, cut))
+                yield table.slice(0, cut)
             held = table.slice(cut).combine_chunks()
         if held is not None and held.num_rows:
-            yield from work(held)
+            yield held
+
+    def traverse(batches):
+        held, n = [], 0
+        for table in whole_trees(batches):
+            for pairs in work(table):
+                held.append(pairs)
+                n += len(pairs[0])
+                if n > HELD_PAIRS:
+                    held = [added_up(held)]
+                    n = len(held[0][0])
+                    if n > HELD_PAIRS // 2:
+                        yield from sent(held[0])
+                        held, n = [], 0
+        if held:
+            yield from sent(added_up(held))
 
     return (
-        rows.repartition(partitions, "token", "part").sortWithinPartitions("token", "part")
-        .mapInArrow(traverse, "a long, b long, trees long").groupBy("a", "b").agg(F.sum("trees").alias("trees"))
+        rows.repartition(partitions, "center", "part").sortWithinPartitions("center", "part", "token")
+        .mapInArrow(trimmed(traverse), "a long, b long, trees long").groupBy("a", "b").agg(F.sum("trees").alias("trees"))
     )
 
 
+def tree_members(tokens: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(cls, token, weight, score) of the trees that hold two classes or more, one tree for all that hold the same ones.
+
+    weight is how many trees it stands for; score is a class's members of trees for each of its leading shingles.
+    """
+    one, two = F.bit_xor(F.xxhash64("cls")), F.bit_xor(F.xxhash64("cls", F.lit(1)))
+    trees = tokens.groupBy("token").agg(F.count("*").alias("members"), one.alias("x1"), two.alias("x2")).where("members > 1")
+    trees = trees.groupBy("members", "x1", "x2").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    trees = stored(trees.select("token", "members", "weight"), "trees")
+    members = stored(join_few(tokens, trees, "token").where("members is not null"), "placed")
+    score = members.groupBy("cls").agg(F.sum(F.col("members") * F.col("weight")).alias("met"))
+    score = score.join(classes.select("cls", "n"), "cls").select("cls", (F.col("met") / F.expr(f"n - ceil({num} * n / {den}) + 1")).alias("score"))
+    return members.join(moved(score), "cls").select("cls", "token", "weight", "score")
+
+
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b, trees): every class of `rows` with the highest score of each of its trees, unless they are in one component."""
+    best = F.max_by(F.struct("cls", "component"), F.struct("score", "cls"))
+    centers = rows.groupBy("token").agg(best.alias("c"), F.min("component").alias("low"), F.max("component").alias("high"))
+    centers = centers.where("low <> high").select("token", F.col("c.cls").alias("center"), F.col("c.component").alias("its"))
+    met = rows.join(moved(centers), "token").where("component <> its")
+    pairs = met.select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b"), "weight")
+    return pairs.groupBy("a", "b").agg(F.sum("weight").alias("trees"))
+
+
+def with_component(members: DataFrame, known: DataFrame) -> DataFrame:
+    return members.join(moved(known), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+
+
+def others_of(rows: DataFrame) -> DataFrame:
+    """Of each tree what is not in the component of the class with the highest score, where that is in two components or more."""
+    top = rows.groupBy("token").agg(F.max_by("component", F.struct("score", "cls")).alias("its"))
+    left = rows.join(moved(top), "token").where("component <> its").drop("its")
+    several = left.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+    return left.join(moved(several), "token")
+
+
 def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """key (see row_key), doc_id, n_shingles and component_id of each row of `docs` (doc_id, text).
 
@@ -302,22 +372,24 @@ def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
         "representatives",
     )
     tokens = stored(shared_tokens(classes, partitions), "tokens")
-    trees = stored(
-        tokens.groupBy("token").agg(F.count("*").alias("members"), F.min("cls").alias("center")).where("members > 1"), "trees"
-    )
-    members = stored(join_few(tokens, trees, "token").where("members is not null"), "members")
-    stars = members.where("cls <> center").select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b"))
-    stars = stars.groupBy("a", "b").agg(F.count("*").alias("trees"))
-    edges = stored(verified(stars, classes, docs, size, num, den), "links")
-    known = stored(components(edges), "known")
-
-    labelled = members.join(moved(known.toDF("cls", "component")), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    labelled = stored(labelled.select("token", "cls", "component"), "labelled")
+    members = stored(tree_members(tokens, classes, num, den), "members")
+    edges, labelled = None, members.withColumn("component", F.col("cls"))
+    rest = labelled
+    for _ in range(STARS):
+        stars = star_pairs(rest)
+        found = stored(verified(stars.select("a", "b", "trees"), classes, docs, size, num, den), "links")
+        edges = found if edges is None else edges.unionByName(found)
+        known = stored(components(edges).toDF("cls", "component"), "known")
+        labelled = stored(with_component(members, known), "labelled")
+        rest = stored(others_of(labelled.join(rest.select("cls", "token"), ["cls", "token"], "left_semi")), "rest")
+        if not rest.limit(1).count():
+            break
+    best = F.max_by("cls", F.struct("score", "cls"))
     mixed = labelled.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")
-    ).where("low <> high").select("token", "members")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), best.alias("center")
+    ).where("low <> high").select("token", "members", "center")
     left = stored(mixed, "open")
-    rows = join_few(labelled, left, "token").where("members is not null").join(classes.select("cls", "n", "signature"), "cls")
+    rows = join_few(labelled.drop("score"), left, "token").where("members is not null").join(classes.select("cls", "n", "signature"), "cls")
     # a similar set is in the same band of sizes or in the next
     rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int"))
     rows = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
