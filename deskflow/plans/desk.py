@@ -634,10 +634,11 @@ def _sign(column: str):
 @query(
     "pnl_by_desk",
     f"""SELECT book, pnl, CASE WHEN pnl >= 0 THEN 'gain' ELSE 'loss' END AS sign
-        FROM (SELECT book, {money('pnl_cad')} AS pnl FROM v_valued GROUP BY book)""",
+        FROM (SELECT book, {money('pnl_cad')} AS pnl FROM v_book GROUP BY book)""",
 )
 def pnl_by_desk(d: Desk):
-    return valued(d).groupBy("book").agg(exact_sum(F.col("pnl_cad")).alias("pnl")).select("*", _sign("pnl"))
+    """Positions of unknown clients count nowhere, with selections or without."""
+    return enrich.exposure_by(valued(d), d.clients, [], ["book"]).select("book", "pnl", _sign("pnl"))
 
 
 @query(
@@ -667,13 +668,11 @@ def exposure_sunburst(d: Desk):
 @query(
     "long_short",
     f"""SELECT book, CASE WHEN net_qty >= 0 THEN 'Long' ELSE 'Short' END AS direction, count(*) AS n_positions,
-               {money('gross_exposure')} AS gross FROM v_valued GROUP BY ALL""",
+               {money('gross_exposure')} AS gross FROM v_book GROUP BY ALL""",
 )
 def long_short(d: Desk):
-    direction = F.when(F.col("net_qty") >= 0, "Long").otherwise("Short")
-    return valued(d).groupBy("book", direction.alias("direction")).agg(
-        F.count("*").alias("n_positions"), exact_sum(F.col("gross_exposure")).alias("gross")
-    )
+    facing = valued(d).withColumn("direction", F.when(F.col("net_qty") >= 0, "Long").otherwise("Short"))
+    return enrich.exposure_by(facing, d.clients, [], ["book", "direction"]).drop("pnl")
 
 
 _RETURNS_SQL = """
@@ -755,10 +754,10 @@ def tier_mix(d: Desk):
 @query(
     "pnl_by_client",
     f"""SELECT client_id, pnl, CASE WHEN pnl >= 0 THEN 'gain' ELSE 'loss' END AS sign
-        FROM (SELECT client_id, {money('pnl_cad')} AS pnl FROM v_valued GROUP BY client_id)""",
+        FROM (SELECT client_id, {money('pnl_cad')} AS pnl FROM v_book GROUP BY client_id)""",
 )
 def pnl_by_client(d: Desk):
-    return valued(d).groupBy("client_id").agg(exact_sum(F.col("pnl_cad")).alias("pnl")).select("*", _sign("pnl"))
+    return enrich.exposure_by(valued(d), d.clients, ["client_id"], []).select("client_id", "pnl", _sign("pnl"))
 
 
 @query(

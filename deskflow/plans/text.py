@@ -110,7 +110,7 @@ def json_extract(d: Desk):
         FROM n""",
 )
 def embed_documents(d: Desk):
-    """Unit vectors of word counts for all chunks, without leaving the JVM."""
+    """Unit vectors of word counts for all chunks; words are counted over Arrow batches, all else is column expressions."""
     counted = d.chunks.select("doc_id", F.col("chunk_idx").cast("int"), term_counts(F.col("content")).alias("c"))
     return counted.select("doc_id", "chunk_idx", vector_literal(unit(F.col("c"))).alias("vec"))
 

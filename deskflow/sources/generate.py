@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import fx_rate
+from ..functions.text import let
 
 SEED = 1867
 BLOCK = 1024  # generated rows of one client that are made together
@@ -36,11 +37,15 @@ def uniform(*parts: Column) -> Column:
 
 def gauss(*parts: Column) -> Column:
     """About standard normal: twelve uniform bytes of one hash, summed and centred."""
+
+    def total(digest: Column) -> Column:
+        out = F.lit(0)
+        for i in range(12):
+            out = out + F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("int")
+        return out
+
     digest = F.md5(F.concat_ws(":", F.lit(SEED), *parts))
-    total = F.lit(0)
-    for i in range(12):
-        total = total + F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("int")
-    return (total + F.lit(6)) / F.lit(256.0) - F.lit(6.0)
+    return (let(digest, total) + F.lit(6)) / F.lit(256.0) - F.lit(6.0)
 
 
 def pick(values: list[str], *parts: Column) -> Column:

@@ -13,6 +13,7 @@ NAMES = [
     "trades_by_hour", "trade_scatter", "cumulative_flow", "top_clients", "notional_by_rating", "sector_concentration",
     "gen_positions", "gen_trades", "days_since_last_trade", "client_risk_features", "enrich_trades", "enrich_positions",
     "kpi_cards_filtered", "daily_flow_filtered", "limit_utilisation", "exposure_sunburst", "agg_trades_30d",
+    "pnl_by_desk", "pnl_by_desk_filtered", "long_short", "pnl_by_client", "distinct_clients_by_range", "trade_marks_as_of",
 ]
 
 
@@ -52,3 +53,16 @@ def test_matches_sql(spark, dirty, con, name):
 
 def test_generators_lose_no_rows(spark, dirty):
     assert QUERIES["gen_trades"](spark, dirty).count() == read_table(spark, dirty, "lineitem").count()
+
+
+def test_no_selection_is_an_empty_selection(spark, dirty):
+    """What a bar without selections shows is what the plain report shows, unknown clients or not."""
+    from deskflow.operators import enrich
+    from deskflow.plans.common import valued
+    from deskflow.sources.views import Desk
+
+    d = Desk(spark, dirty)
+    assert valued(d).where("client_id = 3000001").count() > 0
+    plain = QUERIES["pnl_by_desk"](spark, dirty).select("book", "pnl")
+    empty = enrich.exposure_by(valued(d), d.clients, [], ["book"], enrich.Selections()).select("book", "pnl")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, empty.collect()))
