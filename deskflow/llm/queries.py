@@ -53,7 +53,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 )
 def signatures(spark, base):
     """Documents linked by the Jaccard similarity of their 4-word shingles, as components."""
-    return shingle_components(table(spark, base, "documents"), 4, 85, 100).drop("key")
+    return shingle_components(table(spark, base, "documents"), 4, 85, 100).drop("key", "component")
 
 
 @query("op2_mixing")

@@ -353,9 +353,9 @@ def others_of(rows: DataFrame) -> DataFrame:
 
 
 def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """key (see row_key), doc_id, n_shingles and component_id of each row of `docs` (doc_id, text).
+    """key (see row_key), doc_id, n_shingles, component_id and component of each row of `docs` (doc_id, text).
 
-    Two rows are linked when den * |A and B| >= num * |A or B| for their sets of `size`-word shingles, words being
+    component tells components apart where ids are null or repeated; it is null for an empty set. Two rows are linked when den * |A and B| >= num * |A or B| for their sets of `size`-word shingles, words being
     runs of other bytes than blanks, A-Z in lower case; component_id is the smallest doc_id that links lead to.
     Null texts and texts without words have empty sets and are linked with nothing; equal non-empty sets are
     always linked. Rows that repeat a doc_id are rows of their own; a null doc_id is left out when the smallest
@@ -404,7 +404,8 @@ def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     joined = classes.select("cls", "doc_id").join(moved(final.toDF("cls", "component")), "cls", "left")
     joined = joined.withColumn("component", F.coalesce("component", "cls"))
     lowest = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = joined.join(moved(lowest), "component").select("cls", "component_id")
+    named = joined.join(moved(lowest), "component").select("cls", "component", "component_id")
     return base.join(moved(named), "cls", "left").select(
-        "key", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+        "key", "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "component",
+    )

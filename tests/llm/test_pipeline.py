@@ -9,6 +9,7 @@ from deskflow.llm.decontaminate import nearest
 from deskflow.llm.identifiers import known_spans
 from deskflow.llm.registry import table
 
+from . import cases
 from .cases import rows
 from .test_duplicates import expected_components
 
@@ -103,3 +104,18 @@ def test_stages_of_no_rows(spark, base):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, base), "none")
         assert docs.count() == 0
+
+
+def test_one_of_each_group_stays_where_ids_repeat_or_are_null(spark, base):
+    one = cases.prose(71, 150).split()
+    two = [*one[:70], "other", *one[71:]]
+    three = [*one[:30], "another", *one[31:]]
+    far = cases.prose(72, 150)
+    texts = [" ".join(x) for x in (one, two, three)]
+    rows = [(1, texts[0]), (1, texts[1]), (5, texts[2]), (5, far), (5, far)]
+    kept = corpus_pipeline.drop_copies(spark, cases.docs(spark, rows), base).select("doc_id", "text").collect()
+    assert len(kept) == 2 and sorted(r["doc_id"] for r in kept) == [1, 5] and far in {r["text"] for r in kept}
+    nameless = [(None, t) for t in texts] + [(None, far), (None, None), (None, " ")]
+    kept = corpus_pipeline.drop_copies(spark, cases.docs(spark, nameless), base).select("text").collect()
+    kept = [r["text"] for r in kept]
+    assert len(kept) == 4 and sum(t in texts for t in kept) == 1 and far in kept and None in kept
