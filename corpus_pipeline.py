@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskflow.llm import language, quality
-from deskflow.llm.common import join_few, row_key, stored
+from deskflow.llm.common import join_few, moved, row_key, stored
 from deskflow.llm.decontaminate import find_items
 from deskflow.llm.identifiers import find_identifiers, masked
 from deskflow.llm.mixing import mix_sources
@@ -31,11 +31,14 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, a similarity of 0.8): the one with the smallest doc_id.
 
-    Of equal rows one stays. Documents without words are no copies of one another.
+    A null doc_id comes last, and a hash of the row decides between rows that share the smallest; of equal rows one
+    stays. Documents without words are no copies of one another.
     """
-    found = stored(shingle_components(docs, 5, 80, 100), "copies")
-    other = (~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("other")
-    rows = found.where("n_shingles > 0").select("key", other).groupBy("key").agg(F.max("other").alias("__gone"), F.count("*").alias("__rows"))
+    found = stored(shingle_components(docs, 5, 80, 100).where("n_shingles > 0").select("key", "doc_id", "component"), "copies")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("best")
+    chosen = found.groupBy("component").agg(best).select("component", F.col("best.key").alias("chosen"))
+    gone = (F.col("key") != F.col("chosen")).alias("gone")
+    rows = found.join(moved(chosen), "component").select("key", gone).groupBy("key").agg(F.max("gone").alias("__gone"), F.count("*").alias("__rows"))
     rows = stored(rows.where("__gone or __rows > 1").withColumnRenamed("key", "__key"), "dropped")
     kept = join_few(docs.withColumn("__key", row_key()), rows, "__key").where("__gone is null or not __gone")
     if rows.where("__rows > 1").limit(1).count():
