@@ -20,6 +20,14 @@ from deskflow.llm.registry import table
 from deskflow.llm.signatures import shingle_components
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names after a mark that no column of `docs` begins with."""
+    mark = "__"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject. It learns from the labels outside the held-out fold."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where("quality is not null")
@@ -34,40 +42,43 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null doc_id comes last, and a hash of the row decides between rows that share the smallest; of equal rows one
     stays. Documents without words are no copies of one another.
     """
+    key, gone, copies, once = unused(docs, "key", "gone", "rows", "once")
     found = stored(shingle_components(docs, 5, 80, 100).where("n_shingles > 0").select("key", "doc_id", "component"), "copies")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("best")
     chosen = found.groupBy("component").agg(best).select("component", F.col("best.key").alias("chosen"))
-    gone = (F.col("key") != F.col("chosen")).alias("gone")
-    rows = found.join(moved(chosen), "component").select("key", gone).groupBy("key").agg(F.max("gone").alias("__gone"), F.count("*").alias("__rows"))
-    rows = stored(rows.where("__gone or __rows > 1").withColumnRenamed("key", "__key"), "dropped")
-    kept = join_few(docs.withColumn("__key", row_key()), rows, "__key").where("__gone is null or not __gone")
-    if rows.where("__rows > 1").limit(1).count():
-        once = F.when(F.col("__rows") > 1, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
-        kept = kept.withColumn("__once", once).dropDuplicates(["__key", "__once"])
+    other = found.join(moved(chosen), "component").select(F.col("key").alias(key), (F.col("key") != F.col("chosen")).alias("other"))
+    rows = other.groupBy(key).agg(F.max("other").alias(gone), F.count("*").alias(copies))
+    rows = stored(rows.where(F.col(gone) | (F.col(copies) > 1)), "dropped")
+    kept = join_few(docs.withColumn(key, row_key()), rows, key).where(F.col(gone).isNull() | ~F.col(gone))
+    if rows.where(F.col(copies) > 1).limit(1).count():
+        number = F.when(F.col(copies) > 1, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
+        kept = kept.withColumn(once, number).dropDuplicates([key, once])
     return kept.select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item stands, with few edits or none."""
-    leaks = find_items(docs, table(spark, sf_dir, "benchmark")).select(F.col("key").alias("__key")).distinct()
-    leaks = stored(leaks.withColumn("__leak", F.lit(True)), "leaks")
-    return join_few(docs.withColumn("__key", row_key()), leaks, "__key").where("__leak is null").select(docs.columns)
+    key, leak = unused(docs, "key", "leak")
+    leaks = find_items(docs, table(spark, sf_dir, "benchmark")).select(F.col("key").alias(key)).distinct()
+    leaks = stored(leaks.withColumn(leak, F.lit(True)), "leaks")
+    return join_few(docs.withColumn(key, row_key()), leaks, key).where(F.col(leak).isNull()).select(docs.columns)
 
 
 def mask_identifiers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data in their texts replaced by its kind in brackets, and n_chars counted again."""
-    found = find_identifiers(docs).where(F.size("spans") > 0).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
-    found = stored(found.dropDuplicates(["__key"]), "spans")
+    key, spans = unused(docs, "key", "spans")
+    found = find_identifiers(docs).where(F.size("spans") > 0).select(F.col("key").alias(key), F.col("spans").alias(spans))
+    found = stored(found.dropDuplicates([key]), "spans")
 
     @F.pandas_udf("string")
-    def mask(text: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([masked(t, list(s)) if s is not None else None for t, s in zip(text, spans)])
+    def mask(text: pd.Series, places: pd.Series) -> pd.Series:
+        return pd.Series([masked(t, list(s)) if s is not None else None for t, s in zip(text, places)])
 
-    met = join_few(docs.withColumn("__key", row_key()), found, "__key")
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(mask(F.when(F.col("__spans").isNotNull(), F.col("text")), "__spans"))
+    met = join_few(docs.withColumn(key, row_key()), found, key)
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(mask(F.when(F.col(spans).isNotNull(), F.col("text")), spans))
     met = met.withColumn("text", text)
     if "n_chars" in docs.columns:
-        n = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        n = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text"))
         met = met.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
     return met.select(docs.columns)
 
