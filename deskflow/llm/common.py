@@ -247,9 +247,12 @@ def join_few(left: DataFrame, right: DataFrame, key: str, bits: int = 1 << 24) -
         s = s.to_numpy()
         return pd.Series((sent.value[s // 64] >> (s % 64)) & 1 == 1)
 
-    marked = left.withColumn("__may", may(slot))
+    flag = "__may"
+    while flag in left.columns:
+        flag += "_"
+    marked = left.withColumn(flag, may(slot))
     names = [c for c in right.columns if c != key]
     kinds = dict(right.dtypes)
-    quiet = marked.where("not __may").drop("__may").withColumns({c: F.lit(None).cast(kinds[c]) for c in names})
-    busy = marked.where("__may").drop("__may").join(right, key, "left")
+    quiet = marked.where(~F.col(flag)).drop(flag).withColumns({c: F.lit(None).cast(kinds[c]) for c in names})
+    busy = marked.where(F.col(flag)).drop(flag).join(right, key, "left")
     return quiet.unionByName(busy)
