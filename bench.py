@@ -23,6 +23,8 @@ HEADLINE = [
     "scd1_stream", "scd1_out_of_order", "scd2_stream", "stream_resume", "sync_triggered", "publish_online",
     "online_lookup", "check_pk_composite", "check_fk", "chunk_documents", "embed_documents", "semantic_search",
     "vector_search_batch", "vector_search_approx", "page_text_extract", "word_wrap", "thread_state", "thread_pages",
+    "features_as_of", "trade_marks_as_of", "names_in_text", "memory_phrase_search", "document_files", "distinct_clients_by_range",
+    "append_in_batches", "version_lookup",
 ]
 
 
