@@ -1,15 +1,15 @@
 """Mixes sources to target weights by a low-discrepancy schedule.
 
-Each source's documents, shuffled by a hash, form one stream of words that is cut into blocks of equal length.
-Slot i of the schedule stands at the point i * golden ratio modulo 1; the cumulative shares of the targets say
-which source's interval the point is in, and the slot's rank within its source says which block it takes. When a
-source's blocks are used up, the ranks go round once more. Any run of slots is thus mixed almost as the whole.
-
-Block length follows from the size of the corpus, but is never more than a small part of the smallest target, so that
-small sources get what they should in a corpus of any size. A source's slots take its stream from the start and
-in order, so what they take of a document follows from their number; a round that ends inside a block goes on with the next.
-Ranks, positions and cumulative shares are running totals cut into ranges, so a source with most of the rows is
-no task's work alone.
+Each source's documents, shuffled by a hash, form one stream of words that is cut into blocks of equal length; the
+stream goes round, so a block may end in the next round. Slot i of the schedule stands at the point i * golden ratio
+modulo 1; the cumulative numbers of the sources' slots say which source's interval the point is in, and the slot's
+rank within its source says which block it takes. Any run of slots is thus mixed almost as the whole. Slots and the
+parts of documents that lie in a block meet in a join on source and block.
+
+All large sources have blocks of one length, which follows from the size of the corpus. A source whose target is less
+than LEAST such blocks has blocks of its own, a part of its target, so the number of slots follows the number of
+sources and never the smallest one, and small sources get what they should in a corpus of any size.
+Ranks and positions are running totals cut into ranges, so a source with most of the rows is no task's work alone.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from .common import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 GOLDEN = 0.6180339887498949  # (sqrt(5) - 1) / 2
-BLOCKS = 1 << 20  # a stream of all words would have at least about so many blocks
-LEAST = 256  # slots that the smallest target has, if it has as many words
-CELLS = 4096  # of the unit interval, and of each source's shuffled documents
+BLOCKS = 1 << 20  # blocks that a stream of all words would have, about
+LEAST = 256  # slots that a target has at least, if it has as many words
+CELLS = 4096  # of the unit interval, at least, and of each source's shuffled documents
 SLOTS_PER_RANGE = 4096
 
 
@@ -63,33 +63,29 @@ def source_targets(rows: DataFrame, total_share: float = 1.5, most: float = 2.0)
     return sources.select("key", "sid", "source_size", F.least(F.col("weight") * level, F.col("cap")).alias("target"))
 
 
-def dealt(targets: DataFrame, block_words: int) -> DataFrame:
-    """slot, sid and source_size of the slots; `targets` has sid, source_size and target."""
+def schedule(targets: DataFrame, block_words: int) -> DataFrame:
+    """slot, sid, rank, epoch, block and words of the slots; `targets` has sid, source_size and target.
+
+    words is the length of the source's blocks, at most `block_words`. The source's blocks lie one after the other in
+    its stream, round after round: a slot's begins at word (rank - 1) * words, in round `epoch`, as its block `block`.
+    """
     spark = targets.sparkSession
-    whole = targets.agg(F.sum("target")).first()[0] or 0.0
-    ranked = running_totals(targets.where("target > 0"), [], ["sid"], F.floor(F.col("sid") / 1024), {"high": "target"})
-    shares = ranked.select(
-        "sid", "source_size", ((F.col("high") - F.col("target")) / (whole or 1.0)).alias("low"), (F.col("high") / (whole or 1.0)).alias("high")
-    )
-    shares = stored(shares, "shares")
-    last = shares.agg(F.max("sid")).first()[0]
-    high = F.when(F.col("sid") == F.lit(last), 2.0).otherwise(F.col("high"))  # the last share ends the interval, rounding or not
-    shares = shares.withColumn("high", high)
-    cells = F.sequence(F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)))
-    shares = shares.withColumn("cell", F.explode(cells))
+    words = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("target") / LEAST))).cast("long")
+    counts = targets.where("target > 0").select("sid", "source_size", "target", words.alias("words"))
+    counts = counts.withColumn("n", F.ceil(F.col("target") / F.col("words")))
+    shares = stored(running_totals(counts, [], ["sid"], F.floor(F.col("sid") / 1024), {"high": "n"}).withColumn("low", F.col("high") - F.col("n")), "shares")
+    whole, sources = shares.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    cells = max(CELLS, 4 * sources)
+    cell = F.sequence(F.floor(F.col("low") * cells / (whole or 1)), F.floor(F.col("high") * cells / (whole or 1)))
+    shares = shares.withColumn("cell", F.explode(cell))
 
     point = F.col("slot") * F.lit(GOLDEN)
-    slots = spark.range(0, -int(-whole // block_words)).withColumnRenamed("id", "slot").withColumn("point", point - F.floor(point))
-    slots = slots.withColumn("cell", F.floor(F.col("point") * CELLS)).join(shares, "cell").where("point >= low and point < high")
-    return slots.select("slot", "sid", "source_size")
-
-
-def schedule(targets: DataFrame, block_words: int) -> DataFrame:
-    """slot, sid, rank, epoch and block of the slots; `targets` has sid, source_size and target."""
-    slots = dealt(targets, block_words).select("slot", "sid", F.lit(1).alias("one"), F.ceil(F.col("source_size") / block_words).alias("blocks"))
+    slots = spark.range(0, whole).withColumnRenamed("id", "slot").withColumn("point", (point - F.floor(point)) * whole)
+    slots = slots.withColumn("cell", F.floor(F.col("point") * cells / (whole or 1))).join(shares, "cell").where("point >= low and point < high")
+    slots = slots.select("slot", "sid", "source_size", "words", F.lit(1).alias("one"))
     ranked = running_totals(slots, ["sid"], ["slot"], F.floor(F.col("slot") / SLOTS_PER_RANGE), {"rank": "one"})
-    before = F.col("rank") - 1
-    return ranked.select("slot", "sid", "rank", F.floor(before / F.col("blocks")).alias("epoch"), (before % F.col("blocks")).alias("block"))
+    ranked = ranked.withColumn("begin", (F.col("rank") - 1) * F.col("words"))
+    return ranked.selectExpr("slot", "sid", "rank", "begin div source_size AS epoch", "begin % source_size div words AS block", "words")
 
 
 def mix_sources(docs: DataFrame, total_share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -102,16 +98,21 @@ def mix_sources(docs: DataFrame, total_share: float = 1.5, most: float = 2.0) ->
     rows = stored(sized(docs), "sizes")
     targets = stored(source_targets(rows, total_share, most), "targets")
     total = targets.agg(F.sum("source_size")).first()[0] or 0
-    least = targets.where("target > 0").agg(F.min("target")).first()[0] or 0
-    block_words = max(1, min(-(-total // BLOCKS), int(least / LEAST)))
-    # words that a source's slots take, in whole rounds and a part of one
-    words = F.least(F.count("*") * block_words, F.first("source_size") * int(most))
-    words = stored(dealt(targets, block_words).groupBy("sid").agg(words.alias("words")), "words")
+    slots = stored(schedule(targets, max(1, -(-total // BLOCKS))), "schedule")
+    lengths = stored(slots.groupBy("sid").agg(F.first("words").alias("words"), F.sum("words").alias("whole")), "lengths")
 
-    placed = rows.withColumn("one", F.lit(1)).join(targets.join(words, "sid", "left"), "key")
+    placed = rows.withColumn("one", F.lit(1)).join(targets.join(lengths, "sid", "left"), "key")
     bits = CELLS.bit_length() - 1
     placed = running_totals(placed, ["sid"], ["h", "h2"], F.shiftright(F.col("h"), 64 - bits), {"end": "size", "position": "one"})
-    rounds, rest = F.expr("words div source_size"), F.col("words") % F.col("source_size")
-    part = F.greatest(F.lit(0), F.least("end", rest) - (F.col("end") - F.col("size")))
-    taken = F.when((F.col("size") > 0) & F.col("words").isNotNull(), F.col("size") * rounds + part).otherwise(0)
-    return placed.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    placed = stored(placed.select("doc_id", "sid", "position", "size", "source_size", "target", "words", "whole", "end"), "placed")
+
+    # where a document lies in each round of its stream, as far as the slots go, and the blocks that it lies in
+    parts = placed.where("size > 0").withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(max(1, int(most)) - 1))))
+    parts = parts.withColumn("hi", F.least(F.col("round") * F.col("source_size") + F.col("end"), F.col("whole"))).where(F.lit(most >= 1))
+    parts = parts.withColumn("lo", F.col("round") * F.col("source_size") + F.col("end") - F.col("size")).where("lo < hi")
+    parts = parts.select("sid", "position", "words", "lo", "hi", F.explode(F.expr("sequence(lo div words, (hi - 1) div words)")).alias("nth"))
+    part = F.least("hi", (F.col("nth") + 1) * F.col("words")) - F.greatest("lo", F.col("nth") * F.col("words"))
+    parts = parts.select("sid", "position", "nth", part.alias("part"))
+    taken = parts.join(slots.select("sid", (F.col("rank") - 1).alias("nth")), ["sid", "nth"]).groupBy("sid", "position").agg(F.sum("part").alias("taken"))
+    out = placed.join(taken, ["sid", "position"], "left")
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
