@@ -13,11 +13,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, text_bytes
+from ..operators.ordered import top_rows
+from .common import pieces, stored, text_bytes
 
 TWO, THREE = 1 << 10, 1 << 12  # slots for 2-grams and 3-grams
 DIMS = TWO + THREE
-SAMPLE = 3000  # texts that the centroids are clustered from, all languages together, about
+SAMPLE = 3000  # texts that the centroids are clustered from, all languages together; at least one of each
 CENTROIDS = 4  # for each language
 REJECT = 0.02  # share of the sample that its own centroids reject
 ROWS = 512  # texts whose counts a task holds at once
@@ -79,8 +80,9 @@ def cluster(x: np.ndarray, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 def fit(labelled: DataFrame) -> dict:
     """Learns from `labelled` (text, lang); rows with a null in either are left out.
 
-    Document frequencies are counted over all rows. The centroids come from about SAMPLE rows, the same number of
-    each language where there are as many, chosen by a hash of the text.
+    Document frequencies are counted over all rows. The centroids come from at most SAMPLE different texts, the same
+    number of each language where there are as many, chosen by a hash of the text; with more languages than SAMPLE
+    there is one of each. Copies of a text count once here, so no language is lost to the copies of another text.
     """
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
 
@@ -100,12 +102,11 @@ def fit(labelled: DataFrame) -> dict:
     total = int(found.loc[found["slot"] < 0, "n"].sum())
     idf = np.log((1 + total) / (1 + seen)).astype(np.float32) + 0.05
 
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    each = max(1, SAMPLE // max(1, len(sizes)))
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))).otherwise(share)
-    chance = F.shiftrightunsigned(F.xxhash64("text", F.lit(3)), 11) / float(1 << 53)
+    keys = rows.select("lang", F.xxhash64("text", F.lit(3)).alias("h")).distinct()
+    languages = rows.select("lang").distinct().count()
+    drawn = stored(top_rows(keys, ["lang"], [F.col("h")], max(1, SAMPLE // max(1, languages))), "drawn-texts")
+    chosen = rows.withColumn("h", F.xxhash64("text", F.lit(3))).join(drawn, ["lang", "h"], "left_semi")
+    chosen = chosen.groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def vectors(batches):
         for batch in batches:
@@ -113,7 +114,7 @@ def fit(labelled: DataFrame) -> dict:
             for a, b, counts in runs(batch.column("text")):
                 yield pa.RecordBatch.from_arrays([lang[a:b], pa.array([x.tobytes() for x in np.minimum(counts, 65535).astype(np.uint16)], pa.binary())], ["lang", "counts"])
 
-    sample = rows.where(chance < share).mapInArrow(vectors, "lang string, counts binary").toPandas()
+    sample = chosen.select("lang", "text").mapInArrow(vectors, "lang string, counts binary").toPandas()
     sample = sample.sort_values(["lang", "counts"], ignore_index=True)
     names, centers, limits = [], [], []
     for i, (lang, part) in enumerate(sample.groupby("lang", sort=True)):
