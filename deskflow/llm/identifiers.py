@@ -12,6 +12,7 @@ Scanning is one pass that keeps mentions only; all counting and scoring are join
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_left
 
@@ -45,6 +46,7 @@ _TOKEN = re.compile(r"\S+")
 _SIGN = re.compile(r"[0-9@]")
 _AT = re.compile(r" ?(?:@|\(at\)|\[at\])")
 _LOOSE_LOCAL = re.compile(r"[\w.%+-]")
+WORD, LONG = 64, "\u2026"  # longest word that a pattern spells out, and what stands for longer ones
 REACH = 70  # characters around a digit in which a looser form that has it must lie; the longest, a card, has 37
 
 
@@ -99,12 +101,43 @@ def plain(kind: str, value: str) -> str:
     return "".join(digits)[-10:] if kind == "phone" else "".join(digits)
 
 
+def word_of(word: str) -> str:
+    return word.lower() if len(word) <= WORD else LONG
+
+
+def words_before(text: str, start: int) -> list[str]:
+    """The last two words before a place; a long word stands for all before it as well."""
+    reach = 3 * WORD
+    while True:
+        words = text[max(0, start - reach) : start].split()
+        if words and len(words[-1]) > WORD:
+            return [LONG, LONG]
+        # the first of them may be cut, which does not matter where it is long or not among the last two
+        if len(words) > 2 or reach >= start or len(words) == 2 and len(words[0]) > WORD:
+            return [word_of(w) for w in words[-2:]]
+        reach *= 4
+
+
+def word_after(text: str, end: int) -> str | None:
+    reach = 2 * WORD
+    while True:
+        part = text[end : end + reach]
+        words = part.split(None, 1)
+        if len(words) > 1 or end + reach >= len(text) or words and (len(words[0]) > WORD or part[-1].isspace()):
+            return word_of(words[0].rstrip()) if words else None
+        reach *= 4
+
+
 def patterns_around(text: str, start: int, end: int) -> list[str]:
-    """Two words before; one before and one after: the words as they stand, in lower case."""
-    left = text[max(0, start - 80) : start].lower().split()
-    right = text[end : end + 40].lower().split()
+    """Two words before; one before and one after: whole words in lower case, those of more than WORD characters as LONG."""
+    left, right = words_before(text, start), word_after(text, end)
     out = [f"{left[-2]} {left[-1]} _"] if len(left) > 1 else []
-    return out + ([f"{left[-1]} _ {right[0]}"] if left and right else [])
+    return out + ([f"{left[-1]} _ {right}"] if left and right else [])
+
+
+def value_of(token: str) -> str:
+    """A token as a value of the graph: different tokens are different values, and none is longer than 64 characters."""
+    return token if len(token) < 64 else hashlib.sha256(token.encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -177,7 +210,7 @@ def mentions_of(text: str, known: list[tuple[int, int, int]]) -> list[tuple[str,
     for a, b in windows:
         for m in _TOKEN.finditer(text, a, b):
             if _SIGN.search(m[0]) and is_free(seen, m.start(), m.end()):
-                out.append(("", m[0][:64], m.start(), m.end(), False, patterns_around(text, m.start(), m.end())))
+                out.append(("", value_of(m[0]), m.start(), m.end(), False, patterns_around(text, m.start(), m.end())))
     return out
 
 
