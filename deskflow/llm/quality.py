@@ -124,26 +124,25 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> dict:
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Learns from the texts of `docs` (doc_id, text) that `labels` (doc_id, quality 0 or 1) say something of.
 
-    Labels with another quality or no doc_id are left out; null texts are empty. About SAMPLE_ROWS labels of each
-    kind are drawn by a hash of doc_id before texts are read, and thinned again if their texts, which stay whole,
-    have more than SAMPLE_BYTES. Without texts of both labels every text is as likely one as the other.
+    Labels with another quality or no doc_id are left out; null texts are empty. Labels and texts that are repeated
+    count once. About SAMPLE_ROWS labels of each kind are drawn by a hash of doc_id before texts are read, and their
+    texts, which stay whole, are thinned text by text if they have more than SAMPLE_BYTES. Without texts of both labels every text is as likely one as the other.
     """
 
-    def chance(seed: int):
-        return F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / float(1 << 53)
-
-    def thinned(rows: DataFrame, shares: dict, seed: int) -> DataFrame:
+    def thinned(rows: DataFrame, shares: dict, *drawn_by) -> DataFrame:
+        chance = F.shiftrightunsigned(F.xxhash64(*drawn_by), 11) / float(1 << 53)
         share = F.lit(0.0)
         for q, part in shares.items():
             share = F.when(F.col("quality") == q, F.lit(min(1.0, part))).otherwise(share)
-        return rows.where(chance(seed) < share)
+        return rows.where(chance < share)
 
-    labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1) and doc_id is not null")
+    labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1) and doc_id is not null").distinct()
     counts = labels.groupBy("quality").agg(F.count("*").alias("n")).collect()
-    drawn = stored(thinned(labels, {q: SAMPLE_ROWS / n for q, n in counts}, 5), "labels")
+    drawn = stored(thinned(labels, {q: SAMPLE_ROWS / n for q, n in counts}, "doc_id", F.lit(5)), "labels")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(drawn, "doc_id")
+    texts = stored(texts.groupBy("doc_id", "quality", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text")), "labelled-texts")
     sizes = texts.groupBy("quality").agg(F.sum(F.octet_length("text")).alias("n")).collect()
-    sample = thinned(texts, {q: SAMPLE_BYTES / max(n, 1) for q, n in sizes}, 6).toPandas()
+    sample = thinned(texts, {q: SAMPLE_BYTES / max(n, 1) for q, n in sizes}, "doc_id", "h", F.lit(6)).toPandas()
     sample = sample.sort_values(["quality", "doc_id", "text"], ignore_index=True)
     truth = sample["quality"].to_numpy(np.float32)
     if len(set(truth.tolist())) < 2:
