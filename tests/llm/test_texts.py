@@ -1,9 +1,11 @@
 """Classifiers, identifiers, decontamination, mixing and chat formatting."""
 
+import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from deskflow.llm import language, mixing, quality
 from deskflow.llm.chat import best_paths, format_conversations, linear_tree, read_back
 from deskflow.llm.common import text_bytes
 from deskflow.llm.decontaminate import RECALL, find_items, nearest
-from deskflow.llm.identifiers import _LOOSE, find_identifiers, known_spans, loose_spans, luhn, masked, mentions_of, windows_of
+from deskflow.llm.identifiers import LONG, WORD, _LOOSE, find_identifiers, known_spans, loose_spans, luhn, masked, mentions_of, patterns_around, windows_of
 from deskflow.llm.mixing import mix_sources, schedule, source_targets
 from deskflow.llm.queries import QUERIES
 from deskflow.llm.registry import table
@@ -45,6 +47,49 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language.predict(docs(spark), nothing).collect()} == {"und"}
 
 
+def test_no_language_is_lost_to_copies(spark):
+    learn = [(said("xx", i), "xx") for i in range(40)] + [(f"{said('zz', i % 3)}", "zz") for i in range(6000)]
+    model = language.fit(spark.createDataFrame(learn, "text string, lang string"))
+    assert sorted(set(model["names"])) == ["xx", "zz"] and model["names"].count("zz") <= 3
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs(spark, [(i, said(x, 900)) for i, x in enumerate(["xx", "zz"])]), model).collect()}
+    assert got == {0: "xx", 1: "zz"}
+
+
+def test_more_languages_than_the_sample_has_texts(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 5)
+    learn = [(f"{chr(97 + i)}{chr(98 + i)} " * 9, f"l{i}") for i in range(12) for _ in range(2)]
+    assert sorted(language.fit(spark.createDataFrame(learn, "text string, lang string"))["names"]) == sorted(f"l{i}" for i in range(12))
+
+
+def test_language_vectors_are_those_of_plain_loops(spark):
+    texts = [said("xx", 1), "A b", "", "12", "Ça va? ça VA", "ab-ab ab"]
+
+    def grams(text):
+        raw = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode()]
+        x, out = [32, *raw, 32], np.zeros(language.DIMS)
+        for n, first, slots, factor in ((2, 0, language.TWO, 2654435761), (3, language.TWO, language.THREE, 2246822519)):
+            for i in range(len(x) - n + 1):
+                gram = x[i : i + n]
+                # a gram of two gaps side by side says nothing
+                if any(gram[k : k + 2] == [32, 32] for k in range(n - 1)):
+                    continue
+                number = sum(b << 8 * k for k, b in enumerate(gram))
+                out[first + (number * factor % 2**32) * slots // 2**32] += 1
+        return out
+
+    data, at = text_bytes(pa.array(texts, pa.large_string()))
+    want = np.stack([grams(t) for t in texts])
+    assert (language.gram_counts(data, at) == want).all()
+    model = language.fit(spark.createDataFrame([(t, "xx" if i % 2 else "yy") for i, t in enumerate(texts)], "text string, lang string"))
+    idf = [math.log((1 + len(texts)) / (1 + sum(w[k] > 0 for w in want))) + 0.05 for k in range(language.DIMS)]
+    assert np.allclose(model["idf"], idf, atol=1e-5)
+    for r in language.predict(docs(spark, list(enumerate(texts))), model).collect():
+        x = np.log1p(want[r["doc_id"]]) * idf
+        norm = math.sqrt(sum(v * v for v in x))
+        cosines = [sum(v * c for v, c in zip(x, center)) / norm for center in model["centers"]] if norm else [0]
+        assert abs(r["score"] - max(cosines)) < 1e-5 and (not norm or r["lang_pred"] == model["names"][int(np.argmax(cosines))])
+
+
 def test_language_held_out(spark, base):
     real = QUERIES["op3_language"](spark, base).join(table(spark, base, "documents").select("doc_id", "lang"), "doc_id")
     right = real.where("held_out and lang is not null").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
@@ -97,6 +142,22 @@ def test_quality_held_out(spark, base):
     assert right >= 0.95
 
 
+def test_labels_of_one_document_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 20000)
+    seen = {}
+
+    def train(texts, truth):
+        seen["texts"] = texts
+        return None
+
+    monkeypatch.setattr(quality, "train", train)
+    data = [(1, prose(i % 400, 60)) for i in range(1200)] + [(i, prose(i, 60)) for i in range(1000, 1010)]
+    labels = spark.createDataFrame([(1, 0)] * 500 + [(i, 1) for i in range(1000, 1010)], "doc_id long, quality int")
+    quality.fit(docs(spark, data), labels)
+    hot = [t for t in seen["texts"] if t.decode() in {prose(i, 60) for i in range(400)}]
+    assert len(hot) == len(set(hot)) and 0.5 * 20000 <= sum(map(len, hot)) <= 1.5 * 20000 and len(seen["texts"]) - len(hot) == 10
+
+
 # ---- identifiers ----
 
 FORMS = {
@@ -170,6 +231,30 @@ def test_looser_forms_are_those_of_the_whole_text():
     found("a" * 200000 + "@" + "1" * 200000)
 
 
+def test_patterns_are_whole_words():
+    def plain_patterns(text, start, end):
+        left, right = text[:start].split(), text[end:].split()
+        left = [LONG if len(w) > WORD else w.lower() for w in left]
+        if left and left[-1] == LONG:
+            left = [LONG, LONG]
+        right = [LONG if len(w) > WORD else w.lower() for w in right]
+        return ([f"{left[-2]} {left[-1]} _"] if len(left) > 1 else []) + ([f"{left[-1]} _ {right[0]}"] if left and right else [])
+
+    rng = random.Random(8)
+    parts = ["Word ", "x" * 63, "y" * 64, "z" * 65, " ", "\n", " " * 150, " " * 900, "é", "end. ", "w" * 300, "call me at "]
+    for _ in range(4000):
+        left, right = ("".join(rng.choices(parts, k=rng.randrange(0, 8))) for _ in range(2))
+        text = left + "9" + right
+        assert patterns_around(text, len(left), len(left) + 1) == plain_patterns(text, len(left), len(left) + 1), text
+    mentions_of("a@b.c," * 100000, [])
+
+
+def test_long_tokens_are_different_values():
+    a, b = "9" * 80 + "x", "9" * 80 + "y"
+    values = [m[1] for m in mentions_of(f"{a} {b} {a} 7", []) if m[0] == ""]
+    assert values[0] == values[2] != values[1] and values[3] == "7" and max(map(len, values)) <= 64
+
+
 def test_masked():
     spans = [{"kind": "email", "start": 3, "end": 11}, {"kind": "phone", "start": 8, "end": 14}]
     assert masked("to me@x.org12345 end", spans) == "to [email]45 end" and masked(None, spans) is None and masked("a", []) == "a"
@@ -297,6 +382,36 @@ def test_small_sources_of_a_large_corpus(spark, monkeypatch):
     assert len(got) == 31 and all(abs(r["taken"] - r["target"]) <= max(4, 0.02 * r["target"]) for r in got), got
 
 
+def test_slots_follow_the_number_of_sources(spark):
+    targets = [(0, 4_000_000_000, 6_000_000_000.0), (1, 3, 6.0), (2, 900, 1000.0)] + [(3 + i, 50, 100.0) for i in range(50)]
+    df = spark.createDataFrame(targets, "sid long, source_size long, target double")
+    slots = schedule(df, 4_000_000_000 // mixing.BLOCKS).groupBy("sid").agg(F.count("*").alias("n"), F.sum("words").alias("words"), F.max("rank").alias("last"))
+    got = {r["sid"]: r for r in slots.collect()}
+    assert sum(r["n"] for r in got.values()) <= 1.5 * mixing.BLOCKS + 1000 + 2 * mixing.LEAST * len(targets)
+    for sid, _, target in targets:
+        assert got[sid]["n"] == got[sid]["last"] and abs(got[sid]["words"] - target) <= max(4, 0.02 * target), (sid, got[sid])
+
+
+def test_what_is_taken_is_what_the_slots_say(spark):
+    rng = random.Random(16)
+    data = [(i, prose(i, rng.randrange(0, 300)), "abc"[i % 7 % 3]) for i in range(300)] + [(900, prose(900, 9), "tiny")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    sizes = sorted((r.asDict() for r in mixing.sized(df).collect()), key=lambda r: (r["h"], r["h2"]))
+    targets = source_targets(mixing.sized(df))
+    names = {r["sid"]: r["key"] for r in targets.collect()}
+    total = sum(r["size"] for r in sizes)
+    want = dict.fromkeys((r["doc_id"] for r in sizes), 0)
+    # the streams of the sources, word by word
+    streams = {sid: [r["doc_id"] for r in sizes if r["key"] == key for _ in range(r["size"])] for sid, key in names.items()}
+    for slot in schedule(targets, max(1, -(-total // mixing.BLOCKS))).collect():
+        stream = streams[slot["sid"]]
+        first = (slot["rank"] - 1) * slot["words"]
+        for at in range(first, min(first + slot["words"], 2 * len(stream))):
+            want[stream[at % len(stream)]] += 1
+        assert (slot["epoch"], slot["block"]) == (first // len(stream), first % len(stream) // slot["words"])
+    assert {r["doc_id"]: r["taken"] for r in mix_sources(df).collect()} == want
+
+
 def test_schedule_mixes_every_stretch(spark):
     targets = spark.createDataFrame([(0, 1000, 1500.0), (1, 3000, 3000.0), (2, 500, 500.0)], "sid long, source_size long, target double")
     slots = schedule(targets, 1).orderBy("slot").collect()
