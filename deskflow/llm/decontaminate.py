@@ -13,8 +13,9 @@ above by the target, a RECALL of 0.95 for items at the limit of edits: WIDTHS ha
 which TABLES tables of SAMPLED steps reach it, found by random edits of random items. Exact copies are always found.
 
 A bit map of fixed size says which samples occur in the items at all; only those windows are sent to the join. Each
-candidate with enough runs of four bytes in common is then aligned with the whole item, and counts if the edit distance to the closest part of the document
-is at most a given share of the item's length. Case and runs of blanks do not count as edits.
+candidate is then aligned with the whole item, many candidates side by side (those of long items one by one, if enough
+runs of four bytes are in common), and counts if the edit distance to the closest part of the document is at most a
+given share of the item's length. Case and runs of blanks do not count as edits.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ RECALL = 0.95  # least share of items found at the limit of edits, at any length
 STRETCH = 64  # steps of the walk that one table's samples lie in
 MAP_BITS = 1 << 26
 EDITS = 0.1  # of an item's length
+LANES_BYTES = 1024  # longest pattern that is aligned side by side with others
+LANES = 8192  # words of 64 bits that are aligned at once
 
 
 def plain_bytes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +188,70 @@ def nearest(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def _bits(patterns: list[bytes], words: int) -> np.ndarray:
+    """(words, 257 * patterns): the places of each byte in each pattern, 64 to a word; byte 256 is none."""
+    out = np.zeros((words, 257 * len(patterns)), np.uint64)
+    for i, pattern in enumerate(patterns):
+        place = np.arange(len(pattern))
+        slot = 257 * i + np.frombuffer(pattern, np.uint8).astype(np.int64)
+        np.bitwise_or.at(out, (place >> 6, slot), np.uint64(1) << (place & 63).astype(np.uint64))
+    return out
+
+
+def nearest_many(patterns: list[bytes], texts: list[bytes]) -> np.ndarray:
+    """Least edit distance of each pattern to any part of its text, as `nearest`; none of the patterns is empty.
+
+    Patterns of up to LANES_BYTES bytes are aligned side by side, a step along all texts at a time; longer ones, for
+    which one number of so many bits is quick, are aligned alone.
+    """
+    out = np.zeros(len(patterns), np.int64)
+    size, length = (np.array([len(x) for x in xs], np.int64) for xs in (patterns, texts))
+    words = (size + 63) >> 6
+    left = np.array([i for i in range(len(patterns)) if patterns[i] not in texts[i]], np.int64)
+    for i in left[size[left] > LANES_BYTES].tolist():
+        out[i] = nearest(patterns[i], texts[i])[0]
+    left = left[size[left] <= LANES_BYTES]
+    left = left[np.lexsort((length[left], words[left]))]
+    while len(left):
+        n = int(words[left[0]])
+        lanes = left[: LANES // n]
+        lanes = lanes[words[lanes] == n]
+        left = left[len(lanes) :]
+        names: dict[bytes, int] = {}
+        which = np.array([names.setdefault(patterns[i], len(names)) for i in lanes.tolist()], np.int64) * 257
+        bits = _bits(list(names), n)
+        steps = np.full((int(length[lanes].max()), len(lanes)), 256, np.int64)
+        for k, i in enumerate(lanes.tolist()):
+            steps[: length[i], k] = np.frombuffer(texts[i], np.uint8)
+        steps += which
+        # a step is the same as in `nearest`, on numbers of n words; beyond a text's end nothing matches any more,
+        # which never lowers the least distance
+        one, high = np.uint64(1), np.uint64(63)
+        up, down = np.full((n, len(lanes)), ~np.uint64(0)), np.zeros((n, len(lanes)), np.uint64)
+        score, top = size[lanes].copy(), ((size[lanes] - 1) & 63).astype(np.uint64)
+        best = score.copy()
+        for step in steps:
+            eq = bits.take(step, 1)
+            part = eq & up
+            total = part + up
+            over = total < up
+            for w in range(1, n):
+                total[w] += over[w - 1]
+                over[w] |= over[w - 1] & (total[w] == 0)
+            diagonal = (total ^ up) | eq | down
+            rise, fall = down | ~(diagonal | up), diagonal & up
+            score += (rise[-1] >> top & one).astype(np.int64)
+            score -= (fall[-1] >> top & one).astype(np.int64)
+            np.minimum(best, score, out=best)
+            carry_rise, carry_fall = rise[:-1] >> high, fall[:-1] >> high
+            rise, fall = rise << one, fall << one
+            rise[1:] |= carry_rise
+            fall[1:] |= carry_fall
+            up, down = fall | ~(diagonal | rise), rise & diagonal
+        out[lanes] = best
+    return out
+
+
 def grams(x: np.ndarray) -> np.ndarray:
     """The runs of four bytes, as numbers."""
     x = x.astype(np.uint32)
@@ -239,14 +306,13 @@ def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataF
 
     def align(batches):
         for batch in batches:
-            ids, texts = text_bytes(batch.column("text")), batch.column("part")
-            data, at = plain_bytes(*ids)
-            distance, size = [], []
-            for i, part in enumerate(texts):
-                pattern, text = data[at[i] : at[i + 1]], np.frombuffer(part.as_buffer(), np.uint8)
-                near = can_be_near(pattern, text, int(len(pattern) * edits))
-                distance.append(nearest(pattern.tobytes(), text.tobytes())[0] if near else len(pattern))
-                size.append(len(pattern))
+            data, at = plain_bytes(*text_bytes(batch.column("text")))
+            size = np.diff(at)
+            distance = size.copy()
+            patterns, texts = [data[at[i] : at[i + 1]] for i in range(len(size))], batch.column("part").to_pylist()
+            # counting runs of four bytes is worth its time before a long item only
+            ask = [i for i in np.flatnonzero(size).tolist() if size[i] <= LANES_BYTES or can_be_near(patterns[i], np.frombuffer(texts[i], np.uint8), int(size[i] * edits))]
+            distance[ask] = nearest_many([patterns[i].tobytes() for i in ask], [texts[i] for i in ask])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("doc_id"), batch.column("item_id"), pa.array(distance, pa.int64()), pa.array(size, pa.int64())], ["key", "doc_id", "item_id", "distance", "size"]
             )

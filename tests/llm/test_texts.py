@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from deskflow.llm import language, mixing, quality
 from deskflow.llm.chat import best_paths, format_conversations, linear_tree, read_back
 from deskflow.llm.common import text_bytes
-from deskflow.llm.decontaminate import RECALL, find_items, nearest
+from deskflow.llm.decontaminate import RECALL, find_items, nearest, nearest_many
 from deskflow.llm.identifiers import LONG, WORD, _LOOSE, find_identifiers, known_spans, loose_spans, luhn, masked, mentions_of, patterns_around, windows_of
 from deskflow.llm.mixing import mix_sources, schedule, source_targets
 from deskflow.llm.queries import QUERIES
@@ -280,6 +280,22 @@ def test_nearest_is_the_edit_distance():
         assert nearest(a, b)[0] == edit_distance(a, b)
 
 
+def test_many_alignments_at_once_are_those_one_by_one():
+    rng = random.Random(5)
+    patterns, texts = [], []
+    for n in [1, 2, 63, 64, 65, 127, 128, 129, 200, 300, 500, 1024, 1025, 1500] * 12:
+        pattern = "".join(rng.choices("abcd\0é", k=n)).encode()[:n]
+        patterns.append(pattern)
+        near = bytearray(pattern)
+        for _ in range(rng.randrange(0, n // 8 + 2)):
+            at = rng.randrange(len(near) + 1)
+            near[at : at + rng.randrange(2)] = b"x" * rng.randrange(2)
+        before, after = (bytes(rng.choices(b"abcd\0", k=rng.randrange(0, n + 3))) for _ in range(2))
+        texts.append(rng.choice([before + bytes(near) + after, bytes(near), bytes(near[: n // 2]), before, b""]))
+    got = nearest_many(patterns, texts)
+    assert got.tolist() == [nearest(p, t)[0] for p, t in zip(patterns, texts)] and len(nearest_many([], [])) == 0
+
+
 def test_items_are_found(spark):
     items = [(i, prose(500 + i, n)) for i, n in enumerate([3, 6, 12, 25, 50, 100])] + [(90, None), (91, "  "), (92, "z"), (0, prose(700, 20))]
     data, want = [], set()
