@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -16,6 +15,8 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from ..functions.vectors import dot, round6, unit
 
 QUERY_BLOCK = 2048  # queries that go to the tasks together
+PART_ROWS = 1 << 14  # stored rows that a task holds while more queries than a block pass them
+QUERY_RUN = 256  # of these that are compared at once
 SCORE_DECIMALS = 12  # beyond these, scores differ by the order of sums only
 
 
@@ -67,25 +68,63 @@ def _final(candidates: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 
 def nearest(
-    stored: DataFrame, queries: DataFrame, keys: list[str], k: int = 4, block: int = QUERY_BLOCK
+    stored: DataFrame, queries: DataFrame, keys: list[str], k: int = 4, block: int = QUERY_BLOCK, part: int = PART_ROWS
 ) -> DataFrame:
     """The k stored rows nearest to each query, exact: (query_id, keys, score, rank).
 
-    `stored` has key columns and `embedding`; `queries`, a stated set, has `query_id` and
-    `embedding`. The queries go to the tasks in blocks of bounded size; each block is one pass
-    over the stored rows, which keeps k rows per query and task. For query sets of the size of
-    the table there is `nearest_approx`.
+    `stored` has key columns, which tell its rows apart, and `embedding`; `queries` has `query_id` and `embedding`.
+    Up to `block` queries go to the tasks that read the stored rows. More are dealt to parts of about `part` stored
+    rows: a task holds one part, and the queries stream past it. Either way k rows per query and task are kept.
+    For query sets of the size of the table there is `nearest_approx`.
     """
     stored = stored.select(*keys, "embedding")
     fields = [stored.schema[c] for c in keys]
     schema = StructType([*fields, queries.schema["query_id"], StructField("score", DoubleType())])
-    found = stored.sparkSession.createDataFrame([], schema)
-    asked = queries.select("query_id", "embedding").where("embedding is not null").toLocalIterator()
-    while rows := list(islice(asked, block)):
-        found = found.unionByName(_scored(stored, keys, rows, k, schema))
+    queries = queries.select("query_id", "embedding").where("embedding is not null")
+    few = queries.limit(block + 1).collect()
+    if not few:
+        found = stored.sparkSession.createDataFrame([], schema)
+    elif len(few) <= block:
+        found = _scored(stored, keys, few, k, schema)
+    else:
+        found = _dealt(stored, queries, keys, k, schema, part)
     return _final(found, keys, k)
 
 
+def _dealt(
+    stored: DataFrame, queries: DataFrame, keys: list[str], k: int, schema: StructType, size: int
+) -> DataFrame:
+    """The k best rows of each part for each query; both sides meet in a shuffle by part, the stored rows first."""
+    parts = max(1, -(-stored.count() // size))
+    vector = F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
+    held = stored.select(
+        *keys, F.lit(None).cast(schema["query_id"].dataType).alias("query_id"), vector,
+        F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("part"), F.lit(False).alias("asked"),
+    )
+    sent = queries.select(
+        *[F.lit(None).cast(schema[c].dataType).alias(c) for c in keys], "query_id", vector,
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(True).alias("asked"),
+    )
+
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, ids, vectors = None, [], []
+        for frame in frames:
+            for (part, asked), run in frame.groupby(["part", "asked"]):
+                if part != current:
+                    current, ids, vectors = part, [], []
+                if not asked:
+                    ids.append(run[keys])
+                    vectors.append(_matrix(run["embedding"]))
+                elif ids:
+                    ids, vectors = [pd.concat(ids)], [np.concatenate(vectors)]
+                    for at in range(0, len(run), QUERY_RUN):
+                        some = run.iloc[at : at + QUERY_RUN]
+                        yield _best(ids[0], vectors[0], some["query_id"], _matrix(some["embedding"]), k)
+
+    rows = held.where("embedding is not null").unionByName(sent).repartition("part")
+    return rows.sortWithinPartitions("part", "asked").mapInPandas(score, schema)
+
+
 def _scored(stored: DataFrame, keys: list[str], rows: list, k: int, schema: StructType) -> DataFrame:
     query_ids = [row["query_id"] for row in rows]
     shared = stored.sparkSession.sparkContext.broadcast(np.array([row["embedding"] for row in rows], dtype=float))

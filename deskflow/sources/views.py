@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, fx_rate
-from ..functions.text import chunks
+from ..operators.chunks import chunk_rows
 from ..operators.ordered import number_rows
 from ..session import work_dir
 from .tables import read_table
@@ -194,10 +194,10 @@ class Desk:
             F.col("conv_id").alias("thread_id"), F.col("turn").alias("version"), "role", "text"
         )
 
-    @cached_property
-    def chunks(self) -> DataFrame:
-        cut = F.posexplode(chunks(F.col("text"))).alias("chunk_idx", "content")
-        return self.table("documents").select("doc_id", "source", "lang", cut)
+    def chunks(self, where: str | None = None, buckets: int | None = None) -> DataFrame:
+        """Chunks of the documents that meet a condition, with their word counts (`embedding`) where buckets are given."""
+        docs = self.table("documents")
+        return chunk_rows((docs.where(where) if where else docs).select("doc_id", "source", "lang", "text"), buckets=buckets)
 
 
 def marks_of(lines: DataFrame) -> DataFrame:

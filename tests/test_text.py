@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from deskflow.functions import text as tx
 from deskflow.functions.vectors import cosine, term_counts, unit
 from deskflow.sources.tables import read_documents
+from deskflow.plans import QUERIES
 from deskflow.operators.search import embed_with, nearest, nearest_approx, recall
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -120,6 +121,16 @@ def test_nearest(spark, block):
     assert all(found_rows[0][1] == 1.0 for found_rows in hits(found).values())
 
 
+def test_many_queries_meet_parts_of_the_rows(spark):
+    rows, stored = vectors(spark, 300)
+    asked = [(i + 1000, v) for i, v in rows[:70]] + [(5000, [0.0] * 8)]
+    queries = spark.createDataFrame([*asked, (5001, None)], "query_id long, embedding array<double>")
+    for part in (1 << 14, 40, 1):
+        assert hits(nearest(stored, queries, ["id"], 5, block=16, part=part)) == brute(rows, asked[:-1], 5)
+    empty = stored.limit(0)
+    assert nearest(empty, queries, ["id"], 5, block=16).count() == 0
+
+
 def test_close_scores_are_ranked_by_the_whole_score(spark):
     rows = [(1, [1.0, 2e-4]), (2, [1.0, 1e-4]), (3, [1.0, 3e-4])]  # cosines differ by less than a millionth
     stored = spark.createDataFrame(rows, "id long, embedding array<double>")
@@ -172,3 +183,18 @@ def test_query_ranks_the_right_text_first(spark):
     asked = F.lit("exposure to jet fuel prices")
     counted = df.select("name", term_counts(F.col("t")).alias("a"), term_counts(asked).alias("b"))
     assert counted.orderBy(F.desc(cosine(F.col("a"), F.col("b")))).first()["name"] == "airline"
+
+
+def test_neighbours_by_buckets_over_the_table(spark, base):
+    vectors = spark.read.parquet(f"{base}/embeddings.parquet")
+    rows = {r["vec_id"]: np.asarray(r["embedding"], float) for r in vectors.collect()}
+    found, exact = {}, {}
+    for r in QUERIES["vector_neighbours"](spark, base).collect():
+        a, b = rows[r["query_id"]], rows[r["vec_id"]]
+        assert abs(r["score"] - a @ b / np.linalg.norm(a) / np.linalg.norm(b)) < 1e-6
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    for r in QUERIES["vector_search_batch"](spark, base).collect():
+        exact.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert set(exact) == {i for i in rows if i % 20 == 0}
+    met = sum(len(found.get(q, set()) & e) for q, e in exact.items())
+    assert met >= 0.9 * sum(map(len, exact.values()))
