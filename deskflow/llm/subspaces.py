@@ -8,6 +8,9 @@ cells, and the block's distance decides. The union of what the blocks find is ch
 
 Equal vectors are one representative, so copies are never compared with one another. Vectors are sent through the
 grid without their other blocks and meet again only as candidates.
+
+Cells are counted before anything is sent. A cell of many rows is cut into parts by a hash of the representative, and
+a task compares one part with one part, so no cell has to fit into a task, however many vectors lie close together.
 """
 
 from __future__ import annotations
@@ -17,11 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, lists, moved, shuffle_partitions, stored
+from .common import components, moved, shuffle_partitions, stored, trimmed
 
 BLOCK_DIMS, GRID_DIMS = 8, 3
-CELL_ROWS = 1024  # rows of one cell that a task compares at once; further ones are taken in turn
-SLACK = 1e-9  # for rounding of unit vectors, rotation and block distances
+CELL_ROWS = 1024  # rows that a task compares at once; further ones are taken in turn
+PART_ROWS = 4096  # about so many rows of a cell are a part
+SLACK = 1e-9  # for rounding of unit vectors and rotation
+FLOAT_SLACK = 1e-6  # for squared distances of blocks, which are sent in single precision
+CELL = ["label", "dims", "block", "g0", "g1", "g2"]
 
 
 def rotation(dims: int) -> np.ndarray:
@@ -29,8 +35,17 @@ def rotation(dims: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def cells(reps: DataFrame, reach: float) -> DataFrame:
-    """Each representative's blocks, in its own cell (home) and in those around it that come later in order."""
+def block_radius(reach: float, width: int, dims: int) -> float:
+    """The share of the allowed squared distance that a block of `width` dimensions has, as a distance."""
+    return float(np.sqrt(reach * width / dims) + SLACK)
+
+
+def cells(reps: DataFrame, reach: float, coords: bool = True) -> DataFrame:
+    """Each representative's blocks, in its own cell (home) and in those around it that come later in order.
+
+    coords are the block's numbers in single precision; the cells are found in double precision. Without them
+    there are the columns of the cell alone, to count by.
+    """
 
     def place(batches):
         turns: dict[int, np.ndarray] = {}
@@ -43,49 +58,64 @@ def cells(reps: DataFrame, reach: float) -> DataFrame:
                 x = part.column("unit").flatten().to_numpy().reshape(-1, d) @ turns[d]
                 for k, first in enumerate(range(0, d, BLOCK_DIMS)):
                     block = x[:, first : first + BLOCK_DIMS]
-                    radius = np.sqrt(reach * block.shape[1] / d) + SLACK
+                    radius = block_radius(reach, block.shape[1], d)
                     g = min(GRID_DIMS, block.shape[1])
                     grid = np.zeros((len(block), GRID_DIMS), np.int64)
                     grid[:, :g] = np.floor(block[:, :g] / radius)
-                    wide = np.zeros((len(block), BLOCK_DIMS))
+                    wide = np.zeros((len(block), BLOCK_DIMS), np.float32)
                     wide[:, : block.shape[1]] = block
+                    packed = pa.Array.from_buffers(pa.binary(4 * BLOCK_DIMS), len(block), [None, pa.py_buffer(wide)]).cast(pa.binary())
                     near = np.array(np.meshgrid(*[[-1, 0, 1] if i < g else [0] for i in range(GRID_DIMS)], indexing="ij")).reshape(GRID_DIMS, -1).T
                     for move in near:
                         if tuple(move) < (0,) * GRID_DIMS:
                             continue
                         at = grid + move
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                part.column("rep"), part.column("label"), part.column("dims"),
-                                pa.array(np.full(len(block), k, np.int32)),
-                                *[pa.array(at[:, i]) for i in range(GRID_DIMS)],
-                                pa.array(np.full(len(block), not move.any())),
-                                pa.array(np.full(len(block), radius)),
-                                lists(wide.ravel(), np.full(len(block), BLOCK_DIMS), pa.float64()),
-                            ],
-                            ["rep", "label", "dims", "block", "g0", "g1", "g2", "home", "radius", "coords"],
-                        )
-
-    return reps.mapInArrow(
-        place,
-        "rep long, label int, dims int, block int, g0 long, g1 long, g2 long, home boolean, radius double, coords array<double>",
-    )
+                        where = [part.column("label"), part.column("dims"), pa.array(np.full(len(block), k, np.int32)), *[pa.array(at[:, i]) for i in range(GRID_DIMS)]]
+                        more = [part.column("rep"), pa.array(np.full(len(block), not move.any())), packed] if coords else []
+                        yield pa.RecordBatch.from_arrays(where + more, CELL + ["rep", "home", "coords"][: len(more)])
+
+    kinds = "label int, dims int, block int, g0 long, g1 long, g2 long"
+    return reps.mapInArrow(place, kinds + ", rep long, home boolean, coords binary" if coords else kinds)
+
+
+def in_parts(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """The rows with the two parts (i, j) of their cell that a task compares, and their own (mine).
+
+    `crowded` has the cells of several parts and how many they are. There a row goes to the tasks where its part is
+    the second one, and, at home, to those where it is the first; a pair of rows meets once in each order.
+    """
+    mine = F.pmod(F.xxhash64("rep"), "parts").cast("int")
+    rows = rows.join(crowded, CELL, "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("mine", mine)
+    steps = F.sequence(F.lit(0), F.col("parts") - 1)
+    second = F.transform(steps, lambda p: F.struct(p.alias("i"), F.col("mine").alias("j")))
+    first = F.transform(steps, lambda p: F.struct(F.col("mine").alias("i"), p.alias("j")))
+    both = F.when(F.col("home"), F.array_distinct(F.concat(second, first))).otherwise(second)
+    return rows.withColumn("at", F.explode(both)).select(*CELL, "at.i", "at.j", "mine", "rep", "home", "coords")
+
+
+def numbers(coords: pa.ChunkedArray) -> np.ndarray:
+    """The blocks' numbers, a row each, in double precision."""
+    flat = coords.combine_chunks().cast(pa.large_binary())
+    at = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+    return np.frombuffer(flat.buffers()[2], np.uint8)[at[0] : at[-1]].view(np.float32).reshape(-1, BLOCK_DIMS).astype(np.float64)
 
 
-def block_pairs(rows: DataFrame, partitions: int) -> DataFrame:
+def block_pairs(rows: DataFrame, reach: float, partitions: int) -> DataFrame:
     """Candidate pairs (a, b): block distance within the radius, from the same or touching cells."""
-    key = ["label", "dims", "block", "g0", "g1", "g2"]
+    key = [*CELL, "i", "j"]
 
     def compare(table):
-        rep, home = table.column("rep").to_numpy(), table.column("home").to_numpy(zero_copy_only=False)
-        x = table.column("coords").combine_chunks().flatten().to_numpy().reshape(-1, BLOCK_DIMS)
-        limit = table.column("radius")[0].as_py() ** 2 + SLACK
+        rep, home, mine = (table.column(c).to_numpy() for c in ("rep", "home", "mine"))
+        x = numbers(table.column("coords"))
+        dims, block = table.column("dims")[0].as_py(), table.column("block")[0].as_py()
+        limit = block_radius(reach, min(BLOCK_DIMS, dims - block * BLOCK_DIMS), dims) ** 2 + FLOAT_SLACK
         norms = (x * x).sum(1)
-        own = np.flatnonzero(home)
+        own = np.flatnonzero(home & (mine == table.column("i")[0].as_py()))
+        others = np.flatnonzero(mine == table.column("j")[0].as_py())
         for first in range(0, len(own), CELL_ROWS):
             a = own[first : first + CELL_ROWS]
-            for begin in range(0, len(rep), CELL_ROWS):
-                b = np.arange(begin, min(begin + CELL_ROWS, len(rep)))
+            for begin in range(0, len(others), CELL_ROWS):
+                b = others[begin : begin + CELL_ROWS]
                 apart = norms[a][:, None] + norms[b][None, :] - 2 * (x[a] @ x[b].T)
                 ok = (apart <= limit) & (~home[b][None, :] | (rep[a][:, None] < rep[b][None, :]))
                 i, j = np.nonzero(ok)
@@ -98,7 +128,7 @@ def block_pairs(rows: DataFrame, partitions: int) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-            keys = [held.column(c).to_numpy() for c in key]
+            keys = [held.column(c).to_numpy() for c in key]  # at most two parts of a cell are held from batch to batch
             begin = np.flatnonzero(np.logical_or.reduce([np.concatenate([[True], k[1:] != k[:-1]]) for k in keys]))
             for i, j in zip(begin[:-1].tolist(), begin[1:].tolist()):
                 yield from compare(held.slice(i, j - i))
@@ -106,7 +136,7 @@ def block_pairs(rows: DataFrame, partitions: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield from compare(held)
 
-    return rows.repartition(partitions, *key).sortWithinPartitions(*key).mapInArrow(by_cell, "a long, b long").distinct()
+    return rows.repartition(partitions, *key).sortWithinPartitions(*key).mapInArrow(trimmed(by_cell), "a long, b long").distinct()
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
@@ -135,7 +165,10 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     reps = reps.select(F.col("same").alias("rep"), "low", "copies", "label", F.size("x").alias("dims"), "y", "norm", F.expr("transform(y, v -> v / norm)").alias("unit"))
     reps = stored(reps, "vector-classes")
 
-    pairs = block_pairs(cells(reps.select("rep", "label", "dims", "unit"), 2 - 2 * cosine), partitions)
+    reach, units = 2 - 2 * cosine, reps.select("rep", "label", "dims", "unit")
+    crowded = cells(units, reach, coords=False).groupBy(CELL).count().where(F.col("count") > PART_ROWS)
+    crowded = stored(crowded.select(*CELL, F.ceil(F.col("count") / PART_ROWS).cast("int").alias("parts")), "crowded-cells")
+    pairs = block_pairs(in_parts(cells(units, reach), crowded), reach, partitions)
     side = reps.select("rep", "y", "norm", "copies")
     both = pairs.join(side.toDF("a", "ya", "na", "ca"), "a").join(side.toDF("b", "yb", "nb", "cb"), "b")
     product = F.aggregate(F.zip_with("ya", "yb", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)

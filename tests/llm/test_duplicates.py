@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deskflow.llm.blocks import frequent_bits, has_bit
+from deskflow.llm import subspaces
 from deskflow.llm.factors import remove_earlier_passages
 from deskflow.llm.signatures import Tree, shingle_components
 from deskflow.llm.subspaces import near_vectors
@@ -177,7 +178,9 @@ def cosine(a, b):
     return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(x * x for x in b))
 
 
-def test_vectors_of_odd_rows(spark):
+@pytest.mark.parametrize("part", [subspaces.PART_ROWS, 3])
+def test_vectors_of_odd_rows(spark, monkeypatch, part):
+    monkeypatch.setattr(subspaces, "PART_ROWS", part)
     data = vectors()
     good = [i for i, (_, v, c) in enumerate(data) if c is not None and v and None not in v and all(map(math.isfinite, v)) and any(v)]
     links = [(i, j) for i in good for j in good if j < i and data[i][2] == data[j][2] and len(data[i][1]) == len(data[j][1])
@@ -194,6 +197,25 @@ def test_vectors_of_odd_rows(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_crowded_cells_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(subspaces, "PART_ROWS", 50)
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal(16)
+    data = [(i, (base + rng.standard_normal(16) * 0.05).tolist(), 1) for i in range(400)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").repartition(3)
+    x = np.array([v for _, v, _ in data])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    degree = ((x @ x.T) >= 0.98).sum(1) - 1
+    assert {r["vec_id"]: r["n_links"] for r in near_vectors(df).collect()} == dict(enumerate(degree.tolist()))
+
+    units = spark.createDataFrame([(i, 1, 16, v.tolist()) for i, v in enumerate(x)], "rep long, label int, dims int, unit array<double>")
+    placed = subspaces.cells(units, 0.04)
+    crowded = subspaces.cells(units, 0.04, coords=False).groupBy(subspaces.CELL).count().where("count > 50")
+    assert crowded.count() > 0 and crowded.agg(F.max("count")).first()[0] > 300
+    parts = subspaces.in_parts(placed, crowded.selectExpr(*subspaces.CELL, "cast(ceil(count / 50) as int) as parts"))
+    assert parts.groupBy(*subspaces.CELL, "i", "j").count().agg(F.max("count")).first()[0] < 200
+
+
 def test_map_of_frequent_hashes(spark):
     def hashes(batch):
         yield batch.column("x").flatten().to_numpy().view(np.uint64)
