@@ -7,8 +7,9 @@ the maximum over all chunks go into one probability.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,12 +174,12 @@ def score_of(spark: SparkSession, model: dict):
     """The score as a function of a text column, for filters that keep a row's other columns."""
     sent = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        data, at = text_bytes(pa.array(text, pa.large_string(), from_pandas=True))
-        out = np.zeros(len(text))
-        for i, j in pieces(at, 1 << 19):
-            out[i:j] = probability(sent.value, data[at[i] : at[j]], at[i : j + 1] - at[i])
-        return pd.Series(out)
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in texts:
+            data, at = text_bytes(text)
+            out = np.zeros(len(text))
+            for i, j in pieces(at, 1 << 19):
+                out[i:j] = probability(sent.value, data[at[i] : at[j]], at[i : j + 1] - at[i])
+            yield pa.array(out)
 
-    return score
+    return F.arrow_udf(score, "double")
