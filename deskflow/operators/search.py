@@ -6,18 +6,24 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from ..functions.vectors import dot, round6, unit
+from ..functions.vectors import round6, unit
+from ..session import work_dir
 
 QUERY_BLOCK = 2048  # queries that go to the tasks together
 PART_ROWS = 1 << 14  # stored rows that a task holds while more queries than a block pass them
 QUERY_RUN = 256  # of these that are compared at once
 SCORE_DECIMALS = 12  # beyond these, scores differ by the order of sums only
+CELL_ROWS = 1 << 12  # stored rows of a cell of the approximate search, on average
+MOST_CELLS = 1 << 10
+FIT_ROWS = 1 << 14  # rows that the centres of the cells are fitted on
+TRIED = 256  # queries that are answered exactly to choose how many cells are asked
+RECALL = 0.95  # share of their hits that these cells must hold
 
 
 def embed_with(
@@ -46,14 +52,17 @@ def _best(ids: pd.DataFrame, vectors: np.ndarray, query_ids, queries: np.ndarray
     lengths = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
     query_lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
     with np.errstate(divide="ignore", invalid="ignore"):
-        scores = np.round((vectors @ queries.T) / (lengths[:, None] * query_lengths[None, :]), SCORE_DECIMALS)
+        scores = (queries @ vectors.T) / (query_lengths[:, None] * lengths[None, :])
     scores[np.isnan(scores)] = -np.inf
-    at = max(0, len(scores) - k)
-    edges = np.partition(scores, at, axis=0)[at]
-    above, tied = scores > edges, scores == edges
-    kept = above | (tied & (np.cumsum(tied, axis=0) <= k - above.sum(axis=0)))
-    rows, columns = np.nonzero(kept & (scores > -np.inf))
-    return ids.iloc[rows].assign(query_id=np.asarray(query_ids)[columns], score=scores[rows, columns])
+    # only scores that may be among the k best once they are rounded are looked at again
+    at = max(0, scores.shape[1] - k)
+    edges = np.partition(scores, at, axis=1)[:, at] - 10.0**-SCORE_DECIMALS * 2
+    of, row = np.nonzero((scores >= edges[:, None]) & (scores > -np.inf))
+    score = np.round(scores[of, row], SCORE_DECIMALS)
+    order = np.lexsort((row, -score, of))
+    of, row, score = of[order], row[order], score[order]
+    kept = np.arange(len(of)) - np.searchsorted(of, of) < k
+    return ids.iloc[row[kept]].assign(query_id=np.asarray(query_ids)[of[kept]], score=score[kept])
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -94,17 +103,22 @@ def nearest(
 def _dealt(
     stored: DataFrame, queries: DataFrame, keys: list[str], k: int, schema: StructType, size: int
 ) -> DataFrame:
-    """The k best rows of each part for each query; both sides meet in a shuffle by part, the stored rows first."""
+    """The k best rows of each part for each query."""
     parts = max(1, -(-stored.count() // size))
+    held = stored.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+    sent = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return _met(held, sent, keys, k, schema)
+
+
+def _met(held: DataFrame, sent: DataFrame, keys: list[str], k: int, schema: StructType) -> DataFrame:
+    """The k best rows for each query of the rows with its `part`; both sides meet in a shuffle by part, the rows first."""
     vector = F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
-    held = stored.select(
-        *keys, F.lit(None).cast(schema["query_id"].dataType).alias("query_id"), vector,
-        F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("part"), F.lit(False).alias("asked"),
-    )
-    sent = queries.select(
-        *[F.lit(None).cast(schema[c].dataType).alias(c) for c in keys], "query_id", vector,
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(True).alias("asked"),
-    )
+    held = held.select(
+        *keys, F.lit(None).cast(schema["query_id"].dataType).alias("query_id"), vector, "part", F.lit(False).alias("asked")
+    )
+    sent = sent.select(
+        *[F.lit(None).cast(schema[c].dataType).alias(c) for c in keys], "query_id", vector, "part", F.lit(True).alias("asked")
+    )
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, ids, vectors = None, [], []
@@ -137,44 +151,90 @@ def _scored(stored: DataFrame, keys: list[str], rows: list, k: int, schema: Stru
     return stored.mapInPandas(score, schema)
 
 
+def _centres(rows: DataFrame, keys: list[str], cells: int, seed: int) -> np.ndarray:
+    """Centres of cells, by k-means over FIT_ROWS different rows; one cell needs no fit."""
+    some = rows.dropDuplicates(["embedding"]).orderBy(F.xxhash64(*keys)).limit(FIT_ROWS).select(array_to_vector("embedding").alias("v"))
+    if cells == 1:
+        return np.zeros((1, 1))
+    model = KMeans(k=cells, featuresCol="v", initMode="random", maxIter=5, seed=seed).fit(some)
+    centres = np.array([c for c in model.clusterCenters()])
+    return centres / np.maximum(np.sqrt((centres**2).sum(axis=1)), 1e-12)[:, None]
+
+
+def _order(centres: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """For each vector the cells, that with the nearest centre first."""
+    if len(centres) == 1:
+        return np.zeros((len(vectors), 1), int)
+    return np.argsort(-(vectors @ centres.T), axis=1, kind="stable")
+
+
 def nearest_approx(
     stored: DataFrame, queries: DataFrame, keys: list[str], k: int = 4,
-    tables: int = 40, projections: int = 5, width: float = 0.6, seed: int = 11,
+    cell_rows: int = CELL_ROWS, part: int = PART_ROWS, seed: int = 11,
 ) -> DataFrame:
-    """About the k nearest rows of each query: those that share a bucket with it in one of the tables.
+    """About the k nearest rows of each query: those in the cells whose centres are nearest to it.
 
-    Unit vectors are hashed by Spark's bucketed random projections; a table's bucket joins several
-    of them. Queries and rows meet by an equi-join on table and bucket, so both sides may be large.
-    Vectors without length are in no bucket.
+    Every row is in the cell of its nearest centre, with `cell_rows` rows in a cell on average; the centres are fitted
+    on a bounded sample. How many cells a query asks follows from TRIED of the queries, which are answered exactly in one pass
+    over all rows: as many as hold RECALL of their hits. Queries stream past the rows of a cell, and a cell of more than
+    `part` rows is several parts, so a task holds no more than one part. Vectors without length are in no cell.
     """
 
     def hashed(df: DataFrame, columns: list[str]) -> DataFrame:
         long = df.where(F.exists("embedding", lambda x: x != 0))
-        return long.select(*columns, unit(F.transform("embedding", lambda x: x.cast("double"))).alias("u"))
+        return long.select(*columns, unit(F.transform("embedding", lambda x: x.cast("double"))).alias("embedding"))
 
     rows, asked = hashed(stored, keys), hashed(queries, ["query_id"])
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="v", outputCol="h", bucketLength=width, numHashTables=tables * projections, seed=seed
-    )
-
-    def as_vector(df: DataFrame) -> DataFrame:
-        return df.withColumn("v", array_to_vector("u"))
-
-    model = lsh.fit(as_vector(rows))
-
-    def buckets(df: DataFrame) -> DataFrame:
-        values = F.transform("h", lambda h: F.get(vector_to_array(h), 0))
-        out = model.transform(as_vector(df)).withColumn("values", values)
-        tables_of = [
-            F.xxhash64(F.lit(t), F.slice("values", t * projections + 1, projections)) for t in range(tables)
-        ]
-        return out.withColumn("bucket", F.explode(F.array(*tables_of))).drop("v", "h", "values", "u")
-
-    pairs = buckets(rows).select(*keys, "bucket").join(buckets(asked).select("query_id", "bucket"), "bucket")
-    pairs = pairs.select("query_id", *keys).distinct()
-    scored = pairs.join(rows, keys).join(asked.withColumnRenamed("u", "q"), "query_id")
-    score = F.round(dot(F.col("u"), F.col("q")), SCORE_DECIMALS).alias("score")
-    return _final(scored.select(*keys, "query_id", score), keys, k)
+    schema = StructType([*[rows.schema[c] for c in keys], asked.schema["query_id"], StructField("score", DoubleType())])
+    cells = max(1, min(MOST_CELLS, rows.count() // cell_rows))
+    centres = _centres(rows, keys, cells, seed)
+    shared = rows.sparkSession.sparkContext.broadcast(centres)
+
+    @F.pandas_udf("int")
+    def cell_of(vectors: pd.Series) -> pd.Series:
+        if len(shared.value) == 1 or not len(vectors):
+            return pd.Series(np.zeros(len(vectors), int))
+        return pd.Series((_matrix(vectors) @ shared.value.T).argmax(axis=1))
+
+    # the index: every row with its cell, written once
+    index = work_dir(rows.sparkSession, "cells")
+    rows = rows.withColumn("cell", cell_of("embedding"))
+    rows.write.parquet(index)
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(index)
+    # a row for each cell; its parts are numbered from the last of the cells before it
+    sizes = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}
+    n_parts = np.array([-(-sizes.get(c, 0) // part) for c in range(len(centres))])
+    first = np.cumsum(n_parts) - n_parts
+    probes = _probes(rows, asked, keys, k, centres)
+
+    @F.pandas_udf("int")
+    def part_of(cell: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series(first[cell] + key % n_parts[cell])
+
+    @F.pandas_udf("array<int>")
+    def parts_asked(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        near = _order(shared.value, _matrix(vectors))[:, :probes]
+        return pd.Series([[p for c in some for p in range(first[c], first[c] + n_parts[c])] for some in near.tolist()])
+
+    held = rows.withColumn("part", part_of("cell", F.xxhash64(*keys)))
+    sent = asked.withColumn("part", F.explode(parts_asked("embedding")))
+    return _final(_met(held, sent, keys, k, schema), keys, k)
+
+
+def _probes(rows: DataFrame, asked: DataFrame, keys: list[str], k: int, centres: np.ndarray) -> int:
+    """How many cells hold RECALL of the hits of TRIED queries."""
+    if len(centres) == 1:
+        return 1
+    tried = asked.orderBy(F.xxhash64("query_id")).limit(TRIED).collect()
+    hits = nearest(rows, rows.sparkSession.createDataFrame(tried, asked.schema), [*keys, "cell"], k).select("query_id", "cell").collect() if tried else []
+    if not hits:
+        return len(centres)
+    rank = np.argsort(_order(centres, np.array([r["embedding"] for r in tried])), axis=1)
+    at = {r["query_id"]: i for i, r in enumerate(tried)}
+    needed = np.sort([rank[at[h["query_id"]], h["cell"]] for h in hits])
+    return int(needed[int(np.ceil(RECALL * len(needed))) - 1]) + 1
 
 
 def recall(exact: DataFrame, approx: DataFrame, keys: list[str]) -> DataFrame:

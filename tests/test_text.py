@@ -198,3 +198,24 @@ def test_neighbours_by_buckets_over_the_table(spark, base):
     assert set(exact) == {i for i in rows if i % 20 == 0}
     met = sum(len(found.get(q, set()) & e) for q, e in exact.items())
     assert met >= 0.9 * sum(map(len, exact.values()))
+
+
+def test_cells_hold_the_hits_whatever_their_number(spark):
+    # queries about one crowded group of copies and others; small cells and parts, so that all of them are cut
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(900)] + [(i, [1.0] * 8) for i in range(900, 1500)]
+    stored = spark.createDataFrame(rows, "id long, embedding array<double>")
+    queries = spark.createDataFrame(rows[::15], "query_id long, embedding array<double>")
+    exact = nearest(stored, queries, ["id"], 4)
+    approx = nearest_approx(stored, queries, ["id"], 4, cell_rows=60, part=100)
+    n, found = recall(exact, approx, ["id"]).first()
+    assert n == 400 and found >= 0.9 * n
+    assert [i for i, _ in hits(approx)[900]] == [900, 901, 902, 903]
+
+
+def test_rows_and_queries_of_the_approximate_search_are_not_paired_in_a_join(spark):
+    rows, stored = vectors(spark, 300)
+    queries = spark.createDataFrame(rows[:30], "query_id long, embedding array<double>")
+    found = nearest_approx(stored, queries, ["id"], 4, cell_rows=30)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and found.count() == 120
