@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BLANK, _LOWER, _seeded, join_few, mix, moved, pieces, row_key, stored, text_bytes
+from .common import _BLANK, _LOWER, _seeded, join_few, mix, moved, pieces, row_key, stored, text_bytes, trimmed
 
 TABLES, SAMPLED = 12, 14
 WIDTHS = {1: 0, 2: 3, 4: 6, 8: 16, 16: 40, 32: 80}  # width of windows: bytes of the shortest item that has it
@@ -35,6 +35,8 @@ MAP_BITS = 1 << 26
 EDITS = 0.1  # of an item's length
 LANES_BYTES = 1024  # longest pattern that is aligned side by side with others
 LANES = 8192  # words of 64 bits that are aligned at once
+RUN = 1 << 14  # windows that walk side by side
+GRAM_SLOTS = 1 << 12  # of a map of the runs of four bytes of one text
 
 
 def plain_bytes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +68,7 @@ class Walk:
     def __init__(self, width: int):
         self.width, self.steps, self.stride = width, 2 * width, max(1, width // 4)
         rng = np.random.default_rng(1000 + width)
-        self.moves = rng.integers(0, 2, (self.steps, 256), dtype=np.int64)
+        moves = rng.integers(0, 2, (self.steps, 256), dtype=np.int64)
         stretch = min(STRETCH, self.steps)
         begin = np.linspace(0, self.steps - stretch, TABLES).astype(int)
         sampled = begin[:, None] + np.stack([rng.choice(stretch, min(SAMPLED, stretch), replace=False) for _ in range(TABLES)])
@@ -75,22 +77,34 @@ class Walk:
             for s in sampled[t].tolist():
                 self.at_step.setdefault(s, []).append(t)
         self.last = int(sampled.max()) + 1
-        self.salt = _seeded(self.steps * 257, width).reshape(self.steps, 257)
+        # what each byte writes at a step, its last bit the move; 256 and more is beyond the window's end, where a walk stays
+        salt = _seeded(self.steps * 257, width).reshape(self.steps, 257) & ~np.uint64(1)
+        salt[:, :256] |= moves.view(np.uint64)
+        self.salt = np.concatenate([salt[:, :256], np.repeat(salt[:, 256:], 256, axis=1)], axis=1)
 
     def samples(self, data: np.ndarray, start: np.ndarray) -> np.ndarray:
         """(windows, tables): a hash of what the walk through each window writes at the sampled steps."""
-        out = np.zeros((TABLES, len(start)), np.uint64)
-        place, end = start.copy(), start + self.width
+        out = np.empty((TABLES, len(start)), np.uint64)
         data = np.append(data, np.uint8(0))
+        for i in range(0, len(start), RUN):
+            self._run(data, start[i : i + RUN], out[:, i : i + RUN])
+        return out.T
+
+    def _run(self, data: np.ndarray, start: np.ndarray, out: np.ndarray) -> None:
+        sums = np.zeros(out.shape, np.uint64)
+        place, end = start.copy(), start + self.width
         for step in range(self.last):
-            # beyond its end a window writes nothing
-            char = data[np.minimum(place, len(data) - 1)]
-            if step in self.at_step:
-                seen = self.salt[step].take(np.where(place < end, char, np.int64(256)))
-                for t in self.at_step[step]:
-                    out[t] += seen
-            place += self.moves[step].take(char)
-        return np.ascontiguousarray(mix(out + (np.arange(TABLES, dtype=np.uint64) + np.uint64(self.width << 8))[:, None]).T)
+            char = data[place].astype(np.int64)
+            if step >= self.width:  # before, no walk is at its window's end
+                char |= (place >= end).astype(np.int64) << 8
+            seen = self.salt[step].take(char)
+            for t in self.at_step.get(step, ()):
+                sums[t] += seen
+            seen &= np.uint64(1)
+            place += seen.view(np.int64)
+        sums += (np.arange(TABLES, dtype=np.uint64) + np.uint64(self.width << 8))[:, None]
+        for t in range(TABLES):
+            out[t] = mix(sums[t])
 
 
 _WALKS: dict[int, Walk] = {}
@@ -149,16 +163,18 @@ def document_samples(docs: DataFrame, widths: list[int], known: np.ndarray) -> D
                     if not len(start):
                         continue
                     sample = walk(width).samples(x, start + begin[text])
-                    slot = sample % bits
-                    hit = (sent.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
-                    w, t = np.nonzero(hit)
+                    hit = []
+                    for of in sample.T:
+                        slot = of & (bits - np.uint64(1))  # a power of two
+                        hit.append((sent.value.take((slot >> np.uint64(6)).view(np.int64)) >> (slot & np.uint64(63))) & np.uint64(1) != 0)
+                    t, w = np.nonzero(np.stack(hit))
                     if len(w):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(key[i + text[w]]), pa.array(start[w].astype(np.int32)), pa.array(sample[w, t].view(np.int64))],
                             ["key", "start", "sample"],
                         )
 
-    return docs.mapInArrow(rows, "key long, start int, sample long")
+    return docs.mapInArrow(trimmed(rows), "key long, start int, sample long")
 
 
 def nearest(pattern: bytes, text: bytes) -> tuple[int, int]:
@@ -264,6 +280,32 @@ def can_be_near(pattern: np.ndarray, text: np.ndarray, edits: int) -> bool:
     return least <= 0 or len(text) >= 4 and int(np.isin(grams(pattern), grams(text)).sum()) >= least
 
 
+def _all_grams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A slot for each run of four bytes of each string, and which string it is of."""
+    of = np.repeat(np.arange(len(at) - 1), np.maximum(np.diff(at) - 3, 0))
+    if not len(of):
+        return np.empty(0, np.int64), of
+    first = np.concatenate([[0], np.cumsum(np.maximum(np.diff(at) - 3, 0))])[:-1]
+    place = np.arange(len(of)) - first[of] + at[of]
+    runs = grams(data)[place]
+    return ((runs * np.uint32(2654435761)) >> np.uint32(32 - 12)).astype(np.int64), of
+
+
+def may_be_near(patterns: np.ndarray, pattern_at: np.ndarray, texts: np.ndarray, text_at: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """For many patterns and texts what `can_be_near` says of each, or True: runs of four bytes stand for their slots."""
+    out = np.zeros(len(edits), bool)
+    least = np.diff(pattern_at) - 3 - 4 * edits
+    for i in range(0, len(edits), 256):
+        j = min(i + 256, len(edits))
+        seen = np.zeros((j - i) * GRAM_SLOTS, bool)
+        slot, of = _all_grams(texts[text_at[i] : text_at[j]], text_at[i : j + 1] - text_at[i])
+        seen[of * GRAM_SLOTS + slot] = True
+        slot, of = _all_grams(patterns[pattern_at[i] : pattern_at[j]], pattern_at[i : j + 1] - pattern_at[i])
+        met = np.bincount(of, weights=seen[of * GRAM_SLOTS + slot], minlength=j - i)
+        out[i:j] = met >= least[i:j]
+    return out
+
+
 def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataFrame:
     """(key, doc_id, item_id, distance, size) for each item of `items` (item_id, text) that stands in a row of `docs` (doc_id, text).
 
@@ -289,9 +331,11 @@ def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataF
 
     def parts(batches):
         for batch in batches:
-            data, at = plain_bytes(*text_bytes(batch.column("text")))
-            for i, spots in enumerate(batch.column("spots").to_pylist()):
-                x = data[at[i] : at[i + 1]]
+            texts, ends = text_bytes(batch.column("text"))
+            listed = batch.column("spots")
+            runs = ((b, plain_bytes(texts[ends[b] : ends[e]], ends[b : e + 1] - ends[b])) for b, e in pieces(ends, 1 << 19))
+            for i, x in ((b + i, data[at[i] : at[i + 1]]) for b, (data, at) in runs for i in range(len(at) - 1)):
+                spots = listed[i].as_py()
                 item, part = [], []
                 for s in spots:
                     slack = s["size"] // 2 + 2 * int(edits * s["size"]) + 1  # other spots of the same half begin later
@@ -302,21 +346,28 @@ def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataF
                     [pa.array([batch.column("key")[i].as_py()] * n, pa.int64()), pa.array([batch.column("doc_id")[i].as_py()] * n, pa.int64()), pa.array(item, pa.int64()), pa.array(part, pa.binary())], ["key", "doc_id", "item_id", "part"]
                 )
 
-    found = join_few(docs, spots, "key").where("spots is not null").select("key", "doc_id", "text", "spots").mapInArrow(parts, "key long, doc_id long, item_id long, part binary")
+    found = join_few(docs, spots, "key").where("spots is not null").select("key", "doc_id", "text", "spots").mapInArrow(trimmed(parts), "key long, doc_id long, item_id long, part binary")
 
     def align(batches):
         for batch in batches:
             data, at = plain_bytes(*text_bytes(batch.column("text")))
             size = np.diff(at)
             distance = size.copy()
-            patterns, texts = [data[at[i] : at[i + 1]] for i in range(len(size))], batch.column("part").to_pylist()
-            # counting runs of four bytes is worth its time before a long item only
-            ask = [i for i in np.flatnonzero(size).tolist() if size[i] <= LANES_BYTES or can_be_near(patterns[i], np.frombuffer(texts[i], np.uint8), int(size[i] * edits))]
+            limit = (size * edits).astype(np.int64)
+            near = np.zeros(len(size), bool)
+            for i in range(0, len(size), 1024):
+                j = min(i + 1024, len(size))
+                some = text_bytes(batch.column("part")[i:j].cast(pa.large_binary()).view(pa.large_string()))
+                near[i:j] = may_be_near(data[at[i] : at[j]], at[i : j + 1] - at[i], *some, limit[i:j])
+            ask = np.flatnonzero(near & (size > 0)).tolist()
+            patterns, texts = {i: data[at[i] : at[i + 1]] for i in ask}, {i: batch.column("part")[i].as_py() for i in ask}
+            # counting all runs of four bytes exactly is worth its time before a long item only
+            ask = [i for i in ask if size[i] <= LANES_BYTES or can_be_near(patterns[i], np.frombuffer(texts[i], np.uint8), int(limit[i]))]
             distance[ask] = nearest_many([patterns[i].tobytes() for i in ask], [texts[i] for i in ask])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("doc_id"), batch.column("item_id"), pa.array(distance, pa.int64()), pa.array(size, pa.int64())], ["key", "doc_id", "item_id", "distance", "size"]
             )
 
-    checked = found.join(moved(items), "item_id").select("key", "doc_id", "item_id", "part", "text").mapInArrow(align, "key long, doc_id long, item_id long, distance long, size long")
+    checked = found.join(moved(items), "item_id").select("key", "doc_id", "item_id", "part", "text").mapInArrow(trimmed(align), "key long, doc_id long, item_id long, distance long, size long")
     near = checked.where((F.col("size") > 0) & (F.col("distance") <= F.floor(F.col("size") * edits)))
     return near.groupBy("key", "doc_id", "item_id").agg(F.min(F.struct("distance", "size")).alias("best")).select("key", "doc_id", "item_id", "best.distance", "best.size")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from deskflow.llm import language, mixing, quality
 from deskflow.llm.chat import best_paths, format_conversations, linear_tree, read_back
 from deskflow.llm.common import text_bytes
-from deskflow.llm.decontaminate import RECALL, find_items, nearest, nearest_many
+from deskflow.llm.decontaminate import RECALL, can_be_near, find_items, may_be_near, nearest, nearest_many, walk
 from deskflow.llm.identifiers import LONG, WORD, _LOOSE, find_identifiers, known_spans, loose_spans, luhn, masked, mentions_of, patterns_around, windows_of
 from deskflow.llm.mixing import mix_sources, schedule, source_targets
 from deskflow.llm.queries import QUERIES
@@ -484,3 +484,35 @@ def test_round_trip(spark, role):
 def test_no_conversations(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert format_conversations(linear_tree(df)).count() == 0
+
+
+def test_candidates_are_filtered_before_they_are_aligned():
+    rng = random.Random(5)
+    patterns, texts = [], []
+    for i in range(700):
+        x = prose(40000 + i, 40)[: rng.randrange(1, 300)].strip() or "x"
+        patterns.append(x.encode())
+        inside = edited(x, len(x) // 10, rng) if i % 3 else prose(70000 + i, 40)
+        texts.append((prose(50000 + i, 20) + inside + prose(60000 + i, 20)).encode())
+    texts[7] = b""
+
+    def flat(parts):
+        return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+
+    size = np.array([len(p) for p in patterns])
+    got = may_be_near(*flat(patterns), *flat(texts), size // 10)
+    near = np.array([nearest(p, t)[0] <= len(p) // 10 for p, t in zip(patterns, texts)])
+    exact = [can_be_near(np.frombuffer(p, np.uint8), np.frombuffer(t, np.uint8), len(p) // 10) for p, t in zip(patterns, texts)]
+    assert (got >= near).all() and (got >= np.array(exact)).all()
+    far = ~near & (size > 100)
+    assert far.sum() > 50 and got[far].mean() < 0.7
+
+
+def test_windows_walk_alike_wherever_they_stand():
+    rng = np.random.default_rng(2)
+    for width in (1, 4, 32):
+        x = rng.integers(97, 123, 50_000).astype(np.uint8)
+        start = np.arange(0, len(x) - width + 1)
+        whole = walk(width).samples(x, start)
+        alone = np.concatenate([walk(width).samples(x[i : i + width], np.zeros(1, np.int64)) for i in (0, 17, 20_000, len(x) - width)])
+        assert (whole[[0, 17, 20_000, len(x) - width]] == alone).all()
