@@ -6,6 +6,10 @@ the work is split or on how often a task is redone.
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +52,20 @@ def gauss(*parts: Column) -> Column:
     return (let(digest, total) + F.lit(6)) / F.lit(256.0) - F.lit(6.0)
 
 
+def _walks(ids: pd.Series, start: pd.Series, volatility: pd.Series, steps: int) -> np.ndarray:
+    """(ids, steps): the path of each; a move is what `gauss` draws for the id and the step."""
+    digests = []
+    for key in ids:
+        name = f"{SEED}:price:" if key is None else f"{SEED}:price:{key}:"
+        digests += [hashlib.md5(f"{name}{i}".encode()).digest()[:12] for i in range(1, steps + 1)]
+    total = np.frombuffer(b"".join(digests), np.uint8).reshape(len(ids), steps, 12).sum(axis=2, dtype=np.int64)
+    moves = 1 + ((total + 6) / 256.0 - 6.0) * (volatility.to_numpy(float) / np.sqrt(252.0))[:, None]
+    path, price = np.empty(moves.shape), start.to_numpy(float)
+    for i in range(steps):
+        path[:, i] = price = np.maximum(0.01, price * moves[:, i])
+    return path
+
+
 def pick(values: list[str], *parts: Column) -> Column:
     index = draw(*parts, low=1, high=len(values)).cast("int")
     return F.element_at(F.array(*map(F.lit, values)), index)
@@ -68,19 +86,18 @@ def gen_orders(spark: SparkSession, n: int) -> DataFrame:
 
 def price_walk(instruments: DataFrame, last_day: Column, steps: int = 30) -> DataFrame:
     """A daily price per instrument: each step moves by its volatility, never below 0.01."""
-    step_vol = F.col("volatility") / F.sqrt(F.lit(252.0))
 
-    def step(path: Column, i: Column) -> Column:
-        previous = F.element_at(path, -1)
-        move = 1 + gauss(F.lit("price"), F.col("instrument_id"), i) * step_vol
-        return F.array_append(path, F.greatest(F.lit(0.01), previous * move))
-
-    path = F.aggregate(
-        F.sequence(F.lit(1), F.lit(steps)), F.array(F.col("spot_price")), step
-    )
-    walked = instruments.select(
-        "instrument_id", "volatility", F.posexplode(F.slice(path, 2, steps)).alias("i", "p")
-    )
+    @F.pandas_udf("array<double>")
+    def walk(ids: pd.Series, start: pd.Series, volatility: pd.Series) -> pd.Series:
+        return pd.Series(list(_walks(ids, start, volatility, steps)), dtype=object)
+
+    # a small table is few splits, but each of its rows is `steps` hashes: it is dealt to all tasks
+    tasks = int(instruments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = instruments.select("instrument_id", "volatility", "spot_price").repartition(tasks, "instrument_id")
+    # a null price starts at the least one, and a null volatility stays there
+    moved = walk(F.col("instrument_id").cast("string"), F.coalesce("spot_price", F.lit(0.0)), F.coalesce("volatility", F.lit(0.0)))
+    path = F.when(F.col("volatility").isNull(), F.array_repeat(F.lit(0.01), steps)).otherwise(moved)
+    walked = dealt.select("instrument_id", "volatility", F.posexplode(path).alias("i", "p"))
     return walked.select(
         "instrument_id",
         F.date_sub(last_day, F.lit(steps - 1) - F.col("i")).alias("price_date"),

@@ -61,3 +61,15 @@ def test_trades(spark, base):
     rows = QUERIES["gen_trades"](spark, base)
     assert rows.count() == read_table(spark, base, "lineitem").count()
     assert rows.where("quantity < 1 or quantity > 500 or side not in ('BUY', 'SELL')").count() == 0
+
+
+def test_price_walk_is_dealt_to_all_tasks_and_knows_nulls(spark):
+    rows = [(None, 10.0, 0.2), (1, None, 0.2), (2, 10.0, None), (3, 10.0, 0.2)]
+    instruments = spark.createDataFrame(rows, "instrument_id long, spot_price double, volatility double").coalesce(1)
+    found = generate.price_walk(instruments, F.lit("2026-09-11").cast("date"), 5)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paths = {}
+    for r in found.orderBy("price_date").collect():
+        paths.setdefault(r["instrument_id"], []).append(r["spot_price"])
+    assert {k: len(v) for k, v in paths.items()} == {None: 5, 1: 5, 2: 5, 3: 5}
+    assert paths[2] == [0.01] * 5 and paths[1][0] == 0.01 and paths[3][0] != paths[None][0]
