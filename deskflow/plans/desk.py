@@ -480,13 +480,17 @@ SKETCH_ERROR = 0.02  # relative standard deviation of the sketch
 )
 def distinct_keys_sketch(d: Desk):
     """The counts by a sketch of fixed size, against the exact ones: within three standard deviations."""
-    exact, sketch = F.countDistinct, lambda c: F.approx_count_distinct(c, SKETCH_ERROR)
-    near = {
-        f"{name}_near": F.abs(sketch(c) - exact(c)) <= F.ceil(3 * SKETCH_ERROR * exact(c))
-        for name, c in (("users", "user_id"), ("props", "props"))
-    }
-    return d.table("events").agg(
-        *[near_c.alias(name) for name, near_c in near.items()], (sketch("user_id") > 0).alias("any_user")
+    # a column's different values first: a sketch of them is that of all rows, and no sketch is kept for each value
+    counts = [
+        d.table("events").select(c).distinct().agg(F.count(c).alias(f"{c}_n"), F.approx_count_distinct(c, SKETCH_ERROR).alias(f"{c}_sketch"))
+        for c in ("user_id", "props")
+    ]
+
+    def near(c: str):
+        return F.abs(F.col(f"{c}_sketch") - F.col(f"{c}_n")) <= F.ceil(3 * SKETCH_ERROR * F.col(f"{c}_n"))
+
+    return counts[0].crossJoin(counts[1]).select(
+        near("user_id").alias("users_near"), near("props").alias("props_near"), (F.col("user_id_sketch") > 0).alias("any_user")
     )
 
 
