@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -161,8 +162,7 @@ def by_hour(deals: DataFrame, clients: DataFrame, selections: Selections | None
     return hours.join(counts, "trade_hour", "left").select("trade_hour", F.coalesce("n", F.lit(0)).alias("n_trades"))
 
 
-def trade_points(deals: DataFrame, clients: DataFrame, columns: list[str], selections: Selections | None = None) -> DataFrame:
-    """Every selected trade of a known client, for a scatter chart."""
+def trade_points(deals: Callable[[DataFrame], DataFrame], clients: DataFrame, columns: list[str], selections: Selections | None = None) -> DataFrame:
+    """Every selected trade of a known client, for a scatter chart; `deals` gives the trades of the clients it is called with."""
     selections = selections or Selections()
-    keys = selections.apply(clients).select("client_id")
-    return selections.apply(deals, "trade_date").join(keys, "client_id", "left_semi").select(*columns)
+    return selections.apply(deals(selections.apply(clients)), "trade_date").select(*columns)

@@ -37,12 +37,13 @@ def book(d: Desk) -> DataFrame:
     return enrich.enrich_positions(valued(d), d.clients, d.limits)
 
 
-def deals(d: Desk) -> DataFrame:
+def deals(d: Desk, clients: DataFrame | None = None) -> DataFrame:
     """Trades in listed instruments with the instrument's columns and notional in CAD.
 
-    Their clients may be unknown; what sums them by client joins the clients after that.
+    Their clients may be unknown unless they are given; what sums them by client joins the clients after that.
     """
-    return enrich.with_calendar(d.fills.join(with_fx(d.instruments), "instrument_id")).withColumn(
+    fills = d.fills if clients is None else d.fills_of(clients)
+    return enrich.with_calendar(fills.join(with_fx(d.instruments), "instrument_id")).withColumn(
         "notional_cad", F.col("notional") * F.col("fx_to_cad")
     )
 

@@ -816,12 +816,12 @@ _POINT = ["order_id", "line_no", "quantity", "price", "asset_class", "notional_c
 @query("trade_scatter", f"SELECT {', '.join(_POINT)} FROM v_flow")
 def trade_scatter(d: Desk):
     """A point for every trade."""
-    return enrich.trade_points(deals(d), d.clients, _POINT)
+    return enrich.trade_points(lambda clients: deals(d, clients), d.clients, _POINT)
 
 
 @query("trade_scatter_filtered", f"SELECT {', '.join(_POINT)} FROM {_BAR_FLOW}")
 def trade_scatter_filtered(d: Desk):
-    return enrich.trade_points(deals(d), d.clients, _POINT, BAR)
+    return enrich.trade_points(lambda clients: deals(d, clients), d.clients, _POINT, BAR)
 
 
 # --- windows, sorts -------------------------------------------------------

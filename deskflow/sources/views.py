@@ -93,11 +93,20 @@ class Desk:
     @cached_property
     def fills(self) -> DataFrame:
         """One row per trade, before anything about the instrument is known."""
+        return self._fills(self.table("orders"))
+
+    def fills_of(self, clients: DataFrame) -> DataFrame:
+        """The fills of given clients; orders, which are fewer and narrower than fills, meet the clients."""
+        keys = clients.select("client_id")
+        orders = self.table("orders")
+        return self._fills(orders.join(keys, orders["o_custkey"] == keys["client_id"], "left_semi"))
+
+    def _fills(self, orders: DataFrame) -> DataFrame:
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
         )
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        orders = orders.select("o_orderkey", "o_custkey", "o_orderdate")
         hours = F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("l_orderkey").alias("order_id"),
