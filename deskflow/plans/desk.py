@@ -664,9 +664,12 @@ def exposure_sunburst(d: Desk):
     leaves = book(d).groupBy("book", "legal_name", "instrument_id").agg(
         exact_sum(F.col("gross_exposure")).alias("gross")
     )
-    return leaves.rollup("book", "legal_name", "instrument_id").agg(
-        F.grouping_id().cast("long").alias("level"), exact_sum(F.col("gross")).alias("gross")
+    # the leaves are a level as they are, so only the others are summed and shuffled again
+    above = leaves.rollup("book", "legal_name").agg(
+        (F.grouping_id() * 2 + 1).cast("long").alias("level"), exact_sum(F.col("gross")).alias("gross")
     )
+    level = leaves.select("book", "legal_name", "instrument_id", F.lit(0).cast("long").alias("level"), "gross")
+    return level.unionByName(above.withColumn("instrument_id", F.lit(None).cast(leaves.schema["instrument_id"].dataType)))
 
 
 @query(

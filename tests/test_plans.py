@@ -112,3 +112,22 @@ def test_numbered_rows_are_shuffled_once(spark, folder):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
     text = plan(number_rows(df, ["k"], "n", folder + "/n"))
     assert "rangepartitioning" not in text and "k#" not in "".join(x for x in text.splitlines() if "Exchange" in x)
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sketches_are_not_kept_for_each_value(spark, base):
+    assert "Expand" not in optimized(QUERIES["distinct_keys_sketch"](spark, base))
+
+
+def test_scatter_chooses_orders_before_trades(spark, base):
+    plan = optimized(QUERIES["trade_scatter"](spark, base))
+    assert "Join LeftSemi, (o_custkey" in plan and "Join LeftSemi, (client_id" not in plan
+
+
+def test_leaves_of_the_sunburst_are_not_summed_again(spark, base):
+    plan = optimized(QUERIES["exposure_sunburst"](spark, base))
+    (expand,) = [line for line in plan.splitlines() if "Expand" in line]
+    assert "instrument_id" not in expand
