@@ -489,9 +489,8 @@ def distinct_keys_sketch(d: Desk):
     def near(c: str):
         return F.abs(F.col(f"{c}_sketch") - F.col(f"{c}_n")) <= F.ceil(3 * SKETCH_ERROR * F.col(f"{c}_n"))
 
-    return counts[0].crossJoin(counts[1]).select(
-        near("user_id").alias("users_near"), near("props").alias("props_near"), (F.col("user_id_sketch") > 0).alias("any_user")
-    )
+    props = counts[1].select(near("props")).scalar()
+    return counts[0].select(near("user_id").alias("users_near"), props.alias("props_near"), (F.col("user_id_sketch") > 0).alias("any_user"))
 
 
 @query(
