@@ -13,10 +13,11 @@ Trees of one and the same classes are walked once and counted as often as there
 
 So that a group of near copies is not written out as all its pairs, each class is first compared with one
 class of each of its trees, the one whose shingles most other classes have too, as the text that others were copied
-from has; then those not linked to it with the next such class, and so on for some rounds. What that links needs no
-further comparison, and the trees look for links between components only. The links found give the same components as
-all links. Trees that have one such class in common go to one task, which adds up what they say of a pair before it
-sends the pair on.
+from has. Copies of a text that is like none of them are linked in a web without a center: next, each class is
+compared with the first few that its two largest trees allow, in one block of each. The number of such pairs grows
+with the classes, and they join most of a web. What that links needs no further comparison, and the trees look for links between
+components only. The links found give the same components as all links. Trees that have one such class in common go
+to one task, which adds up what they say of a pair before it sends the pair on.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ SIGNATURE_WORDS = 32  # longs of 64 bits in a bitmap
 LEAF, FANOUT = 16, 8
 BLOCK = 512  # classes of one tree in a task; a larger tree is cut into blocks of so many, and tasks take two blocks
 SHARED = 8  # texts that a shingle leads in before it is ordered last
-STARS = 2  # rounds of comparison with one class of each tree
+WEB_TREES, WEB_PAIRS = 2, 4  # trees of a class in the round of few pairs, and pairs that it leads in each
+ALL_TREES = 1 << 40  # said of a pair whose trees were not counted
 HELD_PAIRS = 1 << 20  # that a task adds up
 MAP_BITS = 1 << 26
 RUN_BYTES = 1 << 22  # of text whose shingles are packed together
@@ -226,8 +228,8 @@ class Tree:
         return i, j
 
 
-def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFrame:
-    """Pairs (a, b) and the number of trees that they come from.
+def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int, most: int | None = None) -> DataFrame:
+    """Pairs (a, b) and the number of trees that they come from; each class leads `most` of them in a group at most, if given.
 
     Rows have token, weight (how many trees it stands for), center, part, cls, n, component, signature, and say where
     they stand: band, upper, mine, low, high. Of the groups of one tree that hold a pair, the one of its larger band
@@ -277,7 +279,13 @@ def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int) -> DataFram
             a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
             ok = np.maximum(band[a], band[b]) == upper[a]
             ok &= (np.minimum(mine[a], mine[b]) == low[a]) & (np.maximum(mine[a], mine[b]) == high[a])
-            trees, a, b = weight[a[ok]], cls[a[ok]], cls[b[ok]]
+            a, b = a[ok], b[ok]
+            if most is not None:
+                order = np.lexsort((b, a))
+                a, b = a[order], b[order]
+                nth = np.arange(len(a)) - np.searchsorted(a, a)
+                a, b = a[nth < most], b[nth < most]
+            trees, a, b = weight[a], cls[a], cls[b]
             yield np.minimum(a, b), np.maximum(a, b), trees
 
     def whole_trees(batches):
@@ -344,12 +352,30 @@ def with_component(members: DataFrame, known: DataFrame) -> DataFrame:
     return members.join(moved(known), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
 
 
-def others_of(rows: DataFrame) -> DataFrame:
-    """Of each tree what is not in the component of the class with the highest score, where that is in two components or more."""
-    top = rows.groupBy("token").agg(F.max_by("component", F.struct("score", "cls")).alias("its"))
-    left = rows.join(moved(top), "token").where("component <> its").drop("its")
-    several = left.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    return left.join(moved(several), "token")
+def open_trees(rows: DataFrame) -> DataFrame:
+    """token, members and center (the class with the highest score) of the trees that hold two components or more."""
+    best = F.max_by("cls", F.struct("score", "cls"))
+    trees = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), best.alias("center"))
+    return trees.where("low <> high").select("token", "members", "center")
+
+
+def banded(rows: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The places with n, signature, band and upper: a similar set is in the same band of sizes or in the next."""
+    rows = rows.join(classes.select("cls", "n", "signature"), "cls")
+    rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int"))
+    return rows.withColumn("upper", F.explode(F.array("band", F.col("band") + 1)))
+
+
+def web_pairs(rows: DataFrame, classes: DataFrame, num: int, den: int, partitions: int) -> DataFrame:
+    """(a, b, trees): few pairs of each class of `rows`, from one block of each of its largest trees and between components."""
+    trees = stored(open_trees(rows), "open")
+    rows = join_few(rows.drop("score"), trees, "token").where("members is not null")
+    largest = F.expr(f"slice(sort_array(collect_list(struct(members, token, component)), false), 1, {WEB_TREES})")
+    rows = rows.groupBy("cls").agg(F.explode(largest).alias("t")).select("cls", "t.*")
+    mine = F.pmod(F.xxhash64("cls", "token"), F.ceil(F.col("members") / BLOCK)).cast("int")
+    rows = banded(rows.withColumns({"mine": mine, "weight": F.lit(1).cast("long"), "center": F.col("token")}).drop("members"), classes, num, den)
+    rows = rows.withColumns({"low": F.col("mine"), "high": F.col("mine"), "part": F.xxhash64("upper", "mine")})
+    return tree_pairs(rows, num, den, partitions, WEB_PAIRS).withColumn("trees", F.lit(ALL_TREES))
 
 
 def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -374,28 +400,16 @@ def shingle_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     tokens = stored(shared_tokens(classes, partitions), "tokens")
     members = stored(tree_members(tokens, classes, num, den), "members")
     edges, labelled = None, members.withColumn("component", F.col("cls"))
-    rest = labelled
-    for _ in range(STARS):
-        stars = star_pairs(rest)
-        found = stored(verified(stars.select("a", "b", "trees"), classes, docs, size, num, den), "links")
+    for few in (star_pairs, lambda rows: web_pairs(rows, classes, num, den, partitions)):
+        found = stored(verified(few(labelled), classes, docs, size, num, den), "links")
         edges = found if edges is None else edges.unionByName(found)
         known = stored(components(edges).toDF("cls", "component"), "known")
         labelled = stored(with_component(members, known), "labelled")
-        rest = stored(others_of(labelled.join(rest.select("cls", "token"), ["cls", "token"], "left_semi")), "rest")
-        if not rest.limit(1).count():
-            break
-    best = F.max_by("cls", F.struct("score", "cls"))
-    mixed = labelled.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), best.alias("center")
-    ).where("low <> high").select("token", "members", "center")
-    left = stored(mixed, "open")
-    rows = join_few(labelled.drop("score"), left, "token").where("members is not null").join(classes.select("cls", "n", "signature"), "cls")
-    # a similar set is in the same band of sizes or in the next
-    rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int"))
+    left = stored(open_trees(labelled), "open")
+    rows = banded(join_few(labelled.drop("score"), left, "token").where("members is not null"), classes, num, den)
     rows = rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("upper", F.explode(F.array("band", F.col("band") + 1)))
     rows = rows.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
     rows = rows.drop("other", "members", "blocks").withColumn("part", F.xxhash64("upper", "low", "high"))
     more = verified(tree_pairs(rows, num, den, partitions), classes, docs, size, num, den)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deskflow.llm.blocks import frequent_bits, has_bit
-from deskflow.llm import subspaces
+from deskflow.llm import signatures, subspaces
 from deskflow.llm.factors import remove_earlier_passages
 from deskflow.llm.signatures import Tree, shingle_components
 from deskflow.llm.subspaces import near_vectors
@@ -72,6 +72,28 @@ def test_components_of_a_chain_of_copies(spark, monkeypatch):
     assert sorted(map(tuple, got), key=str) == expected_components(data, 5, 80, 100)
 
 
+def test_components_of_a_web_of_copies_without_all_its_pairs(spark, monkeypatch):
+    # copies of a text that is not there: each is linked with some of the others, and no one with most
+    rng, data = random.Random(9), []
+    for i in range(360):
+        copy = prose(12, 160).split()
+        for k in rng.sample(range(8, 152, 9), 2):  # two copies are similar if they share a place
+            copy[k] = f"edit{i}x{k}"
+        data.append((i, " ".join(copy)))
+    compared = []
+
+    def counted(pairs, *args):
+        pairs = signatures.stored(pairs, "counted")
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    verified = signatures.verified
+    monkeypatch.setattr(signatures, "verified", counted)
+    got = shingle_components(docs(spark, data), 4, 85, 100).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == expected_components(data, 4, 85, 100)
+    assert len(linked(data, 4, 85, 100)[1]) > 25 * len(data) > sum(compared)
+
+
 def test_no_rows(spark):
     none = empty(spark)
     assert shingle_components(none).count() == 0
