@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BLANK, _LOWER, _seeded, join_few, mix, moved, pieces, row_key, stored, text_bytes, trimmed
+from .common import _BLANK, _LOWER, _seeded, bit_map, join_few, mix, moved, pieces, row_key, stored, text_bytes, trimmed
 
 TABLES, SAMPLED = 12, 14
 WIDTHS = {1: 0, 2: 3, 4: 6, 8: 16, 16: 40, 32: 80}  # width of windows: bytes of the shortest item that has it
@@ -319,9 +319,7 @@ def find_items(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> DataF
     items = items.where("text is not null and item_id is not null").select("item_id", "text").distinct()
     samples = stored(item_samples(items), "item-samples")
     slot = F.pmod(F.col("sample"), F.lit(MAP_BITS))
-    words = samples.select(slot.alias("s")).groupBy((F.col("s") / 64).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("m")).toPandas()
-    known = np.zeros(MAP_BITS // 64, np.int64)
-    known[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64)
+    known = bit_map(samples.select(slot.alias("s")), "s", MAP_BITS)
     widths = sorted(r[0] for r in samples.select("width").distinct().collect())
     met = document_samples(docs.select("key", "text"), widths, known.view(np.uint64)).join(moved(samples), "sample")
     # one candidate for each half of the item's length

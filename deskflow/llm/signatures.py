@@ -37,6 +37,7 @@ SHARED = 8  # texts that a shingle leads in before it is ordered last
 WEB_TREES, WEB_PAIRS = 2, 4  # trees of a class in the round of few pairs, and pairs that it leads in each
 ALL_TREES = 1 << 40  # said of a pair whose trees were not counted
 HELD_PAIRS = 1 << 20  # that a task adds up
+BITMAP_PAIRS = 1 << 14  # whose bitmaps are laid side by side at once
 MAP_BITS = 1 << 26
 RUN_BYTES = 1 << 22  # of text whose shingles are packed together
 
@@ -186,6 +187,15 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, n
     return both.where(enough("shared", "na", "nb", num, den)).select("a", "b")
 
 
+def common_bits(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many bits the bitmaps of each pair have in common; a block's pairs are many, and each would be two bitmaps long."""
+    out = np.empty(len(i), np.int64)
+    for k in range(0, len(i), BITMAP_PAIRS):
+        some = slice(k, k + BITMAP_PAIRS)
+        out[some] = np.bitwise_count(bits[i[some]] & bits[j[some]]).sum(1)
+    return out
+
+
 class Tree:
     """Levels of nodes over the classes of one group, leaves first; the classes are sorted by size and bitmap."""
 
@@ -213,7 +223,7 @@ class Tree:
             ok = (comp[i] < 0) | (comp[i] != comp[j])
             ok &= (den * high[i] >= num * low[j]) & (den * high[j] >= num * low[i])
             i, j = i[ok], j[ok]
-            most = np.bitwise_count(bits[i] & bits[j]).sum(1).astype(np.int64) + np.minimum(extra[i], extra[j])
+            most = common_bits(bits, i, j) + np.minimum(extra[i], extra[j])
             ok = (num + den) * most >= num * (low[i] + low[j])
             i, j = i[ok], j[ok]
             if not depth:
@@ -249,6 +259,7 @@ def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int, most: int |
 
     def small(begin, count, n, signature, component):
         """All pairs inside groups of one leaf, over many groups at once."""
+        held = np.bitwise_count(signature).sum(1).astype(np.int64)
         for size in range(2, LEAF + 1):
             mine = begin[count == size]
             if not len(mine):
@@ -257,7 +268,7 @@ def tree_pairs(rows: DataFrame, num: int, den: int, partitions: int, most: int |
             a, b = (mine[:, None] + p).ravel(), (mine[:, None] + q).ravel()
             ok = (component[a] != component[b]) & (den * n[a] >= num * n[b]) & (den * n[b] >= num * n[a])
             a, b = a[ok], b[ok]
-            most = n[a] - np.bitwise_count(signature[a] & ~signature[b]).sum(1).astype(np.int64)
+            most = n[a] - held[a] + common_bits(signature, a, b)
             ok = (num + den) * most >= num * (n[a] + n[b])
             yield a[ok], b[ok]
 

@@ -3,13 +3,15 @@
 import hashlib
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from deskflow.llm.blocks import frequent_bits, has_bit
-from deskflow.llm import signatures, subspaces
+from deskflow.llm import common, signatures, subspaces
+from deskflow.llm.decontaminate import find_items
 from deskflow.llm.factors import remove_earlier_passages
 from deskflow.llm.signatures import Tree, shingle_components
 from deskflow.llm.subspaces import near_vectors
@@ -126,6 +128,33 @@ def test_tree_gives_up_no_similar_pair():
     assert want and want <= found and len(found) < len(sets) * len(sets) / 4
 
 
+def test_tree_of_two_blocks_takes_little_memory():
+    rng = np.random.default_rng(4)
+    n = np.full(1024, 400)
+    bits = rng.integers(0, 1 << 62, (1024, 32)).astype(np.uint64)
+    tracemalloc.start()
+    i, j = Tree(n, bits, np.arange(1024)).pairs(85, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(i) == len(j) and peak < 150e6
+
+
+def test_bit_maps_come_to_the_driver_as_columns(spark, folder, monkeypatch):
+    def as_objects(self):
+        raise AssertionError("every word of the map is a Python object")
+
+    left = spark.range(40).selectExpr("id AS key", "concat('word', id, ' and some more of it') AS text", "id AS doc_id")
+    spark.range(0, 40, 4).selectExpr("id AS key", "id * 2 AS v").write.parquet(f"{folder}/right")
+    items = left.selectExpr("doc_id AS item_id", "text").where("doc_id = 7")
+    monkeypatch.setattr(type(left), "toPandas", as_objects)
+    got = common.join_few(left, spark.read.parquet(f"{folder}/right"), "key").select("key", "v").collect()
+    assert sorted(map(tuple, got)) == [(k, None if k % 4 else 2 * k) for k in range(40)]
+    slots = spark.range(0, 3000, 7).selectExpr("id AS s").unionByName(spark.range(5).selectExpr("63L AS s"))
+    at = np.unpackbits(common.bit_map(slots, "s", 4096).view(np.uint8), bitorder="little")
+    assert np.flatnonzero(at).tolist() == sorted({*range(0, 3000, 7), 63})
+    assert (7, 0) in {(r["doc_id"], r["distance"]) for r in find_items(left, items).collect()}
+
+
 def expected_factors(data, size=13):
     # rows of one doc_id are one document: what is found in one is applied at the same words of the others
     first, starts = {}, {}
