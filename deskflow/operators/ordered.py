@@ -76,33 +76,41 @@ def running_totals(
     )
 
 
+def place_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """Adds __part and __place: rows in order along range partitions, to be written once, which fixes the partitions."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return placed.withColumns({"__part": F.spark_partition_id(), "__place": place})
+
+
+PLACED = [StructField("__part", IntegerType()), StructField("__place", LongType())]
+
+
+def part_sizes(placed: DataFrame) -> list[tuple[int, int]]:
+    """Each partition that was written and its number of rows, in order."""
+    sizes = placed.groupBy("__part").agg((F.max("__place") + 1).alias("n")).collect()  # one row for each partition
+    return sorted((r["__part"], r["n"]) for r in sizes)
+
+
 def number_rows(df: DataFrame, order: list[str], name: str, staging: str, start: int = 1) -> DataFrame:
     """Adds gap-free numbers from `start` along a total order, without one global window.
 
     Rows are range-partitioned, sorted in their partition and written once with the partition's
     number and their place in it; what the partitions before it hold is added to the place. The
-    rows are shuffled once, and the written table fixes the partitions, so a lost task is redone
-    against the same cut.
+    rows are shuffled once: the partitions' offsets are a constant, where a join would move the rows
+    again. The written table fixes the partitions, so a lost task is redone against the same cut.
     """
     spark = df.sparkSession
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumns({"__part": F.spark_partition_id(), "__place": place})
-        .write.mode("overwrite")
-        .parquet(staging)
-    )
-    fields = [StructField("__part", IntegerType()), StructField("__place", LongType())]
-    staged = spark.read.schema(StructType([*df.schema.fields, *fields])).parquet(staging)
-    # one row per written partition
-    sizes = staged.groupBy("__part").agg((F.max("__place") + 1).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    place_rows(df, order).write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(StructType([*df.schema.fields, *PLACED])).parquet(staging)
+    offsets, before = {}, 0
+    for part, n in part_sizes(staged):
+        offsets[part], before = before, before + n
+    # a partition without rows has no place
+    known = F.array(*[F.lit(offsets.get(p, 0)).cast("long") for p in range(max(offsets, default=0) + 1)])
     return (
-        staged.join(offsets, "__part")
-        .withColumn(name, F.col("__offset") + F.col("__place") + F.lit(start))
-        .drop("__part", "__place", "__offset")
+        staged.withColumn(name, known[F.col("__part")] + F.col("__place") + F.lit(start))
+        .drop("__part", "__place")
     )
 
 

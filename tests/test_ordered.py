@@ -47,6 +47,12 @@ def test_number_rows(spark, folder):
     }
 
 
+def test_numbers_are_added_without_another_shuffle(spark, folder):
+    df = spark.createDataFrame(skewed(), "k long, t long, v double")
+    plan = number_rows(df, ["k", "t"], "id", folder + "/n")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_top_rows(spark):
     df = spark.createDataFrame(skewed(), "k long, t long, v double")
     found = top_rows(df, ["k"], [F.desc("t")], 2)
