@@ -36,16 +36,20 @@ def join_as_of(
     order = F.struct(F.col(since).alias("t"), *[F.col(c) for c in ties])
     empty = {kind: F.lit(None).cast(df.select(col).schema[0].dataType) for kind, df, col in (
         ("version", known, version), ("request", requests, request), ("order", known, order))}
-    both = known.select(*keys, F.col(since).alias("t"), F.lit(0).alias("__ask"), order.alias("__order"), version.alias("__version"), empty["request"].alias("__request"))
-    both = both.unionByName(
-        requests.select(*keys, F.col(at).alias("t"), F.lit(1).alias("__ask"), empty["order"].alias("__order"), empty["version"].alias("__version"), request.alias("__request"))
-    ).withColumn("__range", cut)
-
-    lasts = both.where("__ask = 0").groupBy(*keys, "__range").agg(F.max_by("__version", "__order").alias("__last"))
-    # ranges in which only requests stand take part in the carrying, one row for each
-    ranges = both.groupBy(*keys, "__range").agg(F.count("*").alias("__n")).drop("__n").join(lasts, [*keys, "__range"], "left")
-    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ranges.select(*keys, "__range", F.last("__last", ignorenulls=True).over(before).alias("__carried"))
+    told = known.select(*keys, F.col(since).alias("t"), F.lit(0).alias("__ask"), order.alias("__order"), version.alias("__version"), empty["request"].alias("__request"))
+    told = told.withColumn("__range", cut)
+    asked = requests.select(*keys, F.col(at).alias("t"), F.lit(1).alias("__ask"), empty["order"].alias("__order"), empty["version"].alias("__version"), request.alias("__request"))
+    asked = asked.withColumn("__range", cut)
+    both = told.unionByName(asked)
+
+    # moved before they are sorted and reduced, so that no task holds the sort beside what it made the versions with
+    lasts = told.repartition(*keys, "__range").groupBy(*keys, "__range").agg(F.max_by("__version", "__order").alias("__last"))
+    # one row for each range with versions and one, before it, for each with requests; only the latter get what is carried
+    ranges = lasts.select(*keys, "__range", F.lit(1).alias("__told"), "__last").unionByName(
+        asked.select(*keys, "__range").distinct().select(*keys, "__range", F.lit(0).alias("__told"), empty["version"].alias("__last"))
+    )
+    before = Window.partitionBy(*keys).orderBy("__range", "__told").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranges.withColumn("__carried", F.last("__last", ignorenulls=True).over(before)).where("__told = 0").drop("__told", "__last")
 
     inside = Window.partitionBy(*keys, "__range").orderBy("t", "__ask", "__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = both.withColumn("__inside", F.last("__version", ignorenulls=True).over(inside)).where("__ask = 1")

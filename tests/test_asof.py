@@ -1,6 +1,8 @@
 """As-of joins, appended keys and version tables against plain loops."""
 
+import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +47,14 @@ def test_join_as_of(spark, width, most):
     assert sorted(map(tuple, found.collect()), key=str) == plain(requests, versions, most)
 
 
+def test_requests_and_versions_are_not_reduced_together(spark):
+    asked = spark.range(50).selectExpr("id % 5 AS k", "id AS at", "'r' AS name")
+    known = spark.range(50).selectExpr("id % 5 AS k", "id AS since", "'v' AS v")
+    found = join_as_of(asked, known, ["k"], "at", "since", F.floor(F.col("t") / 10))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and not re.search(r"Aggregate [^\n]*\n[ :+-]*Union", plan)
+
+
 def test_join_as_of_without_rows(spark):
     asked = spark.createDataFrame([(1, 5)], "k long, at long")
     known = spark.createDataFrame([], "k long, since long, v string")
@@ -97,6 +107,23 @@ def test_a_batch_without_its_block_is_not_read(spark, folder):
     assert table.rows().count() == 65 and table.rows().agg(F.max("id")).first()[0] == 65
 
 
+def test_rows_of_a_batch_are_written_once(spark, folder, monkeypatch):
+    _, frames = batches(spark)
+    table = NumberedTable(spark, folder, frames[0].schema, ["a", "b"], "id")
+    written, kind = [], type(frames[0].write)
+    plain_write = kind.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        written.append(path)
+        return plain_write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "parquet", parquet)
+    for _ in range(2):
+        table.append(frames[0], 0)
+    assert len([p for p in written if "/blocks/" not in p]) == 2 and table.rows().count() == 40
+    assert len(os.listdir(f"{folder}/rows/batch=0")) == 1
+
+
 def test_a_changed_batch_under_later_ones_is_an_error(spark, folder):
     _, frames = batches(spark)
     table = NumberedTable(spark, folder, frames[0].schema, ["a", "b"], "id")
