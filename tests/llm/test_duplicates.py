@@ -96,6 +96,27 @@ def test_components_of_a_web_of_copies_without_all_its_pairs(spark, monkeypatch)
     assert len(linked(data, 4, 85, 100)[1]) > 25 * len(data) > sum(compared)
 
 
+def test_components_of_a_web_take_one_table(spark, monkeypatch):
+    rng, written = random.Random(3), []
+    links = [(rng.randrange(-200, 200), rng.randrange(-200, 200)) for _ in range(1500)] + [(900, 901), (5, 5)]
+    write = common.stored
+    monkeypatch.setattr(common, "stored", lambda df, name: written.append(name) or write(df, name))
+    got = common.components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()
+    assert sorted(map(tuple, got)) == sorted(roots({n for a, b in links if a != b for n in (a, b)}, links).items())
+    assert written == ["edges"]
+
+
+@pytest.mark.parametrize("held", [1, 6, 1 << 19])
+def test_components_of_chains_and_stars(spark, monkeypatch, held):
+    monkeypatch.setattr(common, "HELD_EDGES", held)
+    order = random.Random(4).sample(range(-300, 300), 600)
+    links = [*zip(order[:200], order[1:200]), *((order[200], n) for n in order[201:400]), *zip(order[400:500], order[500:])]
+    got = common.components(spark.createDataFrame(links + links[:50], "a long, b long").repartition(4)).collect()
+    assert sorted(map(tuple, got)) == sorted(roots(set(order), links).items())
+    none = spark.createDataFrame([(1, 1)], "a long, b long")
+    assert common.components(none).count() == 0
+
+
 def test_no_rows(spark):
     none = empty(spark)
     assert shingle_components(none).count() == 0
