@@ -112,7 +112,8 @@ def mix_sources(docs: DataFrame, total_share: float = 1.5, most: float = 2.0) ->
     parts = parts.withColumn("lo", F.col("round") * F.col("source_size") + F.col("end") - F.col("size")).where("lo < hi")
     parts = parts.select("sid", "position", "words", "lo", "hi", F.explode(F.expr("sequence(lo div words, (hi - 1) div words)")).alias("nth"))
     part = F.least("hi", (F.col("nth") + 1) * F.col("words")) - F.greatest("lo", F.col("nth") * F.col("words"))
-    parts = parts.select("sid", "position", "nth", part.alias("part"))
+    # Spark sizes the parts by the documents that they come from and would send them all through the driver
+    parts = parts.select("sid", "position", "nth", part.alias("part")).hint("merge")
     taken = parts.join(slots.select("sid", (F.col("rank") - 1).alias("nth")), ["sid", "nth"]).groupBy("sid", "position").agg(F.sum("part").alias("taken"))
     out = placed.join(taken, ["sid", "position"], "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

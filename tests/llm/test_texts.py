@@ -428,6 +428,12 @@ def test_what_is_taken_is_what_the_slots_say(spark):
     assert {r["doc_id"]: r["taken"] for r in mix_sources(df).collect()} == want
 
 
+def test_parts_of_documents_are_not_broadcast(spark):
+    df = spark.createDataFrame([(i, prose(i, 100), "ab"[i % 2]) for i in range(50)], "doc_id long, text string, source string")
+    joins = re.findall(r"(\w+Join) \[sid#\d+L, nth#\d+L\]", mix_sources(df)._jdf.queryExecution().executedPlan().toString())
+    assert joins and set(joins) == {"SortMergeJoin"}
+
+
 def test_schedule_mixes_every_stretch(spark):
     targets = spark.createDataFrame([(0, 1000, 1500.0), (1, 3000, 3000.0), (2, 500, 500.0)], "sid long, source_size long, target double")
     slots = schedule(targets, 1).orderBy("slot").collect()
